@@ -26,10 +26,9 @@ def wei_to_eth(value: Column | str, exact: bool = True) -> Column:
     text = _col(value).cast("string")
     if not exact:
         return (text.try_cast("decimal(38,0)") / F.lit(10**WEI_DIGITS)).cast(ETH)
-    digits = F.regexp_extract(text, r"^0*([0-9]+)$", 1)
-    padded = F.lpad(digits, 38, "0")
+    padded = F.right(F.concat(F.lit("0" * 38), text), F.lit(38))
     shifted = F.concat(padded.substr(1, 20), F.lit("."), padded.substr(21, WEI_DIGITS))
-    return F.when(F.length(digits).between(1, 38), shifted).try_cast(ETH)
+    return F.when(text.rlike("^0*[0-9]{1,38}$"), shifted.try_cast(ETH))
 
 
 def eth_to_wei_text(amount: Column | str) -> Column:

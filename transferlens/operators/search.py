@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +22,17 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) <= 2 else 1 if len(term) <= 5 else 2
 
 
-def _field_score(field: Column, query: list[str]) -> Column:
-    total = F.lit(0.0)
-    for term in query:
-        edits = allowed_edits(term)
+def _closeness(term: str) -> Callable[[Column], Column]:
+    def score(word: Column) -> Column:
+        distance = F.levenshtein(word, F.lit(term), allowed_edits(term))
+        return F.when(distance >= 0, 1.0 - distance / F.lit(float(len(term)))).otherwise(0.0)
 
-        def closeness(word: Column, term: str = term, edits: int = edits) -> Column:
-            distance = F.levenshtein(word, F.lit(term), edits)
-            return F.when(distance >= 0, 1.0 - distance / F.lit(float(len(term)))).otherwise(0.0)
+    return score
 
-        total = total + F.coalesce(F.array_max(F.transform(field, closeness)), F.lit(0.0))
-    return total
+
+def _field_score(field: Column, query: list[str]) -> Column:
+    best = [F.coalesce(F.array_max(F.transform(field, _closeness(t))), F.lit(0.0)) for t in query]
+    return sum(best, F.lit(0.0))
 
 
 def fuzzy_search(tokens: DataFrame, query: str, size: int = 10) -> DataFrame:
@@ -37,8 +40,6 @@ def fuzzy_search(tokens: DataFrame, query: str, size: int = 10) -> DataFrame:
 
     Each query term scores its closest word in the field; one scan and a per-task top-n.
     """
-    import re
-
     wanted = [t for t in re.split(r"[\W_]+", query.lower()) if t]
     score = F.greatest(
         _field_score(terms("symbol"), wanted) * SYMBOL_WEIGHT,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens import schemas
+from transferlens.session import stored
 from transferlens.plans import enrich, quality, rollups, whales
 from transferlens.sources.dimensions import read_labels, read_tokens
 from transferlens.sources.files import day_of, read_days, read_json
@@ -63,7 +64,7 @@ def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
     if config.enforce:
         quality.enforce(results)
 
-    write_days(rollups.top_whales_daily(silver("whale_txns")), f"{config.gold}/top_whales_daily")
+    write_days(rollups.top_whales_daily(silver("whale_txns"), keep=stored), f"{config.gold}/top_whales_daily")
     write_days(rollups.market_flow_hourly(silver("whale_txns")), f"{config.gold}/market_flow_hourly")
     write_days(rollups.token_popularity_daily(silver("token_flow")), f"{config.gold}/token_popularity_daily")
     write_days(rollups.token_popularity_hourly(silver("token_flow")), f"{config.gold}/token_popularity_hourly")

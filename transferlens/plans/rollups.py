@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,8 +56,13 @@ def top_whales_daily(
     whales: DataFrame,
     tiers: Sequence[tuple[float, str]] = classify.DAY_TIERS,
     splits: int = RANK_SPLITS,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Who moved the market: one row per address and day, with ranks and dominant entity."""
+    """Who moved the market: one row per address and day, with ranks and dominant entity.
+
+    The ranks read the address-days several times; ``keep`` (see ``session.stored``) stores them
+    once instead of recomputing them.
+    """
     sent, received = F.col("total_sent_eth"), F.col("total_recv_eth")
     days = wallet_days(whales).withColumns(
         {
@@ -66,6 +71,8 @@ def top_whales_daily(
             "total_tx_count": F.col("tx_count_as_sender") + F.col("tx_count_as_receiver"),
         }
     )
+    if keep is not None:
+        days = keep(days, "wallet-days")
     days = with_rank(days, ["dt"], "net_flow_eth", "rank_dumper", "rank_accumulator", splits)
     days = with_rank(days, ["dt"], "total_activity_eth", None, "rank_activity", splits)
 

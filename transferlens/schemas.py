@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "decimal(38,18)": T.DecimalType(38, 18),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    # built here rather than by fromDDL, which needs a running session at import time
+    pairs = [c.split(" ") for c in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BLOCKS = _schema(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What a cluster session should carry; everything else is left to the operator of the cluster.
 SETTINGS = {
@@ -39,3 +39,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or tempfile.mkdtemp(prefix="transferlens-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared working folder and read back.
+
+    Cuts the lineage of a frame that several branches of a plan need: they read the table
+    instead of recomputing it, also after an executor is lost.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -88,4 +88,6 @@ def empty_files(df: DataFrame) -> DataFrame:
     """Files listed for ``df`` that hold no row at all (zero bytes yield no row to read)."""
     spark = df.sparkSession
     listed = spark.createDataFrame([(p,) for p in df.inputFiles()], "path string")
-    return listed.join(file_sizes(df).select("path"), "path", "left_anti")
+    # a local path is written with one slash or with three
+    same = F.regexp_replace("path", ":/+", ":/").alias("path")
+    return listed.select(same).join(file_sizes(df).select(same), "path", "left_anti")

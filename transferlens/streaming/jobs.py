@@ -46,12 +46,16 @@ def with_block_time(
 
 
 def gas_by_window(
-    transactions: DataFrame, width: str = "5 minutes", slide: str = "1 minute", delay: str = "1 minute"
+    transactions: DataFrame,
+    width: str = "5 minutes",
+    slide: str = "1 minute",
+    delay: str = "1 minute",
+    digits: int = 2,
 ) -> DataFrame:
     """Mean gas price in gwei per sliding window."""
     windows = transactions.withWatermark("event_time", delay).groupBy(F.window("event_time", width, slide).alias("w"))
     price = F.avg(F.col("gas_price").cast("double")) / 1e9
-    counted = windows.agg(F.round(price, 2).alias("average_gas_price_gwei"), F.count(F.lit(1)).alias("transactions"))
+    counted = windows.agg(F.round(price, digits).alias("average_gas_price_gwei"), F.count(F.lit(1)).alias("transactions"))
     return counted.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),

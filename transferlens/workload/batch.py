@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from transferlens.functions import classify, display, money
 from transferlens.plans import enrich, rollups, whales
+from transferlens.session import stored
 from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
 from transferlens.workload.frames import table
@@ -104,7 +105,7 @@ SELECT CAST(d.dt AS VARCHAR) AS dt, d.address, v.entity AS entity_name, v.catego
        CAST(rank() OVER (PARTITION BY d.dt ORDER BY rc + sc DESC) AS BIGINT) AS rank_activity, hf AS flag_high_freq
 FROM days d LEFT JOIN votes v ON d.address = v.address AND d.dt = v.dt AND v.k = 1""")
 def top_whales_daily(spark, d):
-    return rollups.top_whales_daily(whale_frame(spark, d), tiers=DAY_TIERS)
+    return rollups.top_whales_daily(stored(whale_frame(spark, d), "whale-txns"), tiers=DAY_TIERS, keep=stored)
 
 
 @query(f"""WITH {sql.WHALES},

@@ -1 +1,272 @@
-"""Queries."""
+"""Quality gates, reports, the reciprocal-transfer detection and the request log."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from transferlens.operators import stats
+from transferlens.operators.reciprocal import reciprocal_transfers
+from transferlens.plans import extract, quality
+from transferlens.workload import frames, sql
+from transferlens.workload.batch import enriched_frame, event_flow, line_flow, whale_frame
+from transferlens.workload.catalog import query
+from transferlens.workload.frames import table
+
+
+def _round(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+
+
+def _gate(table_name: str, rules: tuple, measures: str) -> str:
+    """Rules as (name, '>=' or '<=', limit, severity) over a one-row relation ``m``."""
+    rows = " UNION ALL ".join(
+        f"SELECT '{table_name}' AS \"table\", '{name}' AS rule, round(CAST({name} AS DOUBLE), 6) AS value, "
+        f"CAST({limit} AS DOUBLE) AS threshold, '{severity}' AS severity, coalesce({name} {op} {limit}, true) AS passed FROM m"
+        for name, op, limit, severity in rules
+    )
+    return f"{measures} {rows}"
+
+
+_ENRICHED_REPORT = """SELECT count(*) AS tx_count, avg(CAST(is_success AS INT)) AS success_rate,
+  avg(CASE WHEN is_success IS NULL THEN 0 ELSE 1 END) AS receipt_coverage, avg(tx_fee_eth) AS avg_fee_eth, sum(value_eth) AS total_eth,
+  count(*) FILTER (is_contract_call) AS call_count, count(*) FILTER (is_contract_deploy) AS deploy_count,
+  count(*) FILTER (tx_type = 'eip1559') AS eip1559_count,
+  round(count(*) FILTER (is_contract_call) / count(*) * 100, 2) AS call_pct,
+  round(count(*) FILTER (tx_type = 'eip1559') / count(*) * 100, 2) AS eip1559_pct,
+  (SELECT count(*) FROM (SELECT from_address FROM enriched UNION SELECT to_address FROM enriched)) AS active_addresses
+FROM enriched"""
+
+
+@query(f"""WITH {sql.ENRICHED}, m AS ({_ENRICHED_REPORT})
+SELECT CAST(tx_count AS BIGINT) AS tx_count, round(success_rate, 6) AS success_rate, round(receipt_coverage, 6) AS receipt_coverage,
+  round(avg_fee_eth, 12) AS avg_fee_eth, round(total_eth, 2) AS total_eth, CAST(call_count AS BIGINT) AS call_count,
+  CAST(deploy_count AS BIGINT) AS deploy_count, CAST(eip1559_count AS BIGINT) AS eip1559_count, call_pct, eip1559_pct,
+  CAST(active_addresses AS BIGINT) AS active_addresses FROM m""")
+def enriched_report(spark, d):
+    report = _round(quality.enriched_report(enriched_frame(spark, d)), 6, "success_rate", "receipt_coverage")
+    return _round(_round(report, 12, "avg_fee_eth"), 2, "total_eth")
+
+
+@query(_gate("txn_enriched", (
+    ("retention", ">=", 0.99, "critical"), ("success_rate", ">=", 0.8, "critical"), ("tx_count", ">=", 1000, "critical"),
+    ("avg_fee_eth", "<=", 1.0, "critical")), f"WITH {sql.ENRICHED}, m AS (SELECT *, tx_count / (SELECT count(*) FROM orders) AS retention FROM ({_ENRICHED_REPORT}))"))
+def quality_gate_enriched(spark, d):
+    return quality.check_enriched(enriched_frame(spark, d), frames.order_transactions(table(spark, d, "orders")))
+
+
+@query(f"""WITH {sql.ENRICHED} SELECT tx_type, CAST(count(*) AS BIGINT) AS n,
+  round(count(*) * 100.0 / (SELECT count(*) FROM enriched), 2) AS share_pct FROM enriched GROUP BY 1""")
+def tx_type_share(spark, d):
+    return stats.share_of(enriched_frame(spark, d), "tx_type")
+
+
+@query(f"""WITH {sql.ENRICHED} SELECT CAST(count(*) AS BIGINT) AS active_addresses FROM (
+  SELECT from_address AS a FROM enriched UNION SELECT to_address FROM enriched)""")
+def active_addresses(spark, d):
+    return stats.distinct_of(enriched_frame(spark, d), ["from_address", "to_address"], "active_addresses")
+
+
+# reciprocal transfers: the plain self join, written out
+_WASH = f"""WITH {sql.TX}, {sql.LABELS}, private AS (
+  SELECT CAST(s // 600 AS VARCHAR) || '-tx' AS tx, event_type AS token, upper(event_type) AS symbol, f, t, c / 100.0 AS amount
+  FROM tx WHERE f NOT IN (SELECT address FROM lab WHERE category = 'DEX') AND t NOT IN (SELECT address FROM lab WHERE category = 'DEX')),
+pairs AS (
+  SELECT a.*, b.tx AS other FROM private a JOIN private b ON a.token = b.token AND a.f = b.t AND a.t = b.f AND a.tx <> b.tx
+  WHERE b.amount > 0 AND a.amount BETWEEN b.amount * 0.8::DOUBLE AND b.amount * 1.2::DOUBLE)"""
+
+
+def _swaps(spark, d):
+    return frames.swap_flow(table(spark, d, "events"), frames.labels(table(spark, d, "customer")))
+
+
+@query(f"""{_WASH} SELECT tx, token, f AS sender, t AS receiver, amount, CAST(max(n) AS BIGINT) AS partners
+FROM (SELECT tx, token, f, t, amount, count(*) / (SELECT count(*) FROM private p WHERE p.tx = pairs.tx AND p.token = pairs.token
+  AND p.f = pairs.f AND p.t = pairs.t AND p.amount = pairs.amount) AS n FROM pairs GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4, 5""")
+def wash_trades(spark, d):
+    return reciprocal_transfers(quality.private_flow(_swaps(spark, d)))[1]
+
+
+@query(f"{_WASH} SELECT CAST(count(DISTINCT tx) AS BIGINT) AS wash_transactions, CAST(count(*) AS BIGINT) AS wash_pairs FROM pairs")
+def wash_summary(spark, d):
+    return quality.wash_summary(_swaps(spark, d))
+
+
+@query(f"{_WASH} SELECT symbol, CAST(count(*) AS BIGINT) AS pairs FROM pairs GROUP BY 1 ORDER BY pairs DESC, symbol LIMIT 5")
+def wash_by_symbol(spark, d):
+    return quality.wash_by_symbol(_swaps(spark, d))
+
+
+_FLOW_REPORT = """SELECT count(*) AS row_count, count(DISTINCT token) AS active_tokens,
+  avg(CASE WHEN fc = 'DEX' OR tc = 'DEX' THEN 1 ELSE 0 END) AS dex_ratio,
+  CASE WHEN avg(amount) > 0 THEN stddev_samp(amount) / avg(amount) ELSE 0 END AS transfer_cv FROM flow"""
+
+
+@query(f"""WITH {sql.LINE_FLOW}, m AS ({_FLOW_REPORT}) SELECT CAST(row_count AS BIGINT) AS row_count,
+  CAST(active_tokens AS BIGINT) AS active_tokens, round(dex_ratio, 6) AS dex_ratio, round(transfer_cv, 6) AS transfer_cv FROM m""")
+def flow_report(spark, d):
+    return _round(quality.flow_report(line_flow(spark, d)), 6, "dex_ratio", "transfer_cv")
+
+
+_LINE_WASH = """w AS (
+  SELECT count(DISTINCT a.hash) AS n FROM flow a JOIN flow b ON a.token = b.token AND a.f = b.t AND a.t = b.f AND a.hash <> b.hash
+  WHERE a.fc <> 'DEX' AND a.tc <> 'DEX' AND b.fc <> 'DEX' AND b.tc <> 'DEX' AND b.amount > 0
+    AND a.amount BETWEEN b.amount * 0.8::DOUBLE AND b.amount * 1.2::DOUBLE)"""
+
+
+@query(_gate("token_flow", (
+    ("retention", ">=", 0.99, "critical"), ("row_count", ">=", 10, "critical"), ("active_tokens", ">=", 1, "critical"),
+    ("wash_ratio", "<=", 0.5, "warning")),
+    f"""WITH {sql.LINE_FLOW}, {_LINE_WASH}, m AS (SELECT *, row_count / (SELECT count(*) FROM lines) AS retention,
+    (SELECT n FROM w) / row_count AS wash_ratio FROM ({_FLOW_REPORT}))"""))
+def quality_gate_flow(spark, d):
+    lineitem, orders, part = (table(spark, d, n) for n in ("lineitem", "orders", "part"))
+    return quality.check_flow(line_flow(spark, d), frames.line_transfers(lineitem, orders, part), frames.tokens(part))
+
+
+@query(f"WITH {sql.LINE_FLOW} SELECT symbol, round(sum(amount), 4) AS volume FROM flow WHERE symbol <> 'UNKNOWN' GROUP BY 1 ORDER BY volume DESC, symbol LIMIT 5")
+def volume_by_symbol(spark, d):
+    return quality.volume_by_symbol(line_flow(spark, d))
+
+
+@query(f"WITH {sql.EVENT_FLOW} SELECT hour, CAST(count(*) AS BIGINT) AS tx_count FROM flow GROUP BY 1 ORDER BY tx_count DESC, hour LIMIT 3")
+def busiest_hours(spark, d):
+    return quality.busiest_hours(event_flow(spark, d))
+
+
+@query(f"""WITH {sql.EVENT_FLOW} SELECT CASE WHEN fc = 'DEX' THEN fl ELSE tl END AS dex, CAST(count(*) AS BIGINT) AS tx_count
+FROM flow WHERE fc = 'DEX' OR tc = 'DEX' GROUP BY 1 ORDER BY tx_count DESC, dex LIMIT 3""")
+def dex_share(spark, d):
+    return quality.dex_share(event_flow(spark, d))
+
+
+_WHALE_REPORT = """SELECT count(*) AS row_count, count(*) FILTER (hash IS NULL OR f IS NULL OR t IS NULL OR c IS NULL) AS null_rows,
+  count(*) FILTER (c <= 0) AS non_positive_rows,
+  avg(CAST(hf OR flow_type IN ('CEX_DEPOSIT', 'CEX_WITHDRAWAL') OR (fc = 'CEX' AND tc = 'CEX') AS INT)) AS flag_rate,
+  coalesce(sum(c) FILTER (flow_type = 'CEX_DEPOSIT'), 0) AS dep, coalesce(sum(c) FILTER (flow_type = 'CEX_WITHDRAWAL'), 0) AS wd,
+  coalesce(sum(c) FILTER (fc = 'CEX' AND tc = 'CEX'), 0) AS cc, count(DISTINCT f) FILTER (hf) AS senders FROM whales"""
+
+
+@query(f"""WITH {sql.WHALES}, m AS ({_WHALE_REPORT}) SELECT CAST(row_count AS BIGINT) AS row_count, CAST(null_rows AS BIGINT) AS null_rows,
+  CAST(non_positive_rows AS BIGINT) AS non_positive_rows, round(flag_rate, 6) AS flag_rate, dep / 100.0 AS cex_deposit_eth,
+  wd / 100.0 AS cex_withdrawal_eth, cc / 100.0 AS cex_to_cex_eth, CAST(senders AS BIGINT) AS high_freq_senders,
+  round((dep - wd) / 100.0, 4) AS net_cex_flow_eth FROM m""")
+def whale_report(spark, d):
+    return _round(_round(quality.whale_report(whale_frame(spark, d)), 6, "flag_rate"), 4, "net_cex_flow_eth")
+
+
+@query(_gate("whale_txns", (
+    ("row_count", ">=", 1, "critical"), ("null_rows", "<=", 0, "critical"), ("non_positive_rows", "<=", 0, "critical"),
+    ("flag_rate", "<=", 0.9, "warning")), f"WITH {sql.WHALES}, m AS ({_WHALE_REPORT})"))
+def quality_gate_whales(spark, d):
+    return quality.check_whales(whale_frame(spark, d))
+
+
+@query(f"WITH {sql.WHALES} SELECT tl AS to_label, sum(c) / 100.0 AS total_in FROM whales WHERE flow_type = 'CEX_DEPOSIT' GROUP BY 1 ORDER BY total_in DESC, to_label LIMIT 3")
+def deposits_by_exchange(spark, d):
+    return quality.deposits_by_exchange(whale_frame(spark, d))
+
+
+@query(f"WITH {sql.WHALES} SELECT hash, f AS from_address, c / 100.0 AS value_eth, fl AS from_label FROM whales ORDER BY value_eth DESC, hash LIMIT 3")
+def largest_transfers(spark, d):
+    return quality.largest_transfers(whale_frame(spark, d))
+
+
+@query(_gate("bronze", (("receipt_gap", "<=", 0, "critical"), ("empty_files", "<=", 0, "critical")),
+    f"""WITH {sql.TX}, m AS (SELECT abs(count(*) FILTER (c >= 10000) - (SELECT count(*) FROM events WHERE value >= 100)) AS receipt_gap,
+    0 AS empty_files FROM tx)"""))
+def quality_gate_bronze(spark, d):
+    events = table(spark, d, "events")
+    from transferlens.sources.files import empty_files
+
+    return quality.check_bronze(frames.event_transactions(events), frames.event_receipts(events), 100, empty_files(events))
+
+
+_DAY = "CAST(floor(epoch({0}) / 86400) AS BIGINT)"
+
+
+@query(f"""WITH stated AS (SELECT {_DAY.format('o_orderdate')} AS b, count(*) AS n FROM orders GROUP BY 1),
+rec AS (SELECT {_DAY.format('o_orderdate')} AS b, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1)
+SELECT b AS block_number, CAST(s.n AS BIGINT) AS stated, CAST(s.n AS BIGINT) AS transactions, CAST(coalesce(rec.n, 0) AS BIGINT) AS receipts
+FROM stated s LEFT JOIN rec USING (b) WHERE s.n <> coalesce(rec.n, 0)""")
+def block_mismatches(spark, d):
+    orders, lineitem = table(spark, d, "orders"), table(spark, d, "lineitem")
+    tx = frames.order_transactions(orders)
+    receipts = frames.lineitem_receipts(lineitem).join(
+        tx.select(F.col("hash").alias("transaction_hash"), "block_number"), "transaction_hash"
+    )
+    return quality.block_mismatches(frames.order_blocks(orders), tx, receipts)
+
+
+@query(f"""WITH {sql.LINE_FLOW} SELECT CAST((SELECT count(*) FROM flow) AS BIGINT) AS kept_rows, CAST(count(*) AS BIGINT) AS source_rows,
+  (SELECT count(*) FROM flow) / count(*) AS retention FROM lineitem""")
+def flow_retention(spark, d):
+    return quality.retention(line_flow(spark, d), table(spark, d, "lineitem"))
+
+
+# request log lines made from events: two time formats, some lines broken
+_LOG = """log AS (
+  SELECT CASE event_type WHEN 'view' THEN 'GET' WHEN 'click' THEN 'GET' WHEN 'error' THEN 'POST' WHEN 'signup' THEN 'POST' ELSE 'PUT' END AS method,
+         '/api/' || CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) < 50 THEN 'tokens' ELSE 'wallets' END AS url,
+         CASE event_type WHEN 'error' THEN 503 ELSE 200 END AS status_code, value * 5 AS duration_ms,
+         event_type, ts, user_id FROM events)"""
+
+
+def _log_lines(events: DataFrame) -> DataFrame:
+    kind = F.col("event_type")
+    method = F.when(kind.isin("view", "click"), "GET").when(kind.isin("error", "signup"), "POST").otherwise("PUT")
+    time = (
+        F.when(kind == "view", F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"))
+        .when(kind == "click", F.lit("yesterday"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    )
+    path = F.when(F.get_json_object("props", "$.k").cast("int") < 50, "tokens").otherwise("wallets")
+    line = F.to_json(
+        F.struct(
+            time.alias("timestamp"),
+            F.lit("INFO").alias("level"),
+            F.lit("api").alias("name"),
+            F.concat(F.lit("request "), F.col("event_id").cast("string")).alias("message"),
+            method.alias("method"),
+            F.concat(F.lit("/api/"), path).alias("url"),
+            F.when(kind == "error", 503).otherwise(200).alias("status_code"),
+            (F.col("value") * 5).alias("duration_ms"),
+        )
+    )
+    # every signup line is cut, so it is no JSON any more
+    return events.select(F.when(kind == "signup", line.substr(F.lit(1), F.length(line) - 1)).otherwise(line).alias("value"))
+
+
+@query(f"""WITH {_LOG} SELECT method, url, CAST(count(*) AS BIGINT) AS requests,
+  round(count(*) FILTER (duration_ms >= 500) / count(*), 6) AS slow_share,
+  round(count(*) FILTER (status_code BETWEEN 500 AND 599) / count(*), 6) AS error_share, round(avg(duration_ms), 4) AS avg_ms
+FROM log WHERE event_type <> 'signup' GROUP BY 1, 2""")
+def request_log_kpis(spark, d):
+    log = quality.parse_request_log(_log_lines(table(spark, d, "events")))
+    return quality.request_kpis(log).drop("p95_ms")
+
+
+@query()
+def request_log_latency(spark, d):
+    return quality.request_kpis(quality.parse_request_log(_log_lines(table(spark, d, "events"))))
+
+
+@query("""SELECT CASE event_type WHEN 'signup' THEN '_json_parse_failure' WHEN 'click' THEN '_date_parse_failure' ELSE '' END AS tags,
+  CAST(count(*) AS BIGINT) AS n, strftime(max(CASE WHEN event_type NOT IN ('signup', 'click') THEN ts END), '%Y-%m-%d %H:%M:%S') AS latest
+FROM events GROUP BY 1""")
+def request_log_tags(spark, d):
+    log = quality.parse_request_log(_log_lines(table(spark, d, "events")))
+    return log.groupBy(F.array_join("tags", ",").alias("tags")).agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest"))
+
+
+@query(f"""WITH {sql.TX} SELECT min(s // 3600) AS start_block, max(s // 3600) AS end_block, CAST(count(DISTINCT s // 3600) AS BIGINT) AS block_count,
+  CAST(count(*) AS BIGINT) AS total_tx_in_blocks, CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS whale_count,
+  CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS receipt_count, CAST(count(*) FILTER (c >= 10000) * 15 AS BIGINT) AS compute_units FROM tx""")
+def run_summary(spark, d):
+    events = table(spark, d, "events")
+    from transferlens.sources.files import file_sizes
+
+    tx = frames.event_transactions(events)
+    blocks = tx.groupBy(F.col("block_number").alias("number")).agg(F.count(F.lit(1)).alias("transaction_count"))
+    summary = extract.run_summary(blocks, tx, frames.event_receipts(events), file_sizes(events))
+    return summary.drop("total_bytes", "total_mb", "monthly_storage_usd")

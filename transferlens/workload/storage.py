@@ -1 +1,88 @@
-"""Queries."""
+"""Sources and sinks, exercised through the cluster's shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from transferlens import schemas
+from transferlens.session import work_folder
+from transferlens.sources import files, sinks
+from transferlens.streaming import alerts as alert_ops
+from transferlens.workload import frames, sql
+from transferlens.workload.catalog import query
+from transferlens.workload.frames import table
+
+_PER_DAY = f"""WITH {sql.TX} SELECT CAST(dt AS VARCHAR) AS dt, CAST(count(*) AS BIGINT) AS n, sum(c) / 100.0 AS total
+FROM tx {{where}} GROUP BY 1"""
+
+
+def _days(spark, d):
+    return frames.event_enriched(table(spark, d, "events")).select("hash", "from_address", "block_timestamp", "value_eth", "dt")
+
+
+def _totals(df):
+    return df.groupBy(F.col("dt").cast("string").alias("dt")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value_eth").cast("double").alias("total")
+    )
+
+
+@query(_PER_DAY.format(where=""))
+def replace_days(spark, d):
+    """All days written, one rewritten twice: the table is unchanged by the rewrites."""
+    root = work_folder(spark, "replace-days")
+    rows = _days(spark, d)
+    sinks.write_days(rows, root)
+    for _ in range(2):
+        sinks.write_days(rows.where(F.col("dt") == F.lit("2024-01-05").cast("date")), root)
+    return _totals(files.read_days(spark, root, rows.schema))
+
+
+@query(_PER_DAY.format(where="WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'"))
+def read_day_range(spark, d):
+    root = work_folder(spark, "day-range")
+    rows = _days(spark, d)
+    sinks.write_days(rows, root)
+    return _totals(files.read_days(spark, root, rows.schema, "dt=2024-01-10", "2024-01-19"))
+
+
+@query(_PER_DAY.format(where=""))
+def clustered_layout(spark, d):
+    root = work_folder(spark, "clustered")
+    rows = _days(spark, d)
+    sinks.write_clustered(rows, root, "from_address", "block_timestamp")
+    return _totals(files.read_days(spark, root, rows.schema))
+
+
+@query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, s AS block_timestamp, CAST(c AS VARCHAR) || '0000000000000000' AS value, c * 100000000 AS gas_price FROM tx")
+def json_scan(spark, d):
+    """Transactions written as JSON with quoted integers and read back typed."""
+    root = work_folder(spark, "json")
+    rows = frames.event_transactions(table(spark, d, "events")).drop("event_type")
+    rows.withColumns({c: F.col(c).cast("string") for c in ("block_timestamp", "gas_price")}).write.json(root)
+    back = files.read_json(spark, root, schemas.TRANSACTIONS)
+    return back.select("hash", "from_address", "to_address", "block_timestamp", "value", "gas_price")
+
+
+@query("""SELECT CASE WHEN event_type = 'error' THEN 'bad' ELSE 'good' END AS kind, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1""")
+def json_quarantine(spark, d):
+    """Lines that do not parse go to a second output; none is lost."""
+    root = work_folder(spark, "json-lines")
+    rows = frames.event_transactions(table(spark, d, "events"))
+    line = F.to_json(F.struct("hash", "block_timestamp", "value"))
+    rows.select(F.when(F.col("event_type") == "error", F.concat(line, F.lit("}{"))).otherwise(line).alias("value")).select(
+        F.when(F.col("value").endswith("}{"), F.substring_index("value", "}", 1)).otherwise(F.col("value")).alias("value")
+    ).write.text(root)
+    good, bad = files.read_json_split(spark, root, schemas.TRANSACTIONS)
+    kinds = good.select(F.lit("good").alias("kind")).unionByName(bad.select(F.lit("bad").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {sql.TX} SELECT CASE WHEN event_type <> 'error' THEN hash END AS hash, CASE WHEN event_type <> 'error' THEN c / 100.0 END AS value_eth FROM tx""")
+def alert_decode(spark, d):
+    """Alert messages, with and without the derived amount; broken ones give null rows."""
+    rows = frames.event_transactions(table(spark, d, "events"))
+    full = F.to_json(F.struct("hash", "value", (F.col("value").cast("double") / 1e18).alias("value_eth")))
+    short = F.to_json(F.struct("hash", "value"))
+    kind = F.col("event_type")
+    message = F.when(kind == "error", "invalid json").when(kind == "view", full).otherwise(short)
+    return alert_ops.decode(rows.select(message.alias("value"))).select("hash", F.round("value_eth", 6).alias("value_eth"))

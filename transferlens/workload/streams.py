@@ -1 +1,180 @@
-"""Queries."""
+"""Streaming queries: each runs to the end of its input into the shared folder and is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from transferlens.session import work_folder
+from transferlens.streaming import alerts as alert_ops
+from transferlens.streaming import jobs, messages
+from transferlens.workload import frames, sql
+from transferlens.workload.catalog import query
+from transferlens.workload.frames import table
+
+
+def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """One of the given tables as a file stream; all its files make one micro-batch.
+
+    The path is a pattern because a stream may not start at a single file.
+    """
+    return spark.readStream.schema(table(spark, d, name).schema).parquet(f"{d.rstrip('/')}/{name}.parque[t]")
+
+
+def _drain(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    out, checkpoint = work_folder(spark, name), work_folder(spark, f"{name}-checkpoint")
+    jobs.start(stream, checkpoint, path=out).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _message(rows: DataFrame, time_key: str = "block_timestamp") -> DataFrame:
+    """Transactions as JSON messages; the time keeps its fraction and goes by ``time_key``."""
+    return rows.select(
+        F.to_json(
+            F.struct(
+                F.col("event_id").cast("string").alias("hash"),
+                (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("decimal(20,6)").cast("string").alias(time_key),
+                F.col("user_id").cast("string").alias("from_address"),
+                F.get_json_object("props", "$.k").alias("to_address"),
+                frames.wei_text("value").alias("value"),
+                frames.gas_wei().cast("string").alias("gas_price"),
+            )
+        ).alias("value"),
+        "event_type",
+    )
+
+
+def _transactions(spark, d) -> DataFrame:
+    decoded = messages.decode(_message(_stream(spark, d, "events")), "transactions")
+    return messages.accepted(decoded)
+
+
+@query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(c AS VARCHAR) || '0000000000000000' AS value FROM tx WHERE event_type <> 'signup'")
+def stream_validate(spark, d):
+    """Messages under different time names; those of one kind lack the sender and are refused."""
+    raw = _message(_stream(spark, d, "events"), "item_timestamp")
+    broken = F.regexp_replace("value", '"from_address":"[^"]*",', "")
+    raw = raw.withColumn("value", F.when(F.col("event_type") == "signup", broken).otherwise(F.col("value")))
+    rows = messages.accepted(messages.decode(raw, "transactions"))
+    return _drain(spark, rows, "validate").select("hash", "from_address", "to_address", "event_time", "value")
+
+
+@query("SELECT 'from_address' AS problems, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'signup'")
+def stream_quarantine(spark, d):
+    raw = _message(_stream(spark, d, "events"))
+    broken = F.regexp_replace("value", '"from_address":"[^"]*",', "")
+    raw = raw.withColumn("value", F.when(F.col("event_type") == "signup", broken).otherwise(F.col("value")))
+    refused = _drain(spark, messages.quarantined(messages.decode(raw, "transactions")), "quarantine")
+    return refused.groupBy(F.array_join("problems", ",").alias("problems")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS hash FROM events")
+def stream_dedup(spark, d):
+    rows = _transactions(spark, d)
+    twice = rows.unionByName(_transactions(spark, d))
+    return _drain(spark, jobs.deduplicated(twice, ["hash", "event_time"]), "dedup").select("hash")
+
+
+_BOUND = 30
+
+
+@query(f"""WITH blocks AS (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P'),
+mark AS (SELECT least((SELECT max(o_orderdate) FROM blocks), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 1 DAY AS w)
+SELECT CAST(l_orderkey AS VARCHAR) AS transaction_hash, CAST(l_linenumber AS BIGINT) AS log_index, CAST(l_partkey AS VARCHAR) AS token_address,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS event_time
+FROM lineitem LEFT JOIN blocks ON l_orderkey = o_orderkey AND o_orderdate BETWEEN l_shipdate - INTERVAL {_BOUND} DAY AND l_shipdate + INTERVAL {_BOUND} DAY, mark
+WHERE o_orderdate IS NOT NULL OR l_shipdate + INTERVAL {_BOUND} DAY < w""")
+def stream_block_time(spark, d):
+    """Lines wait for their order's time; those that cannot get one any more come out without."""
+    lines = _stream(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("transaction_hash"),
+        F.col("l_linenumber").cast("bigint").alias("log_index"),
+        F.col("l_partkey").cast("string").alias("token_address"),
+        F.col("l_orderkey").alias("block_number"),
+        F.col("l_shipdate").cast("timestamp").alias("arrived"),
+    )
+    blocks = _stream(spark, d, "orders").where(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("number"), F.col("o_orderdate").cast("timestamp").alias("event_time")
+    )
+    joined = jobs.with_block_time(lines, blocks, delay="1 day", bound=f"{_BOUND} days")
+    return _drain(spark, joined, "block-time").select("transaction_hash", "log_index", "token_address", "event_time")
+
+
+@query(f"WITH {sql.TX} SELECT hash AS key, c / 100.0 AS value_eth FROM tx WHERE c >= 10000")
+def stream_alerts(spark, d):
+    """Rows are stored, then alerts written; the alerts are read back and decoded."""
+    target, alerts, checkpoint = (work_folder(spark, n) for n in ("stored", "alerts", "alerts-checkpoint"))
+    body = jobs.store_and_alert(target, ["hash", "event_time"], jobs.file_alert_sink(alerts), 100)
+    jobs.start(_transactions(spark, d), checkpoint, body=body).awaitTermination()
+    sent = spark.read.schema("key string, value string").json(alerts)
+    decoded = alert_ops.decode(sent.select("value"))
+    return decoded.select(F.col("hash").alias("key"), "value_eth")
+
+
+@query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, CAST(c AS VARCHAR) || '0000000000000000' AS value FROM tx")
+def stream_store(spark, d):
+    """Doubled input stored twice over; the keyed table holds every row once."""
+    target, checkpoint, again = (work_folder(spark, n) for n in ("store", "store-checkpoint", "store-again"))
+
+    def body(batch, batch_id):
+        jobs.store_batch(batch, batch_id, target, ["hash", "event_time"])
+
+    def later(batch, batch_id):
+        jobs.store_batch(batch, batch_id + 1000, target, ["hash", "event_time"])
+
+    rows = _transactions(spark, d)
+    jobs.start(rows.unionByName(_transactions(spark, d)), checkpoint, body=body).awaitTermination()
+    jobs.start(_transactions(spark, d), again, body=later).awaitTermination()
+    return spark.read.parquet(target).select("hash", "from_address", "to_address", "value")
+
+
+@query(f"""WITH {sql.TX} SELECT hash, c / 100.0 AS value_eth FROM tx WHERE c >= 10000
+ORDER BY ts DESC, hash LIMIT 50""")
+def stream_alert_feed(spark, d):
+    path, checkpoint = work_folder(spark, "feed"), work_folder(spark, "feed-checkpoint")
+    rows = _transactions(spark, d)
+    twice = rows.unionByName(_transactions(spark, d))
+    jobs.start(alert_ops.alerts(twice, 100), checkpoint, body=jobs.feed_body(path, 50)).awaitTermination()
+    return spark.read.parquet(f"{path}/version=0").select("hash", "value_eth")
+
+
+_MARK = "mark AS (SELECT epoch(max(ts)) - 60 AS w FROM events)"
+
+
+@query(f"""WITH {sql.TX}, {_MARK}, wins AS (
+  SELECT (s // 60 - i) * 60 AS start, c FROM tx, range(5) r(i))
+SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(CAST(start + 300 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+       round(avg(c * 1e8) / 1e9, 6) AS average_gas_price_gwei, CAST(count(*) AS BIGINT) AS transactions
+FROM wins, mark WHERE start + 300 <= w GROUP BY start""")
+def stream_gas(spark, d):
+    return _drain(spark, jobs.gas_by_window(_transactions(spark, d), digits=6), "gas")
+
+
+def _stream_transfers(spark, d):
+    return _transactions(spark, d).withColumn("token_address", F.col("to_address"))
+
+
+@query(f"""WITH {sql.TX}, {_MARK}, wins AS (SELECT (s // 600 - i) * 600 AS start, t FROM tx, range(6) r(i))
+SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(CAST(start + 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+       t AS token_address, CAST(count(*) AS BIGINT) AS transfer_count
+FROM wins, mark WHERE start + 3600 <= w GROUP BY start, t""")
+def stream_trending(spark, d):
+    return _drain(spark, jobs.trending_by_window(_stream_transfers(spark, d)), "trending")
+
+
+@query(f"""WITH {sql.TX}, {_MARK}
+SELECT strftime(make_timestamp(CAST(s // 3600 * 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS bucket_start, t AS token_address,
+       CAST(count(*) AS BIGINT) AS transfer_count, sum(c) / 100.0 AS total_value
+FROM tx, mark WHERE s // 3600 * 3600 + 3600 <= w GROUP BY s // 3600, t""")
+def stream_trend_buckets(spark, d):
+    out = _drain(spark, jobs.trend_by_bucket(_stream_transfers(spark, d)), "buckets")
+    return out.withColumn("total_value", F.round(F.col("total_value") / 1e18, 2))
+
+
+@query("""SELECT strftime(date_trunc('minute', ts + INTERVAL 90 SECOND), '%Y-%m-%d %H:%M:%S') AS window_start, CAST(count(*) AS BIGINT) AS rows,
+  count(*) / 60 AS rows_per_second, 90.0::DOUBLE AS p50_seconds, 90.0::DOUBLE AS p95_seconds FROM events GROUP BY 1""")
+def ingest_delay(spark, d):
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("event_time"))
+    return jobs.ingest_delay(events.withColumn("stored_at", F.col("event_time") + F.expr("interval 90 seconds")))
