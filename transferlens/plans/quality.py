@@ -9,10 +9,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from transferlens.functions import classify, money
+from transferlens.functions import money
 from transferlens.operators.reciprocal import reciprocal_transfers
 from transferlens.operators.stats import distinct_of, rate, sum_where, top, variation
+from transferlens.schemas import REQUEST_LOG
+from transferlens.sources.files import CORRUPT
+from transferlens.streaming.messages import once
 
 
 @dataclass(frozen=True)
@@ -263,33 +267,26 @@ def block_mismatches(blocks: DataFrame, transactions: DataFrame, receipts: DataF
 
 def parse_request_log(lines: DataFrame) -> DataFrame:
     """JSON log lines (column ``value``) to typed rows; ``tags`` names what could not be read."""
-    from transferlens.schemas import REQUEST_LOG
-
-    body = F.from_json("value", REQUEST_LOG)
-    is_json = F.try_parse_json("value").isNotNull() & F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$")
+    # every field is read as text, so only a line that is no JSON object counts as corrupt
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in REQUEST_LOG])
+    body = F.from_json("value", as_text.add(CORRUPT, T.StringType()), {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = lines.select(once(body).alias("r"))
     text = F.col("r.timestamp")
     time = F.coalesce(
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss,SSS")),
         F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T"), text).try_cast("timestamp"),
     )
+    broken = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     tags = F.array_compact(
         F.array(
-            F.when(~F.coalesce(F.col("is_json"), F.lit(False)), "_json_parse_failure"),
+            F.when(broken, "_json_parse_failure"),
             F.when(text.isNotNull() & time.isNull(), "_date_parse_failure"),
         )
     )
-    parsed = lines.select("value", is_json.alias("is_json")).withColumn("r", F.when(F.col("is_json"), body))
-    return parsed.select(
-        time.alias("event_time"),
-        "r.level",
-        "r.name",
-        "r.message",
-        "r.method",
-        "r.url",
-        "r.status_code",
-        "r.duration_ms",
-        tags.alias("tags"),
-    )
+    fields = [
+        F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in REQUEST_LOG if f.name != "timestamp"
+    ]
+    return parsed.select(time.alias("event_time"), *fields, tags.alias("tags"))
 
 
 def request_kpis(log: DataFrame, slow_ms: float = 500) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferlens import schemas
 from transferlens.functions import money
+from transferlens.sources.files import CORRUPT
+from transferlens.streaming.messages import once
 
 
 def alerts(transactions: DataFrame, threshold: float = 100) -> DataFrame:
@@ -32,9 +35,10 @@ def decode(raw: DataFrame) -> DataFrame:
 
     ``value_eth`` is filled in from ``value`` where the message lacks it.
     """
-    body = F.from_json("value", schemas.ALERT, {"mode": "PERMISSIVE"})
-    ok = F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$") & F.try_parse_json("value").isNotNull()
-    rows = raw.select(F.when(ok, body).alias("a"))
+    shape = T.StructType([*schemas.ALERT.fields, T.StructField(CORRUPT, T.StringType())])
+    body = F.from_json("value", shape, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = raw.select(once(body).alias("p"))
+    rows = parsed.select(F.when(F.col(f"p.{CORRUPT}").isNull(), F.col("p")).alias("a"))
     eth = F.coalesce("a.value_eth", F.coalesce("a.value", F.lit("0")).try_cast("double") / 1e18)
     return rows.select(
         "a.hash",

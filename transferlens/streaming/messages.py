@@ -40,6 +40,12 @@ def _amount(name: str) -> Column:
     return F.when(text.rlike("^-?[0-9]+$"), text)
 
 
+def once(parsed: Column) -> Column:
+    """``parsed`` as a generator of one row. Later filters on its fields stay above it; folded
+    into the scan they would parse the message once per field they look at."""
+    return F.explode(F.array(parsed))
+
+
 _FIELDS = {
     "blocks": (
         schemas.STREAM_BLOCK,
@@ -83,7 +89,7 @@ def decode(raw: DataFrame, kind: str) -> DataFrame:
     schema, fields, required = _FIELDS[kind]
     carried = [c for c in raw.columns if c != "value"]
     typed = raw.where(F.col("value").isNotNull()).select(
-        *carried, F.col("value").alias("raw"), F.from_json("value", schema).alias("m")
+        *carried, F.col("value").alias("raw"), once(F.from_json("value", schema)).alias("m")
     )
     rows = typed.select(*carried, "raw", *[make().alias(name) for name, make in fields.items()])
     problems = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in required]))
