@@ -26,22 +26,19 @@ def wei_to_eth(value: Column | str, exact: bool = True) -> Column:
     text = _col(value).cast("string")
     if not exact:
         return (text.try_cast("decimal(38,0)") / F.lit(10**WEI_DIGITS)).cast(ETH)
-    padded = F.right(F.concat(F.lit("0" * 38), text), F.lit(38))
-    shifted = F.concat(padded.substr(1, 20), F.lit("."), padded.substr(21, WEI_DIGITS))
-    return F.when(text.rlike("^0*[0-9]{1,38}$"), shifted.try_cast(ETH))
+    return F.when(text.rlike("^0*[0-9]{1,38}$"), _shifted(text))
 
 
-def eth_to_wei_text(amount: Column | str) -> Column:
-    """Coins to raw base units as text, the inverse of :func:`wei_to_eth`."""
-    fixed = F.format_string("%s", _col(amount).cast(ETH))
-    plain = F.regexp_replace(fixed, r"\.", "")
-    return F.when(_col(amount) == 0, F.lit("0")).otherwise(F.regexp_replace(plain, "^0+", ""))
+def _shifted(digits: Column) -> Column:
+    """Digits as text, read with the decimal point 18 places from the right."""
+    padded = F.right(F.concat(F.lit("0" * 38), digits), F.lit(38))
+    return F.concat(padded.substr(1, 20), F.lit("."), padded.substr(21, WEI_DIGITS)).try_cast(ETH)
 
 
 def fee_eth(gas_used: Column | str, gas_price: Column | str) -> Column:
     """gas x price in coins; both factors are widened first because the product leaves bigint."""
     product = _col(gas_used).cast("decimal(19,0)") * _col(gas_price).cast("decimal(19,0)")
-    return wei_to_eth(product.cast("decimal(38,0)").cast("string"))
+    return _shifted(product.cast("decimal(38,0)").cast("string"))
 
 
 def token_amount(value: Column | str, decimals: Column | str) -> Column:

@@ -56,6 +56,21 @@ def _partner_counts(amounts: DataFrame, extra: Sequence[str], low: float, high:
     return done.where((F.col("kind") == _READ) & (F.col("partners") > 0)).drop("at", "kind", "delta")
 
 
+def _two_way(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows whose address pair moves the token both ways (``extra`` narrows the pair).
+
+    Most pairs never do, so this keeps the three-rows-per-amount sweep small. The kept pairs are
+    unique: the hot side of the semi join is the row side, which adaptive skew handling splits.
+    """
+    low, high = F.least("sender", "receiver"), F.greatest("sender", "receiver")
+    rows = rows.withColumns({"lo": low, "hi": high})
+    keys = ["token", "lo", "hi", *extra]
+    both = rows.groupBy(*keys).agg(
+        F.bool_or(F.col("sender") == F.col("lo")).alias("up"), F.bool_or(F.col("sender") == F.col("hi")).alias("down")
+    )
+    return rows.join(both.where(F.col("up") & F.col("down")).select(*keys), keys, "left_semi").drop("lo", "hi")
+
+
 def reciprocal_transfers(
     transfers: DataFrame,
     token: str = "token_address",
@@ -80,11 +95,12 @@ def reciprocal_transfers(
         F.col(tx).alias("tx"),
         F.col(amount).cast("double").alias("amount"),
     ).where(F.col("sender").isNotNull() & F.col("receiver").isNotNull())
+    rows = _two_way(rows)
 
     per_tx = rows.groupBy("token", "sender", "receiver", "tx", "amount").agg(F.count(F.lit(1)).alias("n"))
     per_amount = rows.groupBy("token", "sender", "receiver", "amount").agg(F.count(F.lit(1)).alias("n"))
     anywhere = _partner_counts(per_amount, [], low, high)
-    same_tx = _partner_counts(per_tx, ["tx"], low, high)
+    same_tx = _partner_counts(_two_way(per_tx, ["tx"]), ["tx"], low, high)
 
     pairs = (
         anywhere.select("token", (F.col("n") * F.col("partners")).alias("p"))

@@ -177,16 +177,13 @@ def token_popularity_hourly_dense(spark, d):
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS hash, CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 AS exact_eth,
   CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 AS rounded_eth,
-  CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) || '0000000000000000' AS wei,
   round(CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 * 1e9, 0) AS gwei FROM orders""")
 def wei_conversion(spark, d):
     tx = frames.order_transactions(table(spark, d, "orders"))
-    eth = money.wei_to_eth("value")
     return tx.select(
         "hash",
-        eth.alias("exact_eth"),
+        money.wei_to_eth("value").alias("exact_eth"),
         money.wei_to_eth("value", exact=False).alias("rounded_eth"),
-        money.eth_to_wei_text(eth).alias("wei"),
         F.round(money.wei_to_gwei("value"), 0).alias("gwei"),
     )
 

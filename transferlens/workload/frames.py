@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.functions import money, timeparts
+from transferlens.functions import timeparts
 from transferlens.functions.money import ETH
 
 
@@ -43,6 +43,7 @@ def event_transactions(events: DataFrame) -> DataFrame:
         F.when(kind == "view", "0x").otherwise("0xa9059cbb").alias("input"),
         F.when(kind.isin("purchase", "click"), 2).otherwise(0).alias("transaction_type"),
         kind.alias("event_type"),
+        F.round("value", 2).alias("amount"),
     )
 
 
@@ -66,7 +67,7 @@ def event_enriched(events: DataFrame) -> DataFrame:
         "block_timestamp",
         "from_address",
         "to_address",
-        money.wei_to_eth("value").alias("value_eth"),
+        F.col("amount").cast(ETH).alias("value_eth"),
         (F.col("event_type") != "error").alias("is_success"),
         timeparts.unix_date("block_timestamp").alias("dt"),
     )
@@ -112,7 +113,7 @@ def event_flow(events: DataFrame, labels: DataFrame) -> DataFrame:
         F.concat(F.lit("token "), "to_address").alias("token_name"),
         "from_address",
         "to_address",
-        money.token_amount("value", F.lit(18)).alias("amount"),
+        "amount",
     )
     return with_labels(flow, labels)
 
@@ -214,9 +215,6 @@ def swap_flow(events: DataFrame, labels: DataFrame) -> DataFrame:
         F.upper("event_type").alias("symbol"),
         "from_address",
         "to_address",
-        (money.wei_to_eth("value").cast("double")).alias("amount"),
+        "amount",
     )
     return with_labels(rows, labels)
-
-
-ETH_TYPE = ETH

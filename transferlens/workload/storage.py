@@ -57,7 +57,7 @@ def clustered_layout(spark, d):
 def json_scan(spark, d):
     """Transactions written as JSON with quoted integers and read back typed."""
     root = work_folder(spark, "json")
-    rows = frames.event_transactions(table(spark, d, "events")).drop("event_type")
+    rows = frames.event_transactions(table(spark, d, "events")).drop("event_type", "amount")
     rows.withColumns({c: F.col(c).cast("string") for c in ("block_timestamp", "gas_price")}).write.json(root)
     back = files.read_json(spark, root, schemas.TRANSACTIONS)
     return back.select("hash", "from_address", "to_address", "block_timestamp", "value", "gas_price")
