@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens import schemas
-from transferlens.session import stored
 from transferlens.plans import enrich, quality, rollups, whales
+from transferlens.session import stored
 from transferlens.sources.dimensions import read_labels, read_tokens
 from transferlens.sources.files import day_of, read_days, read_json
 from transferlens.sources.sinks import write_days
@@ -61,6 +61,7 @@ def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
             quality.check_whales(silver("whale_txns")),
         ]
     )
+    results = stored(results, "checks")
     if config.enforce:
         quality.enforce(results)
 
