@@ -118,24 +118,22 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def store_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str]) -> DataFrame:
-    """Writes the rows of one micro-batch whose key the table lacks; returns the rows it stored.
+def store_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str]) -> None:
+    """Writes the rows of one micro-batch whose key the table lacks.
 
     Each batch owns the folders ``dt=*/batch=<id>``. A replay overwrites exactly those and does
     not count its own earlier attempt as stored, so replays change nothing. Only the days the
-    batch touches are compared.
+    batch touches are compared. ``batch`` is read twice: persist it if it is costly.
     """
-    spark = batch.sparkSession
     rows = batch.dropDuplicates(list(keys)).withColumn("dt", F.to_date("event_time"))
-    stored = _read_or_none(spark, target)
+    stored = _read_or_none(batch.sparkSession, target)
     if stored is not None:
-        span = rows.agg(F.min("dt").alias("a"), F.max("dt").alias("b")).first()
+        span = batch.agg(F.to_date(F.min("event_time")).alias("a"), F.to_date(F.max("event_time")).alias("b")).first()
         earlier = stored.where((F.col("batch") < batch_id) & F.col("dt").between(span.a, span.b))
         rows = rows.join(earlier.select(*keys), list(keys), "left_anti")
     rows.withColumn("batch", F.lit(batch_id)).write.option("partitionOverwriteMode", "dynamic").partitionBy(
         "dt", "batch"
     ).mode("overwrite").parquet(target)
-    return rows
 
 
 def store_and_alert(
@@ -148,10 +146,15 @@ def store_and_alert(
     so alerts are delivered at least once and never before their rows are stored."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        # alerts come from the batch, not from the newly stored rows: after a failed alert the
-        # replay must send them although their rows are already stored
-        store_batch(batch, batch_id, target, keys)
-        alert_sink(encode(alerts(batch.dropDuplicates(list(keys)), threshold)), batch_id)
+        # read several times below; unpersisted the stream's operators would run each time
+        batch = batch.dropDuplicates(list(keys)).persist()
+        try:
+            store_batch(batch, batch_id, target, keys)
+            # alerts come from the batch, not from the newly stored rows: after a failed alert
+            # the replay must send them although their rows are already stored
+            alert_sink(encode(alerts(batch, threshold)), batch_id)
+        finally:
+            batch.unpersist()
 
     return run
 
