@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,23 +21,24 @@ def with_labels(
     labels: DataFrame,
     sides: Sequence[str] = ("from", "to"),
     missing: str | None = UNKNOWN,
+    extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Adds ``{side}_label`` and ``{side}_category`` for each ``{side}_address``.
 
-    ``labels`` is (address, label_name, label_category), one row per address. The join carries
-    no broadcast hint on purpose: a label set below the session's broadcast threshold is
-    broadcast by its statistics, a larger one is shuffled with adaptive skew splitting.
+    ``labels`` is (address, label_name, label_category), one row per address; ``extra`` carries
+    more of its columns over, as ``{side}_{name}``. The join has no broadcast hint on purpose: a
+    label set below the session's broadcast threshold is broadcast by its statistics, a larger
+    one is shuffled with adaptive skew splitting.
     """
+    carried = {"label_name": "label", "label_category": "category", **(extra or {})}
     for side in sides:
-        name, category = f"{side}_label", f"{side}_category"
+        names = {column: f"{side}_{name}" for column, name in carried.items()}
         dim = labels.select(
-            F.col("address").alias(f"{side}_address"),
-            F.col("label_name").alias(name),
-            F.col("label_category").alias(category),
+            F.col("address").alias(f"{side}_address"), *[F.col(c).alias(n) for c, n in names.items()]
         )
         df = df.join(dim, f"{side}_address", "left")
         if missing is not None:
-            df = df.fillna(missing, [name, category])
+            df = df.fillna(missing, list(names.values()))
     return df
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.operators.running import running_totals
+from transferlens.operators.running import HOT_ROWS, running_totals
 
 
 def value_ranks(
@@ -22,25 +22,32 @@ def value_ranks(
     ascending: str | None = None,
     descending: str | None = None,
     splits: int = 0,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct ``(group, value)`` rows with their rank(s), gaps as in SQL ``rank``.
 
-    ``splits`` is the number of quantile cuts per group. 0 fits values that have few distinct
-    forms per group (counts, scores rounded to four places): those are bounded after counting.
-    The cuts are broadcast: one row of ``splits`` doubles per group, so with ``splits`` the
-    group must be a calendar-sized key such as the day.
+    ``splits`` is the number of quantile cuts for a group of more than ``hot_rows`` distinct
+    values. 0 fits values that have few distinct forms per group (counts, scores rounded to four
+    places): those are bounded after counting. The cuts are broadcast: one row of ``splits``
+    doubles per group, so with ``splits`` the group must be a calendar-sized key such as the day.
     """
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
-    slot = F.lit(0)
+    slot = F.lit(None).cast("int")
     if splits:
         share = [i / (splits + 1) for i in range(1, splits + 1)]
-        cuts = counts.groupBy(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group)]).agg(
-            F.percentile_approx(F.col(value).cast("double"), share, splits * 50).alias("__cuts")
+        cuts = (
+            counts.groupBy(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group)])
+            .agg(
+                F.percentile_approx(F.col(value).cast("double"), share, splits * 50).alias("__cuts"),
+                F.count(F.lit(1)).alias("__values"),
+            )
+            .where(F.col("__values") > hot_rows)
+            .drop("__values")
         )
         on = [F.col(g).eqNullSafe(F.col(f"__c{i}")) for i, g in enumerate(group)]
         counts = counts.join(F.broadcast(cuts), on, "left").select(*group, value, "__n", "__cuts")
         place = F.col(value).cast("double")
-        slot = F.size(F.filter("__cuts", lambda cut: cut < place))
+        slot = F.when(F.col("__cuts").isNotNull(), F.size(F.filter("__cuts", lambda cut: cut < place)))
     done = running_totals(
         counts,
         keys=group,
@@ -48,6 +55,7 @@ def value_ranks(
         slot=slot,
         sums={"__upto": F.col("__n")},
         group_sums={"__all": F.col("__n")},
+        hot_rows=None,
     )
     out = [*group, value]
     if ascending:
@@ -64,6 +72,7 @@ def with_rank(
     ascending: str | None = None,
     descending: str | None = None,
     splits: int = 0,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``df`` plus the ranks of ``value`` within ``group``. Null values get no rank.
 
@@ -71,7 +80,7 @@ def with_rank(
     row side of the join heavy, which adaptive skew-join handling splits.
     """
     named = df.where(F.col(value).isNotNull())
-    ranks = value_ranks(named, group, value, ascending, descending, splits)
+    ranks = value_ranks(named, group, value, ascending, descending, splits, hot_rows)
     renamed = ranks.select(
         *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
         F.col(value).alias("__v"),

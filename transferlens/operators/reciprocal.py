@@ -14,13 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.operators.running import running_totals
+from transferlens.operators.running import HOT_ROWS, running_totals
 
 _OPEN, _READ, _CLOSE = 0, 1, 2
 _SLOTS_PER_OCTAVE = 1024
 
 
-def _partner_counts(amounts: DataFrame, extra: Sequence[str], low: float, high: float) -> DataFrame:
+def _partner_counts(amounts: DataFrame, extra: Sequence[str], low: float, high: float, hot_rows: int) -> DataFrame:
     """Per (token, sender, receiver, *extra, amount): partners among the opposite transfers."""
     amount, n = F.col("amount"), F.col("n")
 
@@ -52,6 +52,7 @@ def _partner_counts(amounts: DataFrame, extra: Sequence[str], low: float, high:
         order_by=["at", "kind"],
         slot=slot,
         sums={"partners": F.col("delta")},
+        hot_rows=hot_rows,
     )
     return done.where((F.col("kind") == _READ) & (F.col("partners") > 0)).drop("at", "kind", "delta")
 
@@ -80,6 +81,7 @@ def reciprocal_transfers(
     tx: str = "transaction_hash",
     low: float = 0.8,
     high: float = 1.2,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Two frames: partner pairs per token, and transfers that have a partner.
 
@@ -99,8 +101,8 @@ def reciprocal_transfers(
 
     per_tx = rows.groupBy("token", "sender", "receiver", "tx", "amount").agg(F.count(F.lit(1)).alias("n"))
     per_amount = rows.groupBy("token", "sender", "receiver", "amount").agg(F.count(F.lit(1)).alias("n"))
-    anywhere = _partner_counts(per_amount, [], low, high)
-    same_tx = _partner_counts(_two_way(per_tx, ["tx"]), ["tx"], low, high)
+    anywhere = _partner_counts(per_amount, [], low, high, hot_rows)
+    same_tx = _partner_counts(_two_way(per_tx, ["tx"]), ["tx"], low, high, hot_rows)
 
     pairs = (
         anywhere.select("token", (F.col("n") * F.col("partners")).alias("p"))

@@ -45,9 +45,16 @@ def whale_transactions(
         sums={"cumul_sent_eth": F.col("value_eth"), "cumul_tx_count": F.col("hash").isNotNull().cast("long")},
     )
     moved = running_totals(
-        moved, keys=["to_address", "dt"], order_by=order, slot=slot, sums={"cumul_recv_eth": F.col("value_eth")}
+        moved,
+        keys=["to_address", "dt"],
+        order_by=order,
+        slot=slot,
+        sums={"cumul_recv_eth": F.col("value_eth")},
+        source=large,
     )
-    named = with_labels(moved, labels)
+    # brands are cut out once per label, not once per transfer
+    branded = labels.withColumn("label_entity", classify.entity("label_name", strict_entity))
+    named = with_labels(moved, branded, extra={"label_entity": "entity"})
     return named.select(
         "hash",
         "block_timestamp",
@@ -55,11 +62,11 @@ def whale_transactions(
         "dt",
         "from_address",
         "from_label",
-        classify.entity("from_label", strict_entity).alias("from_entity"),
+        "from_entity",
         "from_category",
         "to_address",
         "to_label",
-        classify.entity("to_label", strict_entity).alias("to_entity"),
+        "to_entity",
         "to_category",
         "value_eth",
         "cumul_sent_eth",
