@@ -9,7 +9,7 @@ is that count. Work grows with rows, not with pairs, and equal amounts collapse
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,13 +82,15 @@ def reciprocal_transfers(
     low: float = 0.8,
     high: float = 1.2,
     hot_rows: int = HOT_ROWS,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two frames: partner pairs per token, and transfers that have a partner.
 
     A partner moves the same token the opposite way in another transaction, with
     ``low x its amount <= amount <= high x its amount``. The first frame is
     ``(token, pairs)``; the second ``(tx, token, sender, receiver, amount, partners)`` with one
-    row per distinct transfer of a transaction.
+    row per distinct transfer of a transaction. Both read the rows of two-way pairs several
+    times; ``keep`` (see ``session.stored``) stores those few once.
     """
     rows = transfers.select(
         F.col(token).alias("token"),
@@ -98,6 +100,8 @@ def reciprocal_transfers(
         F.col(amount).cast("double").alias("amount"),
     ).where(F.col("sender").isNotNull() & F.col("receiver").isNotNull())
     rows = _two_way(rows)
+    if keep is not None:
+        rows = keep(rows, "two-way-transfers")
 
     per_tx = rows.groupBy("token", "sender", "receiver", "tx", "amount").agg(F.count(F.lit(1)).alias("n"))
     per_amount = rows.groupBy("token", "sender", "receiver", "amount").agg(F.count(F.lit(1)).alias("n"))

@@ -57,7 +57,7 @@ def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
     results = quality.all_checks(
         [
             quality.check_enriched(silver("txn_enriched"), bronze["transactions"]),
-            quality.check_flow(silver("token_flow"), bronze["token_transfers"], tokens),
+            quality.check_flow(silver("token_flow"), bronze["token_transfers"], tokens, keep=stored),
             quality.check_whales(silver("whale_txns")),
         ]
     )

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -127,9 +127,12 @@ def private_flow(flow: DataFrame) -> DataFrame:
     return flow.where((F.col("from_category") != "DEX") & (F.col("to_category") != "DEX"))
 
 
-def wash_summary(flow: DataFrame) -> DataFrame:
+Keep = Callable[[DataFrame, str], DataFrame] | None
+
+
+def wash_summary(flow: DataFrame, keep: Keep = None) -> DataFrame:
     """One row: transactions with a reciprocal partner among non-DEX transfers, and all pairs."""
-    pairs, matched = reciprocal_transfers(private_flow(flow))
+    pairs, matched = reciprocal_transfers(private_flow(flow), keep=keep)
     return _side_by_side(
         [
             matched.select("tx").distinct().agg(F.count(F.lit(1)).alias("wash_transactions")),
@@ -138,9 +141,9 @@ def wash_summary(flow: DataFrame) -> DataFrame:
     )
 
 
-def wash_by_symbol(flow: DataFrame, n: int = 5) -> DataFrame:
+def wash_by_symbol(flow: DataFrame, n: int = 5, keep: Keep = None) -> DataFrame:
     """Symbols with most reciprocal pairs. The symbol belongs to the token, so it joins to counts."""
-    pairs, _ = reciprocal_transfers(private_flow(flow))
+    pairs, _ = reciprocal_transfers(private_flow(flow), keep=keep)
     symbols = flow.groupBy(F.col("token_address").alias("token")).agg(F.max("symbol").alias("symbol"))
     totals = pairs.join(symbols, "token").groupBy("symbol").agg(F.sum("pairs").alias("pairs"))
     return top(totals, [F.desc("pairs"), F.asc("symbol")], n)
@@ -168,11 +171,15 @@ def dex_share(flow: DataFrame, n: int = 3) -> DataFrame:
 
 
 def check_flow(
-    flow: DataFrame, transfers: DataFrame, tokens: DataFrame, rules: Sequence[Rule] = FLOW_RULES
+    flow: DataFrame,
+    transfers: DataFrame,
+    tokens: DataFrame,
+    rules: Sequence[Rule] = FLOW_RULES,
+    keep: Keep = None,
 ) -> DataFrame:
     """Retention counts against the transfers of tracked tokens, the rows the flow should hold."""
     tracked = transfers.join(tokens.select("token_address"), "token_address", "left_semi")
-    measures = _side_by_side([flow_report(flow), retention(flow, tracked), wash_summary(flow)])
+    measures = _side_by_side([flow_report(flow), retention(flow, tracked), wash_summary(flow, keep)])
     ratio = F.col("wash_transactions") / F.when(F.col("row_count") > 0, F.col("row_count"))
     return apply_rules(measures.withColumn("wash_ratio", F.coalesce(ratio, F.lit(0.0))), "token_flow", rules)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from transferlens.operators import stats
 from transferlens.operators.reciprocal import reciprocal_transfers
 from transferlens.plans import extract, quality
+from transferlens.session import stored
 from transferlens.workload import frames, sql
 from transferlens.workload.batch import enriched_frame, event_flow, line_flow, whale_frame
 from transferlens.workload.catalog import query
@@ -84,17 +85,17 @@ def _swaps(spark, d):
 FROM (SELECT tx, token, f, t, amount, count(*) / (SELECT count(*) FROM private p WHERE p.tx = pairs.tx AND p.token = pairs.token
   AND p.f = pairs.f AND p.t = pairs.t AND p.amount = pairs.amount) AS n FROM pairs GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4, 5""")
 def wash_trades(spark, d):
-    return reciprocal_transfers(quality.private_flow(_swaps(spark, d)))[1]
+    return reciprocal_transfers(quality.private_flow(_swaps(spark, d)), keep=stored)[1]
 
 
 @query(f"{_WASH} SELECT CAST(count(DISTINCT tx) AS BIGINT) AS wash_transactions, CAST(count(*) AS BIGINT) AS wash_pairs FROM pairs")
 def wash_summary(spark, d):
-    return quality.wash_summary(_swaps(spark, d))
+    return quality.wash_summary(_swaps(spark, d), keep=stored)
 
 
 @query(f"{_WASH} SELECT symbol, CAST(count(*) AS BIGINT) AS pairs FROM pairs GROUP BY 1 ORDER BY pairs DESC, symbol LIMIT 5")
 def wash_by_symbol(spark, d):
-    return quality.wash_by_symbol(_swaps(spark, d))
+    return quality.wash_by_symbol(_swaps(spark, d), keep=stored)
 
 
 _FLOW_REPORT = """SELECT count(*) AS row_count, count(DISTINCT token) AS active_tokens,
@@ -121,7 +122,8 @@ _LINE_WASH = """w AS (
     (SELECT n FROM w) / row_count AS wash_ratio FROM ({_FLOW_REPORT}))"""))
 def quality_gate_flow(spark, d):
     lineitem, orders, part = (table(spark, d, n) for n in ("lineitem", "orders", "part"))
-    return quality.check_flow(line_flow(spark, d), frames.line_transfers(lineitem, orders, part), frames.tokens(part))
+    flow = stored(line_flow(spark, d), "token-flow")
+    return quality.check_flow(flow, frames.line_transfers(lineitem, orders, part), frames.tokens(part), keep=stored)
 
 
 @query(f"WITH {sql.LINE_FLOW} SELECT symbol, round(sum(amount), 4) AS volume FROM flow WHERE symbol <> 'UNKNOWN' GROUP BY 1 ORDER BY volume DESC, symbol LIMIT 5")
