@@ -52,9 +52,7 @@ def top(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0) -> Data
 
 
 def share_of(df: DataFrame, by: str, share: str = "share_pct", count: str = "n") -> DataFrame:
-    """Rows per value of ``by`` and their percentage of all rows."""
-    from pyspark.sql import Window
-
+    """Rows per value of ``by`` and their percentage of all rows (a scalar subquery)."""
+    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias(count))
-    total = F.sum(count).over(Window.partitionBy(F.lit(0)))
     return counts.withColumn(share, F.round(F.col(count) * 100.0 / total, 2))

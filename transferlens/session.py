@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # stream state on disk and in the checkpoint folder instead of on the executors' heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -36,7 +40,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
     Only a session without that setting (a local test) gets a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     root = shared or tempfile.mkdtemp(prefix="transferlens-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

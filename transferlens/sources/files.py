@@ -78,16 +78,19 @@ def read_days(
     return df.where(F.col("dt") == F.lit(day_of(day)).cast("date")) if day else df
 
 
-def file_sizes(df: DataFrame) -> DataFrame:
-    """One row per non-empty file behind ``df``: path and bytes."""
-    meta = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
-    return meta.distinct()
+def _listing(spark: SparkSession, root: str) -> DataFrame:
+    # only names and lengths are selected below, so no file is opened
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
 
 
-def empty_files(df: DataFrame) -> DataFrame:
-    """Files listed for ``df`` that hold no row at all (zero bytes yield no row to read)."""
-    spark = df.sparkSession
-    listed = spark.createDataFrame([(p,) for p in df.inputFiles()], "path string")
+def file_sizes(spark: SparkSession, root: str) -> DataFrame:
+    """One row per non-empty file under ``root``: path and bytes."""
+    return _listing(spark, root).select("path", F.col("length").alias("bytes"))
+
+
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of zero bytes under ``root``: listed, but without a row of their own."""
+    listed = spark.createDataFrame([(p,) for p in _listing(spark, root).inputFiles()], "path string")
     # a local path is written with one slash or with three
     same = F.regexp_replace("path", ":/+", ":/").alias("path")
-    return listed.select(same).join(file_sizes(df).select(same), "path", "left_anti")
+    return listed.select(same).join(file_sizes(spark, root).select(same), "path", "left_anti")

@@ -51,11 +51,11 @@ def write_clustered(
     )
 
 
-def saved_bytes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Bytes of two stored tables and the percentage saved."""
+def saved_bytes(spark: SparkSession, before: str, after: str) -> DataFrame:
+    """Bytes under two table folders and the percentage saved."""
 
-    tagged = file_sizes(before).withColumn("old", F.lit(True)).unionByName(
-        file_sizes(after).withColumn("old", F.lit(False))
+    tagged = file_sizes(spark, before).withColumn("old", F.lit(True)).unionByName(
+        file_sizes(spark, after).withColumn("old", F.lit(False))
     )
 
     def total(old: bool):

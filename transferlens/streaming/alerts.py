@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +12,20 @@ from transferlens.sources.files import CORRUPT
 from transferlens.streaming.messages import once
 
 
+def _iso(time: str) -> Column:
+    """ISO 8601 with offset; a fraction only where there is one, so texts sort like times."""
+    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ssxxx")
+    return F.when(F.unix_micros(time) % 1_000_000 == 0, whole).otherwise(
+        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    )
+
+
 def alerts(transactions: DataFrame, threshold: float = 100) -> DataFrame:
     """Rows at or above the threshold, in the alert's shape. Missing outcomes do not matter here."""
     large = transactions.where(money.at_least_eth("value", threshold))
     return large.select(
         "hash",
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("timestamp"),
+        _iso("event_time").alias("timestamp"),
         "from_address",
         "to_address",
         "value",

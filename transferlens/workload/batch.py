@@ -191,6 +191,7 @@ def wei_conversion(spark, d):
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS hash,
   CASE WHEN p >= 1e9 THEN printf('%.2f', p / 1e9) || ' B' WHEN p >= 1e6 THEN printf('%.2f', p / 1e6) || ' M'
        WHEN p >= 1e3 THEN printf('%.2f', p / 1e3) || ' K' ELSE printf('%.2f', p) END AS volume,
+  CASE WHEN o_totalprice >= 1e3 THEN printf('%.1f', (round(o_totalprice) + 0.0625) / 1e3) || 'K' ELSE printf('%.2f', round(o_totalprice) + 0.0625) END AS eth,
   substr(lpad(CAST(o_custkey AS VARCHAR), 42, 'a'), 1, 6) || '…' || right(lpad(CAST(o_custkey AS VARCHAR), 42, 'a'), 4) AS short,
   CASE WHEN age < 60 THEN 'Just now' WHEN age < 3600 THEN CAST(age // 60 AS VARCHAR) || 'm ago'
        ELSE CAST(age // 3600 AS VARCHAR) || 'h ago' END AS age
@@ -202,6 +203,7 @@ def display_texts(spark, d):
     return orders.select(
         F.col("o_orderkey").cast("string").alias("hash"),
         display.volume_text(F.round("o_totalprice") + 0.25).alias("volume"),
+        display.eth_text(F.round("o_totalprice") + 0.0625).alias("eth"),
         display.short_address(F.lpad(F.col("o_custkey").cast("string"), 42, "a")).alias("short"),
         display.age_text(timeparts.to_unix("o_orderdate"), 1_100_000_000).alias("age"),
     )

@@ -9,6 +9,7 @@ from transferlens.operators import stats
 from transferlens.operators.reciprocal import reciprocal_transfers
 from transferlens.plans import extract, quality
 from transferlens.session import stored
+from transferlens.sources.files import empty_files, file_sizes
 from transferlens.workload import frames, sql
 from transferlens.workload.batch import enriched_frame, event_flow, line_flow, whale_frame
 from transferlens.workload.catalog import query
@@ -179,9 +180,7 @@ def largest_transfers(spark, d):
     0 AS empty_files FROM tx)"""))
 def quality_gate_bronze(spark, d):
     events = table(spark, d, "events")
-    from transferlens.sources.files import empty_files
-
-    return quality.check_bronze(frames.event_transactions(events), frames.event_receipts(events), 100, empty_files(events))
+    return quality.check_bronze(frames.event_transactions(events), frames.event_receipts(events), 100, empty_files(spark, f"{d}/events.parquet"))
 
 
 _DAY = "CAST(floor(epoch({0}) / 86400) AS BIGINT)"
@@ -266,9 +265,7 @@ def request_log_tags(spark, d):
   CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS receipt_count, CAST(count(*) FILTER (c >= 10000) * 15 AS BIGINT) AS compute_units FROM tx""")
 def run_summary(spark, d):
     events = table(spark, d, "events")
-    from transferlens.sources.files import file_sizes
-
     tx = frames.event_transactions(events)
     blocks = tx.groupBy(F.col("block_number").alias("number")).agg(F.count(F.lit(1)).alias("transaction_count"))
-    summary = extract.run_summary(blocks, tx, frames.event_receipts(events), file_sizes(events))
+    summary = extract.run_summary(blocks, tx, frames.event_receipts(events), file_sizes(spark, f"{d}/events.parquet"))
     return summary.drop("total_bytes", "total_mb", "monthly_storage_usd")
