@@ -31,23 +31,28 @@ def value_ranks(
     places): those are bounded after counting. The cuts are broadcast: one row of ``splits``
     doubles per group, so with ``splits`` the group must be a calendar-sized key such as the day.
     """
-    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    # the double is an output of the aggregate, so it is converted once and not once per cut below
+    counts = df.groupBy(*group, value).agg(
+        F.count(F.lit(1)).alias("__n"), F.max(F.col(value).cast("double")).alias("__place")
+    )
     slot = F.lit(None).cast("int")
     if splits:
         share = [i / (splits + 1) for i in range(1, splits + 1)]
         cuts = (
             counts.groupBy(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group)])
             .agg(
-                F.percentile_approx(F.col(value).cast("double"), share, splits * 50).alias("__cuts"),
+                F.percentile_approx("__place", share, splits * 50).alias("__cuts"),
                 F.count(F.lit(1)).alias("__values"),
             )
             .where(F.col("__values") > hot_rows)
             .drop("__values")
         )
         on = [F.col(g).eqNullSafe(F.col(f"__c{i}")) for i, g in enumerate(group)]
-        counts = counts.join(F.broadcast(cuts), on, "left").select(*group, value, "__n", "__cuts")
-        place = F.col(value).cast("double")
-        slot = F.when(F.col("__cuts").isNotNull(), F.size(F.filter("__cuts", lambda cut: cut < place)))
+        counts = counts.join(F.broadcast(cuts), on, "left").select(
+            *group, value, "__n", "__place", "__cuts"
+        )
+        below = F.filter("__cuts", lambda cut: cut < F.col("__place"))
+        slot = F.when(F.col("__cuts").isNotNull(), F.size(below))
     done = running_totals(
         counts,
         keys=group,

@@ -41,8 +41,11 @@ def _amount(name: str) -> Column:
 
 
 def once(parsed: Column) -> Column:
-    """``parsed`` as a generator of one row. Later filters on its fields stay above it; folded
-    into the scan they would parse the message once per field they look at."""
+    """``parsed`` as a generator of one row.
+
+    Later filters on its fields stay above it; pushed below they would parse the message once
+    per field they look at.
+    """
     return F.explode(F.array(parsed))
 
 

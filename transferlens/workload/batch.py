@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.functions import classify, display, money
+from transferlens.functions import display, money
 from transferlens.plans import enrich, rollups, whales
 from transferlens.session import stored
 from transferlens.workload import frames, sql
