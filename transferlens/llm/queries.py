@@ -49,7 +49,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 
 @query(rf"""WITH d AS (SELECT doc_id, {_WORDS} AS t FROM documents), i AS (SELECT item_id, {_WORDS} AS t FROM benchmark),
@@ -57,7 +57,7 @@ dp AS (SELECT doc_id, p, t[p + 1] AS a, t[p + 4] AS b, t[p + 7] AS c, t[p + 10]
 ip AS (SELECT item_id, p AS q, t[p + 1] AS a, t[p + 4] AS b, t[p + 7] AS c, t[p + 10] AS e FROM (SELECT item_id, t, unnest(range(len(t) - 9)) AS p FROM i WHERE len(t) >= 10)),
 hits AS (SELECT DISTINCT doc_id, item_id, p, q FROM dp JOIN ip USING (a, b, c, e)),
 w AS (SELECT DISTINCT doc_id, item_id, p - back AS p, q - back AS q FROM hits, range(3) AS r(back)),
-v AS (SELECT doc_id, item_id, p, len(list_filter(range(1, 13), k -> d.t[p + k] = i.t[q + k])) AS equal FROM w JOIN d USING (doc_id) JOIN i USING (item_id)
+v AS (SELECT doc_id, item_id, p, len(list_filter(range(1, 13), lambda k: d.t[p + k] = i.t[q + k])) AS equal FROM w JOIN d USING (doc_id) JOIN i USING (item_id)
       WHERE p >= 0 AND q >= 0 AND p + 12 <= len(d.t) AND q + 12 <= len(i.t)),
 g AS (SELECT doc_id, item_id, count(DISTINCT (p, equal)) AS n, min(p) AS p, max(equal) AS equal FROM v WHERE equal >= 10 GROUP BY 1, 2)
 SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids, CAST(sum(n) AS BIGINT) AS n_windows,
