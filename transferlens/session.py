@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,13 +37,38 @@ def local_session(cores: int | str = "*", name: str = "transferlens", **extra: s
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``; it goes when the application ends.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a session on one machine (``local[...]``, as in tests) may do without that setting: it gets a temporary folder. On a
+    cluster each executor would write its own disk, so a missing setting is an error there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = shared or tempfile.mkdtemp(prefix="transferlens-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not (context.master or "").startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _local_folder()
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _delete_at_end(spark, path)
+    return path
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="transferlens-")
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Results are lazy, so a working folder is needed until its readers are done; the file system drops it at the end."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a working folder whose readers are done."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
