@@ -56,7 +56,7 @@ def test_overlaps_equal_brute_force(spark):
     frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute(docs, items)
-    for limit in (D.BROADCAST, 0):  # broadcast and shuffled
+    for limit in (D.BROADCAST, -1):  # broadcast and shuffled
         D.BROADCAST, before = limit, D.BROADCAST
         try:
             rows = D.overlaps(frame, bench).collect()

@@ -9,9 +9,9 @@ The first mask has period 3: whatever two tokens of a window are substituted, on
 avoids both, so every overlap of ``WINDOW`` tokens with at most two substitutions is found. The second mask adds overlaps whose
 substitutions are bunched.
 
-Only positions leave a document, not texts: the tokens' hashes are laid side by side by ``arrays_zip``, and the join sees
-narrow rows. The benchmark's hashes are broadcast only up to ``BROADCAST`` of them, counted first; beyond that both sides are shuffled.
-Documents with hits are read a second time to verify.
+One pass over the documents does it all: the tokens' hashes are laid side by side by ``arrays_zip``, so each row that meets the
+benchmark carries its surroundings and is verified where it is. No text is shuffled. The benchmark's hashes are broadcast only up
+to ``BROADCAST`` of them, counted first; beyond that both sides are shuffled.
 
 Defined cases: null and empty texts and texts of fewer tokens than a window have no overlap and are kept; so do benchmark items
 of fewer tokens than a mask, and items shorter than a window are windows themselves. Tokens are lower-cased runs without ASCII
@@ -32,8 +32,11 @@ MASKS = ((0, 3, 6, 9), (0, 1, 4, 8, 9))
 SPAN = 10
 WINDOW = 12
 LEAST = 10
-#: Benchmark hashes up to which they are broadcast (about 40 bytes each).
-BROADCAST = 1_000_000
+#: Benchmark hashes up to which they are broadcast (about 160 bytes each), and found documents (about 40 bytes each).
+BROADCAST = 250_000
+BROADCAST_FOUND = 1_000_000
+#: Places around a hit that its windows reach.
+LANES = range(SPAN - WINDOW, WINDOW)
 
 
 def tokens(text: Column) -> Column:
@@ -42,15 +45,19 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(df: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """(keys, at, mask, hash): every placement of every mask; ``df`` has the token hashes in ``tokens``."""
-    places = sorted({p for mask in MASKS for p in mask})
-    n = F.greatest(F.size("tokens") - (SPAN - 1), F.lit(0))
-    lanes = F.arrays_zip(*[F.slice("tokens", p + 1, n).alias(f"t{p}") for p in places])
-    rows = df.filter(F.size("tokens") >= SPAN).select(*keys, F.posexplode(lanes).alias(at, "lane"))
-    rows = rows.select(*keys, at, "lane.*")
-    hashes = [F.struct(F.lit(m).alias("mask"), F.xxhash64(F.lit(m), *[f"t{p}" for p in mask]).alias("hash")) for m, mask in enumerate(MASKS)]
-    return rows.select(*keys, at, F.inline(F.array(*hashes)))
+def _lane(place: int) -> str:
+    return f"t{place}".replace("-", "m")
+
+
+def _seeds(df: DataFrame, keys: list[str], at: str, size: str) -> DataFrame:
+    """(keys, size, at, lanes, mask, hash): every placement of every mask, with the tokens around it (null beyond the ends)."""
+    gap = F.array_repeat(F.lit(None).cast("long"), WINDOW - SPAN)
+    n = F.size("tokens") - (SPAN - 1)
+    padded = df.filter(F.size("tokens") >= SPAN).select(*keys, n.alias("n"), F.concat(gap, "tokens", gap).alias("padded"))
+    lanes = F.arrays_zip(*[F.slice("padded", k + 1, F.col("n")).alias(_lane(place)) for k, place in enumerate(LANES)])
+    rows = padded.select(*keys, (F.col("n") + SPAN - 1).alias(size), F.posexplode(lanes).alias(at, "lane")).select(*keys, size, at, "lane.*")
+    hashes = [F.struct(F.lit(m).alias("mask"), F.xxhash64(F.lit(m), *[_lane(p) for p in mask]).alias("hash")) for m, mask in enumerate(MASKS)]
+    return rows.select("*", F.inline(F.array(*hashes)))
 
 
 def overlaps(
@@ -61,46 +68,32 @@ def overlaps(
     ``matched_tokens`` is the largest number of equal tokens in a window, ``first_token`` the first place in the document.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("tokens"))
-    items = stored(items.filter(F.size("tokens") >= SPAN), "decontamination-items")
-    seeds = stored(_seeds(items, ["item_id"], "q"), "decontamination-seeds")
+    seeds = _seeds(items, ["item_id"], "q", "m")
+    seeds = stored(seeds.withColumnsRenamed({_lane(p): f"i_{_lane(p)}" for p in LANES}), "decontamination-seeds")
     small = seeds.count() <= BROADCAST
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), F.col(text).alias("text"))
-    runs = _seeds(texts.select("doc_id", "text_hash", tokens(F.col("text")).alias("tokens")), ["doc_id", "text_hash"], "p")
-    # a diagonal p - q and the hit's place on it; one row per hit
-    hits = runs.join(F.broadcast(seeds) if small else seeds, ["mask", "hash"]).select("doc_id", "text_hash", "item_id", "p", "q").distinct()
-    hits = stored(hits, "decontamination-hits")
-    per_doc = hits.groupBy("doc_id", "text_hash", "item_id").agg(F.collect_list(F.struct("p", "q")).alias("hits"))
-    per_doc = per_doc.join(F.broadcast(items) if small else items, "item_id").withColumnRenamed("tokens", "item")
-    wanted = hits.select("doc_id", "text_hash").distinct()
-    found = texts.join(wanted, [texts.doc_id.eqNullSafe(wanted.doc_id), texts.text_hash == wanted.text_hash], "left_semi")
-    found = found.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", tokens(F.col("text")).alias("tokens"))
-    both = per_doc.join(found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"}), [F.col("doc_id").eqNullSafe(F.col("d")), F.col("text_hash") == F.col("h")])
-    windows = F.flatten(F.transform("hits", lambda hit: _windows(hit["p"], hit["q"])))
-    good = both.select("doc_id", "text_hash", "item_id", F.array_distinct(F.filter(windows, lambda w: w["equal"] >= w["least"])).alias("good"))
-    return good.filter(F.size("good") > 0).select(
-        "doc_id",
-        "text_hash",
-        "item_id",
-        F.size("good").cast("long").alias("n_windows"),
-        F.array_min(F.transform("good", lambda w: w["p"])).cast("long").alias("first_token"),
-        F.array_max(F.transform("good", lambda w: w["equal"])).cast("long").alias("matched_tokens"),
+    texts = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), tokens(F.col(text)).alias("tokens")
+    )
+    runs = _seeds(texts, ["doc_id", "text_hash"], "p", "n")
+    hits = runs.join(F.broadcast(seeds) if small else seeds, ["mask", "hash"])
+    windows = F.filter(F.array(*[_window(back) for back in range(WINDOW - SPAN + 1)]), lambda w: w["equal"] >= w["least"])
+    good = hits.select("doc_id", "text_hash", "item_id", F.inline(windows)).select("doc_id", "text_hash", "item_id", "at", "equal").distinct()
+    return good.groupBy("doc_id", "text_hash", "item_id").agg(
+        F.count("*").alias("n_windows"), F.min("at").cast("long").alias("first_token"), F.max("equal").cast("long").alias("matched_tokens")
     )
 
 
-def _windows(p: Column, q: Column) -> Column:
-    """Windows on the hit's diagonal that hold the hit: their start, length and number of equal tokens."""
-    n, m = F.size("tokens"), F.size("item")
-    length = F.least(F.lit(WINDOW), m)
-
-    def window(back: Column) -> Column:
-        a, b = p - back, q - back
-        inside = (a >= 0) & (b >= 0) & (a + length <= n) & (b + length <= m)
-        pairs = F.zip_with(F.slice("tokens", a + 1, length), F.slice("item", b + 1, length), lambda x, y: (x == y).cast("int"))
-        equal = F.when(inside, F.aggregate(pairs, F.lit(0), lambda s, x: s + x)).otherwise(F.lit(-1))
-        least = F.when(length == WINDOW, F.lit(LEAST)).otherwise(F.ceil(length * (LEAST / WINDOW)).cast("int"))
-        return F.struct(a.alias("p"), equal.alias("equal"), least.alias("least"))
-
-    return F.transform(F.sequence(F.lit(0), F.greatest(length - SPAN, F.lit(0))), window)
+def _window(back: int) -> Column:
+    """The window that begins ``back`` places before the hit: its start in the document, equal tokens, and how many it needs."""
+    start, begin = F.col("p") - back, F.col("q") - back
+    length = F.least(F.lit(WINDOW), F.col("m"))
+    inside = (start >= 0) & (begin >= 0) & (start + length <= F.col("n")) & (begin + length <= F.col("m"))
+    equal = F.lit(0)
+    for k in range(WINDOW):
+        lane = _lane(k - back)
+        equal = equal + F.when((F.lit(k) < length) & (F.col(lane) == F.col(f"i_{lane}")), 1).otherwise(0)
+    least = F.when(length == WINDOW, F.lit(LEAST)).otherwise(F.ceil(length * (LEAST / WINDOW)).cast("int"))
+    return F.struct(start.alias("at"), F.when(inside, equal).otherwise(F.lit(-1)).alias("equal"), least.alias("least"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
@@ -122,5 +115,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text
     bad = contaminated(docs, benchmark, doc_id=doc_id, text=text, **names).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")
     )
+    bad = stored(bad, "decontamination-found")
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_FOUND else bad
     same = F.col(doc_id).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_bad_hash"))
     return docs.join(bad, same, "left_anti")

@@ -233,11 +233,14 @@ def _features(kind: str, votes: tuple[int, ...], kinds: list[str]) -> list[float
     return [1.0, *(float(kind == k) for k in kinds), *(float(v == 1) for v in votes), *(float(v == -1) for v in votes)]
 
 
-def train(counts: dict[tuple[str, tuple[int, ...]], int], belief: dict[tuple[str, tuple[int, ...]], float], rounds: int = 400) -> tuple[list[str], list[float]]:
-    """The span classifier: weights of a ridge logistic model fitted to the soft labels, by gradient steps on pattern counts."""
+def train(counts: dict[tuple[str, tuple[int, ...]], int], belief: dict[tuple[str, tuple[int, ...]], float], rounds: int = 1500) -> tuple[list[str], list[float]]:
+    """The span classifier: weights of a ridge logistic model fitted to the soft labels, by gradient steps on pattern counts.
+
+    Every kind weighs the same, however many candidates it has.
+    """
     kinds = sorted({k for k, _ in counts})
-    total = sum(counts.values()) or 1
-    rows = [(_features(k, v, kinds), belief[k, v], math.sqrt(n / total)) for (k, v), n in counts.items()]
+    total = {kind: sum(n for (k, _), n in counts.items() if k == kind) for kind in kinds}
+    rows = [(_features(k, v, kinds), belief[k, v], n / total[k]) for (k, v), n in counts.items()]
     weights = [0.0] * (1 + len(kinds) + 2 * len(VOTERS))
     scale = sum(w for _, _, w in rows) or 1.0
     for _ in range(rounds):
@@ -301,8 +304,15 @@ def per_document(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     return found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(one)).alias("spans"))
 
 
+#: Documents with spans up to which they are broadcast (a few hundred bytes each).
+BROADCAST = 100_000
+
+
 def _with_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``_spans``, null for those without. Texts are shuffled only if too many have spans to be broadcast."""
     found = per_document(docs, doc_id=doc_id, text=text).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "spans": "_spans"})
+    found = stored(found, "pii-found")
+    found = F.broadcast(found) if found.count() <= BROADCAST else found
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_hash"))
     return docs.join(found, same, "left").drop("_id", "_hash")
 
@@ -319,8 +329,10 @@ def joined(spans: Column) -> Column:
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: counts of the base spans, the digest of their places, and all spans as text."""
     none = F.from_json(F.lit("[]"), "array<struct<start:bigint,rank:int,kind:string,end:bigint,base:boolean>>")
-    rows = _with_spans(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    rows = rows.select("doc_id", F.coalesce("_spans", none).alias("all"))
+    found = per_document(docs, doc_id=doc_id, text=text).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "spans": "_spans"})
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    rows = rows.join(found, same, "left").select("doc_id", F.coalesce("_spans", none).alias("all"))
     base = F.filter("all", lambda s: s["base"])
     kinds = F.transform(base, lambda s: s["kind"])
     counts = [F.size(F.filter(kinds, _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]

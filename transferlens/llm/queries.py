@@ -32,8 +32,9 @@ def query(check: str | None = None) -> Callable[[Query], Query]:
 
 
 def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
-    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id", "toxic"), "doc_id")
-    return toxicity.train(labelled.filter(~held_out(F.col("doc_id"), 4)))
+    """Of the labelled rows of the given tables that are not held out."""
+    learn = table(spark, folder, "documents").filter(~held_out(F.col("doc_id"), 4))
+    return toxicity.train(learn, table(spark, folder, "labels").select("doc_id", "toxic"))
 
 
 @query()
