@@ -23,11 +23,12 @@ Repeated rows are scored and counted each. Rows without an id belong to the lear
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,13 +38,13 @@ from transferlens.llm.common import words_of
 from transferlens.session import stored
 
 DEPTH = 6
-LEAST_SHARE = 2e-6
+LEAST_SHARE = 4e-6
 WORD_SHARE = 2e-7
 END = b"\n"
 #: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
-_CHUNK = 1 << 22
-_FLUSH = 1 << 22
-_WORDS = 1 << 18
+_CHUNK = 1 << 21
+_FLUSH = 1 << 20
+_WORDS = 1 << 17
 #: Hash of the end token; words hash to something else.
 END_HASH = 0
 
@@ -117,10 +118,17 @@ def kept(grams: np.ndarray, counts: np.ndarray, floor: int) -> np.ndarray:
     return np.repeat(totals >= floor, np.diff(np.append(first, len(grams))))
 
 
+_SMALL = 1 << 12
+_TABLE = np.array([0.0, *(math.lgamma(v / 2) for v in range(1, _SMALL))])
+
+
 def _log_gamma(doubled: np.ndarray) -> np.ndarray:
-    """log of gamma at half of each whole number."""
-    own, inverse = np.unique(doubled, return_inverse=True)
-    return np.array([math.lgamma(v / 2) for v in own.tolist()])[inverse]
+    """log of gamma at half of each whole number: from a table, and by Stirling's series beyond it."""
+    out = _TABLE[np.minimum(doubled, _SMALL - 1)]
+    large = np.flatnonzero(doubled >= _SMALL)
+    x = doubled[large] / 2
+    out[large] = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3)
+    return out
 
 
 def _block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -159,25 +167,29 @@ def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
         children[d] = np.bincount(above[d], weights=weighted, minlength=size) + _block(np.maximum(rest[0], 0), np.maximum(rest[1], 0))
         extended = np.bincount(above[d], minlength=size) > 0
         weighted = np.where(extended, np.logaddexp(blocks[d], children[d]) - math.log(2), blocks[d])
+    del weighted
     levels, share, base = [], None, None
-    for d, (key, zeros, ones) in enumerate(nodes):
+    for d in range(len(nodes)):
+        key, zeros, ones = nodes[d]
         own = (ones + 0.5) / (zeros + ones + 1)
+        nodes[d] = zeros = ones = None
         if d:
             share, base = share[above[d - 1]], base[above[d - 1]]
+            above[d - 1] = None
         else:
             share, base = np.ones(len(key)), np.zeros(len(key))
-        result = base + share * own
-        if d + 1 < len(nodes):
+        result = (base + share * own).astype(np.float32)
+        if d + 1 < len(children):
             ratio = np.exp(np.clip(blocks[d] - children[d], -700, 700))  # of the node itself against what extends it
+            blocks[d] = children[d] = None
             base, share = base + share * own * ratio / (1 + ratio), share / (1 + ratio)
         grams = tables[d][0]
-        bits = np.zeros(len(grams))
+        bits = np.zeros(len(grams), dtype=np.float32)
         for k in range(8):
             node = (grams >> 8) << 8 | 1 << k | (grams & 255) >> (8 - k)
             p = result[np.searchsorted(key, node)]
             bits += np.log2(np.where(grams >> (7 - k) & 1, p, 1 - p))
-        contexts = np.unique(grams >> 8)
-        levels.append(Level(grams, bits.astype(np.float32), contexts, key, result.astype(np.float32)))
+        levels.append(Level(grams, bits, np.unique(grams >> 8), key, result))
     return levels
 
 
@@ -237,7 +249,7 @@ def text_bits(levels: list[Level], texts: list[bytes], depth: int) -> np.ndarray
     return np.add.reduceat(values, starts)
 
 
-def runs(texts: list[bytes], depth: int, size: int = _CHUNK) -> Iterator[tuple[list[int], list[bytes]]]:
+def runs(texts: Iterable[bytes], depth: int, size: int = _CHUNK) -> Iterator[tuple[list[int], list[bytes]]]:
     """Texts in batches of about ``size`` bytes, with their places; a longer text comes in runs that overlap by a context."""
     rows: list[int] = []
     batch: list[bytes] = []
@@ -270,19 +282,20 @@ _WORD = -1
 def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataFrame:
     """(d, gram, n): grams of every depth, words (d = -1, by hash) and ends, added up over all rows."""
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[bytes, int] = {}
         ends, held, keys, counts = 0, 0, [], []
 
-        def frame(d: int, gram: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-            for at in range(0, len(gram), 500_000):
-                yield pd.DataFrame({"d": d, "gram": gram[at : at + 500_000], "n": n[at : at + 500_000]})
+        def frame(d: int, gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(gram), 250_000):
+                part = gram[at : at + 250_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), d, np.int32)), pa.array(part), pa.array(n[at : at + 250_000])], ["d", "gram", "n"])
 
-        def emit_words() -> Iterator[pd.DataFrame]:
+        def emit_words() -> Iterator[pa.RecordBatch]:
             yield from frame(_WORD, _signed([_hash(w) for w in words]), np.fromiter(words.values(), np.int64, len(words)))
             words.clear()
 
-        def emit_grams() -> Iterator[pd.DataFrame]:
+        def emit_grams() -> Iterator[pa.RecordBatch]:
             gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
             keys.clear()
             counts.clear()
@@ -290,7 +303,8 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 yield from frame(d, g, c)
 
         for part in parts:
-            for _, batch in runs([serialized(t, depth) for t in part[text]], depth):
+            values = part.column(0)
+            for _, batch in runs((serialized(v.as_py(), depth) for v in values), depth):
                 gram, n = count_grams(batch, depth)
                 keys.append(gram)
                 counts.append(n)
@@ -298,9 +312,9 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 if held > _FLUSH:
                     yield from emit_grams()
                     held = 0
-            for value in part[text]:
+            for value in values:
                 ends += 1
-                for word in words_of(value):
+                for word in words_of(value.as_py()):
                     words[word] = words.get(word, 0) + 1
                 if len(words) > _WORDS:
                     yield from emit_words()
@@ -309,7 +323,7 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
             yield from emit_grams()
         yield from frame(_WORD, np.array([END_HASH]), np.array([ends]))
 
-    partial = docs.select(text).mapInPandas(count, "d int, gram long, n long")
+    partial = docs.select(text).mapInArrow(count, "d int, gram long, n long")
     return partial.groupBy("d", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
 
 
@@ -331,17 +345,19 @@ def train(table: DataFrame, *, depth: int = DEPTH, least_share: float = LEAST_SH
     floor = max(1, math.ceil(least_share * size))
     grams = table.filter(F.col("d") >= 0).withColumn("context", F.shiftright("gram", 8))
     frequent = grams.groupBy("d", "context").agg(F.sum("n").alias("total")).filter(F.col("total") >= floor).select("d", "context")
-    found = grams.join(F.broadcast(frequent), ["d", "context"], "left_semi").select("d", "gram", "n").toPandas()
+    found = grams.join(F.broadcast(frequent), ["d", "context"], "left_semi").select("d", "gram", "n").toArrow()
+    depths, grams, counts = (found[c].to_numpy() for c in ("d", "gram", "n"))
     tables = []
     for d in range(depth + 1):
-        own = found[found["d"] == d]
-        order = np.argsort(own["gram"].to_numpy(), kind="stable")
-        tables.append((own["gram"].to_numpy()[order], own["n"].to_numpy()[order]))
-    del found
+        own = np.flatnonzero(depths == d)
+        own = own[np.argsort(grams[own], kind="stable")]
+        tables.append((grams[own], counts[own]))
+    del found, depths, grams, counts
     least = max(1, math.ceil(word_share * tokens))
-    words = table.filter((F.col("d") == _WORD) & ((F.col("n") >= least) | (F.col("gram") == END_HASH))).select("gram", "n").toPandas()
-    order = np.argsort(words["gram"].to_numpy(), kind="stable")
-    return Model(depth, weigh(tables), int(tokens), int(distinct), words["gram"].to_numpy()[order], words["n"].to_numpy()[order])
+    words = table.filter((F.col("d") == _WORD) & ((F.col("n") >= least) | (F.col("gram") == END_HASH))).select("gram", "n").toArrow()
+    hashes, counts = (words[c].to_numpy() for c in ("gram", "n"))
+    order = np.argsort(hashes, kind="stable")
+    return Model(depth, weigh(tables), int(tokens), int(distinct), hashes[order], counts[order])
 
 
 _SCORED = "row long, doc_id long, n_bytes long, n_tokens long, n_known long, known_score double, bits double, rare array<long>, rare_n array<long>"
@@ -357,12 +373,10 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
         row = TaskContext.get().partitionId() << 36
         log_counts = np.log10(own.counts + 1.0)
         for part in parts:
-            texts = [serialized(t, own.depth) for t in part["text"]]
-            bits = np.zeros(len(texts))
-            for rows, batch in runs(texts, own.depth):
+            bits, sizes = np.zeros(len(part)), np.zeros(len(part), dtype=np.int64)
+            for rows, batch in runs((serialized(t, own.depth) for t in part["text"]), own.depth):
                 np.add.at(bits, rows, text_bits(own.levels, batch, own.depth))
-            sizes = np.array([len(t) - own.depth for t in texts])
-            del texts
+                np.add.at(sizes, rows, [len(t) - own.depth for t in batch])
             out = []
             for value in part["text"]:
                 words = words_of(value)
