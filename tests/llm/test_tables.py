@@ -132,7 +132,7 @@ def test_headers_files_and_inheritance(spark):
     assert (out[2]["license"], out[2]["inherited_from"]) == ("GPL-3.0", "a/LICENSE")
     assert (out[4]["license"], out[4]["inherited_from"]) == ("MIT", "a/b/c/COPYING")
     assert out[1]["license"] == "MIT" and out[1]["inherited_from"] is None
-    assert out[6]["license"] is None and out[7]["license"] is None
+    assert (out[6]["license"], out[6]["inherited_from"]) == ("Apache-2.0", "q/w.txt") and out[7]["license"] is None
     assert out[3]["is_license_file"] and not out[1]["is_license_file"]
     assert licenses.scan(docs.limit(0), F.col("path")).count() == 0
 
