@@ -14,12 +14,12 @@ def skewed_key(rng, hot="hot"):
     return hot if rng.random() < 0.34 else f"k{rng.randrange(9)}"
 
 
-@pytest.mark.parametrize("width, hot_rows", [(1, 0), (7, 0), (7, 60), (1000, 0), (7, 10**9), (7, None)])
-def test_running_totals_equal_a_plain_loop(spark, width, hot_rows):
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_running_totals_equal_a_plain_loop(spark, width):
     rng = random.Random(width)
     rows = [(i, None if i % 50 == 0 else skewed_key(rng), rng.randrange(200), rng.choice([None, 1, 2, 5])) for i in range(600)]
     df = spark.createDataFrame(rows, "id int, k string, at int, v int")
-    got = running_totals(df, ["k"], ["at", "id"], F.floor(F.col("at") / width), {"run": F.col("v")}, {"total": F.col("v")}, hot_rows)
+    got = running_totals(df, ["k"], ["at", "id"], F.floor(F.col("at") / width), {"run": F.col("v")}, {"total": F.col("v")})
     assert got.columns == ["id", "k", "at", "v", "run", "total"]
     run, total = defaultdict(int), defaultdict(int)
     for _, k, _, v in rows:
@@ -31,12 +31,12 @@ def test_running_totals_equal_a_plain_loop(spark, width, hot_rows):
     assert {r.id: (r.run, r.total) for r in got.collect()} == expected
 
 
-@pytest.mark.parametrize("splits, hot_rows", [(0, 0), (1, 0), (5, 0), (40, 0), (5, 120), (5, 10**9)])
-def test_ranks_equal_plain_rank(spark, splits, hot_rows):
-    rng = random.Random(splits)
+@pytest.mark.parametrize("cut", [False, True])
+def test_ranks_equal_plain_rank(spark, cut):
+    rng = random.Random(3)
     rows = [(i, f"d{i % 3}" if i % 40 else None, None if i % 37 == 0 else 7.5 if rng.random() < 0.34 else round(rng.gauss(0, 50), 1)) for i in range(500)]
     df = spark.createDataFrame(rows, "id int, d string, v double")
-    got = {r.id: (r.up, r.down) for r in ranking.with_rank(df, ["d"], "v", "up", "down", splits, hot_rows).collect()}
+    got = {r.id: (r.up, r.down) for r in ranking.with_rank(df, ["d"], "v", "up", "down", cut).collect()}
     for i, d, v in rows:
         peers = [x for _, e, x in rows if e == d and x is not None]
         want = (None, None) if v is None else (1 + sum(x < v for x in peers), 1 + sum(x > v for x in peers))
@@ -52,8 +52,8 @@ def brute_pairs(rows, low=0.8, high=1.2):
     ]
 
 
-@pytest.mark.parametrize("seed, hot_rows", [(0, 0), (1, 0), (2, 100), (3, 10**9)])
-def test_reciprocal_equals_self_join(spark, seed, hot_rows):
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_reciprocal_equals_self_join(spark, seed):
     rng = random.Random(seed)
     rows = []
     for i in range(220):
@@ -62,7 +62,7 @@ def test_reciprocal_equals_self_join(spark, seed, hot_rows):
             a, b = b, a
         rows.append((f"t{i // 3}", rng.choice(["X", "X", "Y"]), a, b, rng.choice([0.0, 1.0, 0.8, 1.2, 1.21, 10.0, 12.0, 8.0, 9.99, round(rng.uniform(0.5, 20), 2)])))
     df = spark.createDataFrame(rows, "transaction_hash string, token_address string, from_address string, to_address string, amount double")
-    pairs, matched = reciprocal.reciprocal_transfers(df, hot_rows=hot_rows)
+    pairs, matched = reciprocal.reciprocal_transfers(df)
     want = brute_pairs(rows)
     by_token = defaultdict(int)
     for a, _ in want:

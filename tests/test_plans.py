@@ -125,8 +125,8 @@ def whale_frame(spark, rows, labels=LABELS):
 
 def test_top_whales(spark):
     rows = [("1", 1, "a", "b", 100, True), ("2", 2, "b", "a", 40, True), ("3", 3, "c", "c", 700, True), ("4", 4, "0xb", "d", 60, True), ("5", 5, "e", None, 60, True)]
-    for splits in (0, 4):
-        got = {r.address: r for r in rollups.top_whales_daily(whale_frame(spark, rows), splits=splits).collect()}
+    for cut in (False, True):
+        got = {r.address: r for r in rollups.top_whales_daily(whale_frame(spark, rows), cut=cut).collect()}
         assert sum(r.total_sent_eth for r in got.values()) == sum(r.total_recv_eth for r in got.values()) == 960
         assert (got["a"].net_flow_eth, got["b"].net_flow_eth, got["c"].net_flow_eth) == (-60, 60, 0)
         assert [got[x].position_label for x in "abc"] == ["Dumper", "Accumulator", "Neutral"]
@@ -189,6 +189,8 @@ def test_gas(spark):
     assert serving.gas_price(tx, 1300).first()[0] == 7.5
     assert serving.gas_price(tx, 1301).first()[0] == 10.0
     assert serving.gas_price(tx, 99_999).first()[0] == 10.0
+    assert serving.gas_price(tx, 1100).first()[0] == 5.0  # later rows do not count
+    assert serving.gas_price(tx, 999).first()[0] == 0.0
     assert serving.gas_price(tx.where("hash = 'none'"), 1000).first()[0] == 0.0
 
 
@@ -196,7 +198,7 @@ def test_wallet_history(spark):
     rows = [dict(hash=f"h{i}", block_timestamp=i, from_address="0xAb" if i % 2 else "0xc", to_address="0xc" if i % 2 else "0xab", value=eth(1)) for i in range(6)]
     rows.append(dict(hash="self", block_timestamp=9, from_address="0xab", to_address="0xab", value=eth(2), gas_price=10**9))
     rows.append(dict(hash="deploy", block_timestamp=10, from_address="0xab", to_address=None, value="0"))
-    tx = transactions(spark, rows)
+    tx = serving.lowered(transactions(spark, rows), "from_address", "to_address")
     got = serving.wallet_transactions(tx, label_frame(spark), "0xAB", 4).orderBy(F.desc("block_timestamp")).collect()
     assert [r.hash for r in got] == ["deploy", "self", "self", "h5"]
     assert [r.type for r in got] == ["OUT"] * 4 and got[1].gas_price_gwei == 1.0 and got[0].to_address is None

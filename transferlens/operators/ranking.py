@@ -2,17 +2,28 @@
 
 A rank only depends on how many rows carry a smaller (or larger) value. Rows are first counted
 per distinct value, so ties collapse before any shuffle of rows; the counts are accumulated
-with :func:`running_totals`, cut at per-group quantiles; the rank of each value is joined back.
+with :func:`running_totals`, cut by the size of the value; the rank of each value is joined back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.operators.running import HOT_ROWS, running_totals
+from transferlens.operators.running import running_totals
+
+
+#: Slots for each doubling of a value, and the smallest value that is told from zero.
+SLOTS_PER_OCTAVE = 4096
+FINEST = 1e-6
+
+
+def value_slot(value: str) -> Column:
+    """A slot that never decreases with the value: its sign and its logarithm in fine steps."""
+    number = F.col(value).cast("double")
+    return (F.signum(number) * F.floor(F.log2(1 + F.abs(number) / FINEST) * SLOTS_PER_OCTAVE)).cast("long")
 
 
 def value_ranks(
@@ -21,38 +32,16 @@ def value_ranks(
     value: str,
     ascending: str | None = None,
     descending: str | None = None,
-    splits: int = 0,
-    hot_rows: int = HOT_ROWS,
+    cut: bool = False,
 ) -> DataFrame:
     """Distinct ``(group, value)`` rows with their rank(s), gaps as in SQL ``rank``.
 
-    ``splits`` is the number of quantile cuts for a group of more than ``hot_rows`` distinct
-    values. 0 fits values that have few distinct forms per group (counts, scores rounded to four
-    places): those are bounded after counting. The cuts are broadcast: one row of ``splits``
-    doubles per group, so with ``splits`` the group must be a calendar-sized key such as the day.
+    ``cut`` splits a group's values into slots of equal relative width, so that no task sorts a whole
+    group. Without it the group's distinct values are accumulated in one window; that fits
+    values with few distinct forms per group (counts, scores rounded to four places).
     """
-    # the double is an output of the aggregate, so it is converted once and not once per cut below
-    counts = df.groupBy(*group, value).agg(
-        F.count(F.lit(1)).alias("__n"), F.max(F.col(value).cast("double")).alias("__place")
-    )
-    slot = F.lit(None).cast("int")
-    if splits:
-        share = [i / (splits + 1) for i in range(1, splits + 1)]
-        cuts = (
-            counts.groupBy(*[F.col(g).alias(f"__c{i}") for i, g in enumerate(group)])
-            .agg(
-                F.percentile_approx("__place", share, splits * 50).alias("__cuts"),
-                F.count(F.lit(1)).alias("__values"),
-            )
-            .where(F.col("__values") > hot_rows)
-            .drop("__values")
-        )
-        on = [F.col(g).eqNullSafe(F.col(f"__c{i}")) for i, g in enumerate(group)]
-        counts = counts.join(F.broadcast(cuts), on, "left").select(
-            *group, value, "__n", "__place", "__cuts"
-        )
-        below = F.filter("__cuts", lambda cut: cut < F.col("__place"))
-        slot = F.when(F.col("__cuts").isNotNull(), F.size(below))
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    slot = value_slot(value) if cut else F.lit(None).cast("long")
     done = running_totals(
         counts,
         keys=group,
@@ -60,7 +49,6 @@ def value_ranks(
         slot=slot,
         sums={"__upto": F.col("__n")},
         group_sums={"__all": F.col("__n")},
-        hot_rows=None,
     )
     out = [*group, value]
     if ascending:
@@ -76,8 +64,7 @@ def with_rank(
     value: str,
     ascending: str | None = None,
     descending: str | None = None,
-    splits: int = 0,
-    hot_rows: int = HOT_ROWS,
+    cut: bool = False,
 ) -> DataFrame:
     """``df`` plus the ranks of ``value`` within ``group``. Null values get no rank.
 
@@ -85,7 +72,7 @@ def with_rank(
     row side of the join heavy, which adaptive skew-join handling splits.
     """
     named = df.where(F.col(value).isNotNull())
-    ranks = value_ranks(named, group, value, ascending, descending, splits, hot_rows)
+    ranks = value_ranks(named, group, value, ascending, descending, cut)
     renamed = ranks.select(
         *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
         F.col(value).alias("__v"),

@@ -1,9 +1,9 @@
 """Running totals whose groups may be far larger than one task can hold.
 
 A window partitioned by a hot key (an exchange wallet with a third of all rows) sorts that key's
-rows in a single task. Here the groups that are large are cut into slots along their order. Slot
+rows in a single task. Here every group is cut into slots along its order, whatever its size. Slot
 sums are pre-aggregated, turned into one opening balance per slot, and the window then runs per
-slot behind its opening balance. Groups of ordinary size pay for nothing but their count.
+slot behind its opening balance.
 """
 
 from __future__ import annotations
@@ -13,34 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group of more rows than this is cut into slots.
-HOT_ROWS = 200_000
-# At most this many groups are cut, the largest first. That bounds what is broadcast, and any
-# group beyond them holds less than one part in this many of all rows.
-HOT_GROUPS = 10_000
-
 _SLOT, _ROW = "__slot", "__is_row"
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The groups of more than ``hot_rows`` rows, as columns ``__h0``, ``__h1``, ...
-
-    Counted map side, then a per-task top-n: never more than ``HOT_GROUPS`` rows.
-    """
-    counts = df.groupBy(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(HOT_GROUPS).drop("__n")
-
-
-def _with_slot(df: DataFrame, hot: DataFrame | None, keys: Sequence[str], slot: Column) -> DataFrame:
-    """``df`` plus ``slot``, null in every group that is not in ``hot`` (None: in no group)."""
-    if hot is None:
-        return df.withColumn(_SLOT, slot)
-    hot = hot.withColumn("__hot", F.lit(True))
-    on = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]
-    marked = df.join(F.broadcast(hot), on, "left")
-    return marked.select(*df.columns, F.when(F.col("__hot"), slot).alias(_SLOT))
-
-
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,18 +23,16 @@ def running_totals(
     slot: Column,
     sums: Mapping[str, Column],
     group_sums: Mapping[str, Column] | None = None,
-    hot_rows: int | None = HOT_ROWS,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus one running total per entry of ``sums`` (this row included).
 
     ``slot`` must never decrease along ``order_by`` and must be a function of its first column,
-    so that rows that tie there share a slot; null means the row's group is not cut. Groups of
-    up to ``hot_rows`` rows are not cut either; None leaves the choice to ``slot`` alone.
+    so that rows that tie there share a slot; null means the row's group is not cut.
     ``group_sums`` adds totals over the whole group. A null input counts as zero.
 
-    Group sizes and slot sums are read from ``source``, a cheaper frame of the same rows: where
-    ``df`` already carries running totals, the frame they were taken on.
+    Slot sums are read from ``source``, a cheaper frame of the same rows: where ``df`` already
+    carries running totals, the frame they were taken on.
     """
     group_sums = dict(group_sums or {})
     measures = {**sums, **group_sums}
@@ -67,11 +40,9 @@ def running_totals(
     columns = list(df.columns)
 
     source = df if source is None else source
-    hot = None if hot_rows is None else hot_groups(source, keys, hot_rows)
 
     def measured(frame: DataFrame) -> DataFrame:
-        placed = _with_slot(frame, hot, keys, slot)
-        return placed.withColumns({hidden[n]: F.coalesce(c, F.lit(0)) for n, c in measures.items()})
+        return frame.withColumns({_SLOT: slot, **{hidden[n]: F.coalesce(c, F.lit(0)) for n, c in measures.items()}})
 
     rows = measured(df)
     cut = measured(source).where(F.col(_SLOT).isNotNull())

@@ -12,8 +12,6 @@ from transferlens.operators.labels import dominant
 from transferlens.operators.ranking import with_rank
 from transferlens.operators.stats import signed_flow
 
-RANK_SPLITS = 64
-
 
 def _sides(whales: DataFrame) -> DataFrame:
     """Each transfer as two rows: its sender's and its receiver's."""
@@ -55,7 +53,7 @@ def wallet_days(whales: DataFrame) -> DataFrame:
 def top_whales_daily(
     whales: DataFrame,
     tiers: Sequence[tuple[float, str]] = classify.DAY_TIERS,
-    splits: int = RANK_SPLITS,
+    cut: bool = True,
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Who moved the market: one row per address and day, with ranks and dominant entity.
@@ -73,8 +71,8 @@ def top_whales_daily(
     )
     if keep is not None:
         days = keep(days, "wallet-days")
-    days = with_rank(days, ["dt"], "net_flow_eth", "rank_dumper", "rank_accumulator", splits)
-    days = with_rank(days, ["dt"], "total_activity_eth", None, "rank_activity", splits)
+    days = with_rank(days, ["dt"], "net_flow_eth", "rank_dumper", "rank_accumulator", cut)
+    days = with_rank(days, ["dt"], "total_activity_eth", None, "rank_activity", cut)
 
     named = _sides(whales).where(F.col("address").isNotNull())
     entities = dominant(

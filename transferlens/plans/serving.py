@@ -1,6 +1,6 @@
 """Questions a dashboard asks of the stored ledger. ``as_of`` (unix seconds) replaces the clock.
 
-Frames: ``transactions`` (hash, block_timestamp, from_address, to_address, value, gas_price) with
+Frames: addresses in lower case (see :func:`lowered`): ``transactions`` (hash, block_timestamp, from_address, to_address, value, gas_price) with
 raw amounts as text; ``transfers`` (transaction_hash, log_index, block_timestamp, token_address,
 from_address, to_address, value); ``tokens`` and ``labels`` as in the dimensions.
 """
@@ -18,13 +18,23 @@ from transferlens.operators.stats import top
 HOUR = 3600
 
 
+def lowered(df: DataFrame, *columns: str) -> DataFrame:
+    """Addresses in lower case, as the serving tables keep them: questions then compare bare columns."""
+    return df.withColumns({c: F.lower(c) for c in columns})
+
+
 def gas_price(transactions: DataFrame, as_of: int, window_seconds: int = 300) -> DataFrame:
-    """Mean gas price of the last minutes in gwei; else the latest known price; else 0."""
-    price = F.col("gas_price").cast("double")
-    recent = F.avg(F.when(F.col("block_timestamp") >= as_of - window_seconds, price))
-    latest = F.max_by(price, F.struct("block_timestamp", "hash"))
-    wei = F.coalesce(recent, latest, F.lit(0.0))
-    return transactions.agg(F.round(money.wei_to_gwei(wei), 2).alias("average_gas_price_gwei"))
+    """Mean gas price of the last minutes up to ``as_of`` in gwei; else the latest price known then; else 0.
+
+    The history is read only if the window holds no price.
+    """
+    price = F.col("gas_price").try_cast("double")
+    time = F.col("block_timestamp")
+    recent = transactions.where((time >= as_of - window_seconds) & (time <= as_of)).agg(F.avg(price).alias("wei"))
+    if recent.first()["wei"] is None:
+        known = transactions.where((time <= as_of) & price.isNotNull())
+        recent = known.agg(F.coalesce(F.max_by(price, F.struct("block_timestamp", "hash")), F.lit(0.0)).alias("wei"))
+    return recent.select(F.round(money.wei_to_gwei("wei"), 2).alias("average_gas_price_gwei"))
 
 
 def recent_whales(transactions: DataFrame, labels: DataFrame, threshold: float = 100, limit: int = 50) -> DataFrame:
@@ -47,7 +57,7 @@ def recent_whales(transactions: DataFrame, labels: DataFrame, threshold: float =
 def trending_tokens(transfers: DataFrame, tokens: DataFrame, as_of: int, hours: int = 1, limit: int = 10) -> DataFrame:
     """Tokens with most transfers in the last hours; counted before the token join."""
     counts = (
-        transfers.where(F.col("block_timestamp") >= as_of - hours * HOUR)
+        transfers.where((F.col("block_timestamp") >= as_of - hours * HOUR) & (F.col("block_timestamp") <= as_of))
         .groupBy("token_address")
         .agg(F.count(F.lit(1)).alias("transfer_count"))
     )
@@ -60,8 +70,9 @@ def token_trend(
 ) -> DataFrame:
     """Transfers and raw volume of one token per time bucket, oldest first."""
     own = transfers.where(
-        (F.lower("token_address") == address.lower())
+        (F.col("token_address") == address.lower())
         & (F.col("block_timestamp") >= as_of - width_seconds * buckets)
+        & (F.col("block_timestamp") <= as_of)
     )
     start = (F.floor(F.col("block_timestamp") / width_seconds) * width_seconds).cast("long")
     return (
@@ -108,13 +119,14 @@ def search_tokens(tokens: DataFrame, query: str, size: int = 10) -> DataFrame:
 
 
 def _history(rows: DataFrame, address: str, limit: int, order: list[Column], dedupe_self: bool) -> DataFrame:
-    """Latest outgoing and incoming rows of one address; a self transfer shows on both sides."""
-    out = rows.where(F.lower("from_address") == address.lower())
-    inc = rows.where(F.lower("to_address") == address.lower())
+    """Latest outgoing and incoming rows of one address, in one scan; a self transfer shows on both sides."""
+    own = address.lower()
+    sent, received = F.col("from_address") == own, F.col("to_address") == own
     if dedupe_self:
-        inc = inc.where(F.lower(F.coalesce("from_address", F.lit(""))) != address.lower())
-    both = top(out, order, limit).unionByName(top(inc, order, limit))
-    return top(both, order, limit)
+        received = received & ~F.coalesce(sent, F.lit(False))
+    sides = F.array_compact(F.array(F.when(sent, F.lit("OUT")), F.when(received, F.lit("IN"))))
+    both = rows.where((F.col("from_address") == own) | (F.col("to_address") == own)).withColumn("side", F.explode(sides))
+    return top(both, order, limit).drop("side")
 
 
 def wallet_transactions(
@@ -128,7 +140,7 @@ def wallet_transactions(
         classify.direction("from_address", address).alias("type"),
         "from_address",
         "to_address",
-        (F.col("value").cast("double") / 1e18).alias("value_eth"),
+        (F.col("value").try_cast("double") / 1e18).alias("value_eth"),
         money.wei_to_gwei("gas_price").alias("gas_price_gwei"),
         "from_label",
         "to_label",

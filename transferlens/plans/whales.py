@@ -13,8 +13,6 @@ from transferlens.functions.money import ETH
 from transferlens.operators.labels import with_labels
 from transferlens.operators.running import running_totals
 
-SLOT_SECONDS = 300
-
 
 def large_transfers(enriched: DataFrame, threshold: float | str = 100) -> DataFrame:
     """Successful transfers of at least ``threshold``; an unknown outcome is not a success."""
@@ -35,7 +33,7 @@ def whale_transactions(
     large = large_transfers(enriched, threshold).select(
         "hash", "block_timestamp", "dt", "from_address", "to_address", "value_eth"
     )
-    slot = timeparts.unix_slot("block_timestamp", SLOT_SECONDS)
+    slot = F.col("block_timestamp")  # an address-day has at most 86,400, however many rows
     order = ["block_timestamp", "hash"]
     moved = running_totals(
         large,

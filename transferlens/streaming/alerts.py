@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from transferlens import schemas
 from transferlens.functions import money
+from transferlens.operators.labels import latest_per_key
 from transferlens.sources.files import CORRUPT
 from transferlens.streaming.messages import once
 
@@ -29,7 +30,7 @@ def alerts(transactions: DataFrame, threshold: float = 100) -> DataFrame:
         "from_address",
         "to_address",
         "value",
-        (F.col("value").cast("double") / 1e18).alias("value_eth"),
+        (F.col("value").try_cast("double") / 1e18).alias("value_eth"),
     )
 
 
@@ -61,8 +62,7 @@ def decode(raw: DataFrame) -> DataFrame:
 def feed(known: DataFrame | None, fresh: DataFrame, size: int = 50) -> DataFrame:
     """The ``size`` newest distinct alerts of ``known`` and ``fresh`` together.
 
-    A per-task top-n bounds what the merge sees: a duplicate can only displace its own copy, so
-    duplicates are removed first and then the rows are cut.
+    Of copies of a hash the newest counts; copies go first and then the rows are cut.
     """
     rows = fresh if known is None else known.unionByName(fresh)
-    return rows.dropDuplicates(["hash"]).orderBy(F.desc("timestamp"), F.asc("hash")).limit(size)
+    return latest_per_key(rows, ["hash"], ["timestamp"]).orderBy(F.desc("timestamp"), F.asc("hash")).limit(size)

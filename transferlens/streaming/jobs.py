@@ -6,11 +6,11 @@ watermark, so state is dropped once it can no longer change a result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from transferlens.streaming.alerts import alerts, encode, feed
@@ -35,7 +35,10 @@ def with_block_time(
     """
     left = transfers.withWatermark(time, delay).alias("t")
     right = blocks.select(F.col("number").alias("__number"), F.col("event_time").alias("__block_time"))
-    right = right.withWatermark("__block_time", delay).alias("b")
+    right = right.withWatermark("__block_time", delay)
+    # a block sent twice must not double its transfers
+    right = right.dropDuplicatesWithinWatermark(["__number"]) if right.isStreaming else right.dropDuplicates(["__number"])
+    right = right.alias("b")
     near = (F.col("__block_time") >= F.col(f"t.{time}") - F.expr(f"interval {bound}")) & (
         F.col("__block_time") <= F.col(f"t.{time}") + F.expr(f"interval {bound}")
     )
@@ -109,29 +112,44 @@ def ingest_delay(stored: DataFrame, width: str = "1 minute") -> DataFrame:
 # ---- storing ---------------------------------------------------------------------------------
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _folder(spark, path)
+    return system.exists(folder)
+
+
+def _stored_days(spark: SparkSession, target: str, days: Sequence[str | None], schema: T.StructType) -> DataFrame | None:
+    """The table's rows of these days; only their folders are listed. None if there are none yet."""
+    folders = [f"{target}/dt={day or '__HIVE_DEFAULT_PARTITION__'}" for day in days]
+    present = [f for f in folders if _exists(spark, f)]
+    if not present:
+        return None
+    return spark.read.schema(schema).option("basePath", target).parquet(*present)
 
 
 def store_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str]) -> None:
     """Writes the rows of one micro-batch whose key the table lacks.
 
     Each batch owns the folders ``dt=*/batch=<id>``. A replay overwrites exactly those and does
-    not count its own earlier attempt as stored, so replays change nothing. Only the days the
-    batch touches are compared. ``batch`` is read twice: persist it if it is costly.
+    not count its own earlier attempt as stored, so replays change nothing. A row belongs to the day of its
+    event, without a time to the day it arrived (``arrived``, if the batch has it). Only the folders of
+    days in the batch are read. ``batch`` is read twice: persist it if it is costly.
     """
-    rows = batch.dropDuplicates(list(keys)).withColumn("dt", F.to_date("event_time"))
-    stored = _read_or_none(batch.sparkSession, target)
+    times = [F.col(c) for c in ("event_time", "arrived") if c in batch.columns]
+    rows = batch.dropDuplicates(list(keys)).withColumn("dt", F.to_date(F.coalesce(*times)))
+    days = [r["d"] for r in rows.select(F.col("dt").cast("string").alias("d")).distinct().collect()]
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
+    stored = _stored_days(batch.sparkSession, target, days, schema)
     if stored is not None:
-        span = batch.agg(F.to_date(F.min("event_time")).alias("a"), F.to_date(F.max("event_time")).alias("b")).first()
-        earlier = stored.where((F.col("batch") < batch_id) & F.col("dt").between(span.a, span.b))
-        rows = rows.join(earlier.select(*keys), list(keys), "left_anti")
-    rows.withColumn("batch", F.lit(batch_id)).write.option("partitionOverwriteMode", "dynamic").partitionBy(
+        known = stored.where(F.col("batch") < batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        rows = rows.join(known, same, "left_anti")
+    rows.withColumn("batch", F.lit(batch_id).cast("long")).write.option("partitionOverwriteMode", "dynamic").partitionBy(
         "dt", "batch"
     ).mode("overwrite").parquet(target)
 
@@ -144,21 +162,40 @@ def store_and_alert(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body: store first, then alert. If either fails the batch is replayed,
     so alerts are delivered at least once and never before their rows are stored."""
+    return ledger_body({"transactions": (target, keys)}, alert_sink, threshold)
+
+
+def ledger_body(
+    tables: Mapping[str, tuple[str, Sequence[str]]],
+    alert_sink: Callable[[DataFrame, int], None],
+    threshold: float = 100,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that stores every kind of row, then alerts on transactions, in one step.
+
+    ``tables`` maps a kind to its table and keys; with more than one the batch names it in ``kind``.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # read several times below; unpersisted the stream's operators would run each time
-        batch = batch.dropDuplicates(list(keys)).persist()
+        batch = batch.persist()
         try:
-            store_batch(batch, batch_id, target, keys)
+            for kind, (target, keys) in tables.items():
+                store_batch(_of_kind(batch, kind), batch_id, target, keys)
             # alerts come from the batch, not from the newly stored rows: after a failed alert
             # the replay must send them although their rows are already stored
-            alert_sink(encode(alerts(batch, threshold)), batch_id)
+            _, keys = tables["transactions"]
+            rows = _of_kind(batch, "transactions").dropDuplicates(list(keys))
+            alert_sink(encode(alerts(rows, threshold)), batch_id)
         finally:
             batch.unpersist()
 
     return run
 
 
+def _of_kind(batch: DataFrame, kind: str) -> DataFrame:
+    return batch.where(F.col("kind") == kind).drop("kind") if "kind" in batch.columns else batch
+
+
 def file_alert_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Alerts as JSON files, one folder per batch, overwritten on replay."""
 
@@ -194,10 +231,21 @@ def start(
 
 def feed_body(path: str, size: int = 50) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that keeps the newest alerts. Version n is built from version n-1,
-    so a replay of a batch rebuilds the same version."""
+    so a replay of a batch rebuilds the same version. Versions before that are dropped."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        known = _read_or_none(batch.sparkSession, f"{path}/version={batch_id - 1}") if batch_id else None
+        spark = batch.sparkSession
+        before = f"{path}/version={batch_id - 1}"
+        known = spark.read.schema(batch.schema).parquet(before) if batch_id and _exists(spark, before) else None
         feed(known, batch, size).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        system, old = _folder(spark, f"{path}/version={batch_id - 2}")
+        system.delete(old, True)
 
     return run
+
+
+def latest_feed(spark: SparkSession, path: str) -> DataFrame:
+    """The feed's newest version."""
+    system, folder = _folder(spark, path)
+    versions = [int(f.getPath().getName().split("=")[1]) for f in system.listStatus(folder) if "=" in f.getPath().getName()]
+    return spark.read.parquet(f"{path}/version={max(versions)}")

@@ -9,16 +9,16 @@ from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
 from transferlens.workload.frames import table
 
-AS_OF = 1_706_658_600  # 2024-01-30 23:50:00
+AS_OF = 1_705_362_600  # 2024-01-15 23:50:00, in the middle of the events
 WALLET = "7"
 
 
 def _tx(spark, d):
-    return frames.event_transactions(table(spark, d, "events"))
+    return serving.lowered(frames.event_transactions(table(spark, d, "events")), "from_address", "to_address")
 
 
 def _transfers(spark, d):
-    return frames.event_transfers(table(spark, d, "events"))
+    return serving.lowered(frames.event_transfers(table(spark, d, "events")), "token_address", "from_address", "to_address")
 
 
 def _labels(spark, d):
@@ -26,15 +26,25 @@ def _labels(spark, d):
 
 
 @query(f"""WITH {sql.TX}
-SELECT round(coalesce(avg(CASE WHEN s >= {AS_OF} - 300 THEN c * 1e8 END), arg_max(c * 1e8, ts), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM tx""")
+SELECT round(coalesce(avg(CASE WHEN s >= {AS_OF} - 300 THEN c * 1e8 END), arg_max(c * 1e8, ts), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM tx WHERE s <= {AS_OF}""")
 def gas_now(spark, d):
     return serving.gas_price(_tx(spark, d), AS_OF)
 
 
-@query(f"""WITH {sql.TX}
-SELECT round(coalesce(avg(CASE WHEN s >= {AS_OF} + 90000 THEN c * 1e8 END), arg_max(c * 1e8, ts), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM tx""")
+EARLY = 1_600_000_000  # a window before the first event
+
+
+@query(f"""WITH {sql.TX}, old AS (SELECT * FROM tx WHERE s % 7 = 0 AND s <= {AS_OF} - 3600)
+SELECT round(coalesce(arg_max(c * 1e8, (s, hash)), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM old""")
 def gas_latest_known(spark, d):
-    return serving.gas_price(_tx(spark, d), AS_OF + 90_300)
+    """The window is empty: the last hour before ``as_of`` has no rows here."""
+    old = _tx(spark, d).where((F.col("block_timestamp") % 7 == 0) & (F.col("block_timestamp") <= AS_OF - 3600))
+    return serving.gas_price(old, AS_OF)
+
+
+@query("SELECT 0.0::DOUBLE AS average_gas_price_gwei")
+def gas_before_history(spark, d):
+    return serving.gas_price(_tx(spark, d), EARLY)
 
 
 _NAMES = """x.name AS from_label, y.name AS to_label, x.category AS from_category, y.category AS to_category"""
@@ -50,7 +60,7 @@ def recent_whales(spark, d):
 _TRENDING = f"""WITH {sql.TX}
 SELECT event_type AS token_address, upper(substr(event_type, 1, 4)) AS symbol, event_type AS token_name,
        CAST(count(*) AS BIGINT) AS transfer_count
-FROM tx WHERE s >= {AS_OF} - {{hours}} * 3600 GROUP BY 1, 2, 3 ORDER BY transfer_count DESC, token_address LIMIT {{limit}}"""
+FROM tx WHERE s BETWEEN {AS_OF} - {{hours}} * 3600 AND {AS_OF} GROUP BY 1, 2, 3 ORDER BY transfer_count DESC, token_address LIMIT {{limit}}"""
 
 
 @query(_TRENDING.format(hours=24, limit=3))
@@ -60,7 +70,7 @@ def trending_tokens(spark, d):
 
 _TREND = f"""WITH {sql.TX}, b AS (
   SELECT s // 3600 * 3600 AS bucket_start, CAST(count(*) AS BIGINT) AS transfer_count, CAST(sum(c) AS DOUBLE) * 1e16 AS total_value
-  FROM tx WHERE event_type = 'purchase' AND s >= {AS_OF} - 3600 * 240 GROUP BY 1)"""
+  FROM tx WHERE event_type = 'purchase' AND s BETWEEN {AS_OF} - 3600 * 240 AND {AS_OF} GROUP BY 1)"""
 
 
 @query(f"{_TREND} SELECT bucket_start, transfer_count, round(total_value / 1e16, 0) AS total_value FROM b")

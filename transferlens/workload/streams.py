@@ -135,7 +135,7 @@ def stream_alert_feed(spark, d):
     rows = _transactions(spark, d)
     twice = rows.unionByName(_transactions(spark, d))
     jobs.start(alert_ops.alerts(twice, 100), checkpoint, body=jobs.feed_body(path, 50)).awaitTermination()
-    return spark.read.parquet(f"{path}/version=0").select("hash", "value_eth")
+    return jobs.latest_feed(spark, path).select("hash", "value_eth")
 
 
 _MARK = "mark AS (SELECT epoch(max(ts)) - 60 AS w FROM events)"
