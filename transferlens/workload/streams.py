@@ -1,9 +1,16 @@
-"""Streaming queries: each runs to the end of its input into the shared folder and is read back."""
+"""Streaming queries: each reads its messages from a topic that is filled part by part, and its result is read back.
+
+The given table is cut by time into ``PARTS`` parts. A part is sent, the job runs over what is new and stops; the next run goes
+on from the checkpoint. So every query sees several micro-batches and restarts, and returns what a single batch would.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from transferlens.session import work_folder
 from transferlens.streaming import alerts as alert_ops
@@ -12,164 +19,277 @@ from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
 from transferlens.workload.frames import table
 
+PARTS = 3
+#: Unix time of the message that ends a bounded replay: the watermark passes all earlier windows. Its own stay open.
+END = "4102444800"
 
-def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """One of the given tables as a file stream; all its files make one micro-batch.
 
-    The path is a pattern because a stream may not start at a single file.
-    """
-    return spark.readStream.schema(table(spark, d, name).schema).parquet(f"{d.rstrip('/')}/{name}.parque[t]")
+class _Topic:
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.path = spark, work_folder(spark, f"{name}-topic")
+
+    def send(self, *rows: DataFrame) -> None:
+        for part in rows:
+            part.select("value").write.mode("append").text(self.path)
+
+    def end(self, **fields: str) -> None:
+        self.send(self.spark.createDataFrame([(fields,)], "m map<string,string>").select(F.to_json("m").alias("value")))
+
+    def read(self, kind: str) -> DataFrame:
+        return messages.decode(messages.read_topic(self.spark, "text", path=self.path), kind)
 
 
-def _drain(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def _cuts(rows: DataFrame, time: str) -> list[int]:
+    """Microseconds that cut the rows into ``PARTS`` parts of about the same size; none for an empty table."""
+    at = [(k + 1) / PARTS for k in range(PARTS - 1)]
+    return rows.agg(F.percentile_approx(F.unix_micros(F.col(time).cast("timestamp")), at)).first()[0] or []
+
+
+def _parts(rows: DataFrame, time: str, cuts: list[int] | None = None) -> list[DataFrame]:
+    cuts = _cuts(rows, time) if cuts is None else cuts
+    part = sum([(F.unix_micros(F.col(time).cast("timestamp")) >= c).cast("int") for c in cuts], F.lit(0))
+    return [rows.where(F.coalesce(part, F.lit(0)) == k) for k in range(len(cuts) + 1)]
+
+
+def _drain(spark: SparkSession, name: str, stream: Callable[[], DataFrame], steps: list[Callable[[], None]]) -> DataFrame:
+    """Sends one step after the other and runs the job over each; the rows that all runs appended."""
     out, checkpoint = work_folder(spark, name), work_folder(spark, f"{name}-checkpoint")
-    jobs.start(stream, checkpoint, path=out).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    _run(steps, lambda: jobs.start(stream(), checkpoint, path=out))
+    return spark.read.schema(stream().schema).parquet(out)
+
+
+def _run(steps: list[Callable[[], None]], start: Callable[[], StreamingQuery]) -> None:
+    for send in steps:
+        send()
+        start().awaitTermination()
+
+
+def _once(topic: _Topic, parts: list[DataFrame]) -> list[Callable[[], None]]:
+    return [lambda p=p: topic.send(p) for p in parts]
+
+
+def _repeated(topic: _Topic, parts: list[DataFrame]) -> list[Callable[[], None]]:
+    """Every part is sent twice, and once more with the part after it."""
+    return [lambda p=p, q=q: topic.send(p, p, q) for p, q in zip(parts, [parts[0].limit(0), *parts[:-1]], strict=True)]
+
+
+def _seconds(time: str) -> Column:
+    """Unix seconds as text, with their fraction."""
+    return (F.unix_micros(F.col(time).cast("timestamp")) / 1e6).cast("decimal(20,6)").cast("string")
 
 
 def _message(rows: DataFrame, time_key: str = "block_timestamp") -> DataFrame:
     """Transactions as JSON messages; the time keeps its fraction and goes by ``time_key``."""
-    return rows.select(
-        F.to_json(
-            F.struct(
-                F.col("event_id").cast("string").alias("hash"),
-                (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("decimal(20,6)").cast("string").alias(time_key),
-                F.col("user_id").cast("string").alias("from_address"),
-                F.get_json_object("props", "$.k").alias("to_address"),
-                frames.wei_text("value").alias("value"),
-                frames.gas_wei().cast("string").alias("gas_price"),
-            )
-        ).alias("value"),
-        "event_type",
+    fields = F.struct(
+        F.col("event_id").cast("string").alias("hash"),
+        _seconds("ts").alias(time_key),
+        F.col("user_id").cast("string").alias("from_address"),
+        F.get_json_object("props", "$.k").alias("to_address"),
+        frames.wei_text("value").alias("value"),
+        frames.gas_wei().cast("string").alias("gas_price"),
     )
+    return rows.select(F.to_json(fields).alias("value"), "event_type", "ts")
+
+
+def _event_parts(spark, d, time_key: str = "block_timestamp") -> list[DataFrame]:
+    return _parts(_message(table(spark, d, "events"), time_key), "ts")
 
 
-def _transactions(spark, d) -> DataFrame:
-    decoded = messages.decode(_message(_stream(spark, d, "events")), "transactions")
-    return messages.accepted(decoded)
+def _transactions(topic: _Topic) -> DataFrame:
+    return messages.accepted(topic.read("transactions")).drop("arrived")
+
+
+def _without_sender(part: DataFrame) -> DataFrame:
+    """Messages of one kind lose their sender."""
+    broken = F.regexp_replace("value", '"from_address":"[^"]*",', "")
+    return part.withColumn("value", F.when(F.col("event_type") == "signup", broken).otherwise(F.col("value")))
 
 
 @query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(c AS VARCHAR) || '0000000000000000' AS value FROM tx WHERE event_type <> 'signup'")
 def stream_validate(spark, d):
     """Messages under different time names; those of one kind lack the sender and are refused."""
-    raw = _message(_stream(spark, d, "events"), "item_timestamp")
-    broken = F.regexp_replace("value", '"from_address":"[^"]*",', "")
-    raw = raw.withColumn("value", F.when(F.col("event_type") == "signup", broken).otherwise(F.col("value")))
-    rows = messages.accepted(messages.decode(raw, "transactions"))
-    return _drain(spark, rows, "validate").select("hash", "from_address", "to_address", "event_time", "value")
+    topic = _Topic(spark, "validate")
+    parts = [_without_sender(p) for p in _event_parts(spark, d, "item_timestamp")]
+    rows = _drain(spark, "validate", lambda: _transactions(topic), _once(topic, parts))
+    return rows.select("hash", "from_address", "to_address", "event_time", "value")
 
 
 @query("SELECT 'from_address' AS problems, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'signup'")
 def stream_quarantine(spark, d):
-    raw = _message(_stream(spark, d, "events"))
-    broken = F.regexp_replace("value", '"from_address":"[^"]*",', "")
-    raw = raw.withColumn("value", F.when(F.col("event_type") == "signup", broken).otherwise(F.col("value")))
-    refused = _drain(spark, messages.quarantined(messages.decode(raw, "transactions")), "quarantine")
+    topic = _Topic(spark, "quarantine")
+    parts = [_without_sender(p) for p in _event_parts(spark, d)]
+    refused = _drain(spark, "quarantine", lambda: messages.quarantined(topic.read("transactions")), _once(topic, parts))
     return refused.groupBy(F.array_join("problems", ",").alias("problems")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS hash FROM events")
 def stream_dedup(spark, d):
-    rows = _transactions(spark, d)
-    twice = rows.unionByName(_transactions(spark, d))
-    return _drain(spark, jobs.deduplicated(twice, ["hash", "event_time"]), "dedup").select("hash")
+    """Copies in the same micro-batch, in the next one and behind the watermark: one row comes out."""
+    topic = _Topic(spark, "dedup")
+    steps = _repeated(topic, _event_parts(spark, d))
+    return _drain(spark, "dedup", lambda: jobs.deduplicated(_transactions(topic), ["hash", "event_time"]), steps).select("hash")
 
 
 _BOUND = 30
 
 
-@query(f"""WITH blocks AS (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P'),
-mark AS (SELECT least((SELECT max(o_orderdate) FROM blocks), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL 1 DAY AS w)
+@query(f"""WITH blocks AS (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P')
 SELECT CAST(l_orderkey AS VARCHAR) AS transaction_hash, CAST(l_linenumber AS BIGINT) AS log_index, CAST(l_partkey AS VARCHAR) AS token_address,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS event_time
-FROM lineitem LEFT JOIN blocks ON l_orderkey = o_orderkey AND o_orderdate BETWEEN l_shipdate - INTERVAL {_BOUND} DAY AND l_shipdate + INTERVAL {_BOUND} DAY, mark
-WHERE o_orderdate IS NOT NULL OR l_shipdate + INTERVAL {_BOUND} DAY < w""")
+FROM lineitem LEFT JOIN blocks ON l_orderkey = o_orderkey AND o_orderdate BETWEEN l_shipdate - INTERVAL {_BOUND} DAY AND l_shipdate + INTERVAL {_BOUND} DAY""")
 def stream_block_time(spark, d):
-    """Lines wait for their order's time; those that cannot get one any more come out without."""
-    lines = _stream(spark, d, "lineitem").select(
+    """Lines wait for their order's time, blocks come several times; lines that get no time come out without, all of them."""
+    lines, blocks = _Topic(spark, "lines"), _Topic(spark, "blocks")
+    line = F.struct(
         F.col("l_orderkey").cast("string").alias("transaction_hash"),
-        F.col("l_linenumber").cast("bigint").alias("log_index"),
+        F.col("l_linenumber").cast("string").alias("log_index"),
+        _seconds("l_shipdate").alias("timestamp"),
+        F.col("l_orderkey").cast("string").alias("block_number"),
         F.col("l_partkey").cast("string").alias("token_address"),
-        F.col("l_orderkey").alias("block_number"),
-        F.col("l_shipdate").cast("timestamp").alias("arrived"),
+        F.col("l_suppkey").cast("string").alias("from_address"),
+        F.col("l_partkey").cast("string").alias("to_address"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("value"),
     )
-    blocks = _stream(spark, d, "orders").where(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("number"), F.col("o_orderdate").cast("timestamp").alias("event_time")
-    )
-    joined = jobs.with_block_time(lines, blocks, delay="1 day", bound=f"{_BOUND} days")
-    return _drain(spark, joined, "block-time").select("transaction_hash", "log_index", "token_address", "event_time")
+    block = F.struct(F.col("o_orderkey").cast("string").alias("number"), _seconds("o_orderdate").alias("timestamp"))
+    items, orders = table(spark, d, "lineitem"), table(spark, d, "orders").where(F.col("o_orderstatus") != "P")
+    cuts = _cuts(items, "l_shipdate")
+    sent = _once(lines, _parts(items.select(F.to_json(line).alias("value"), "l_shipdate"), "l_shipdate", cuts))
+    known = _repeated(blocks, _parts(orders.select(F.to_json(block).alias("value"), "o_orderdate"), "o_orderdate", cuts))
+    zero = {"log_index": "0", "token_address": "", "from_address": "", "to_address": "", "value": "0"}
+
+    def end() -> None:
+        lines.end(transaction_hash="end", timestamp=END, block_number="-1", **zero)
+        blocks.end(number="-2", timestamp=END)
+
+    def joined() -> DataFrame:
+        # the time of the message is the line's arrival; the event time is to come from the block
+        waiting = messages.accepted(lines.read("token_transfers")).drop("arrived").withColumnRenamed("event_time", "arrived")
+        return jobs.with_block_time(
+            waiting, messages.accepted(blocks.read("blocks")), delay="1 day", bound=f"{_BOUND} days"
+        )
+
+    def both(a: Callable[[], None], b: Callable[[], None]) -> Callable[[], None]:
+        return lambda: (a(), b())
+
+    steps = [both(a, b) for a, b in zip(sent, known, strict=True)]
+    rows = _drain(spark, "block-time", joined, [*steps, end])
+    return rows.select("transaction_hash", "log_index", "token_address", "event_time")
 
 
 @query(f"WITH {sql.TX} SELECT hash AS key, c / 100.0 AS value_eth FROM tx WHERE c >= 10000")
 def stream_alerts(spark, d):
     """Rows are stored, then alerts written; the alerts are read back and decoded."""
     target, alerts, checkpoint = (work_folder(spark, n) for n in ("stored", "alerts", "alerts-checkpoint"))
+    topic = _Topic(spark, "alerts")
     body = jobs.store_and_alert(target, ["hash", "event_time"], jobs.file_alert_sink(alerts), 100)
-    jobs.start(_transactions(spark, d), checkpoint, body=body).awaitTermination()
+    _run(_once(topic, _event_parts(spark, d)), lambda: jobs.start(_transactions(topic), checkpoint, body=body))
     sent = spark.read.schema("key string, value string").json(alerts)
     decoded = alert_ops.decode(sent.select("value"))
     return decoded.select(F.col("hash").alias("key"), "value_eth")
 
 
+@query(f"""WITH {sql.TX} SELECT 'transactions' AS kind, hash, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time, CAST(c AS VARCHAR) || '0000000000000000' AS value FROM tx
+UNION ALL SELECT 'token_transfers', hash, CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END, CAST(c AS VARCHAR) FROM tx
+UNION ALL SELECT 'alerts', hash, NULL, CAST(c AS VARCHAR) || '0000000000000000' FROM tx WHERE c >= 10000""")
+def stream_ledger(spark, d):
+    """Transactions and token transfers of two topics, stored in one step and alerted after it.
+
+    Parts are sent again with the next one, transfers of one kind have no time: each is stored once.
+    """
+    topics = {kind: _Topic(spark, kind) for kind in ("transactions", "token_transfers")}
+    stores = {kind: work_folder(spark, f"ledger-{kind}") for kind in topics}
+    alerts, checkpoint = work_folder(spark, "ledger-alerts"), work_folder(spark, "ledger-checkpoint")
+    keys = {"transactions": ["hash", "event_time"], "token_transfers": ["transaction_hash", "log_index"]}
+    body = jobs.ledger_body({k: (stores[k], keys[k]) for k in topics}, jobs.file_alert_sink(alerts), 100)
+    events = table(spark, d, "events")
+    transfer = F.struct(
+        F.col("event_id").cast("string").alias("transaction_hash"),
+        F.lit("0").alias("log_index"),
+        F.when(F.col("event_type") != "error", _seconds("ts")).alias("timestamp"),
+        F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("string").alias("block_number"),
+        F.col("event_type").alias("token_address"),
+        F.col("user_id").cast("string").alias("from_address"),
+        F.col("user_id").cast("string").alias("to_address"),
+        frames.cents("value").cast("string").alias("value"),
+    )
+    cuts = _cuts(events, "ts")
+    sent = _repeated(topics["transactions"], _parts(_message(events), "ts", cuts))
+    moved = _repeated(topics["token_transfers"], _parts(events.select(F.to_json(transfer).alias("value"), "ts"), "ts", cuts))
+
+    def ledger() -> DataFrame:
+        rows = [messages.accepted(topic.read(kind)).withColumn("kind", F.lit(kind)) for kind, topic in topics.items()]
+        return rows[0].unionByName(rows[1], allowMissingColumns=True)
+
+    steps = [lambda a=a, b=b: (a(), b()) for a, b in zip(sent, moved, strict=True)]
+    _run(steps, lambda: jobs.start(ledger(), checkpoint, body=body))
+    stored = [
+        spark.read.parquet(stores[kind]).select(F.lit(kind).alias("kind"), F.col(keys[kind][0]).alias("hash"), "event_time", "value")
+        for kind in topics
+    ]
+    sent_alerts = alert_ops.decode(spark.read.schema("key string, value string").json(alerts).select("value")).distinct()
+    told = sent_alerts.select(F.lit("alerts").alias("kind"), "hash", F.lit(None).cast("timestamp").alias("event_time"), "value")
+    return stored[0].unionByName(stored[1]).unionByName(told)
+
+
 @query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, CAST(c AS VARCHAR) || '0000000000000000' AS value FROM tx")
 def stream_store(spark, d):
-    """Doubled input stored twice over; the keyed table holds every row once."""
-    target, checkpoint, again = (work_folder(spark, n) for n in ("store", "store-checkpoint", "store-again"))
+    """Every part is sent three times, in two micro-batches; the keyed table holds every row once."""
+    target, checkpoint, topic = work_folder(spark, "store"), work_folder(spark, "store-checkpoint"), _Topic(spark, "store")
 
     def body(batch, batch_id):
         jobs.store_batch(batch, batch_id, target, ["hash", "event_time"])
 
-    def later(batch, batch_id):
-        jobs.store_batch(batch, batch_id + 1000, target, ["hash", "event_time"])
-
-    rows = _transactions(spark, d)
-    jobs.start(rows.unionByName(_transactions(spark, d)), checkpoint, body=body).awaitTermination()
-    jobs.start(_transactions(spark, d), again, body=later).awaitTermination()
+    _run(_repeated(topic, _event_parts(spark, d)), lambda: jobs.start(_transactions(topic), checkpoint, body=body))
     return spark.read.parquet(target).select("hash", "from_address", "to_address", "value")
 
 
 @query(f"""WITH {sql.TX} SELECT hash, c / 100.0 AS value_eth FROM tx WHERE c >= 10000
 ORDER BY ts DESC, hash LIMIT 50""")
 def stream_alert_feed(spark, d):
-    path, checkpoint = work_folder(spark, "feed"), work_folder(spark, "feed-checkpoint")
-    rows = _transactions(spark, d)
-    twice = rows.unionByName(_transactions(spark, d))
-    jobs.start(alert_ops.alerts(twice, 100), checkpoint, body=jobs.feed_body(path, 50)).awaitTermination()
+    path, checkpoint, topic = work_folder(spark, "feed"), work_folder(spark, "feed-checkpoint"), _Topic(spark, "feed")
+    _run(
+        _repeated(topic, _event_parts(spark, d)),
+        lambda: jobs.start(alert_ops.alerts(_transactions(topic), 100), checkpoint, body=jobs.feed_body(path, 50)),
+    )
     return jobs.latest_feed(spark, path).select("hash", "value_eth")
 
 
-_MARK = "mark AS (SELECT epoch(max(ts)) - 60 AS w FROM events)"
+def _to_the_end(spark, d, name: str, counted: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Windows over all events; a message from the far future closes the last ones."""
+    topic = _Topic(spark, name)
+    steps = _once(topic, _event_parts(spark, d))
+
+    def end() -> None:
+        topic.end(hash="end", timestamp=END, from_address="", to_address="", value="0", gas_price="0")
+
+    return _drain(spark, name, lambda: counted(_transactions(topic).withColumn("token_address", F.col("to_address"))), [*steps, end])
 
 
-@query(f"""WITH {sql.TX}, {_MARK}, wins AS (
+@query(f"""WITH {sql.TX}, wins AS (
   SELECT (s // 60 - i) * 60 AS start, c FROM tx, range(5) r(i))
 SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(make_timestamp(CAST(start + 300 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
        round(avg(c * 1e8) / 1e9, 6) AS average_gas_price_gwei, CAST(count(*) AS BIGINT) AS transactions
-FROM wins, mark WHERE start + 300 <= w GROUP BY start""")
+FROM wins GROUP BY start""")
 def stream_gas(spark, d):
-    return _drain(spark, jobs.gas_by_window(_transactions(spark, d), digits=6), "gas")
-
-
-def _stream_transfers(spark, d):
-    return _transactions(spark, d).withColumn("token_address", F.col("to_address"))
+    return _to_the_end(spark, d, "gas", lambda rows: jobs.gas_by_window(rows, digits=6))
 
 
-@query(f"""WITH {sql.TX}, {_MARK}, wins AS (SELECT (s // 600 - i) * 600 AS start, t FROM tx, range(6) r(i))
+@query(f"""WITH {sql.TX}, wins AS (SELECT (s // 600 - i) * 600 AS start, t FROM tx, range(6) r(i))
 SELECT strftime(make_timestamp(CAST(start AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(make_timestamp(CAST(start + 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
        t AS token_address, CAST(count(*) AS BIGINT) AS transfer_count
-FROM wins, mark WHERE start + 3600 <= w GROUP BY start, t""")
+FROM wins GROUP BY start, t""")
 def stream_trending(spark, d):
-    return _drain(spark, jobs.trending_by_window(_stream_transfers(spark, d)), "trending")
+    return _to_the_end(spark, d, "trending", jobs.trending_by_window)
 
 
-@query(f"""WITH {sql.TX}, {_MARK}
+@query(f"""WITH {sql.TX}
 SELECT strftime(make_timestamp(CAST(s // 3600 * 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS bucket_start, t AS token_address,
        CAST(count(*) AS BIGINT) AS transfer_count, sum(c) / 100.0 AS total_value
-FROM tx, mark WHERE s // 3600 * 3600 + 3600 <= w GROUP BY s // 3600, t""")
+FROM tx GROUP BY s // 3600, t""")
 def stream_trend_buckets(spark, d):
-    out = _drain(spark, jobs.trend_by_bucket(_stream_transfers(spark, d)), "buckets")
+    out = _to_the_end(spark, d, "buckets", jobs.trend_by_bucket)
     return out.withColumn("total_value", F.round(F.col("total_value") / 1e18, 2))
 
 
