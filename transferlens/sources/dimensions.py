@@ -47,8 +47,9 @@ def read_tokens(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
-    # the order of lines decides which duplicate wins; ids rise along a file and between splits
-    return spark.read.option("header", True).csv(path).withColumn("load_order", F.monotonically_increasing_id())
+    # the order of lines decides which duplicate wins: files by name, then blocks of a file, then lines of a block
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    return spark.read.option("header", True).csv(path).select("*", place.alias("load_order"))
 
 
 def read_token_csv(spark: SparkSession, path: str) -> DataFrame:

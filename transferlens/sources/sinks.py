@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transferlens import schemas
 from transferlens.sources.files import file_sizes
 
 
@@ -125,3 +126,23 @@ RECEIPT_COLUMNS = {
     "receipt_status": "status",
     "receipt_effective_gas_price": "effective_gas_price",
 }
+
+# Which columns of the wide table make up a transaction row.
+TRANSACTION_COLUMNS = {f.name: f.name for f in schemas.TRANSACTIONS}
+
+# Folder -> (table it comes from, its time column, columns kept or None for all).
+EXPORTS = {
+    "blocks": ("blocks", "timestamp", None),
+    "logs": ("logs", "block_timestamp", None),
+    "token_transfers": ("token_transfers", "block_timestamp", None),
+    "contracts": ("contracts", "block_timestamp", None),
+    "transactions": ("transactions", "block_timestamp", TRANSACTION_COLUMNS),
+    "receipts": ("transactions", "block_timestamp", RECEIPT_COLUMNS),
+}
+
+
+def backfill_all(tables: Mapping[str, DataFrame], root: str, first: str, last: str, fmt: str = "json") -> None:
+    """Every export of ``EXPORTS`` whose table is given, a folder each; a second run replaces the same days."""
+    for name, (source, time_column, renames) in EXPORTS.items():
+        if source in tables:
+            backfill(tables[source], f"{root}/{name}", time_column, first, last, renames, fmt)

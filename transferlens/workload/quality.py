@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transferlens import schemas
 from transferlens.operators import stats
 from transferlens.operators.reciprocal import reciprocal_transfers
 from transferlens.plans import extract, quality
-from transferlens.session import stored
-from transferlens.sources.files import empty_files, file_sizes
+from transferlens.session import stored, work_folder
+from transferlens.sources.files import empty_files, file_sizes, read_json
 from transferlens.workload import frames, sql
 from transferlens.workload.batch import enriched_frame, event_flow, line_flow, whale_frame
 from transferlens.workload.catalog import query
@@ -177,10 +178,15 @@ def largest_transfers(spark, d):
 
 @query(_gate("bronze", (("receipt_gap", "<=", 0, "critical"), ("empty_files", "<=", 0, "critical")),
     f"""WITH {sql.TX}, m AS (SELECT abs(count(*) FILTER (c >= 10000) - (SELECT count(*) FROM events WHERE value >= 100)) AS receipt_gap,
-    0 AS empty_files FROM tx)"""))
+    1 AS empty_files FROM tx)"""))
 def quality_gate_bronze(spark, d):
-    events = table(spark, d, "events")
-    return quality.check_bronze(frames.event_transactions(events), frames.event_receipts(events), 100, empty_files(spark, f"{d}/events.parquet"))
+    """Receipts written as one day's JSON beside a file of no bytes, which fails the rule on empty files."""
+    events, root, day = table(spark, d, "events"), work_folder(spark, "bronze"), "2024-01-31"
+    frames.event_receipts(events).write.json(f"{root}/dt={day}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/dt={day}/part-none.json")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(path)
+    receipts = read_json(spark, root, schemas.RECEIPTS, day)
+    return quality.check_bronze(frames.event_transactions(events), receipts, 100, empty_files(spark, root, day))
 
 
 _DAY = "CAST(floor(epoch({0}) / 86400) AS BIGINT)"

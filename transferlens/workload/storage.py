@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferlens import schemas
+from transferlens.plans.day import DayConfig, run_day
 from transferlens.session import work_folder
 from transferlens.sources import files, sinks
 from transferlens.streaming import alerts as alert_ops
@@ -45,12 +50,60 @@ def read_day_range(spark, d):
     return _totals(files.read_days(spark, root, rows.schema, "dt=2024-01-10", "2024-01-19"))
 
 
-@query(_PER_DAY.format(where=""))
+@query(f"SELECT *, true AS clustered FROM ({_PER_DAY.format(where='')})")
 def clustered_layout(spark, d):
+    """Day totals, and whether the address ranges of a day's files meet at their ends only."""
     root = work_folder(spark, "clustered")
     rows = _days(spark, d)
-    sinks.write_clustered(rows, root, "from_address", "block_timestamp")
-    return _totals(files.read_days(spark, root, rows.schema))
+    sinks.write_clustered(rows, root, "from_address", "block_timestamp", files=96)
+    back = files.read_days(spark, root, rows.schema)
+    per_file = back.groupBy("dt", F.col("_metadata.file_path").alias("file")).agg(
+        F.min("from_address").alias("low"), F.max("from_address").alias("high")
+    )
+    before = F.lag("high").over(Window.partitionBy("dt").orderBy("low", "high"))
+    meets = per_file.withColumn("meets", F.coalesce(F.col("low") >= before, F.lit(True)))
+    per_day = meets.groupBy(F.col("dt").cast("string").alias("dt")).agg(F.every("meets").alias("clustered"))
+    return _totals(back).join(per_day, "dt")
+
+
+_SPAN = "BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'"
+
+
+@query(f"""WITH o AS (SELECT *, CAST(o_orderdate AS DATE) AS dt FROM orders WHERE CAST(o_orderdate AS DATE) {_SPAN}),
+l AS (SELECT CAST(o_orderdate AS DATE) AS dt FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE CAST(o_orderdate AS DATE) {_SPAN})
+SELECT entity, CAST(dt AS VARCHAR) AS dt, CAST(count(*) AS BIGINT) AS n, CAST(count(k) AS BIGINT) AS keys FROM (
+  SELECT DISTINCT 'blocks' AS entity, dt, '' AS k FROM o UNION ALL SELECT 'logs', dt, '' FROM l UNION ALL SELECT 'token_transfers', dt, '' FROM l
+  UNION ALL SELECT 'contracts', dt, '' FROM o WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') UNION ALL SELECT 'transactions', dt, '' FROM o
+  UNION ALL SELECT 'receipts', dt, '' FROM o) GROUP BY 1, 2""")
+def backfill_entities(spark, d):
+    """All six exports of a span of days in one job, written twice and read back by schema."""
+    orders, lines, part = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "part")
+    wide = frames.order_transactions(orders)
+    named = wide.columns
+    missing = [f for f in schemas.TRANSACTIONS if f.name not in named]
+    wide = wide.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    wide = wide.withColumns({c: F.lit(None).cast("string") for c in sinks.RECEIPT_COLUMNS if c not in wide.columns})
+    stamps = wide.select(F.col("hash").alias("order_hash"), "block_timestamp")
+    moved = frames.line_transfers(lines, orders, part).join(stamps, "order_hash")
+    deployed = wide.where(F.coalesce("to_address", F.lit("")) == "")
+    tables = {
+        "blocks": frames.order_blocks(orders),
+        "transactions": wide.withColumn("receipt_status", F.lit(1)),
+        "token_transfers": moved.drop("order_hash"),
+        "logs": moved.select("transaction_hash", F.col("token_address").alias("address"), "block_number", "block_timestamp"),
+        "contracts": deployed.select(F.col("hash").alias("address"), "block_number", "block_timestamp"),
+    }
+    root = work_folder(spark, "backfill")
+    for _ in range(2):
+        sinks.backfill_all(tables, root, "1995-01-01", "1995-03-31")
+    key = {"blocks": "number", "logs": "address", "contracts": "address", "transactions": "hash"}
+    counts = []
+    for name in sinks.EXPORTS:
+        schema = T.StructType([*schemas.BRONZE[name].fields, T.StructField("dt", T.DateType())])
+        back = spark.read.schema(schema).json(f"{root}/{name}")
+        per_day = back.groupBy(F.lit(name).alias("entity"), F.col("dt").cast("string").alias("dt"))
+        counts.append(per_day.agg(F.count(F.lit(1)).alias("n"), F.count(key.get(name, "transaction_hash")).alias("keys")))
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(f"WITH {sql.TX} SELECT hash, f AS from_address, t AS to_address, s AS block_timestamp, CAST(c AS VARCHAR) || '0000000000000000' AS value, c * 100000000 AS gas_price FROM tx")
@@ -68,7 +121,9 @@ def json_quarantine(spark, d):
     """Lines that do not parse go to a second output; none is lost."""
     root = work_folder(spark, "json-lines")
     rows = frames.event_transactions(table(spark, d, "events"))
-    line = F.to_json(F.struct("hash", "block_timestamp", "value"))
+    # times of one kind are quoted integers, which is no reason to refuse a line
+    quoted = F.to_json(F.struct("hash", F.col("block_timestamp").cast("string").alias("block_timestamp"), "value"))
+    line = F.when(F.col("event_type") == "view", quoted).otherwise(F.to_json(F.struct("hash", "block_timestamp", "value")))
     rows.select(F.when(F.col("event_type") == "error", F.concat(line, F.lit("}{"))).otherwise(line).alias("value")).select(
         F.when(F.col("value").endswith("}{"), F.substring_index("value", "}", 1)).otherwise(F.col("value")).alias("value")
     ).write.text(root)
@@ -86,3 +141,39 @@ def alert_decode(spark, d):
     kind = F.col("event_type")
     message = F.when(kind == "error", "invalid json").when(kind == "view", full).otherwise(short)
     return alert_ops.decode(rows.select(message.alias("value"))).select("hash", F.round("value_eth", 6).alias("value_eth"))
+
+
+@query(f"""WITH {sql.TX}, whales AS (SELECT * FROM tx WHERE value >= 100 AND c >= 10000 AND event_type <> 'error')
+SELECT 'txn_enriched' AS name, CAST(count(*) AS BIGINT) AS n FROM tx UNION ALL SELECT 'whale_txns', CAST(count(*) AS BIGINT) FROM whales
+UNION ALL SELECT 'token_flow', CAST(count(*) AS BIGINT) FROM tx
+UNION ALL SELECT 'top_whales_daily', CAST(count(*) AS BIGINT) FROM (SELECT f FROM whales UNION SELECT t FROM whales) WHERE f IS NOT NULL
+UNION ALL SELECT 'token_popularity_daily', CAST(count(DISTINCT event_type) AS BIGINT) FROM tx
+UNION ALL SELECT 'check txn_enriched', 4 UNION ALL SELECT 'check token_flow', 4 UNION ALL SELECT 'check whale_txns', 4""".replace(
+    "c, event_type, ts", "c, event_type, ts, value"
+))
+def day_run(spark, d):
+    """The daily run over all events as one day's raw JSON: rows of the tables it wrote, rules its checks evaluated."""
+    root, day = work_folder(spark, "day"), "2024-01-31"
+    events = table(spark, d, "events")
+    transactions = frames.event_transactions(events)
+    blocks = transactions.groupBy(F.col("block_number").alias("number")).agg(
+        F.min("block_timestamp").alias("timestamp"), F.count(F.lit(1)).alias("transaction_count")
+    )
+    raw = {
+        "transactions": transactions.drop("event_type", "amount"),
+        "receipts": frames.event_receipts(events),
+        "blocks": blocks,
+        "token_transfers": frames.event_transfers(events).drop("block_timestamp"),
+    }
+    for name, rows in raw.items():
+        rows.write.json(f"{root}/bronze/{name}/dt={day}")
+    frames.labels(table(spark, d, "customer")).toDF("address", "name", "category").write.parquet(f"{root}/labels")
+    frames.event_tokens(events).toDF("address", "symbol", "name", "decimals").write.parquet(f"{root}/tokens")
+    config = DayConfig(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/labels", f"{root}/tokens", enforce=False)
+    rules = run_day(spark, day, config).groupBy(F.concat(F.lit("check "), "table").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    written = [f"silver/{n}" for n in schemas.SILVER] + ["gold/top_whales_daily", "gold/token_popularity_daily"]
+    counts = [
+        spark.read.parquet(f"{root}/{path}").agg(F.lit(path.split("/")[1]).alias("name"), F.count(F.lit(1)).alias("n"))
+        for path in written
+    ]
+    return reduce(DataFrame.unionByName, [*counts, rules])
