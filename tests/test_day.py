@@ -33,7 +33,7 @@ def config(spark, tmp_path):
 def test_day(spark, config):
     results = {(r.table, r.rule): r.passed for r in day.run_day(spark, f"dt={DAY}", config).collect()}
     # most of these transfers go to an exchange, which only warns
-    assert len(results) == 12 and [k for k, ok in results.items() if not ok] == [("whale_txns", "flag_rate")]
+    assert len(results) == 13 and [k for k, ok in results.items() if not ok] == [("whale_txns", "flag_rate")]
     day.run_day(spark, DAY, config)  # a second run replaces the day
     silver = {n: spark.read.parquet(f"{config.silver}/{n}") for n in schemas.SILVER}
     assert {n: df.count() for n, df in silver.items()} == {"txn_enriched": 1000, "whale_txns": 750, "token_flow": 50}

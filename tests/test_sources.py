@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transferlens import schemas
+from transferlens.operators.upsert import upsert
 from transferlens.sources import dimensions, files, sinks
 
 
@@ -38,6 +39,22 @@ def test_split_of_good_and_bad_lines(spark, tmp_path):
     assert sorted(r.hash for r in good.collect()) == ["a", "b"] and [r.raw for r in bad.collect()] == ["not json"]
 
 
+def test_split_accepts_quoted_integers_and_refuses_misfits(spark, tmp_path):
+    write_lines(str(tmp_path / "x" / "a.json"), [{"hash": "a", "gas": "12"}, {"hash": "b", "gas": "oops"}, {"hash": "c", "gas": None}])
+    good, bad = files.read_json_split(spark, str(tmp_path / "x"), schemas.TRANSACTIONS)
+    assert sorted((r.hash, r.gas) for r in good.collect()) == [("a", 12), ("c", None)]
+    assert [json.loads(r.raw)["hash"] for r in bad.collect()] == ["b"]
+
+
+def test_only_folders_of_the_days_asked_for_are_listed(spark, tmp_path):
+    root = str(tmp_path / "t")
+    write_lines(f"{root}/dt=2026-05-01/a.json", [{"hash": "a"}])
+    write_lines(f"{root}/dt=2026-05-03/a.json", [{"hash": "c"}])
+    assert [os.path.basename(f) for f in files.day_folders(spark, root, "2026-04-30", "dt=2026-05-02")] == ["dt=2026-05-01"]
+    missing = files.read_json(spark, root, schemas.TRANSACTIONS, "2026-05-02")
+    assert missing.count() == 0 and missing.columns[-1] == "dt"
+
+
 def test_empty_files_are_found(spark, tmp_path):
     root = str(tmp_path / "receipts")
     write_lines(f"{root}/a.json", [{"transaction_hash": "a"}])
@@ -46,6 +63,24 @@ def test_empty_files_are_found(spark, tmp_path):
     assert [r.bytes for r in files.file_sizes(spark, root).collect()] == [os.path.getsize(f"{root}/a.json")]
 
 
+def test_empty_files_of_one_day(spark, tmp_path):
+    root = str(tmp_path / "receipts")
+    for day in ("2026-05-01", "2026-05-02"):
+        write_lines(f"{root}/dt={day}/a.json", [{"transaction_hash": "a"}])
+        write_lines(f"{root}/dt={day}/b.json", [])
+    found = [r.path for r in files.empty_files(spark, root, "2026-05-02").collect()]
+    assert len(found) == 1 and found[0].endswith("dt=2026-05-02/b.json")
+
+
+def test_later_csv_file_wins_whatever_its_size(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    many = [f"0x{i},S{i},Name,6" for i in range(2000)]
+    write_lines(f"{folder}/1.csv", ["address,symbol,name,decimals", "0xA,OLD,First,6", *many])
+    write_lines(f"{folder}/2.csv", ["address,symbol,name,decimals", "0xa,NEW,Second,8"])
+    got = upsert(None, dimensions.read_token_csv(spark, folder), ["address"], "load_order").where("address = '0xa'").collect()
+    assert [(r.symbol, r.decimals) for r in got] == [("NEW", 8)]
+
+
 def test_write_days_replaces_only_touched_days(spark, tmp_path):
     root = str(tmp_path / "silver")
     df = spark.createDataFrame([(1, "2026-05-01"), (2, "2026-05-02")], "v int, dt string").withColumn("dt", F.to_date("dt"))
@@ -91,7 +126,6 @@ def test_dimensions(spark, tmp_path):
     assert dimensions.read_labels(spark, str(tmp_path / "none")).count() == 2
     assert dimensions.read_labels(spark, None).columns == schemas.LABELS.fieldNames()
     path = write_lines(str(tmp_path / "t" / "tokens.csv"), ["address,symbol,name,decimals", "0xA,AA,First,6", "0xB,BB,Second,x", "0xa,A2,Third,0"])
-    from transferlens.operators.upsert import upsert
 
     got = upsert(None, dimensions.read_token_csv(spark, path), ["address"], "load_order").collect()
     assert {r.address: (r.symbol, r.decimals) for r in got} == {"0xa": ("A2", 0), "0xb": ("BB", 18)}

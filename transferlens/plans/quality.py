@@ -109,6 +109,8 @@ FLOW_RULES = (
     Rule("row_count", at_least=10),
     Rule("active_tokens", at_least=1),
     Rule("wash_ratio", at_most=0.5, severity="warning"),
+    # never fails: tells how much of all transfers is of tracked tokens
+    Rule("unfiltered_retention", at_least=0.0, severity="info"),
 )
 
 
@@ -177,11 +179,25 @@ def check_flow(
     rules: Sequence[Rule] = FLOW_RULES,
     keep: Keep = None,
 ) -> DataFrame:
-    """Retention counts against the transfers of tracked tokens, the rows the flow should hold."""
-    tracked = transfers.join(tokens.select("token_address"), "token_address", "left_semi")
-    measures = _side_by_side([flow_report(flow), retention(flow, tracked), wash_summary(flow, keep)])
-    ratio = F.col("wash_transactions") / F.when(F.col("row_count") > 0, F.col("row_count"))
-    return apply_rules(measures.withColumn("wash_ratio", F.coalesce(ratio, F.lit(0.0))), "token_flow", rules)
+    """Retention counts against the transfers of tracked tokens, the rows the flow should hold.
+
+    Both source counts come from one pass over the transfers, the rows kept from the report.
+    """
+    known = tokens.select("token_address").distinct().withColumn("tracked", F.lit(True))
+    source = transfers.join(known, "token_address", "left").agg(
+        F.count("tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows")
+    )
+    measures = _side_by_side([flow_report(flow), source, wash_summary(flow, keep)])
+
+    def share(part: str, whole: str) -> Column:
+        return F.coalesce(F.col(part) / F.when(F.col(whole) > 0, F.col(whole)), F.lit(0.0))
+
+    ratios = {
+        "retention": share("row_count", "tracked_rows"),
+        "unfiltered_retention": share("row_count", "all_rows"),
+        "wash_ratio": share("wash_transactions", "row_count"),
+    }
+    return apply_rules(measures.withColumns(ratios), "token_flow", rules)
 
 
 # ---- whale transactions ----------------------------------------------------------------------

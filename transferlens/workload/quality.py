@@ -119,9 +119,9 @@ _LINE_WASH = """w AS (
 
 @query(_gate("token_flow", (
     ("retention", ">=", 0.99, "critical"), ("row_count", ">=", 10, "critical"), ("active_tokens", ">=", 1, "critical"),
-    ("wash_ratio", "<=", 0.5, "warning")),
+    ("wash_ratio", "<=", 0.5, "warning"), ("unfiltered_retention", ">=", 0.0, "info")),
     f"""WITH {sql.LINE_FLOW}, {_LINE_WASH}, m AS (SELECT *, row_count / (SELECT count(*) FROM lines) AS retention,
-    (SELECT n FROM w) / row_count AS wash_ratio FROM ({_FLOW_REPORT}))"""))
+    (SELECT n FROM w) / row_count AS wash_ratio, row_count / (SELECT count(*) FROM lineitem) AS unfiltered_retention FROM ({_FLOW_REPORT}))"""))
 def quality_gate_flow(spark, d):
     lineitem, orders, part = (table(spark, d, n) for n in ("lineitem", "orders", "part"))
     flow = stored(line_flow(spark, d), "token-flow")
@@ -273,12 +273,17 @@ def request_log_tags(spark, d):
     return log.groupBy(F.array_join("tags", ",").alias("tags")).agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest"))
 
 
-@query(f"""WITH {sql.TX} SELECT min(s // 3600) AS start_block, max(s // 3600) AS end_block, CAST(count(DISTINCT s // 3600) AS BIGINT) AS block_count,
+@query(f"""WITH {sql.TX}, size AS (SELECT CAST(sum(strlen(props) + 1) AS BIGINT) AS b FROM events)
+SELECT min(s // 3600) AS start_block, max(s // 3600) AS end_block, CAST(count(DISTINCT s // 3600) AS BIGINT) AS block_count,
   CAST(count(*) AS BIGINT) AS total_tx_in_blocks, CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS whale_count,
-  CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS receipt_count, CAST(count(*) FILTER (c >= 10000) * 15 AS BIGINT) AS compute_units FROM tx""")
+  CAST(count(*) FILTER (c >= 10000) AS BIGINT) AS receipt_count, CAST(count(*) FILTER (c >= 10000) * 15 AS BIGINT) AS compute_units,
+  max(b) AS total_bytes, round(max(b) / 1048576.0::DOUBLE, 2) AS total_mb,
+  round(max(b) / 1073741824.0::DOUBLE * {extract.PRICE_PER_GIB}, 6) AS monthly_storage_usd FROM tx, size""")
 def run_summary(spark, d):
+    """The bytes are those of the events' texts written as lines."""
     events = table(spark, d, "events")
     tx = frames.event_transactions(events)
     blocks = tx.groupBy(F.col("block_number").alias("number")).agg(F.count(F.lit(1)).alias("transaction_count"))
-    summary = extract.run_summary(blocks, tx, frames.event_receipts(events), file_sizes(spark, f"{d}/events.parquet"))
-    return summary.drop("total_bytes", "total_mb", "monthly_storage_usd")
+    lines = work_folder(spark, "lines")
+    events.select("props").write.text(lines)
+    return extract.run_summary(blocks, tx, frames.event_receipts(events), file_sizes(spark, lines))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -66,6 +67,27 @@ def clustered_layout(spark, d):
     return _totals(back).join(per_day, "dt")
 
 
+@query("""SELECT CAST(2 * sum(strlen(props) + 1) AS BIGINT) AS bytes_before, CAST(sum(strlen(props) + 1) AS BIGINT) AS bytes_after,
+  CASE WHEN count(*) > 0 THEN 50.0::DOUBLE END AS saved_pct FROM events""")
+def storage_saved(spark, d):
+    """Bytes of the events' texts stored twice and, after dropping the copies, once."""
+    before, after = work_folder(spark, "before"), work_folder(spark, "after")
+    lines = table(spark, d, "events").select("props")
+    lines.union(lines).write.text(before)
+    lines.write.text(after)
+    return sinks.saved_bytes(spark, before, after)
+
+
+@query(_PER_DAY.format(where="WHERE dt >= DATE '2024-01-16'"))
+def retention_days(spark, d):
+    """Day folders older than half a year go; the others stay as they are."""
+    root = work_folder(spark, "expiry")
+    rows = _days(spark, d)
+    sinks.write_days(rows, root)
+    sinks.drop_expired(spark, root, date(2024, 7, 16), 6)
+    return _totals(files.read_days(spark, root, rows.schema))
+
+
 _SPAN = "BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'"
 
 
@@ -148,7 +170,7 @@ SELECT 'txn_enriched' AS name, CAST(count(*) AS BIGINT) AS n FROM tx UNION ALL S
 UNION ALL SELECT 'token_flow', CAST(count(*) AS BIGINT) FROM tx
 UNION ALL SELECT 'top_whales_daily', CAST(count(*) AS BIGINT) FROM (SELECT f FROM whales UNION SELECT t FROM whales) WHERE f IS NOT NULL
 UNION ALL SELECT 'token_popularity_daily', CAST(count(DISTINCT event_type) AS BIGINT) FROM tx
-UNION ALL SELECT 'check txn_enriched', 4 UNION ALL SELECT 'check token_flow', 4 UNION ALL SELECT 'check whale_txns', 4""".replace(
+UNION ALL SELECT 'check txn_enriched', 4 UNION ALL SELECT 'check token_flow', 5 UNION ALL SELECT 'check whale_txns', 4""".replace(
     "c, event_type, ts", "c, event_type, ts, value"
 ))
 def day_run(spark, d):
