@@ -19,13 +19,19 @@ SCORE_WEIGHTS = {"tx_count": 0.55, "unique_addresses": 0.45, "total_volume": 0.0
 FLOW_BAND = 0.0001
 HIGH_FREQ_COUNT = 5
 HIGH_FREQ_SUM = 500
+SELL_BANDS = ((1.5, "STRONG_SELL_PRESSURE"), (1.0, "MILD_SELL_PRESSURE"))
+BUY_BANDS = ((0.67, "STRONG_BUY_PRESSURE"), (1.0, "MILD_BUY_PRESSURE"))
+PRESSURE_REST = "NEUTRAL"
+TREND_TOP = 20
+RISING_STEPS = ((100, "Surging"), (50, "Rising"))
+FALLING_STEPS = ((-50, "Cooling"),)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def at_least(value: Column | str, steps: Sequence[tuple[float, str]], rest: str) -> Column:
+def at_least(value: Column | str, steps: Sequence[tuple[float, str]], rest: str | None) -> Column:
     """Name of the first step whose threshold the value reaches, highest step first."""
     value, out = _col(value), F.lit(rest)
     for limit, name in sorted(steps):
@@ -33,7 +39,7 @@ def at_least(value: Column | str, steps: Sequence[tuple[float, str]], rest: str)
     return out
 
 
-def at_most(value: Column | str, steps: Sequence[tuple[float, str]], rest: str) -> Column:
+def at_most(value: Column | str, steps: Sequence[tuple[float, str]], rest: str | None) -> Column:
     """Name of the first step whose threshold the value does not exceed, lowest step first."""
     value, out = _col(value), F.lit(rest)
     for limit, name in sorted(steps, reverse=True):
@@ -106,26 +112,38 @@ def flow_ratio(deposit: Column | str, withdrawal: Column | str) -> Column:
     return F.round(deposit / F.when(withdrawal != 0, withdrawal), 4)
 
 
-def pressure_label(deposit: Column | str, withdrawal: Column | str, ratio: Column | str) -> Column:
-    """Selling pressure (more deposits) or buying pressure (more withdrawals)."""
-    deposit, withdrawal, ratio = _col(deposit), _col(withdrawal), _col(ratio)
-    one_sided = (
-        F.when(withdrawal == 0, F.when(deposit > 0, "STRONG_SELL_PRESSURE").otherwise("NEUTRAL"))
-        .when(deposit == 0, "STRONG_BUY_PRESSURE")
-    )
-    two_sided = (
-        F.when(ratio > 1.5, "STRONG_SELL_PRESSURE")
-        .when(ratio > 1.0, "MILD_SELL_PRESSURE")
-        .when(ratio < 0.67, "STRONG_BUY_PRESSURE")
-        .when(ratio < 1.0, "MILD_BUY_PRESSURE")
-    )
-    return F.coalesce(one_sided, two_sided, F.lit("NEUTRAL"))
-
+def pressure_label(
+    deposit: Column | str,
+    withdrawal: Column | str,
+    ratio: Column | str,
+    sell: Sequence[tuple[float, str]] = SELL_BANDS,
+    buy: Sequence[tuple[float, str]] = BUY_BANDS,
+    rest: str = PRESSURE_REST,
+) -> Column:
+    """Selling pressure (ratio above a band of ``sell``) or buying pressure (below a band of ``buy``).
 
-def trending_signal(change_pct: Column | str, rank: Column | str, top: int = 20) -> Column:
-    change, rank = _col(change_pct), _col(rank)
-    rising = F.when(change >= 100, "Surging").when(change >= 50, "Rising")
-    return F.coalesce(F.when(rank <= top, rising), F.when(change <= -50, "Cooling"))
+    Where only one side moved anything, it has the strongest name of that side.
+    """
+    deposit, withdrawal, ratio = _col(deposit), _col(withdrawal), _col(ratio)
+    band = F.lit(rest)
+    for limit, name in sorted(buy, reverse=True):
+        band = F.when(ratio < F.lit(limit), name).otherwise(band)
+    for limit, name in sorted(sell):
+        band = F.when(ratio > F.lit(limit), name).otherwise(band)
+    only_deposits = F.when(deposit > 0, max(sell)[1]).otherwise(rest)
+    return F.when(withdrawal == 0, only_deposits).when(deposit == 0, min(buy)[1]).otherwise(band)
+
+
+def trending_signal(
+    change_pct: Column | str,
+    rank: Column | str,
+    top: int = TREND_TOP,
+    rising: Sequence[tuple[float, str]] = RISING_STEPS,
+    falling: Sequence[tuple[float, str]] = FALLING_STEPS,
+) -> Column:
+    """Rising steps count for the first ``top`` ranks only, falling ones for all; null between them."""
+    change = _col(change_pct)
+    return F.coalesce(F.when(_col(rank) <= top, at_least(change, rising, None)), at_most(change, falling, None))
 
 
 def direction(sender: Column | str, address: str) -> Column:

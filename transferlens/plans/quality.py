@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from transferlens.functions import money
 from transferlens.operators.reciprocal import reciprocal_transfers
-from transferlens.operators.stats import distinct_of, rate, sum_where, top, variation
+from transferlens.operators.stats import rate, sum_where, top, variation
 from transferlens.schemas import REQUEST_LOG
 from transferlens.sources.files import CORRUPT
 from transferlens.streaming.messages import once
@@ -76,30 +76,48 @@ ENRICHED_RULES = (
 
 
 def enriched_report(enriched: DataFrame) -> DataFrame:
-    """Key figures of the day's transactions; one scan, plus one for the distinct addresses."""
-    count = F.count(F.lit(1))
-    figures = enriched.agg(
-        count.alias("tx_count"),
-        rate("is_success").alias("success_rate"),
-        F.avg(F.col("is_success").isNotNull().cast("int")).alias("receipt_coverage"),
-        F.avg(F.col("tx_fee_eth").cast("double")).alias("avg_fee_eth"),
-        F.sum(F.col("value_eth").cast("double")).alias("total_eth"),
-        F.count_if("is_contract_call").alias("call_count"),
-        F.count_if("is_contract_deploy").alias("deploy_count"),
-        F.count_if(F.col("tx_type") == "eip1559").alias("eip1559_count"),
+    """Key figures of the day's transactions, from one evaluation of ``enriched``.
+
+    Every transaction becomes one row per side, so that its addresses are counted beside its figures, which only
+    the sender's row carries. A missing address counts as one more.
+    """
+    sides = F.array(
+        F.struct(F.lit(True).alias("once"), F.col("from_address").alias("address")),
+        F.struct(F.lit(False).alias("once"), F.col("to_address").alias("address")),
     )
-    rows = F.when(F.col("tx_count") > 0, F.col("tx_count"))
-    shares = {
-        "call_pct": F.round(F.col("call_count") / rows * 100, 2),
-        "eip1559_pct": F.coalesce(F.round(F.col("eip1559_count") / rows * 100, 2), F.lit(0.0)),
-    }
-    addresses = distinct_of(enriched, ["from_address", "to_address"], "active_addresses")
-    return _side_by_side([figures.withColumns(shares), addresses])
+    rows = enriched.select("is_success", "tx_fee_eth", "value_eth", "is_contract_call", "is_contract_deploy", "tx_type", F.inline(sides))
+
+    def only(value: Column) -> Column:
+        return F.when(F.col("once"), value)
+
+    figures = rows.agg(
+        F.count_if("once").alias("tx_count"),
+        rate(only(F.col("is_success"))).alias("success_rate"),
+        rate(only(F.col("is_success").isNotNull())).alias("receipt_coverage"),
+        F.avg(only(F.col("tx_fee_eth").cast("double"))).alias("avg_fee_eth"),
+        F.sum(only(F.col("value_eth").cast("double"))).alias("total_eth"),
+        F.count_if(only(F.col("is_contract_call"))).alias("call_count"),
+        F.count_if(only(F.col("is_contract_deploy"))).alias("deploy_count"),
+        F.count_if(only(F.col("tx_type") == "eip1559")).alias("eip1559_count"),
+        F.count_distinct("address").alias("named"),
+        F.coalesce(F.max(F.col("address").isNull().cast("long")), F.lit(0)).alias("nameless"),
+    )
+    count = F.when(F.col("tx_count") > 0, F.col("tx_count"))
+    figures = figures.withColumns(
+        {
+            "call_pct": F.round(F.col("call_count") / count * 100, 2),
+            "eip1559_pct": F.coalesce(F.round(F.col("eip1559_count") / count * 100, 2), F.lit(0.0)),
+            "active_addresses": F.col("named") + F.col("nameless"),
+        }
+    )
+    return figures.drop("named", "nameless")
 
 
 def check_enriched(enriched: DataFrame, source: DataFrame, rules: Sequence[Rule] = ENRICHED_RULES) -> DataFrame:
-    measures = _side_by_side([enriched_report(enriched), retention(enriched, source)])
-    return apply_rules(measures, "txn_enriched", rules)
+    """The rows kept are the report's own count, so ``enriched`` is evaluated once."""
+    measures = _side_by_side([enriched_report(enriched), _rows(source, "source_rows")])
+    share = F.col("tx_count") / F.when(F.col("source_rows") > 0, F.col("source_rows"))
+    return apply_rules(measures.withColumn("retention", F.coalesce(share, F.lit(0.0))), "txn_enriched", rules)
 
 
 # ---- token flow ------------------------------------------------------------------------------
