@@ -8,7 +8,7 @@ of its directory. A document without its own licence inherits from the nearest a
 
 Inverse document frequencies of the templates' terms come from all documents: a term counts in each document that has it. Terms of no
 template have the largest frequency weight. Equal segments are scored once, equal directories resolved once. Only the templates'
-terms (a few hundred) are broadcast.
+terms (a few hundred) and directories with over ``LARGE`` of all rows (at most 1 / LARGE) are broadcast.
 
 Defined cases: null and empty texts have no header and may inherit. A null path has no directory. Of several licence files of a
 directory the most similar decides, then the smallest path; of several headers the most similar, then the first name.
@@ -28,6 +28,8 @@ from transferlens.session import stored
 WINDOW = 48
 LIMIT = 0.55
 FILE_LIMIT = 0.7
+#: A directory with more than this share of all rows is large; there are at most 1 / LARGE of them.
+LARGE = 0.005
 CUES = r"(?i)licen[sc]|copyright|spdx|permission is hereby|redistribut|public domain|creative commons|free software"
 FILE_NAMES = r"(?i)(?:^|/)(?:licen[sc]e|copying|notice|unlicense)[^/]*$"
 # Notices of public licences.
@@ -137,10 +139,17 @@ def _inherited(rows: DataFrame) -> DataFrame:
     given = given.agg(F.min_by(F.struct("own_license", "path"), F.struct(-F.col("similarity"), "path")).alias("given"))
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-    dirs = rows.select("dir").filter(F.col("dir").isNotNull()).distinct()
-    steps = dirs.select("dir", F.posexplode(F.array_distinct(above)).alias("depth", "above"))
-    nearest = steps.join(given, "above").groupBy("dir").agg(F.max_by("given", "depth").alias("given"))
-    out = rows.join(nearest, "dir", "left")
+    sizes = rows.filter(F.col("dir").isNotNull()).groupBy("dir").count()
+    steps = sizes.select("dir", F.posexplode(F.array_distinct(above)).alias("depth", "above"))
+    nearest = stored(steps.join(given, "above").groupBy("dir").agg(F.max_by("given", "depth").alias("given")), "licenses-nearest")
+    # a large directory's rows stay where they are and meet the few large directories by broadcast
+    large = sizes.filter(F.col("count") > LARGE * rows.count()).select("dir", F.lit(True).alias("large"))
+    large = stored(large, "licenses-large")
+    sized = rows.join(F.broadcast(large), "dir", "left")
+    stay = sized.filter(F.col("large") | F.col("dir").isNull())
+    few = F.broadcast(nearest.join(F.broadcast(large), "dir", "left_semi"))
+    others = sized.filter(F.col("large").isNull() & F.col("dir").isNotNull())
+    out = stay.join(few, "dir", "left").unionByName(others.join(nearest, "dir", "left"))
     inherits = F.col("own_license").isNull()
     return out.select(
         "doc_id",
