@@ -40,7 +40,10 @@ def test_day(spark, config):
     assert silver["token_flow"].where("block_timestamp is null").count() == 5  # block 9 is unknown, its rows stay
     for name, df in silver.items():
         assert set(df.columns) == set(schemas.SILVER[name].fieldNames())
-    gold = {n: spark.read.parquet(f"{config.gold}/{n}").count() for n in ("top_whales_daily", "market_flow_hourly", "token_popularity_daily", "token_popularity_hourly")}
+    tables = {n: spark.read.parquet(f"{config.gold}/{n}") for n in schemas.GOLD}
+    for name, df in tables.items():
+        assert {f.name: f.dataType for f in df.schema} == {f.name: f.dataType for f in schemas.GOLD[name]}
+    gold = {n: df.count() for n, df in tables.items()}
     assert gold["token_popularity_daily"] == 1 and gold["top_whales_daily"] == 9 and all(gold.values())
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transferlens import schemas
 from transferlens.functions import classify, money, timeparts
 from transferlens.operators.labels import with_labels
 
@@ -57,23 +58,7 @@ def token_flow(
             "amount": money.token_amount("value", "decimals"),
         }
     )
-    return with_labels(flow, labels).select(
-        "transaction_hash",
-        "block_timestamp",
-        "hour",
-        "dt",
-        "token_address",
-        "symbol",
-        "token_name",
-        "from_address",
-        "from_label",
-        "from_category",
-        "to_address",
-        "to_label",
-        "to_category",
-        "amount",
-        *extra,
-    )
+    return with_labels(flow, labels).select(*schemas.TOKEN_FLOW.fieldNames(), *extra)
 
 
 # Fixed value: topic that marks a token transfer log.

@@ -6,13 +6,19 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from transferlens import schemas
 from transferlens.functions import classify
 from transferlens.operators.labels import dominant
 from transferlens.operators.ranking import with_rank
 from transferlens.operators.stats import signed_flow
 
 
+def _columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*schema.fieldNames())
+
+
 def _sides(whales: DataFrame) -> DataFrame:
     """Each transfer as two rows: its sender's and its receiver's."""
 
@@ -78,25 +84,11 @@ def top_whales_daily(
     entities = dominant(
         named, ["address", "dt"], ["entity_name", "entity_category"], F.col("entity_name") == classify.UNKNOWN
     )
-    return days.join(entities, ["address", "dt"], "left").select(
-        "dt",
-        "address",
-        "entity_name",
-        "entity_category",
-        classify.tier("total_activity_eth", tiers).alias("whale_tier"),
-        classify.position_label("net_flow_eth").alias("position_label"),
-        "net_flow_eth",
-        "total_sent_eth",
-        "total_recv_eth",
-        "total_activity_eth",
-        "total_tx_count",
-        "tx_count_as_sender",
-        "tx_count_as_receiver",
-        "rank_accumulator",
-        "rank_dumper",
-        "rank_activity",
-        "flag_high_freq",
-    )
+    labels = {
+        "whale_tier": classify.tier("total_activity_eth", tiers),
+        "position_label": classify.position_label("net_flow_eth"),
+    }
+    return _columns(days.join(entities, ["address", "dt"], "left").withColumns(labels), schemas.TOP_WHALES_DAILY)
 
 
 def market_flow_hourly(whales: DataFrame) -> DataFrame:
@@ -116,18 +108,9 @@ def market_flow_hourly(whales: DataFrame) -> DataFrame:
         {"cex_deposit_eth": total_of("CEX_DEPOSIT"), "cex_withdrawal_eth": total_of("CEX_WITHDRAWAL")}
     )
     ratio = classify.flow_ratio("cex_deposit_eth", "cex_withdrawal_eth")
-    return sides.withColumn("deposit_withdrawal_ratio", ratio).select(
-        "dt",
-        "hour",
-        "flow_type",
-        "total_eth",
-        "cex_deposit_eth",
-        "cex_withdrawal_eth",
-        "deposit_withdrawal_ratio",
-        classify.pressure_label("cex_deposit_eth", "cex_withdrawal_eth", "deposit_withdrawal_ratio").alias(
-            "pressure_label"
-        ),
-    )
+    rated = sides.withColumn("deposit_withdrawal_ratio", ratio)
+    pressure = classify.pressure_label("cex_deposit_eth", "cex_withdrawal_eth", "deposit_withdrawal_ratio")
+    return _columns(rated.withColumn("pressure_label", pressure), schemas.MARKET_FLOW_HOURLY)
 
 
 def _scaled(column: str) -> Column:
@@ -158,20 +141,11 @@ def token_popularity_daily(
     score = sum((_scaled(c) * F.lit(w) for c, w in weights.items()), F.lit(0.0))
     scored = scored.withColumn("popularity_score", F.round(score, 4)).select(*tokens.columns, "popularity_score")
     ranked = with_rank(scored, ["dt"], "popularity_score", None, "rank_popularity")
-    return ranked.select(
-        "dt",
-        "token_address",
-        "symbol",
-        "token_name",
-        "rank_popularity",
-        classify.popularity_tier("rank_popularity").alias("popularity_tier"),
-        "popularity_score",
-        "tx_count",
-        "total_volume",
-        "unique_addresses",
-        "cex_net_flow",
-        classify.cex_flow_label("cex_net_flow").alias("cex_flow_label"),
-    )
+    labels = {
+        "popularity_tier": classify.popularity_tier("rank_popularity"),
+        "cex_flow_label": classify.cex_flow_label("cex_net_flow"),
+    }
+    return _columns(ranked.withColumns(labels), schemas.TOKEN_POPULARITY_DAILY)
 
 
 def token_popularity_hourly(flow: DataFrame, dense: bool = False) -> DataFrame:
@@ -194,15 +168,5 @@ def token_popularity_hourly(flow: DataFrame, dense: bool = False) -> DataFrame:
     change = (F.col("tx_count") - F.col("__prev")) / F.when(F.col("__prev") > 0, F.col("__prev")) * 100
     trend = hours.withColumn("__prev", previous).withColumn("tx_count_change_pct", F.round(change, 2)).drop("__prev")
     ranked = with_rank(trend, ["dt", "hour"], "tx_count", None, "rank_by_tx_count")
-    return ranked.select(
-        "dt",
-        "hour",
-        "token_address",
-        "symbol",
-        "rank_by_tx_count",
-        "tx_count",
-        "total_volume",
-        "tx_count_change_pct",
-        "cex_net_flow",
-        classify.trending_signal("tx_count_change_pct", "rank_by_tx_count").alias("trending_signal"),
-    )
+    signal = classify.trending_signal("tx_count_change_pct", "rank_by_tx_count")
+    return _columns(ranked.withColumn("trending_signal", signal), schemas.TOKEN_POPULARITY_HOURLY)

@@ -13,6 +13,9 @@ _TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "decimal(38,18)": T.DecimalType(38, 18),
+    "decimal(38,4)": T.DecimalType(38, 4),
+    "decimal(28,6)": T.DecimalType(28, 6),
+    "decimal(25,4)": T.DecimalType(25, 4),
     "array<string>": T.ArrayType(T.StringType()),
 }
 
@@ -80,6 +83,33 @@ TOKEN_FLOW = _schema(
 )
 SILVER = {"txn_enriched": ENRICHED, "whale_txns": WHALES, "token_flow": TOKEN_FLOW}
 
+TOP_WHALES_DAILY = _schema(
+    "dt date, address string, entity_name string, entity_category string, whale_tier string, "
+    "position_label string, net_flow_eth decimal(28,6), total_sent_eth decimal(38,18), "
+    "total_recv_eth decimal(38,18), total_activity_eth decimal(28,6), total_tx_count bigint, "
+    "tx_count_as_sender bigint, tx_count_as_receiver bigint, rank_accumulator bigint, rank_dumper bigint, "
+    "rank_activity bigint, flag_high_freq boolean"
+)
+MARKET_FLOW_HOURLY = _schema(
+    "dt date, hour int, flow_type string, total_eth decimal(25,4), cex_deposit_eth decimal(38,4), "
+    "cex_withdrawal_eth decimal(38,4), deposit_withdrawal_ratio double, pressure_label string"
+)
+TOKEN_POPULARITY_DAILY = _schema(
+    "dt date, token_address string, symbol string, token_name string, rank_popularity bigint, "
+    "popularity_tier string, popularity_score double, tx_count bigint, total_volume double, "
+    "unique_addresses bigint, cex_net_flow double, cex_flow_label string"
+)
+TOKEN_POPULARITY_HOURLY = _schema(
+    "dt date, hour int, token_address string, symbol string, rank_by_tx_count bigint, tx_count bigint, "
+    "total_volume double, tx_count_change_pct double, cex_net_flow double, trending_signal string"
+)
+GOLD = {
+    "top_whales_daily": TOP_WHALES_DAILY,
+    "market_flow_hourly": MARKET_FLOW_HOURLY,
+    "token_popularity_daily": TOKEN_POPULARITY_DAILY,
+    "token_popularity_hourly": TOKEN_POPULARITY_HOURLY,
+}
+
 LABELS = _schema("address string, label_name string, label_category string")
 TOKENS = _schema("token_address string, symbol string, token_name string, decimals int")
 
