@@ -235,17 +235,24 @@ def _by_bits(levels: list[Level], deepest: int, grams: np.ndarray) -> np.ndarray
 def text_bits(levels: list[Level], texts: list[bytes], depth: int) -> np.ndarray:
     """log2 probability of each serialized text, of at most 2 ** 24 bytes in all."""
     grams, starts = _grams(texts, depth)
-    # equal grams side by side: sorted by 40 bits of a hash, with the place in the low 24 bits
-    mixed = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24) << np.uint64(24)
+    # equal grams side by side: sorted by 40 bits of a hash, with the place in the low 24 bits; in place, as these arrays are a
+    # worker's largest
+    mixed = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed >>= np.uint64(24)
+    mixed <<= np.uint64(24)
     mixed |= np.arange(len(grams), dtype=np.uint64)
     mixed.sort()
-    place = (mixed & np.uint64((1 << 24) - 1)).astype(np.int64)
+    mixed &= np.uint64((1 << 24) - 1)
+    place = mixed.view(np.int64)
     ordered = grams[place]
+    del grams, mixed
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    own = np.sort(ordered[first])
-    bits = gram_bits(levels, own)[np.searchsorted(own, ordered[first])]
-    values = np.empty(len(grams))
-    values[place] = np.repeat(bits, np.diff(np.append(first, len(grams))))
+    distinct = ordered[first]
+    del ordered
+    own = np.sort(distinct)
+    bits = gram_bits(levels, own)[np.searchsorted(own, distinct)]
+    values = np.empty(len(place))
+    values[place] = np.repeat(bits, np.diff(np.append(first, len(place))))
     return np.add.reduceat(values, starts)
 
 
