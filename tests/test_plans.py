@@ -281,7 +281,8 @@ def test_quality_gates(spark):
     tokens = spark.createDataFrame([("t", "T", "t", 0)], schemas.TOKENS)
     raw = flow.select("token_address").unionByName(spark.createDataFrame([("untracked",)] * 5, "token_address string"))
     results = quality.check_flow(flow, raw, tokens)
-    assert passed(results) == {"retention": (True, "critical"), "row_count": (True, "critical"), "active_tokens": (True, "critical"), "wash_ratio": (False, "warning")}
+    assert passed(results) == {"retention": (True, "critical"), "row_count": (True, "critical"), "active_tokens": (True, "critical"), "wash_ratio": (False, "warning"), "unfiltered_retention": (True, "info")}
+    assert {r.rule: r.value for r in results.collect()}["unfiltered_retention"] == pytest.approx(10 / 15, abs=1e-6)
     quality.enforce(results)  # warnings do not raise
 
     none = whale_frame(spark, [("1", 1, "a", None, 5, True)]).where("hash = 'x'")
