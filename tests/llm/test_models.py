@@ -187,6 +187,23 @@ def test_scores_in_spark(spark, word_share):
     assert held
 
 
+@pytest.mark.parametrize("depth", [2, 6])
+def test_rare_contexts_count(spark, monkeypatch, depth):
+    monkeypatch.setattr(ctw, "_BLOCK", 1 << 16, raising=False)
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(3000)]
+    rows = [(k, " ".join(rng.choices(vocabulary, k=rng.randint(0, 300)))) for k in range(500)] + [(None, None), (2**60 + 1, "zz top")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = [ctw.serialized(t, depth) for k, t in rows if k is None or k % 5]
+    assert sum(map(len, learn)) > 250_000
+    grams, counts = ctw.count_grams(learn, depth)
+    levels = ctw.weigh([(g, c) for _, g, c in ctw.all_depths(grams, counts, depth)][::-1])
+    want = dict(zip([k for k, _ in rows], ctw.text_bits(levels, [ctw.serialized(t, depth) for _, t in rows], depth) * math.log10(2), strict=True))
+    scored, _ = ctw.language_model_scores(docs, F.coalesce(F.col("doc_id") % 5 != 0, F.lit(True)), depth=depth)
+    got = {r["doc_id"]: r["score"] for r in scored.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
+
+
 def test_no_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     scored, model = ctw.language_model_scores(docs, F.lit(False), depth=2)

@@ -7,11 +7,12 @@ the weighted probability of a context is half its own block probability plus hal
 it. Scoring uses the conditional probabilities that follow from the trained weights along the path of contexts; it starts at the
 deepest context in which the decision was seen. The code length of a byte is -log2 of its probability.
 
-Counts: each task counts the grams of 1 to ``depth`` + 1 bytes of its training texts with numpy; they are shuffled by context
-and added up over the whole corpus, so what is gathered grows with the corpus and nothing is sampled. The delivered tree keeps the
-contexts that hold at least ``least_share`` of all training bytes: at most 1 / least_share contexts of each depth, whatever
-the size of the corpus, which is the proven bound of what is broadcast. The contexts that are not kept are one more child of their
-parent in the weights, and are scored with their parent, as unseen ones are.
+Counts: each task counts the grams of ``depth`` + 1 bytes of its training texts with numpy; they are shuffled and added up over
+the whole corpus. No context is dropped, however rare. The tree is dealt out by the last ``SUFFIX`` bytes of the contexts: all
+that extend such a suffix are in one part. A first pass weighs each part from its leaves up to its suffixes; the driver weighs what
+is above (contexts of up to ``SUFFIX`` bytes, so their number is bounded by the alphabet and not by the corpus); a second pass
+carries these weights down each part and scores the distinct grams that the texts ask for. Texts are dealt into blocks of about
+``_BLOCK`` bytes; a block asks once for each of its grams and gets its own answers back.
 
 The base score needs the exact count of every training word. Words with at least ``word_share`` of all tokens (at most 1 /
 word_share of them) are broadcast; a text's other words leave the task as hashes and are joined with the counts of all words.
@@ -23,28 +24,33 @@ Repeated rows are scored and counted each. Rows without an id belong to the lear
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transferlens.llm.common import words_of
 from transferlens.session import stored
 
 DEPTH = 6
-LEAST_SHARE = 4e-6
+#: Bytes at the end of a context by which the tree is dealt out.
+SUFFIX = 3
 WORD_SHARE = 2e-7
 END = b"\n"
 #: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
 _CHUNK = 1 << 21
 _FLUSH = 1 << 20
 _WORDS = 1 << 17
+#: Bytes of text in a block, and distinct grams in a part of the tree.
+_BLOCK = 1 << 25
+_PART = 1 << 18
+#: Spreads the suffixes over the parts.
+_SPREAD = 0x9E3779B1
 #: Hash of the end token; words hash to something else.
 END_HASH = 0
 
@@ -151,15 +157,18 @@ def _nodes(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return key[order], np.concatenate(zeros)[order], np.concatenate(ones)[order]
 
 
-def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
-    """The tree from the kept grams of each depth 0.. (sorted, with counts)."""
+def _climb(tables: list[tuple[np.ndarray, np.ndarray]], top: int = 0, leaves: np.ndarray | None = None) -> tuple[list, list, list, list, np.ndarray]:
+    """From the grams of each depth from ``top`` on (sorted, with counts): nodes, blocks, places of parents, log products over what
+    extends a node, and the log weighted probabilities of the shallowest nodes. ``leaves`` are those of the deepest, if known."""
     nodes = [_nodes(g, c) for g, c in tables if len(g)]
     blocks = [_block(z, o) for _, z, o in nodes]
     above: list[np.ndarray] = []  # of each depth, the place of each node's parent
     for d in range(1, len(nodes)):
-        parent = (nodes[d][0] >> 8 & _mask(d - 1)) << 8 | nodes[d][0] & 255
+        parent = (nodes[d][0] >> 8 & _mask(top + d - 1)) << 8 | nodes[d][0] & 255
         above.append(np.searchsorted(nodes[d - 1][0], parent))
     weighted, children = blocks[-1] if nodes else np.zeros(0), [np.zeros(0)] * len(nodes)
+    if leaves is not None:
+        weighted = leaves
     for d in range(len(nodes) - 2, -1, -1):
         key, zeros, ones = nodes[d]
         size = len(key)
@@ -167,8 +176,16 @@ def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
         children[d] = np.bincount(above[d], weights=weighted, minlength=size) + _block(np.maximum(rest[0], 0), np.maximum(rest[1], 0))
         extended = np.bincount(above[d], minlength=size) > 0
         weighted = np.where(extended, np.logaddexp(blocks[d], children[d]) - math.log(2), blocks[d])
-    del weighted
-    levels, share, base = [], None, None
+    return nodes, blocks, above, children, weighted
+
+
+def _descend(
+    tables: list[tuple[np.ndarray, np.ndarray]], nodes: list, blocks: list, above: list, children: list, entry: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[list[Level], tuple[np.ndarray, np.ndarray]]:
+    """The levels, and what enters the deepest: the share left to each node, and the probability that its ancestors have given.
+    ``entry`` is what enters the shallowest. Uses up the lists."""
+    levels, share, base = [], *(entry or (None, None))
+    enters = (np.ones(0), np.zeros(0))
     for d in range(len(nodes)):
         key, zeros, ones = nodes[d]
         own = (ones + 0.5) / (zeros + ones + 1)
@@ -176,8 +193,9 @@ def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
         if d:
             share, base = share[above[d - 1]], base[above[d - 1]]
             above[d - 1] = None
-        else:
+        elif share is None:
             share, base = np.ones(len(key)), np.zeros(len(key))
+        enters = share, base
         result = (base + share * own).astype(np.float32)
         if d + 1 < len(children):
             ratio = np.exp(np.clip(blocks[d] - children[d], -700, 700))  # of the node itself against what extends it
@@ -190,7 +208,12 @@ def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
             p = result[np.searchsorted(key, node)]
             bits += np.log2(np.where(grams >> (7 - k) & 1, p, 1 - p))
         levels.append(Level(grams, bits, np.unique(grams >> 8), key, result))
-    return levels
+    return levels, enters
+
+
+def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
+    """The tree from the grams of each depth 0.. (sorted, with counts)."""
+    return _descend(tables, *_climb(tables)[:4])[0]
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,6 +257,11 @@ def _by_bits(levels: list[Level], deepest: int, grams: np.ndarray) -> np.ndarray
 
 def text_bits(levels: list[Level], texts: list[bytes], depth: int) -> np.ndarray:
     """log2 probability of each serialized text, of at most 2 ** 24 bytes in all."""
+    return _sums(texts, depth, lambda grams: gram_bits(levels, grams))
+
+
+def _sums(texts: list[bytes], depth: int, bits_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over each text's grams; ``bits_of`` gets distinct grams, ascending."""
     grams, starts = _grams(texts, depth)
     # equal grams side by side: sorted by 40 bits of a hash, with the place in the low 24 bits; in place, as these arrays are a
     # worker's largest
@@ -250,7 +278,7 @@ def text_bits(levels: list[Level], texts: list[bytes], depth: int) -> np.ndarray
     distinct = ordered[first]
     del ordered
     own = np.sort(distinct)
-    bits = gram_bits(levels, own)[np.searchsorted(own, distinct)]
+    bits = bits_of(own)[np.searchsorted(own, distinct)]
     values = np.empty(len(place))
     values[place] = np.repeat(bits, np.diff(np.append(first, len(place))))
     return np.add.reduceat(values, starts)
@@ -287,7 +315,8 @@ _WORD = -1
 
 
 def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """(d, gram, n): grams of every depth, words (d = -1, by hash) and ends, added up over all rows."""
+    """(d, gram, n): grams of the full depth and of the suffixes, words (d = -1, by hash) and ends, added up over all rows."""
+    top = min(SUFFIX, depth)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[bytes, int] = {}
@@ -306,8 +335,9 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
             gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
             keys.clear()
             counts.clear()
-            for d, g, c in all_depths(gram, n, depth):
-                yield from frame(d, g, c)
+            for d, g, c in islice(all_depths(gram, n, depth), depth - top + 1):
+                if d in (depth, top):
+                    yield from frame(d, g, c)
 
         for part in parts:
             values = part.column(0)
@@ -337,34 +367,61 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
 @dataclass
 class Model:
     depth: int
-    levels: list[Level]
+    levels: list[Level]  # above the suffixes
+    nodes: np.ndarray  # of the suffixes, ascending
+    share: np.ndarray  # what enters these nodes from above
+    base: np.ndarray
+    parts: int
     tokens: int  # N
     distinct: int  # V
     words: np.ndarray  # hashes of the frequent words, ascending
     counts: np.ndarray
 
 
-def train(table: DataFrame, *, depth: int = DEPTH, least_share: float = LEAST_SHARE, word_share: float = WORD_SHARE) -> Model:
-    """The bounded model of a table of counts (stored)."""
-    sums = table.filter(F.col("d").isin(0, _WORD)).groupBy("d").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
+def _part_column(parts: int, top: int) -> Column:
+    suffix = F.shiftright("gram", 8).bitwiseAND(F.lit(_mask(top)).cast("long"))
+    return F.shiftright(suffix * F.lit(_SPREAD).cast("long"), 20) % F.lit(parts).cast("long")
+
+
+def _part_numbers(grams: np.ndarray, parts: int, top: int) -> np.ndarray:
+    return ((grams >> 8 & _mask(top)) * _SPREAD >> 20) % parts
+
+
+def _part(batches: list[pa.RecordBatch], depth: int, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Grams and counts of the depths from ``top`` on, from those of the full depth."""
+    if not batches:
+        return []
+    gram, n = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("gram", "n"))
+    return [(g, c) for _, g, c in islice(all_depths(*_summed(gram, n), depth), depth - top + 1)][::-1]
+
+
+def train(table: DataFrame, *, depth: int = DEPTH, word_share: float = WORD_SHARE) -> Model:
+    """The model of a table of counts (stored)."""
+    top = min(SUFFIX, depth)
+    sums = table.groupBy("d").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()
     totals = {r["d"]: (r["n"], r["k"]) for r in sums}
-    size, (tokens, distinct) = totals.get(0, (0, 0))[0], totals.get(_WORD, (0, 0))
-    floor = max(1, math.ceil(least_share * size))
-    grams = table.filter(F.col("d") >= 0).withColumn("context", F.shiftright("gram", 8))
-    frequent = grams.groupBy("d", "context").agg(F.sum("n").alias("total")).filter(F.col("total") >= floor).select("d", "context")
-    found = grams.join(F.broadcast(frequent), ["d", "context"], "left_semi").select("d", "gram", "n").toArrow()
-    depths, grams, counts = (found[c].to_numpy() for c in ("d", "gram", "n"))
-    tables = []
-    for d in range(depth + 1):
-        own = np.flatnonzero(depths == d)
-        own = own[np.argsort(grams[own], kind="stable")]
-        tables.append((grams[own], counts[own]))
-    del found, depths, grams, counts
+    tokens, distinct = totals.get(_WORD, (0, 0))
+    parts = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(totals.get(depth, (0, 0))[1] / _PART))
+
+    def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _part([b for b in batches if b.num_rows], depth, top)
+        if tables:
+            nodes, _, _, _, weighted = _climb(tables, top)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[0][0]), pa.array(weighted)], ["node", "weighted"])
+
+    deepest = table.filter(F.col("d") == depth).select("gram", "n")
+    roots = deepest.repartition(parts, _part_column(parts, top)).mapInArrow(climb, "node long, weighted double").toArrow()
+    order = np.argsort(roots["node"].to_numpy(), kind="stable")
+    found = table.filter(F.col("d") == top).select("gram", "n").toArrow()
+    tables = [(g, c) for _, g, c in all_depths(*_summed(found["gram"].to_numpy(), found["n"].to_numpy()), top)][::-1]
+    nodes, blocks, above, children, _ = _climb(tables, 0, roots["weighted"].to_numpy()[order])
+    levels, (share, base) = _descend(tables, nodes, blocks, above, children)
     least = max(1, math.ceil(word_share * tokens))
     words = table.filter((F.col("d") == _WORD) & ((F.col("n") >= least) | (F.col("gram") == END_HASH))).select("gram", "n").toArrow()
     hashes, counts = (words[c].to_numpy() for c in ("gram", "n"))
-    order = np.argsort(hashes, kind="stable")
-    return Model(depth, weigh(tables), int(tokens), int(distinct), hashes[order], counts[order])
+    by_hash = np.argsort(hashes, kind="stable")
+    suffixes = roots["node"].to_numpy()[order]
+    return Model(depth, levels[:top], suffixes, share, base, parts, int(tokens), int(distinct), hashes[by_hash], counts[by_hash])
 
 
 _SCORED = "row long, doc_id long, n_bytes long, n_tokens long, n_known long, known_score double, bits double, rare array<long>, rare_n array<long>"
@@ -374,40 +431,98 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
     """(doc_id, n_bytes, n_tokens, n_known, base_score, score, bits_per_byte) of every row; the scores are log10 probabilities."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     log_all = math.log10(model.tokens + model.distinct + 1)
-
-    def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    depth, top = model.depth, min(SUFFIX, model.depth)
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    blocks = max(1, math.ceil(size / _BLOCK))
+    parts = max(model.parts, 4 * blocks)
+
+    def asked_for(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct grams of a block, ascending; the order that puts them part by part, and the parts in that order."""
+        keys, held = [], 0
+        for _, batch in runs((serialized(t.as_py(), depth) for t in rows["text"]), depth):
+            keys.append(count_grams(batch, depth)[0])
+            held += len(keys[-1])
+            if held > 2 * _FLUSH:
+                keys, held = [_summed(np.concatenate(keys))[0]], 0
+        gram = _summed(np.concatenate(keys))[0]
+        part = _part_numbers(gram, parts, top)
+        order = np.argsort(part, kind="stable")
+        return gram, order, part[order]
+
+    def ask(rows: pa.Table) -> pa.Table:
+        gram, order, part = asked_for(rows)
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        grams = [g.tobytes() for g in np.split(gram[order], first[1:])]
+        block = np.full(len(first), rows["block"][0].as_py(), np.int64)
+        return pa.table({"part": part[first], "block": block, "grams": pa.array(grams, pa.binary())})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, tree, levels = shared.value, [], None
+
+        def grown() -> list[Level]:
+            tables = _part(tree, depth, top)
+            if not tables:
+                return own.levels
+            climbed = _climb(tables, top)[:4]
+            at = np.searchsorted(own.nodes, climbed[0][0][0])
+            return own.levels + _descend(tables, *climbed, (own.share[at], own.base[at]))[0]
+
+        for batch in batches:  # ascending by block, the tree's rows have -1
+            first = int(np.searchsorted(batch.column("block").to_numpy(), 0))
+            if first:
+                tree.append(batch.slice(0, first))
+            if first == batch.num_rows:
+                continue
+            if levels is None:
+                levels = grown()
+                tree.clear()
+            rows = batch.slice(first)
+            grams = [np.frombuffer(g.as_buffer(), dtype=np.int64) for g in rows.column("grams")]
+            distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+            bits = gram_bits(levels, distinct).astype(np.float32)[place]
+            bits = [x.tobytes() for x in np.split(bits, np.cumsum([len(g) for g in grams])[:-1])]
+            yield pa.RecordBatch.from_arrays([rows.column("part"), rows.column("block"), pa.array(bits, pa.binary())], ["part", "block", "bits"])
+
+    def score(part: pa.Table, answers: pa.Table) -> pa.Table:
         own, hashes = shared.value, {}
-        row = TaskContext.get().partitionId() << 36
         log_counts = np.log10(own.counts + 1.0)
-        for part in parts:
-            bits, sizes = np.zeros(len(part)), np.zeros(len(part), dtype=np.int64)
-            for rows, batch in runs((serialized(t, own.depth) for t in part["text"]), own.depth):
-                np.add.at(bits, rows, text_bits(own.levels, batch, own.depth))
-                np.add.at(sizes, rows, [len(t) - own.depth for t in batch])
-            out = []
-            for value in part["text"]:
-                words = words_of(value)
-                if len(hashes) > _WORDS:
-                    hashes.clear()
-                found = np.empty(len(words) + 1, dtype=np.uint64)
-                found[:-1] = [hashes.get(w) or hashes.setdefault(w, _hash(w)) for w in words]
-                found[-1] = END_HASH
-                keys = found.view(np.int64)
-                if len(own.words):
-                    at, hit = _find(own.words, keys)
-                    known, total = int(hit.sum()), float(log_counts[at[hit]].sum())
-                else:
-                    hit, known, total = np.zeros(len(keys), bool), 0, 0.0
-                rare, n = np.unique(keys[~hit], return_counts=True)
-                out.append((len(keys), known, total, rare, n))
-            tokens, known, total, rare, n = zip(*out, strict=True) if out else ((),) * 5
-            yield pd.DataFrame(
-                {"row": np.arange(row, row + len(part)), "doc_id": part["doc_id"].astype("Int64"), "n_bytes": sizes, "n_tokens": tokens}
-                | {"n_known": known, "known_score": total, "bits": bits, "rare": rare, "rare_n": n}
-            )
-            row += len(part)
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(score, _SCORED)
+        gram, order, _ = asked_for(part)
+        value = np.empty(len(gram), dtype=np.float32)
+        answers = answers.sort_by("part")
+        value[order] = np.concatenate([np.frombuffer(b.as_buffer(), dtype=np.float32) for b in answers["bits"]])
+        bits, sizes = np.zeros(len(part)), np.zeros(len(part), dtype=np.int64)
+        for rows, batch in runs((serialized(t.as_py(), depth) for t in part["text"]), depth):
+            np.add.at(bits, rows, _sums(batch, depth, lambda grams: value[np.searchsorted(gram, grams)]))
+            np.add.at(sizes, rows, [len(t) - depth for t in batch])
+        out = []
+        for text_of in part["text"]:
+            words = words_of(text_of.as_py())
+            if len(hashes) > _WORDS:
+                hashes.clear()
+            found = np.empty(len(words) + 1, dtype=np.uint64)
+            found[:-1] = [hashes.get(w) or hashes.setdefault(w, _hash(w)) for w in words]
+            found[-1] = END_HASH
+            keys = found.view(np.int64)
+            if len(own.words):
+                at, hit = _find(own.words, keys)
+                known, total = int(hit.sum()), float(log_counts[at[hit]].sum())
+            else:
+                hit, known, total = np.zeros(len(keys), bool), 0, 0.0
+            rare, n = np.unique(keys[~hit], return_counts=True)
+            out.append((len(keys), known, total, rare, n))
+        tokens, known, total, rare, n = zip(*out, strict=True)
+        row = (part["block"][0].as_py() << 36) + np.arange(len(part))
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (rare, n)]
+        columns = [pa.array(row), part["doc_id"], pa.array(sizes), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(total, pa.float64()), pa.array(bits), *lists]
+        return pa.table(columns, names=[c.split()[0] for c in _SCORED.split(", ")])
+
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
+    asked = own.groupBy("block").applyInArrow(ask, "part long, block long, grams binary")
+    tree = table.filter(F.col("d") == depth).select(_part_column(parts, top).alias("part"), F.lit(-1).cast("long").alias("block"), "gram", "n")
+    dealt = tree.unionByName(asked, allowMissingColumns=True).repartition(parts, "part").sortWithinPartitions("block")
+    answered = dealt.mapInArrow(answer, "part long, block long, bits binary")
+    rows = own.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(score, _SCORED)
     rows = stored(rows, "ctw-scored")
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("one")).select("row", F.col("one.rare").alias("gram"), F.col("one.rare_n").alias("times"))
     vocabulary = table.filter(F.col("d") == _WORD).select("gram", "n")
