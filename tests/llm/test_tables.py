@@ -66,6 +66,37 @@ def test_bands_reject_repetition_noise_and_bad_parts():
     assert quality.band(100) is None and quality.band(700) == quality.BANDS[1][1:]
 
 
+def _letters(rng, letters, size):
+    return " ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(size // 5))[:size]
+
+
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+@pytest.mark.parametrize(
+    ("letters", "sizes"),
+    [(LOWER + LOWER.upper() + "0123456789+/", (400, 800, 1500, 3000, 60_000)), (LOWER, (1500, 3000, 6000, 60_000)), ("0123456789abcdef", (4500, 12_000, 60_000))],
+)
+def test_incompressible_texts_are_out_of_band(letters, sizes):
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for size in sizes:
+        n_words, *_, repeated, ratio, _, good = quality.figures(_letters(random.Random(size), letters, size), packer)
+        assert n_words >= 50 and 2 * repeated <= n_words and not good, (size, ratio)
+
+
+def test_half_repeated_texts_are_out_of_band(spark):
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    texts = [r["text"] for r in queries.table(spark, FOLDER, "documents").select("text").collect() if r["text"]]
+    prose = [t for t in texts if (f := quality.figures(t, packer))[0] >= 50 and 2 * f[4] <= f[0]]
+    assert prose and all(quality.figures(t, packer)[-1] for t in prose)
+    for size in (1500, 3000, 6000, 20_000):
+        words = " ".join(t for t in prose if len(t) < 4000).split()[: size // 12]
+        line = words[:12]
+        text = " ".join(words + line * (len(words) * 7 // 10 // 12))
+        n_words, *_, repeated, ratio, _, good = quality.figures(text, packer)
+        assert n_words >= 50 and 2 * repeated <= n_words and not good, (size, ratio)
+
+
 # ---- shards ------------------------------------------------------------------------------------
 
 

@@ -25,9 +25,14 @@ from pyspark.sql import functions as F
 
 CHUNK = 4096
 LEVEL = 3
-#: From so many bytes on: (least ratio, largest ratio). Below the first there is no band.
-BANDS = ((256, 1.05, 2.6), (512, 1.12, 3.0), (1024, 1.2, 3.4), (2048, 1.3, 3.8), (4096, 1.4, 4.2), (8192, 1.45, 4.6), (32768, 1.5, 5.0))
-CHUNK_SHARE = 0.5
+#: From so many bytes on: (least ratio, largest ratio). Below the first there is no band. The limits lie just outside the range of the
+#: clean texts of their class; where random lower-case letters (from 1,024 bytes on) or hex digits (from 4,096 on) compress worse than all
+#: of these, between the two. Shorter ones compress like prose and are not told apart.
+BANDS = (
+    (256, 1.25, 2.1), (512, 1.4, 2.25), (724, 1.5, 2.4), (1024, 1.64, 2.6), (1448, 1.68, 2.7), (2048, 1.76, 2.85),
+    (2896, 1.87, 3.4), (4096, 1.92, 3.4), (5793, 2.0, 3.4), (8192, 2.05, 3.4), (16384, 2.1, 3.4), (32768, 2.15, 3.4),
+)
+CHUNK_SHARE = 0.2
 LEAST_WORDS = 50
 REPEATED_PERCENT = 50
 _SPACE = " \t\n\v\f\r"
