@@ -47,6 +47,16 @@ def gas_before_history(spark, d):
     return serving.gas_price(_tx(spark, d), EARLY)
 
 
+LATE = 2_000_000_000  # a window behind the last event
+
+
+@query(f"""WITH {sql.TX}
+SELECT round(coalesce(arg_max(c * 1e8, (s, hash)), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM tx WHERE s <= {LATE}""")
+def gas_after_history(spark, d):
+    """The latest known price, from the whole table."""
+    return serving.gas_price(_tx(spark, d), LATE)
+
+
 _NAMES = """x.name AS from_label, y.name AS to_label, x.category AS from_category, y.category AS to_category"""
 _JOINS = "LEFT JOIN lab x ON r.f = x.address LEFT JOIN lab y ON r.t = y.address"
 
