@@ -137,6 +137,21 @@ def test_target_bytes_odd_leaves_and_empty(spark):
 # ---- licences ----------------------------------------------------------------------------------
 
 
+def test_notices_within_longer_lines_and_over_lines(spark):
+    words = "some quite ordinary words that stand beside it here and there in one long line of plain prose".split()
+    beside = lambda notice, n: " ".join([*words[: n // 2], notice, *words[n // 2 : n]])
+    notices = {name: texts[0] for name, texts in licenses.TEMPLATES.items()}
+    rows = [(f"{name}/{n}", beside(notice, n), name) for name, notice in notices.items() for n in (0, 4, 8, 12)]
+    rows += [(f"{name}/long", " ".join([*words * 9, notice, *words * 9]), name) for name, notice in notices.items()]
+    rows += [(f"{name}/flow", "\n".join(f"{words[0]} {notice} {words[1]}".split()), name) for name, notice in notices.items()]
+    rows += [("v2", "This work is licensed under the GNU General Public License, version 2.", None), ("cc3", "Licensed under CC BY 3.0.", None)]
+    rows += [("v3", "This work is licensed under the GNU General Public License, v3.", "GPL-3.0"), ("no", "It was released under the new license.", None)]
+    rows += [(f"none/{k}", " ".join(random.Random(k).choices(words, k=30)), None) for k in range(40)]
+    docs = spark.createDataFrame([(k, t, f"d{k}/{name}") for k, (name, t, _) in enumerate(rows)], "doc_id long, text string, path string")
+    out = {r["doc_id"]: r["own_license"] for r in licenses.scan(docs, F.col("path")).collect()}
+    assert {rows[k][0]: v for k, v in out.items()} == {name: want for name, _, want in rows}
+
+
 def test_headers_files_and_inheritance(spark):
     mit = "Released under the MIT License."
     gpl = "This work is licensed under the GNU General Public License, version 3."

@@ -1,7 +1,9 @@
 """Licence scan: sparse TF-IDF cosine to templates, and inheritance by path joins, in DataFrame functions only.
 
 Texts are cut into segments: lines, and of long lines windows of ``WINDOW`` tokens that overlap by half. A segment with a cue word is a
-header, and the whole text of a document with a header is a segment too. The cosine of a segment's TF-IDF vector with
+header, and the whole text of a document with a header is a segment too. A notice within a longer line, or broken over lines, is found
+by further headers: at each anchor word of the text, for each anchor of a template, the window of the template's own length in which the
+two coincide. A header counts for a template only if it has all of that template's names and version numbers. The cosine of a segment's TF-IDF vector with
 each template's is computed by joining terms. A header with a cosine of ``LIMIT`` or more gives the document its own
 licence; a document whose whole text reaches ``FILE_LIMIT``, or that has the name of a licence file and a header, is a licence file
 of its directory. A document without its own licence inherits from the nearest ancestor directory that has such a file.
@@ -30,7 +32,11 @@ LIMIT = 0.55
 FILE_LIMIT = 0.7
 #: A directory with more than this share of all rows is large; there are at most 1 / LARGE of them.
 LARGE = 0.005
-CUES = r"(?i)licen[sc]|copyright|spdx|permission is hereby|redistribut|public domain|creative commons|free software"
+CUES = r"(?i)licen[sc]|copyright|spdx|permission\s+is\s+hereby|redistribut|public\s+domain|creative\s+commons|free\s+software"
+#: Beginnings of the words at which texts and templates are laid side by side.
+ANCHORS = ("licen", "spdx", "permission", "redistribut", "domain")
+#: Terms of a template, besides numbers, that a header must have.
+NAMES = r"^(?:[0-9]+|mit|apache|bsd|cc|by|nc|cc0|creative|commons|attribution|noncommercial|gnu|gpl|lesser|mozilla)$"
 FILE_NAMES = r"(?i)(?:^|/)(?:licen[sc]e|copying|notice|unlicense)[^/]*$"
 # Notices of public licences.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -80,17 +86,38 @@ def _vectors(segments: DataFrame, keys: list[str], idf: DataFrame, unseen: Colum
     return weighted.join(norms, keys).select(*keys, "term", (F.col("weight") / F.col("norm")).alias("weight"))
 
 
-def _segments(docs: DataFrame) -> DataFrame:
+def _versions(text: Column) -> Column:
+    """``v3`` as ``3``."""
+    return F.regexp_replace(F.lower(text), r"\bv(?=[0-9])", "")
+
+
+def _anchors(notices: list[list[str]]) -> list[tuple[str, int, int]]:
+    """(beginning of an anchor word, its place, length) of the templates' terms."""
+    return sorted({(a, at, len(words)) for words in notices for at, word in enumerate(words) for a in ANCHORS if word.startswith(a)})
+
+
+def _windows(tokens: Column, anchors: list[tuple[str, int, int]]) -> Column:
+    """The parts of ``tokens`` on which a template's anchor meets one of the text."""
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(at).alias("at"), F.lit(n).alias("n")) for a, at, n in anchors])
+    place = F.transform(tokens, lambda t, i: F.when(t.rlike("^(?:" + "|".join(ANCHORS) + ")"), i))
+    place = F.filter(place, lambda i: i.isNotNull())
+    first = lambda i, x: F.greatest(i - x["at"], F.lit(0))
+    cut = lambda i, x: F.slice(tokens, first(i, x) + 1, i - x["at"] + x["n"] - first(i, x))
+    return F.flatten(F.transform(place, lambda i: F.transform(F.filter(pairs, lambda x: F.get(tokens, i).startswith(x["a"])), lambda x: cut(i, x))))
+
+
+def _segments(docs: DataFrame, anchors: list[tuple[str, int, int]]) -> DataFrame:
     """(file, whole, segment): headers, and the whole text of files that have one."""
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(CUES))
-    rows = docs.withColumn("lines", lines).filter(F.size("lines") > 0)
-    tokens = lambda line: terms(line)
+    rows = docs.filter(F.col("text").rlike(CUES)).withColumn("lines", lines).withColumn("tokens", terms(_versions(F.col("text"))))
+    tokens = lambda line: terms(_versions(line))
     cut = lambda t: F.when(F.size(t) <= WINDOW, F.array(t)).otherwise(
         F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - WINDOW // 2, F.lit(1)), F.lit(WINDOW // 2)), lambda at: F.slice(t, at, WINDOW))
     )
     headers = F.flatten(F.transform("lines", lambda line: cut(tokens(line))))
+    headers = F.array_distinct(F.concat(headers, _windows(F.col("tokens"), anchors)) if anchors else headers)
     parts = F.transform(headers, lambda t: F.struct(F.lit(False).alias("whole"), t.alias("terms")))
-    all_parts = F.concat(parts, F.array(F.struct(F.lit(True).alias("whole"), terms(F.col("text")).alias("terms"))))
+    all_parts = F.concat(parts, F.array(F.struct(F.lit(True).alias("whole"), F.col("tokens").alias("terms"))))
     return rows.select("file", F.explode(all_parts).alias("part")).select("file", "part.whole", "part.terms").filter(F.size("terms") > 0)
 
 
@@ -100,8 +127,11 @@ def scan(
     """(doc_id, path, own_license, similarity, is_license_file, license, inherited_from) of every row."""
     spark = docs.sparkSession
     names = [(name, k, notice) for name, notices in templates.items() for k, notice in enumerate(notices)]
-    models = spark.createDataFrame(names, "license string, k int, notice string").withColumn("terms", terms(F.col("notice")))
-    vocabulary = sorted({t for r in models.select("terms").collect() for t in r["terms"]})
+    models = spark.createDataFrame(names, "license string, k int, notice string").withColumn("terms", terms(_versions(F.col("notice"))))
+    needed = F.filter(F.array_distinct("terms"), lambda t: t.rlike(NAMES))
+    models = models.withColumn("n_needed", F.size(needed))
+    notices = [r["terms"] for r in models.select("terms").collect()]
+    vocabulary = sorted({t for words in notices for t in words})
     body = whole(F.col(text))
     files = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), body.alias("text"))
     files = files.withColumn("file", F.xxhash64("path", "doc_id", "text"))
@@ -110,11 +140,12 @@ def scan(
     n = files.count()
     idf = stored(present.select("term", (F.log(F.lit(1.0 + n) / (1 + F.col("df"))) + 1).alias("idf")), "licenses-idf")
     unseen = F.log(F.lit(1.0 + n)) + 1
-    segments = stored(_segments(files).withColumn("segment", F.xxhash64("whole", F.array_join("terms", " "))), "licenses-segments")
-    distinct = segments.dropDuplicates(["segment"]).select("segment", "terms")
-    target = _vectors(models, ["license", "k"], idf, unseen).withColumnRenamed("weight", "other")
-    cosines = _vectors(distinct, ["segment"], idf, unseen).join(F.broadcast(target), "term").groupBy("segment", "license", "k")
-    cosines = cosines.agg(F.sum(F.col("weight") * F.col("other")).alias("cosine")).groupBy("segment", "license").agg(F.max("cosine").alias("cosine"))
+    segments = stored(_segments(files, _anchors(notices)).withColumn("segment", F.xxhash64("whole", F.array_join("terms", " "))), "licenses-segments")
+    distinct = segments.dropDuplicates(["segment"]).select("segment", "whole", "terms")
+    target = _vectors(models, ["license", "k", "n_needed"], idf, unseen).withColumnRenamed("weight", "other")
+    shared = _vectors(distinct, ["segment", "whole"], idf, unseen).join(F.broadcast(target), "term").groupBy("segment", "whole", "license", "k", "n_needed")
+    cosines = shared.agg(F.sum(F.col("weight") * F.col("other")).alias("cosine"), F.count_if(F.col("term").rlike(NAMES)).alias("n_found"))
+    cosines = cosines.filter(F.col("whole") | (F.col("n_found") == F.col("n_needed"))).groupBy("segment", "license").agg(F.max("cosine").alias("cosine"))
     best = cosines.groupBy("segment").agg(F.max("cosine").alias("cosine"), F.min_by("license", F.struct(-F.col("cosine"), "license")).alias("license"))
     scored = segments.select("file", "whole", "segment").distinct().join(best, "segment")
     header = F.when(~F.col("whole") & (F.col("cosine") >= LIMIT), F.struct((-F.col("cosine")).alias("cosine"), "license"))
