@@ -265,3 +265,18 @@ def test_ratio_separates_and_is_calibrated(spark):
     assert [out[300 + k] for k in range(4)] == ["allow", "block", "block", "allow"]
     assert urls.calibrated([1.0, 2.0], [-1.0, 0.0]) == pytest.approx(0.5)
     assert urls.judged(pages.limit(0), urls.rules_of("allow example.net/en/")).count() == 0
+
+
+def test_registered_name_and_query_are_judged(spark):
+    rng = random.Random(8)
+    good = ["http://www.%s%s.org/" % (rng.choice(["news", "wiki", "docs"]), rng.choice("abcdefgh") + rng.choice("abcdefgh")) for _ in range(150)]
+    good += ["http://www.org/go?to=%s%d" % (rng.choice(["news", "wiki", "docs"]), k) for k in range(60)]
+    bad = ["http://www.%s-%s.com/" % (rng.choice(["cheap", "casino"]), rng.choice("xyz") + rng.choice("xyz")) for _ in range(150)]
+    bad += ["http://casino.com/go?to=%s%d" % (rng.choice(["pills", "poker"]), k) for k in range(60)]
+    probe = ["http://www.wikiz.info/", "http://www.cheap-zz.info/", "http://www.casinoxx.info/", "http://www.info/go?to=docs7", "http://www.info/go?to=poker7#x"]
+    pages = spark.createDataFrame(list(enumerate(good + bad + probe)), "page_id long, url string")
+    out = {r["page_id"]: r for r in urls.judged(pages, urls.rules_of("allow org/")).collect()}
+    rows = [out[len(good + bad) + k] for k in range(len(probe))]
+    assert [r["verdict"] for r in rows] == ["allow", "block", "block", "allow", "block"]
+    assert len({r["ratio"] for r in rows}) == len(rows)
+    assert urls._shown("a.example.org", "/1?x", urls.named_labels(urls.rules_of("block net/, allow example.net/en/"))) == "^a/0?x$"
