@@ -70,6 +70,15 @@ def test_overlaps_equal_brute_force(spark):
     assert len(want) > 10
 
 
+def test_one_substitution_anywhere_in_an_item_of_ten_tokens(spark):
+    item = [f"w{k}" for k in range(10)]
+    items = [(1, " ".join(item)), (2, " ".join(f"v{k}" for k in range(20)))]
+    docs = [(k, " ".join(["before", *item[:k], "changed", *item[k + 1 :], "after"])) for k in range(10)]
+    rows = D.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute(docs, items)
+    assert {(r["doc_id"], r["item_id"]): (r["n_windows"], r["first_token"], r["matched_tokens"]) for r in rows} == want and len(want) == 10
+
+
 def test_repeated_rows_null_ids_and_empty_tables(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     bench = spark.createDataFrame([(1, item), (1, item), (2, item)], "item_id long, text string")

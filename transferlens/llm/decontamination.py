@@ -7,7 +7,8 @@ and in which at most ``WINDOW`` - ``LEAST`` tokens differ, so a passage is found
 
 The first mask has period 3: whatever two tokens of a window are substituted, one of its three placements in the window
 avoids both, so every overlap of ``WINDOW`` tokens with at most two substitutions is found. The second mask adds overlaps whose
-substitutions are bunched.
+substitutions are bunched. An item of ``SPAN`` tokens has one placement only; the third mask, without the end places and used for
+such items alone, finds it when its first or last token was substituted.
 
 One pass over the documents does it all: the tokens' hashes are laid side by side by ``arrays_zip``, so each row that meets the
 benchmark carries its surroundings and is verified where it is. No text is shuffled. The benchmark's hashes are broadcast only up
@@ -30,6 +31,8 @@ from transferlens.session import stored
 #: Places that count, of each mask; both span ten tokens.
 MASKS = ((0, 3, 6, 9), (0, 1, 4, 8, 9))
 SPAN = 10
+#: Of items of ``SPAN`` tokens.
+INNER = tuple(range(1, SPAN - 1))
 WINDOW = 12
 LEAST = 10
 #: Benchmark hashes up to which they are broadcast (about 160 bytes each), and found documents (about 40 bytes each).
@@ -49,14 +52,14 @@ def _lane(place: int) -> str:
     return f"t{place}".replace("-", "m")
 
 
-def _seeds(df: DataFrame, keys: list[str], at: str, size: str) -> DataFrame:
+def _seeds(df: DataFrame, keys: list[str], at: str, size: str, masks: tuple[tuple[int, ...], ...] = (*MASKS, INNER)) -> DataFrame:
     """(keys, size, at, lanes, mask, hash): every placement of every mask, with the tokens around it (null beyond the ends)."""
     gap = F.array_repeat(F.lit(None).cast("long"), WINDOW - SPAN)
     n = F.size("tokens") - (SPAN - 1)
     padded = df.filter(F.size("tokens") >= SPAN).select(*keys, n.alias("n"), F.concat(gap, "tokens", gap).alias("padded"))
     lanes = F.arrays_zip(*[F.slice("padded", k + 1, F.col("n")).alias(_lane(place)) for k, place in enumerate(LANES)])
     rows = padded.select(*keys, (F.col("n") + SPAN - 1).alias(size), F.posexplode(lanes).alias(at, "lane")).select(*keys, size, at, "lane.*")
-    hashes = [F.struct(F.lit(m).alias("mask"), F.xxhash64(F.lit(m), *[_lane(p) for p in mask]).alias("hash")) for m, mask in enumerate(MASKS)]
+    hashes = [F.struct(F.lit(m).alias("mask"), F.xxhash64(F.lit(m), *[_lane(p) for p in mask]).alias("hash")) for m, mask in enumerate(masks)]
     return rows.select("*", F.inline(F.array(*hashes)))
 
 
@@ -68,13 +71,14 @@ def overlaps(
     ``matched_tokens`` is the largest number of equal tokens in a window, ``first_token`` the first place in the document.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("tokens"))
-    seeds = _seeds(items, ["item_id"], "q", "m")
+    seeds = _seeds(items, ["item_id"], "q", "m").filter((F.col("mask") < len(MASKS)) | (F.col("m") == SPAN))
     seeds = stored(seeds.withColumnsRenamed({_lane(p): f"i_{_lane(p)}" for p in LANES}), "decontamination-seeds")
     small = seeds.count() <= BROADCAST
     texts = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), tokens(F.col(text)).alias("tokens")
     )
-    runs = _seeds(texts, ["doc_id", "text_hash"], "p", "n")
+    inner = bool(seeds.filter(F.col("mask") == len(MASKS)).head(1))
+    runs = _seeds(texts, ["doc_id", "text_hash"], "p", "n", (*MASKS, INNER) if inner else MASKS)
     hits = runs.join(F.broadcast(seeds) if small else seeds, ["mask", "hash"])
     windows = F.filter(F.array(*[_window(back) for back in range(WINDOW - SPAN + 1)]), lambda w: w["equal"] >= w["least"])
     good = hits.select("doc_id", "text_hash", "item_id", F.inline(windows)).select("doc_id", "text_hash", "item_id", "at", "equal").distinct()
