@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.llm import ctw, decontamination, licenses, packing, pii, quality, sharding, simhash, toxicity, urls
+from transferlens.llm import ctw, decontamination, licenses, packing, pii, quality, resampling, sharding, simhash, toxicity, urls, vafile, whitening
 from transferlens.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ CHECKS: dict[str, str] = {}
 # Parameters of the queries.
 TOXIC_SCORE = 0.3
 SHARDS = 16
+SEARCHED, EACH = 5, 50
 RULES = "block net/, allow example.net/en/, block example.com/de/, allow org/fr/"
 
 
@@ -124,3 +125,40 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = urls.judged(table(spark, folder, "pages").select("page_id", "url"), urls.rules_of(RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict", "ratio")
+
+
+@query()
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"), components=8)
+
+
+@query(f"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EACH} = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {SEARCHED}""")
+def op12_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % EACH == 0, k=SEARCHED)
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {_RUNS} AS t FROM documents), i AS (SELECT {_RUNS} AS t FROM benchmark),
+dw AS (SELECT doc_id, unnest(t) AS w FROM d), iw AS (SELECT unnest(t) AS w FROM i),
+steps AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+coded AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM iw)),
+b AS (SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda k: CAST('0x' || substr(h, 2 * k + 1, 2) AS BIGINT))),
+      lambda c, x: xor(c >> 8, step[xor(c % 256, x) + 1])), 4294967295) % 10000 AS bucket FROM coded, steps),
+cd AS (SELECT bucket, count(*) AS n FROM dw JOIN b USING (w) GROUP BY 1), ci AS (SELECT bucket, count(*) AS n FROM iw JOIN b USING (w) GROUP BY 1),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(ci.n, 0) + 1) * ((SELECT count(*) FROM dw) + 10000) AS DOUBLE)
+      / CAST((cd.n + 1) * ((SELECT count(*) FROM iw) + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM cd LEFT JOIN ci USING (bucket)),
+dg AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN b USING (w) JOIN g USING (bucket) GROUP BY 1),
+s AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+      + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN dg USING (doc_id)),
+e AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM s WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM s LEFT JOIN (SELECT doc_id, rank, n FROM e) USING (doc_id)""")
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.importance(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=10, least_words=20, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
