@@ -243,7 +243,8 @@ def whitened(df: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding"
     """One row per vector and component: vec_id, component, n, deviation, whitened, explained, identity_error."""
     kind = df.select(vec_id).schema[0].dataType.simpleString()
     schema = f"vec_id {kind}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    size = dimension(df, vector)
+    if not (size := dimension(df, vector)):
+        return df.sparkSession.createDataFrame([], schema)
     blocks = stored(blocks_of(df, size, vec_id=vec_id, vector=vector, scale=scale, shift=shift), "whitening-blocks")
     fit = spectrum(blocks, size, **settings)
     if fit is None or not len(fit.values):
