@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from transferlens.sources.folders import children, delete, exists
 from transferlens.streaming.alerts import alerts, encode, feed
+from transferlens.streaming.keys import BUCKETS, FOLD_EVERY, add_keys, fold_keys, index_of, key_bucket, known_keys
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], time: str = "event_time", delay: str = "10 minutes") -> DataFrame:
@@ -112,46 +113,43 @@ def ingest_delay(stored: DataFrame, width: str = "1 minute") -> DataFrame:
 # ---- storing ---------------------------------------------------------------------------------
 
 
-def _folder(spark: SparkSession, path: str):
-    """The Hadoop file system of ``path`` and the path in it."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    system, folder = _folder(spark, path)
-    return system.exists(folder)
-
-
-def _stored_days(spark: SparkSession, target: str, days: Sequence[str | None], schema: T.StructType) -> DataFrame | None:
-    """The table's rows of these days; only their folders are listed. None if there are none yet."""
-    folders = [f"{target}/dt={day or '__HIVE_DEFAULT_PARTITION__'}" for day in days]
-    present = [f for f in folders if _exists(spark, f)]
-    if not present:
-        return None
-    return spark.read.schema(schema).option("basePath", target).parquet(*present)
-
-
-def store_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str]) -> None:
-    """Writes the rows of one micro-batch whose key the table lacks.
-
-    Each batch owns the folders ``dt=*/batch=<id>``. A replay overwrites exactly those and does
-    not count its own earlier attempt as stored, so replays change nothing. A row belongs to the day of its
-    event, without a time to the day it arrived (``arrived``, if the batch has it). Only the folders of
-    days in the batch are read. ``batch`` is read twice: persist it if it is costly.
+def store_batch(
+    batch: DataFrame,
+    batch_id: int,
+    target: str,
+    keys: Sequence[str],
+    buckets: int = BUCKETS,
+    fold_every: int = FOLD_EVERY,
+    stored_at: Column | None = None,
+) -> None:
+    """Writes the rows of one micro-batch whose key the table lacks, whatever the day of the row that has it.
+
+    Each batch owns the folders ``dt=*/batch=<id>``, and of the key index ``delta/bucket=*/batch=<id>``. A replay overwrites
+    exactly those and does not count its own earlier attempt as stored, so replays change nothing. A row belongs to the day of its
+    event, without a time to the day it arrived (``arrived``, if the batch has it). Of the index only the buckets
+    that the batch's keys fall into are read. ``stored_at`` adds the time of storing. ``batch`` is read twice: persist it if it is costly.
     """
+    spark, index, keys = batch.sparkSession, index_of(target), list(keys)
     times = [F.col(c) for c in ("event_time", "arrived") if c in batch.columns]
-    rows = batch.dropDuplicates(list(keys)).withColumn("dt", F.to_date(F.coalesce(*times)))
-    days = [r["d"] for r in rows.select(F.col("dt").cast("string").alias("d")).distinct().collect()]
-    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
-    stored = _stored_days(batch.sparkSession, target, days, schema)
-    if stored is not None:
-        known = stored.where(F.col("batch") < batch_id).select(*[F.col(k).alias(f"__{k}") for k in keys])
+    rows = batch.dropDuplicates(keys).withColumn("dt", F.to_date(F.coalesce(*times)))
+    if stored_at is not None:
+        rows = rows.withColumn("stored_at", stored_at)
+    schema = rows.select(*keys).schema
+    touched = [r["b"] for r in rows.select(key_bucket(keys, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
+    known = known_keys(spark, index, schema, touched, batch_id)
+    if known is not None:
+        known = known.select(*[F.col(k).alias(f"__{k}") for k in keys])
         same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
         rows = rows.join(known, same, "left_anti")
-    rows.withColumn("batch", F.lit(batch_id).cast("long")).write.option("partitionOverwriteMode", "dynamic").partitionBy(
-        "dt", "batch"
-    ).mode("overwrite").parquet(target)
+    rows = rows.persist()
+    try:
+        own = rows.withColumn("batch", F.lit(batch_id).cast("long")).hint("rebalance", "dt")
+        own.write.option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").mode("overwrite").parquet(target)
+        add_keys(rows, index, keys, batch_id, buckets)
+    finally:
+        rows.unpersist()
+    if batch_id and batch_id % fold_every == 0:
+        fold_keys(spark, index, schema, batch_id - 1)
 
 
 def store_and_alert(
@@ -169,10 +167,12 @@ def ledger_body(
     tables: Mapping[str, tuple[str, Sequence[str]]],
     alert_sink: Callable[[DataFrame, int], None],
     threshold: float = 100,
+    **settings,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that stores every kind of row, then alerts on transactions, in one step.
 
-    ``tables`` maps a kind to its table and keys; with more than one the batch names it in ``kind``.
+    ``tables`` maps a kind to its table and keys; with more than one the batch names it in ``kind``. ``settings`` go to
+    :func:`store_batch`.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -180,7 +180,7 @@ def ledger_body(
         batch = batch.persist()
         try:
             for kind, (target, keys) in tables.items():
-                store_batch(_of_kind(batch, kind), batch_id, target, keys)
+                store_batch(_of_kind(batch, kind), batch_id, target, keys, **settings)
             # alerts come from the batch, not from the newly stored rows: after a failed alert
             # the replay must send them although their rows are already stored
             _, keys = tables["transactions"]
@@ -206,8 +206,10 @@ def file_alert_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def topic_alert_sink(fmt: str = "kafka", **options) -> Callable[[DataFrame, int], None]:
+    """Alerts appended to a topic, or to a folder in any format; a replay sends them again."""
+
     def write(alert_rows: DataFrame, batch_id: int) -> None:
-        alert_rows.write.format(fmt).options(**options).save()
+        alert_rows.write.format(fmt).options(**options).mode("append").save()
 
     return write
 
@@ -229,6 +231,30 @@ def start(
     return writer.format(fmt).option("path", path).start()
 
 
+def drain(query: StreamingQuery) -> None:
+    """Ends a running job without leaving anything behind: what has arrived is processed, then it stops."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    query.awaitTermination()
+
+
+def with_batch_metrics(stream: DataFrame, time: str = "event_time", name: str = "batch") -> DataFrame:
+    """The stream with metrics that Spark takes of every micro-batch as it runs: rows, and the first and last event time."""
+    return stream.observe(name, F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_event"), F.max(time).alias("last_event"))
+
+
+def batch_metrics(query: StreamingQuery, name: str = "batch") -> list[dict]:
+    """One entry per recent micro-batch that had input: its id, rows, event times, and milliseconds it took."""
+    out = []
+    for progress in query.recentProgress:
+        seen = (progress["observedMetrics"] or {}).get(name)
+        if seen is not None and seen["rows"]:
+            out.append({"batch": progress["batchId"], "took_ms": progress["durationMs"].get("triggerExecution"), **seen.asDict()})
+    return out
+
+
 def feed_body(path: str, size: int = 50) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body that keeps the newest alerts. Version n is built from version n-1,
     so a replay of a batch rebuilds the same version. Versions before that are dropped."""
@@ -236,16 +262,14 @@ def feed_body(path: str, size: int = 50) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = f"{path}/version={batch_id - 1}"
-        known = spark.read.schema(batch.schema).parquet(before) if batch_id and _exists(spark, before) else None
+        known = spark.read.schema(batch.schema).parquet(before) if batch_id and exists(spark, before) else None
         feed(known, batch, size).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        system, old = _folder(spark, f"{path}/version={batch_id - 2}")
-        system.delete(old, True)
+        delete(spark, f"{path}/version={batch_id - 2}")
 
     return run
 
 
 def latest_feed(spark: SparkSession, path: str) -> DataFrame:
     """The feed's newest version."""
-    system, folder = _folder(spark, path)
-    versions = [int(f.getPath().getName().split("=")[1]) for f in system.listStatus(folder) if "=" in f.getPath().getName()]
+    versions = [int(name.split("=")[1]) for name in children(spark, path) if "=" in name]
     return spark.read.parquet(f"{path}/version={max(versions)}")

@@ -9,10 +9,16 @@ from pyspark.sql import types as T
 from transferlens import schemas
 
 
-def read_topic(spark: SparkSession, fmt: str, schema: T.StructType | None = None, **options) -> DataFrame:
+def read_topic(spark: SparkSession, fmt: str, schema: T.StructType | None = None, limit: int | None = None, **options) -> DataFrame:
     """A message stream as (value, arrived). ``fmt="kafka"`` reads a topic from its start; any
-    other format is a file stream whose column ``value`` (or whole row as JSON) is the message."""
+    other format is a file stream whose column ``value`` (or whole row as JSON) is the message.
+
+    ``limit`` bounds a micro-batch: to so many messages of a topic, or so many files of a folder. A backlog then goes through
+    in several bounded batches, also with ``availableNow``.
+    """
     reader = spark.readStream.format(fmt)
+    if limit is not None:
+        options["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(limit)
     if fmt == "kafka":
         stream = reader.options(**{"startingOffsets": "earliest", **options}).load()
         return stream.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived"))

@@ -7,14 +7,16 @@ on from the checkpoint. So every query sees several micro-batches and restarts,
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from transferlens.session import work_folder
+from transferlens.session import stored, work_folder
+from transferlens.sources.folders import children, system_of
 from transferlens.streaming import alerts as alert_ops
-from transferlens.streaming import jobs, messages
+from transferlens.streaming import jobs, messages, views
 from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
 from transferlens.workload.frames import table
@@ -24,19 +26,30 @@ PARTS = 3
 END = "4102444800"
 
 
+#: When the first part of a dated topic arrives, and a day, in milliseconds.
+FIRST_DAY_MS, DAY_MS = 1_767_225_600_000, 86_400_000
+
+
 class _Topic:
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.path = spark, work_folder(spark, f"{name}-topic")
+    def __init__(self, spark: SparkSession, name: str, limit: int | None = None) -> None:
+        self.spark, self.path, self.limit, self.dated = spark, work_folder(spark, f"{name}-topic"), limit, set()
 
-    def send(self, *rows: DataFrame) -> None:
+    def send(self, *rows: DataFrame, arrived_ms: int | None = None) -> None:
+        """``arrived_ms`` is the time at which these messages count as arrived; else it is now."""
         for part in rows:
             part.select("value").write.mode("append").text(self.path)
+        if arrived_ms is not None:
+            system, folder = system_of(self.spark, self.path)
+            for file in system.listStatus(folder):
+                if (name := file.getPath().getName()) not in self.dated:
+                    self.dated.add(name)
+                    system.setTimes(file.getPath(), arrived_ms, -1)
 
     def end(self, **fields: str) -> None:
         self.send(self.spark.createDataFrame([(fields,)], "m map<string,string>").select(F.to_json("m").alias("value")))
 
     def read(self, kind: str) -> DataFrame:
-        return messages.decode(messages.read_topic(self.spark, "text", path=self.path), kind)
+        return messages.decode(messages.read_topic(self.spark, "text", limit=self.limit, path=self.path), kind)
 
 
 def _cuts(rows: DataFrame, time: str) -> list[int]:
@@ -45,6 +58,15 @@ def _cuts(rows: DataFrame, time: str) -> list[int]:
     return rows.agg(F.percentile_approx(F.unix_micros(F.col(time).cast("timestamp")), at)).first()[0] or []
 
 
+def _even_cuts(rows: DataFrame, time: str) -> tuple[list[int], int]:
+    """Microseconds that cut the span of the times into ``PARTS`` equal lengths, and the last time; both can be told in SQL."""
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = rows.agg(F.min(us), F.max(us)).first()
+    if low is None:
+        return [], 0
+    return [low + (high - low) * (k + 1) // PARTS for k in range(PARTS - 1)], high
+
+
 def _parts(rows: DataFrame, time: str, cuts: list[int] | None = None) -> list[DataFrame]:
     cuts = _cuts(rows, time) if cuts is None else cuts
     part = sum([(F.unix_micros(F.col(time).cast("timestamp")) >= c).cast("int") for c in cuts], F.lit(0))
@@ -68,9 +90,10 @@ def _once(topic: _Topic, parts: list[DataFrame]) -> list[Callable[[], None]]:
     return [lambda p=p: topic.send(p) for p in parts]
 
 
-def _repeated(topic: _Topic, parts: list[DataFrame]) -> list[Callable[[], None]]:
-    """Every part is sent twice, and once more with the part after it."""
-    return [lambda p=p, q=q: topic.send(p, p, q) for p, q in zip(parts, [parts[0].limit(0), *parts[:-1]], strict=True)]
+def _repeated(topic: _Topic, parts: list[DataFrame], arrived_ms: Callable[[int], int | None] = lambda k: None) -> list[Callable[[], None]]:
+    """Every part is sent twice, and once more with the part after it; ``arrived_ms`` tells when the k-th step arrives."""
+    before = [parts[0].limit(0), *parts[:-1]]
+    return [lambda p=p, q=q, k=k: topic.send(p, p, q, arrived_ms=arrived_ms(k)) for k, (p, q) in enumerate(zip(parts, before, strict=True))]
 
 
 def _seconds(time: str) -> Column:
@@ -194,13 +217,14 @@ UNION ALL SELECT 'alerts', hash, NULL, CAST(c AS VARCHAR) || '0000000000000000'
 def stream_ledger(spark, d):
     """Transactions and token transfers of two topics, stored in one step and alerted after it.
 
-    Parts are sent again with the next one, transfers of one kind have no time: each is stored once.
+    Each part arrives on a later day and is sent again with the next one. Transfers of one kind have no time, so the copy
+    belongs to another day than the first: each is stored once all the same. Alerts are appended to a folder of JSON lines.
     """
     topics = {kind: _Topic(spark, kind) for kind in ("transactions", "token_transfers")}
     stores = {kind: work_folder(spark, f"ledger-{kind}") for kind in topics}
     alerts, checkpoint = work_folder(spark, "ledger-alerts"), work_folder(spark, "ledger-checkpoint")
     keys = {"transactions": ["hash", "event_time"], "token_transfers": ["transaction_hash", "log_index"]}
-    body = jobs.ledger_body({k: (stores[k], keys[k]) for k in topics}, jobs.file_alert_sink(alerts), 100)
+    body = jobs.ledger_body({k: (stores[k], keys[k]) for k in topics}, jobs.topic_alert_sink("json", path=alerts), 100, fold_every=2)
     events = table(spark, d, "events")
     transfer = F.struct(
         F.col("event_id").cast("string").alias("transaction_hash"),
@@ -214,7 +238,8 @@ def stream_ledger(spark, d):
     )
     cuts = _cuts(events, "ts")
     sent = _repeated(topics["transactions"], _parts(_message(events), "ts", cuts))
-    moved = _repeated(topics["token_transfers"], _parts(events.select(F.to_json(transfer).alias("value"), "ts"), "ts", cuts))
+    parts = _parts(events.select(F.to_json(transfer).alias("value"), "ts"), "ts", cuts)
+    moved = _repeated(topics["token_transfers"], parts, lambda k: FIRST_DAY_MS + k * DAY_MS)
 
     def ledger() -> DataFrame:
         rows = [messages.accepted(topic.read(kind)).withColumn("kind", F.lit(kind)) for kind, topic in topics.items()]
@@ -293,6 +318,92 @@ def stream_trend_buckets(spark, d):
     return out.withColumn("total_value", F.round(F.col("total_value") / 1e18, 2))
 
 
+_SENT = f"""{sql.TX}, span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM tx),
+sent AS (SELECT part, tx.* FROM tx, span, range(1, {PARTS + 1}) r(part) WHERE part = {PARTS} OR epoch_us(ts) < lo + (hi - lo) * part // {PARTS})"""
+_TIME = "strftime(make_timestamp(CAST({0} AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S')"
+
+
+def _watched(spark, d, name: str, steps_of: Callable[[DataFrame], DataFrame], keys: list[str], read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a dashboard sees in a live view after each part, with the number of the part."""
+    topic, path, checkpoint = _Topic(spark, name), work_folder(spark, f"{name}-view"), work_folder(spark, f"{name}-checkpoint")
+    events = table(spark, d, "events")
+    cuts, _ = _even_cuts(events, "ts")
+    body, out = views.view_body(path, keys, keep="1 day"), []
+    for k, part in enumerate(_parts(_message(events), "ts", cuts)):
+        topic.send(part)
+        steps = steps_of(_transactions(topic))
+        views.start_view(steps, checkpoint, body).awaitTermination()
+        # a later version replaces this one, so what is seen now is kept
+        out.append(stored(read(views.latest_view(spark, path, steps)).withColumn("part", F.lit(k + 1).cast("long")), f"{name}-seen"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(f"""WITH {_SENT}, newest AS (SELECT part, max(s // 60 * 60) AS last FROM sent GROUP BY 1),
+wins AS (SELECT part, (s // 60 - i) * 60 AS start, c FROM sent JOIN newest USING (part), range(5) r(i) WHERE s // 60 * 60 > last - 86400)
+SELECT CAST(part AS BIGINT) AS part, {_TIME.format('start')} AS window_start, {_TIME.format('start + 300')} AS window_end,
+       round(CAST(sum(c) * 100000000 AS DOUBLE) / count(*) / 1e9, 6) AS average_gas_price_gwei, CAST(count(*) AS BIGINT) AS transactions
+FROM wins GROUP BY part, start""")
+def stream_live_gas(spark, d):
+    """The gas view after each part: open windows are in it, with what has come so far."""
+    return _watched(spark, d, "live-gas", views.gas_steps, ["step_start"], lambda view: views.live_gas(view, digits=6))
+
+
+@query(f"""WITH {_SENT}, newest AS (SELECT part, max(s // 600 * 600) AS last FROM sent GROUP BY 1),
+wins AS (SELECT part, (s // 600 - i) * 600 AS start, t FROM sent JOIN newest USING (part), range(6) r(i) WHERE s // 600 * 600 > last - 86400)
+SELECT CAST(part AS BIGINT) AS part, {_TIME.format('start')} AS window_start, {_TIME.format('start + 3600')} AS window_end,
+       t AS token_address, CAST(count(*) AS BIGINT) AS transfer_count
+FROM wins GROUP BY part, start, t""")
+def stream_live_trending(spark, d):
+    def steps(rows: DataFrame) -> DataFrame:
+        return views.token_steps(rows.withColumn("token_address", F.col("to_address")))
+
+    return _watched(spark, d, "live-trending", steps, ["step_start", "token_address"], views.live_trending)
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS stored_rows, CAST(count(*) AS BIGINT) AS observed_rows, true AS bounded FROM events")
+def stream_backlog(spark, d):
+    """A backlog of many files goes through in micro-batches of at most five files; every row is stored once, none twice."""
+    limit, topic = 5, _Topic(spark, "backlog", limit=5)
+    target, checkpoint = work_folder(spark, "backlog"), work_folder(spark, "backlog-checkpoint")
+    events = table(spark, d, "events")
+    _message(events).repartition(24).select("value").write.text(topic.path)
+    files = sum(not name.startswith(("_", ".")) for name in children(spark, topic.path))
+    body = jobs.ledger_body({"transactions": (target, ["hash", "event_time"])}, jobs.file_alert_sink(f"{target}-alerts"), 100)
+    job = jobs.start(jobs.with_batch_metrics(_transactions(topic)), checkpoint, body=body)
+    job.awaitTermination()
+    batches = jobs.batch_metrics(job)
+    seen, bounded = sum(b["rows"] for b in batches), limit * len(batches) >= files
+    kept = spark.read.parquet(target).agg(F.count_distinct("hash").alias("hashes"), F.count(F.lit(1)).alias("stored_rows"))
+    bounded = F.lit(bounded) & (F.col("hashes") == F.col("stored_rows"))
+    return kept.select("stored_rows", F.lit(seen).cast("long").alias("observed_rows"), bounded.alias("bounded"))
+
+
+@query(f"""WITH {_SENT}, own AS (SELECT min(part) AS part, hash, ts FROM sent GROUP BY 2, 3),
+waited AS (SELECT epoch_us(ts) AS us, CASE WHEN part = {PARTS} THEN hi ELSE lo + (hi - lo) * part // {PARTS} END // 1000 + 5000 AS ms FROM own, span),
+lag AS (SELECT ms, round((ms * 1000 - us) / 1e6, 3) AS lag FROM waited)
+SELECT strftime(date_trunc('minute', make_timestamp(ms * 1000)), '%Y-%m-%d %H:%M:%S') AS window_start, CAST(count(*) AS BIGINT) AS rows,
+  count(*) / 60 AS rows_per_second, quantile_disc(lag, 0.5) AS p50_seconds, quantile_disc(lag, 0.95) AS p95_seconds FROM lag GROUP BY ms""")
+def stream_lag(spark, d):
+    """Delays of a stored stream: a row's time of storing is that of the micro-batch that stored it, here of its latest message.
+
+    A part arrives five seconds after its end, so its rows have waited from five seconds to a third of the whole span.
+    """
+    topic, target, checkpoint = _Topic(spark, "lag"), work_folder(spark, "lag"), work_folder(spark, "lag-checkpoint")
+    events = table(spark, d, "events")
+    cuts, last = _even_cuts(events, "ts")
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        now = batch.agg(F.max(F.unix_micros("arrived"))).first()[0]
+        clock = F.timestamp_micros(F.lit(now).cast("long"))
+        jobs.store_batch(batch, batch_id, target, ["hash", "event_time"], stored_at=clock)
+
+    parts = _parts(_message(events), "ts", cuts)
+    steps = [lambda p=p, us=us: topic.send(p, arrived_ms=us // 1000 + 5000) for p, us in zip(parts, [*cuts, last], strict=True)]
+    _run(steps, lambda: jobs.start(messages.accepted(topic.read("transactions")), checkpoint, body=body))
+    delays = jobs.ingest_delay(spark.read.parquet(target))
+    return delays.withColumns({c: F.round(c, 3) for c in ("p50_seconds", "p95_seconds")})
+
+
 @query("""SELECT strftime(date_trunc('minute', ts + INTERVAL 90 SECOND), '%Y-%m-%d %H:%M:%S') AS window_start, CAST(count(*) AS BIGINT) AS rows,
   count(*) / 60 AS rows_per_second, 90.0::DOUBLE AS p50_seconds, 90.0::DOUBLE AS p95_seconds FROM events GROUP BY 1""")
 def ingest_delay(spark, d):
