@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,7 +52,7 @@ def top(df: DataFrame, order: Sequence[Column], n: int, offset: int = 0) -> Data
 
 
 def share_of(df: DataFrame, by: str, share: str = "share_pct", count: str = "n") -> DataFrame:
-    """Rows per value of ``by`` and their percentage of all rows (a scalar subquery)."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    """Rows per value of ``by`` and their percentage of all rows, the total being taken over the few counts."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias(count))
+    total = F.sum(count).over(Window.partitionBy())
     return counts.withColumn(share, F.round(F.col(count) * 100.0 / total, 2))

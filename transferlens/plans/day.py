@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens import schemas
+from transferlens.operators.lookup import SMALL_ROWS, counted_broadcast
 from transferlens.plans import enrich, quality, rollups, whales
 from transferlens.session import stored
 from transferlens.sources.dimensions import read_labels, read_tokens
@@ -24,11 +27,30 @@ class DayConfig:
     tokens: str | None = None
     threshold: float = 100
     enforce: bool = True
+    small_blocks: int = SMALL_ROWS
+
+
+def _seen(observation: Observation) -> dict:
+    """The observed counts; none where the optimizer found the plan empty and dropped the count with it."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
+def _settled(seen: dict, written: dict, recount: Callable[[], dict]) -> dict:
+    """Source counts that were observed while a table was written from them.
+
+    Tasks take these counts as they run, and a task that is repeated after a lost executor counts its rows once more. So counts
+    that do not agree with what was written are taken anew, from the source; a real loss of rows is seen all the same.
+    """
+    return seen if all(seen.get(name) == count for name, count in written.items()) else recount()
 
 
 def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
     """Builds one day. Each silver table is written, then read back by the steps that need it,
-    so no step recomputes another and a lost executor only repeats its own step.
+    so no step recomputes another and a lost executor only repeats its own step. Raw tables are read once: how many rows
+    they have is observed while silver is written from them.
 
     Returns the check results; with ``enforce`` a failed critical rule stops the run before gold.
     """
@@ -46,18 +68,33 @@ def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
         # a row belongs to the day whose folder it came from, also where its block time is unknown
         return df.withColumn("dt", F.lit(day).cast("date"))
 
-    enriched = enrich.enrich_transactions(bronze["transactions"], bronze["receipts"])
-    write_days(of_day(enriched), f"{config.silver}/txn_enriched")
-    flow = enrich.token_flow(bronze["token_transfers"], tokens, bronze["blocks"], labels)
-    write_days(of_day(flow), f"{config.silver}/token_flow")
+    sent, moved = Observation("transactions"), Observation("token_transfers")
+    transactions = bronze["transactions"].observe(sent, F.count(F.lit(1)).alias("source_rows"))
+    write_days(of_day(enrich.enrich_transactions(transactions, bronze["receipts"])), f"{config.silver}/txn_enriched")
+    tracked = quality.tracked_transfers(bronze["token_transfers"], tokens).observe(
+        moved, F.count("tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows")
+    )
+    transfers = tracked.where(F.col("tracked")).drop("tracked")
+    times = counted_broadcast(bronze["blocks"].select("number", "timestamp"), "block-times", config.small_blocks)
+    write_days(of_day(enrich.token_flow(transfers, tokens, times, labels)), f"{config.silver}/token_flow")
     write_days(
         whales.whale_transactions(silver("txn_enriched"), labels, config.threshold), f"{config.silver}/whale_txns"
     )
 
+    sources = _settled(
+        _seen(sent),
+        {"source_rows": silver("txn_enriched").count()},
+        lambda: {"source_rows": bronze["transactions"].count()},
+    )
+    flow_sources = _settled(
+        _seen(moved),
+        {"tracked_rows": silver("token_flow").count()},
+        lambda: quality.flow_sources(bronze["token_transfers"], tokens).first().asDict(),
+    )
     results = quality.all_checks(
         [
-            quality.check_enriched(silver("txn_enriched"), bronze["transactions"]),
-            quality.check_flow(silver("token_flow"), bronze["token_transfers"], tokens, keep=stored),
+            quality.check_enriched(silver("txn_enriched"), sources),
+            quality.check_flow(silver("token_flow"), flow_sources, keep=stored),
             quality.check_whales(silver("whale_txns")),
         ]
     )

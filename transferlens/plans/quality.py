@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -113,9 +113,20 @@ def enriched_report(enriched: DataFrame) -> DataFrame:
     return figures.drop("named", "nameless")
 
 
-def check_enriched(enriched: DataFrame, source: DataFrame, rules: Sequence[Rule] = ENRICHED_RULES) -> DataFrame:
-    """The rows kept are the report's own count, so ``enriched`` is evaluated once."""
-    measures = _side_by_side([enriched_report(enriched), _rows(source, "source_rows")])
+#: What the sources of a table hold: a frame to count, or the counts if they were taken before.
+Source = DataFrame | Mapping[str, int]
+
+
+def _with_counts(measures: DataFrame, source: Source, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row of measures with the counts of its source."""
+    if isinstance(source, DataFrame):
+        return _side_by_side([measures, count(source)])
+    return measures.withColumns({name: F.lit(n).cast("long") for name, n in source.items()})
+
+
+def check_enriched(enriched: DataFrame, source: Source, rules: Sequence[Rule] = ENRICHED_RULES) -> DataFrame:
+    """The rows kept are the report's own count, so ``enriched`` is evaluated once. ``source`` is the transactions or their ``source_rows``."""
+    measures = _with_counts(enriched_report(enriched), source, lambda df: _rows(df, "source_rows"))
     share = F.col("tx_count") / F.when(F.col("source_rows") > 0, F.col("source_rows"))
     return apply_rules(measures.withColumn("retention", F.coalesce(share, F.lit(0.0))), "txn_enriched", rules)
 
@@ -190,22 +201,31 @@ def dex_share(flow: DataFrame, n: int = 3) -> DataFrame:
     return top(counts.agg(F.count(F.lit(1)).alias("tx_count")), [F.desc("tx_count"), F.asc("dex")], n)
 
 
+def tracked_transfers(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The transfers with ``tracked``, true for those of known tokens and else null."""
+    known = tokens.select("token_address").distinct().withColumn("tracked", F.lit(True))
+    return transfers.join(known, "token_address", "left")
+
+
+def flow_sources(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Transfers of tracked tokens, and all, from one pass."""
+    return tracked_transfers(transfers, tokens).agg(F.count("tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows"))
+
+
 def check_flow(
     flow: DataFrame,
-    transfers: DataFrame,
-    tokens: DataFrame,
+    transfers: Source,
+    tokens: DataFrame | None = None,
     rules: Sequence[Rule] = FLOW_RULES,
     keep: Keep = None,
 ) -> DataFrame:
     """Retention counts against the transfers of tracked tokens, the rows the flow should hold.
 
-    Both source counts come from one pass over the transfers, the rows kept from the report.
+    Both source counts come from one pass over the transfers, or are given as ``tracked_rows`` and ``all_rows``; the rows kept
+    come from the report.
     """
-    known = tokens.select("token_address").distinct().withColumn("tracked", F.lit(True))
-    source = transfers.join(known, "token_address", "left").agg(
-        F.count("tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows")
-    )
-    measures = _side_by_side([flow_report(flow), source, wash_summary(flow, keep)])
+    measures = _side_by_side([flow_report(flow), wash_summary(flow, keep)])
+    measures = _with_counts(measures, transfers, lambda df: flow_sources(df, tokens))
 
     def share(part: str, whole: str) -> Column:
         return F.coalesce(F.col(part) / F.when(F.col(whole) > 0, F.col(whole)), F.lit(0.0))

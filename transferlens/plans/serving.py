@@ -26,15 +26,16 @@ def lowered(df: DataFrame, *columns: str) -> DataFrame:
 def gas_price(transactions: DataFrame, as_of: int, window_seconds: int = 300) -> DataFrame:
     """Mean gas price of the last minutes up to ``as_of`` in gwei; else the latest price known then; else 0.
 
-    The history is read only if the window holds no price.
+    One plan: the window's mean is an aggregate, and the history is joined to it where it is missing. The side that tells is
+    broadcast first, so with a price in the window adaptive execution drops the history before it is read.
     """
-    price = F.col("gas_price").try_cast("double")
-    time = F.col("block_timestamp")
+    price, time = F.col("gas_price").try_cast("double"), F.col("block_timestamp")
     recent = transactions.where((time >= as_of - window_seconds) & (time <= as_of)).agg(F.avg(price).alias("wei"))
-    if recent.first()["wei"] is None:
-        known = transactions.where((time <= as_of) & price.isNotNull())
-        recent = known.agg(F.coalesce(F.max_by(price, F.struct("block_timestamp", "hash")), F.lit(0.0)).alias("wei"))
-    return recent.select(F.round(money.wei_to_gwei("wei"), 2).alias("average_gas_price_gwei"))
+    missing = recent.where(F.col("wei").isNull()).select(F.col("wei").isNull().alias("__known"))  # one row or none
+    known = transactions.where(time <= as_of).select("block_timestamp", "hash", price.alias("wei"), price.isNotNull().alias("__known"))
+    latest = known.join(F.broadcast(missing), "__known", "left_semi").agg(F.max_by("wei", F.struct("block_timestamp", "hash")).alias("wei"))
+    both = recent.unionByName(latest).agg(F.coalesce(F.max("wei"), F.lit(0.0)).alias("wei"))
+    return both.select(F.round(money.wei_to_gwei("wei"), 2).alias("average_gas_price_gwei"))
 
 
 def recent_whales(transactions: DataFrame, labels: DataFrame, threshold: float = 100, limit: int = 50) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from transferlens import schemas
 from transferlens.sources.files import file_sizes
+from transferlens.sources.folders import children, delete, exists
 
 
 def write_days(df: DataFrame, root: str, partition: Sequence[str] = ("dt",), fmt: str = "parquet", **options) -> None:
@@ -34,6 +35,28 @@ def append(df: DataFrame, target: str, fmt: str = "parquet", partition: Sequence
     df.write.format(fmt).options(**options).partitionBy(*partition).mode("append").save(target)
 
 
+def append_once(df: DataFrame, target: str, batch: str, fmt: str = "parquet", partition: Sequence[str] = ("dt",), **options) -> None:
+    """Append under a batch's own mark, for file formats of any kind: a second run replaces what the first one added.
+
+    The mark is a last partition column ``load_batch``. Folders that an earlier attempt of the batch left and this one does not
+    write go first, so a rerun with fewer rows leaves none behind.
+    """
+    spark = df.sparkSession
+    tagged = df.withColumn("load_batch", F.lit(batch))
+    for folder in _batch_folders(spark, target.rstrip("/"), len(partition), f"load_batch={batch}"):
+        delete(spark, folder)
+    writer = tagged.hint("rebalance", *partition).write.format(fmt).options(**options)
+    writer.partitionBy(*partition, "load_batch").mode("append").save(target)
+
+
+def _batch_folders(spark: SparkSession, root: str, depth: int, name: str) -> list[str]:
+    """Folders of one batch below ``depth`` partition levels; one metadata call each level and folder."""
+    if depth == 0:
+        return [f"{root}/{name}"] if exists(spark, f"{root}/{name}") else []
+    below = [child for child in children(spark, root) if "=" in child]
+    return [folder for child in below for folder in _batch_folders(spark, f"{root}/{child}", depth - 1, name)]
+
+
 def write_clustered(
     df: DataFrame, root: str, segment_by: str, order_by: str, partition: Sequence[str] = ("dt",), files: int | None = None
 ) -> None:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from transferlens.operators.labels import latest_per_key
 from transferlens.operators.upsert import insert_ignore, upsert
 from transferlens.plans import dimension_build, extract
-from transferlens.sources.dimensions import clean_tokens
+from transferlens.session import work_folder
+from transferlens.sources.dimensions import clean_tokens, load_version, read_label_csv, read_token_csv
 from transferlens.sources.sinks import project_days
 from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
@@ -121,6 +122,31 @@ def token_upsert(spark, d):
     return upsert(old, clean_tokens(raw), ["address"], "load_order")
 
 
+@query("""SELECT 'tokens' AS kind, lower(c_name) AS address, CASE WHEN c_custkey % 3 = 0 THEN 'NEW' ELSE 'T' || c_nationkey END AS name,
+  CAST(CASE WHEN c_custkey % 3 = 0 THEN 18 ELSE c_nationkey END AS BIGINT) AS decimals FROM customer
+UNION ALL SELECT 'labels', 'fixed', 'Burn', NULL UNION ALL SELECT 'early', NULL, NULL, 0""")
+def dimension_load(spark, d):
+    """Tokens from CSV files: a first load, one over it that changes a third of the rows and has no decimals, one without a file. Labels:
+    their file is missing from the start, so the fixed rows hold. The version before the first load has no rows."""
+    root, customer = work_folder(spark, "dimension"), table(spark, d, "customer")
+    schema = "address string, symbol string, name string, decimals int"
+    shape = spark.createDataFrame([], schema).schema
+    first = customer.select(F.col("c_name").alias("address"), F.lit("S").alias("symbol"), F.concat(F.lit("T"), "c_nationkey").alias("name"), F.col("c_nationkey").alias("decimals"))
+    second = customer.where(F.col("c_custkey") % 3 == 0).select(F.upper("c_name").alias("address"), F.lit("S").alias("symbol"), F.lit("NEW").alias("name"), F.lit("n/a").alias("decimals"))
+    early = load_version(spark, f"{root}/tokens", f"{root}/none.csv", read_token_csv, shape)
+    for name, rows in (("one", first), ("two", second), ("three", None)):
+        if rows is not None:
+            rows.write.option("header", True).csv(f"{root}/{name}")
+        tokens = load_version(spark, f"{root}/tokens", f"{root}/{name}", read_token_csv, shape)
+    fixed = spark.createDataFrame([("fixed", "Burn", "Burn")], "address string, name string, category string")
+    labels = load_version(spark, f"{root}/labels", f"{root}/none", read_label_csv, fixed.schema, fixed=fixed)
+    told = tokens.select(F.lit("tokens").alias("kind"), "address", "name", "decimals")
+    named = labels.select(F.lit("labels").alias("kind"), "address", "name", F.lit(None).cast("int").alias("decimals"))
+    counted = early.agg(F.count(F.lit(1)).cast("int").alias("decimals"))
+    nothing = F.lit(None).cast("string")
+    return told.unionByName(named).unionByName(counted.select(F.lit("early").alias("kind"), nothing.alias("address"), nothing.alias("name"), "decimals"))
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS hash FROM events WHERE event_type NOT IN ('view', 'click')")
 def insert_if_absent(spark, d):
     rows = frames.event_transactions(table(spark, d, "events"))

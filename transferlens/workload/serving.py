@@ -31,22 +31,6 @@ def gas_now(spark, d):
     return serving.gas_price(_tx(spark, d), AS_OF)
 
 
-EARLY = 1_600_000_000  # a window before the first event
-
-
-@query(f"""WITH {sql.TX}, old AS (SELECT * FROM tx WHERE s % 7 = 0 AND s <= {AS_OF} - 3600)
-SELECT round(coalesce(arg_max(c * 1e8, (s, hash)), 0.0) / 1e9, 2) AS average_gas_price_gwei FROM old""")
-def gas_latest_known(spark, d):
-    """The window is empty: the last hour before ``as_of`` has no rows here."""
-    old = _tx(spark, d).where((F.col("block_timestamp") % 7 == 0) & (F.col("block_timestamp") <= AS_OF - 3600))
-    return serving.gas_price(old, AS_OF)
-
-
-@query("SELECT 0.0::DOUBLE AS average_gas_price_gwei")
-def gas_before_history(spark, d):
-    return serving.gas_price(_tx(spark, d), EARLY)
-
-
 LATE = 2_000_000_000  # a window behind the last event
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transferlens import schemas
+from transferlens.plans import quality
 from transferlens.plans.day import DayConfig, run_day
 from transferlens.session import work_folder
-from transferlens.sources import files, sinks
+from transferlens.sources import compaction, files, folders, sinks
 from transferlens.streaming import alerts as alert_ops
 from transferlens.workload import frames, sql
 from transferlens.workload.catalog import query
@@ -88,6 +89,57 @@ def retention_days(spark, d):
     return _totals(files.read_days(spark, root, rows.schema))
 
 
+@query(f"""SELECT p.*, dt < '2024-01-24' AS compacted, dt < '2024-01-24' AS clustered FROM ({_PER_DAY.format(where='')}) p""")
+def compacted_days(spark, d):
+    """Aged days become few sorted files, young ones stay.
+
+    The table has young days, aged ones, two that an earlier run compacted, one that got rows after that, and one whose swap was broken
+    off after its old folder went aside. The last run is made twice.
+    """
+    root = work_folder(spark, "compaction")
+    rows = _days(spark, d)
+    late = (F.col("dt") == F.lit("2024-01-03").cast("date")) & (F.col("event_type") == "view")
+    typed = rows.join(table(spark, d, "events").select(F.col("event_id").cast("string").alias("hash"), "event_type"), "hash")
+    sinks.write_days(typed.where(~late).drop("event_type").repartition(8), root)
+    how = {"schema": rows.schema, "segment_by": "from_address", "order_by": "block_timestamp"}
+    compaction.compact(spark, root, as_of=date(2024, 1, 11), **how)
+    typed.where(late).drop("event_type").write.partitionBy("dt").mode("append").parquet(root)
+    broken = [day for day in compaction.aged_days(spark, root, date(2024, 1, 14)) if day != "dt=2024-01-03"][-1:]
+    if broken:
+        compaction.rewrite(spark, root, broken, rows.schema, "from_address", "block_timestamp")
+        compaction.set_aside(spark, root, broken[0])
+    for _ in range(2):
+        compaction.compact(spark, root, as_of=date(2024, 1, 31), **how)
+    days = [day for day in folders.children(spark, root) if day.startswith("dt=")]
+    done = spark.createDataFrame([(day[3:], compaction.is_compacted(spark, root, day)) for day in days], "dt string, compacted boolean")
+    back = files.read_days(spark, root, rows.schema)
+    per_file = back.groupBy("dt", F.col("_metadata.file_path").alias("file")).agg(F.min("from_address").alias("low"), F.max("from_address").alias("high"))
+    before = F.lag("high").over(Window.partitionBy("dt").orderBy("low", "high"))
+    meets = per_file.withColumn("meets", F.coalesce(F.col("low") >= before, F.lit(True)))
+    sorted_ = meets.groupBy(F.col("dt").cast("string").alias("dt")).agg(F.every("meets").alias("meets"))
+    out = _totals(back).join(done, "dt").join(sorted_, "dt")
+    return out.select("dt", "n", "total", "compacted", (F.col("compacted") & F.col("meets")).alias("clustered"))
+
+
+@query("""SELECT 'orc' AS fmt, o_orderpriority AS priority, o_orderstatus AS status, CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 2, 3
+UNION ALL SELECT 'json', o_orderpriority, o_orderstatus, CAST(count(*) AS BIGINT), CAST(sum(o_orderkey) AS BIGINT) FROM orders GROUP BY 2, 3""")
+def warehouse_append(spark, d):
+    """Orders appended in two batches to stores of two formats, partitioned by priority and status; each batch is loaded twice, its
+    first load of other rows than the second: the store holds the second loads, once."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    open_, closed = orders.where(F.col("status") == "O"), orders.where(F.col("status") != "O")
+    out = []
+    for fmt in ("orc", "json"):
+        root = work_folder(spark, f"warehouse-{fmt}")
+        for batch, rows, wrong in (("open", open_, closed), ("closed", closed, open_)):
+            for load in (wrong, rows, rows):
+                sinks.append_once(load, root, batch, fmt, ["priority", "status"])
+        back = spark.read.schema("o_orderkey long, priority string, status string, load_batch string").format(fmt).load(root)
+        counts = back.groupBy(F.lit(fmt).alias("fmt"), "priority", "status")
+        out.append(counts.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")))
+    return out[0].unionByName(out[1])
+
+
 _SPAN = "BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'"
 
 
@@ -175,6 +227,40 @@ UNION ALL SELECT 'check txn_enriched', 4 UNION ALL SELECT 'check token_flow', 5
 ))
 def day_run(spark, d):
     """The daily run over all events as one day's raw JSON: rows of the tables it wrote, rules its checks evaluated."""
+    root, results = _run_day(spark, d)
+    rules = results.groupBy(F.concat(F.lit("check "), "table").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    written = [f"silver/{n}" for n in schemas.SILVER] + ["gold/top_whales_daily", "gold/token_popularity_daily"]
+    counts = [
+        spark.read.parquet(f"{root}/{path}").agg(F.lit(path.split("/")[1]).alias("name"), F.count(F.lit(1)).alias("n"))
+        for path in written
+    ]
+    return reduce(DataFrame.unionByName, [*counts, rules])
+
+
+@query(f"""WITH {sql.TX}, m AS (SELECT count(*) AS n, count(DISTINCT event_type) AS tokens, avg(CASE WHEN value >= 100 THEN CAST(event_type <> 'error' AS INT) END) AS ok,
+  avg(CASE WHEN value >= 100 THEN 21000 * c / 1e10 END) AS fee, count(*) FILTER (value >= 100 AND c >= 10000 AND event_type <> 'error') AS whales FROM tx)
+SELECT "table", rule, round(value, 6) AS value, passed FROM (
+  SELECT 'txn_enriched' AS "table", 'retention' AS rule, 1.0::DOUBLE AS value, true AS passed FROM m
+  UNION ALL SELECT 'txn_enriched', 'success_rate', ok, ok >= 0.8 FROM m UNION ALL SELECT 'txn_enriched', 'tx_count', n, n >= 1000 FROM m
+  UNION ALL SELECT 'txn_enriched', 'avg_fee_eth', fee, fee <= 1 FROM m UNION ALL SELECT 'token_flow', 'retention', 1, true FROM m
+  UNION ALL SELECT 'token_flow', 'row_count', n, n >= 10 FROM m UNION ALL SELECT 'token_flow', 'active_tokens', tokens, tokens >= 1 FROM m
+  UNION ALL SELECT 'token_flow', 'unfiltered_retention', 1, true FROM m UNION ALL SELECT 'whale_txns', 'row_count', whales, whales >= 1 FROM m
+  UNION ALL SELECT 'whale_txns', 'null_rows', 0, true FROM m UNION ALL SELECT 'whale_txns', 'non_positive_rows', 0, true FROM m
+  UNION ALL SELECT 'raised', CASE WHEN ok >= 0.8 THEN 'nothing' ELSE 'txn_enriched: success_rate = ' || round(ok, 6) || ' (limit 0.8)' END, 0, ok >= 0.8 FROM m)""".replace("c, event_type, ts", "c, event_type, ts, value"))
+def day_checks(spark, d):
+    """The check values of the daily run, whose source counts are observed while it writes; the gate is enforced and its message returned."""
+    _, results = _run_day(spark, d)
+    try:
+        quality.enforce(results)
+        message = "nothing"
+    except quality.QualityError as error:
+        message = str(error)
+    told = spark.createDataFrame([("raised", message, 0.0, message == "nothing")], '`table` string, rule string, value double, passed boolean')
+    kept = results.where(~F.col("rule").isin("wash_ratio", "flag_rate")).select("table", "rule", "value", "passed")
+    return kept.unionByName(told)
+
+
+def _run_day(spark, d):
     root, day = work_folder(spark, "day"), "2024-01-31"
     events = table(spark, d, "events")
     transactions = frames.event_transactions(events)
@@ -192,10 +278,4 @@ def day_run(spark, d):
     frames.labels(table(spark, d, "customer")).toDF("address", "name", "category").write.parquet(f"{root}/labels")
     frames.event_tokens(events).toDF("address", "symbol", "name", "decimals").write.parquet(f"{root}/tokens")
     config = DayConfig(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/labels", f"{root}/tokens", enforce=False)
-    rules = run_day(spark, day, config).groupBy(F.concat(F.lit("check "), "table").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    written = [f"silver/{n}" for n in schemas.SILVER] + ["gold/top_whales_daily", "gold/token_popularity_daily"]
-    counts = [
-        spark.read.parquet(f"{root}/{path}").agg(F.lit(path.split("/")[1]).alias("name"), F.count(F.lit(1)).alias("n"))
-        for path in written
-    ]
-    return reduce(DataFrame.unionByName, [*counts, rules])
+    return root, run_day(spark, day, config)
