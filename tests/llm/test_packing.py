@@ -83,6 +83,30 @@ def test_packing_is_gapless_whole_and_tight(spark, whole_text, groups):
     assert len(bins) <= 1.04 * least + 1
 
 
+def test_evicted_words_are_encoded_again(whole_text, monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE", 40)
+    own, rng = packing.WordTokenizer(public_tokenizers.path(packing.VOCABULARY)), random.Random(8)
+    evictions = []
+    monkeypatch.setattr(packing.WordTokenizer, "_evict", lambda self, f=packing.WordTokenizer._evict: (evictions.append(len(self.known)), f(self)))
+    for _ in range(60):
+        text = " ".join(["the", "of", *("".join(rng.choices("abcdefg", k=rng.randint(1, 4))) for _ in range(25))])
+        assert own.encode(text).tolist() == [*whole_text.encode(text, add_special_tokens=False).ids, 1]
+    assert len(evictions) > 3 and len(own.known) < 40 + 27 and b"the" in own.known
+
+
+def test_a_worker_keeps_its_tokenizer():
+    path = public_tokenizers.path(packing.VOCABULARY)
+    assert packing._tokenizer(path, 1) is packing._tokenizer(path, 1)
+
+
+def test_merging_goes_on_over_rounds_that_merge_little(spark):
+    """Bins of 51 and 49 parts meet only when they are dealt to one group, so a round merges few of them."""
+    cut = spark.range(600).selectExpr("id as doc_id", "id as item", "0 as piece", "0L as start", "IF(id % 100 = 0, 45L, 55L) as length", "1L as ids_crc32")
+    out = packing.placed(cut, length=100, group=50, least_groups=12)
+    assert out.select("sequence_id").distinct().count() == 594
+    assert out.count() == 600 and out.select("item").distinct().count() == 600
+
+
 def test_items_that_never_fit_together_end(spark):
     cut = spark.range(500).selectExpr("id as doc_id", "id as item", "0 as piece", "0L as start", "60L as length", "1L as ids_crc32")
     out = packing.placed(cut, length=100, group=40, least_groups=4)

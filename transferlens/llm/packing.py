@@ -4,11 +4,12 @@ A document's token ids, closed by one end id, are cut into pieces of the sequenc
 so a document no longer than a sequence stays whole. The pieces are dealt to many groups of bounded size. Each group packs its own by
 best fit in decreasing order and emits the bins that are at least ``FULL`` full. The other bins, each now one item of its
 size, go on to the next round, where fewer groups pack them by best fit again, and so on as a tree. No group ever
-has more than ``GROUP`` items: when a round no longer merges anything, what is left is final.
+has more than ``GROUP`` items on average. Every round deals the bins anew by another hash. It ends when one group has packed all that is left, or when
+``IDLE`` deals in a row have merged nothing.
 
 Tokenization works per word: a tokenizer that drops white space encodes the pieces between spaces independently (and marks
-apart from the letters before them), so each worker keeps the ids of words it has met (a bounded cache) and asks the tokenizer for new ones only, many at a time. Tests compare
-this with encoding whole texts.
+apart from the letters before them), so each worker keeps the ids of words it has met, over all its tasks, and asks the tokenizer for new ones
+only, many at a time. The cache is bounded: when it is full, words not met since it was last full go. Tests compare this with encoding whole texts.
 
 Defined cases: null and empty texts are the end id alone. Repeated rows are packed once each. A text of any length is cut into
 full sequences and one rest. Rows are dealt by a hash of all that identifies a piece, and every round is written to the
@@ -21,6 +22,8 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,7 +43,9 @@ END = 1
 FULL = 0.995
 #: Items of one group.
 GROUP = 200_000
-_CACHE = 300_000
+_CACHE = 1_000_000
+#: Deals in a row without a merge after which the bins stay as they are.
+IDLE = 3
 #: Signs of which one that is a single token stands between words that are encoded together.
 _MARKS = "\u2764\u2605\u2665\u2022"
 _PIECE = "doc_id long, item long, piece int, start long, length long, ids_crc32 long"
@@ -76,14 +81,25 @@ class WordTokenizer:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, dtype="<u4")
         self.starts = np.zeros(1 << 14, dtype=np.int64)
+        self.met = np.zeros(1 << 14, dtype=bool)
         self.used = 0
 
+    def _evict(self) -> None:
+        """Keeps the words met since the last eviction; if these alone fill the cache, those of them known longest."""
+        words, starts, met = list(self.known), self.starts, self.met
+        kept = np.flatnonzero(met[: len(words)])[: _CACHE // 2]
+        lengths = starts[kept + 1] - starts[kept]
+        ids = self.flat[ragged(starts[kept], lengths)]
+        self._clear()
+        self._add([words[k] for k in kept], ids, lengths)
+
     def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         k = len(self.known)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while k + len(words) + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self.flat[self.used : self.used + len(ids)] = ids
         self.starts[k + 1 : k + 1 + len(words)] = self.used + np.cumsum(lengths)
         self.known.update(zip(words, range(k, k + len(words)), strict=True))
@@ -105,22 +121,47 @@ class WordTokenizer:
             ids = self._ids(text)
             self._add([word], ids, np.array([len(ids)]))
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of the text and the end id."""
-        words = _split(text) if text else []
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text and the end id; words that are new in any of them are learned together."""
+        parts = [_split(text) if text else [] for text in texts]
+        words = list(chain.from_iterable(parts))
         if len(self.known) > _CACHE:
-            self._clear()
-        get = self.known.get
-        rows = list(map(get, words))
-        if None in rows:
-            new = list(dict.fromkeys(w for w, row in zip(words, rows, strict=True) if row is None))
-            for at in range(0, len(new), 2048):
-                self._learn(new[at : at + 2048])
-            rows = list(map(get, words))
-        places = np.array(rows, dtype=np.int64)
+            self._evict()
+        new = list(set(words).difference(self.known))
+        for at in range(0, len(new), 2048):
+            self._learn(new[at : at + 2048])
+        places = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.met[places] = True
         starts = self.starts[places]
-        ids = self.flat[ragged(starts, self.starts[places + 1] - starts)]
-        return np.concatenate([ids, np.array([self.end], dtype="<u4")])
+        lengths = self.starts[places + 1] - starts
+        ids = self.flat[ragged(starts, lengths)]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ends = upto[np.cumsum([len(p) for p in parts])]
+        end = np.array([self.end], dtype="<u4")
+        return [np.concatenate([ids[a:b], end]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of the text and the end id."""
+        return self.encode_all([text])[0]
+
+
+def _batches(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
+    """Texts in order, about ``size`` characters at a time."""
+    some, held = [], 0
+    for value in texts:
+        some.append(value.as_py())
+        held += len(some[-1] or "")
+        if held >= size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
+@cache
+def _tokenizer(path: str, end: int) -> WordTokenizer:
+    """One per worker, with all the words it has met in earlier tasks."""
+    return WordTokenizer(path, end)
 
 
 def pieces(docs: DataFrame, *, path: str | None = None, length: int = LENGTH, end: int = END, doc_id="doc_id", text="text", ids: bool = False) -> DataFrame:
@@ -135,12 +176,12 @@ def pieces(docs: DataFrame, *, path: str | None = None, length: int = LENGTH, en
     names = list(kinds)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path, end)
+        tokenizer = _tokenizer(path, end)
         item = TaskContext.get().partitionId() << 36
         for part in parts:
             rows: list[tuple] = []
-            for key, value in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                found = tokenizer.encode(value.as_py())
+            encoded = chain.from_iterable(map(tokenizer.encode_all, _batches(part.column(1))))
+            for key, found in zip(part.column(0).to_pylist(), encoded, strict=True):
                 for k, at in enumerate(range(0, len(found), length)):
                     own = found[at : at + length]
                     rows.append((key, item, k, at, len(own), zlib.crc32(own.tobytes()), *([own.astype(np.int64)] if ids else [])))
@@ -184,10 +225,10 @@ def _round(items: DataFrame, groups: int, turn: int, length: int) -> DataFrame:
         part = part.sort_values(["size", "item"], ascending=[False, True], kind="stable").reset_index(drop=True)
         bins, offsets, n = best_fit(part["size"].to_numpy(), length)
         filled = np.bincount(bins, weights=part["size"], minlength=n).astype(np.int64)
-        first = (turn << 56) + (int(part["group"].iloc[0]) << 32)
+        first = (turn << 50) + (int(part["group"].iloc[0]) << 32)
         return pd.DataFrame({"item": part["item"], "bin": first + bins, "offset": offsets, "filled": filled[bins]})
 
-    dealt = items.withColumn("group", F.pmod(F.xxhash64("item"), F.lit(groups)))
+    dealt = items.withColumn("group", F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(groups)))
     return dealt.groupBy("group").applyInPandas(pack, "item long, bin long, offset long, filled long")
 
 
@@ -199,8 +240,8 @@ def placed(cut: DataFrame, *, length: int = LENGTH, full: float = FULL, group: i
     items = cut.select("item", F.col("length").alias("size"))
     count = items.count()
     groups = max(-(-count // group), min(least_groups, -(-count // 5000)), 1)
-    out = None
-    for turn in range(100):
+    out, idle = None, 0
+    for turn in range(1 << 13):
         packed = stored(_round(items, groups, turn, length), "packing-round")
         if out is None:
             out = packed.select("item", F.col("bin").alias("sequence_id"), "offset")
@@ -209,10 +250,12 @@ def placed(cut: DataFrame, *, length: int = LENGTH, full: float = FULL, group: i
             out = out.join(up, "sequence_id", "left").select(
                 "item", F.coalesce("bin", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset")
             )
+            if turn % 8 == 0:
+                out = stored(out, "packing-places")
         items = packed.filter(F.col("filled") < int(full * length)).select(F.col("bin").alias("item"), F.col("filled").alias("size")).distinct()
         before, count = count, items.count()
-        merged = turn == 0 or count <= 0.98 * before
-        if groups == 1 or not merged:
+        idle = 0 if turn == 0 or count < before else idle + 1
+        if groups == 1 or idle == IDLE:
             break
         groups = max(1, -(-count // group))
     return cut.join(out, "item")
