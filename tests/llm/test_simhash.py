@@ -112,6 +112,18 @@ def test_one_row_of_an_idless_group_stays(spark):
     assert sorted(str(r["doc_id"]) for r in simhash.one_of_each(docs).collect()) == ["1", "None"]
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_equal_ids_with_other_texts_lose_no_component(spark, order):
+    a, b, c = ("%s words of a text that no other text shares with it at all" % w for w in ("one two", "red blue green", "left right up down"))
+    rows = [(1, a), (2, b), (2, c), (3, b), (7, None), (7, "mail me at someone please whenever you like to"), (None, c), (None, "alone without id " * 4)][::order]
+    names = "doc_id long, text string, _row string, _row_ string, print string, root string, text_hash string, first string"
+    docs = spark.createDataFrame([(*r, *"xyzuvw") for r in rows], names).repartition(3)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, a), (2, b), (2, c), (7, None), (7, rows[5 if order == 1 else 2][1]), (None, "alone without id " * 4)], key=repr)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0

@@ -231,3 +231,26 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
     assert {r["doc_id"] for r in packed.collect()} == set(before)
     assert corpus_pipeline.run(spark, FOLDER).count() == packed.count()
+
+
+CLASHES = "_score string, _score_ string, _id string, _hash string, _spans string, _bad_id string, _bad_hash string, _row string, score string, spans string, text_hash string"
+
+
+def test_stages_keep_columns_whose_names_clash(spark):
+    docs = queries.table(spark, FOLDER, "documents")
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    more = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, clashing = stage(spark, docs, FOLDER), stage(spark, more, FOLDER)
+        assert clashing.columns == more.columns
+        assert sorted(r["doc_id"] for r in plain.collect()) == sorted(r["doc_id"] for r in clashing.collect()), name
+        assert clashing.filter(" or ".join(f"{n} != concat('{n}', doc_id)" for n in names)).count() == 0, name
+
+
+def test_stages_take_nulls_repeats_and_an_empty_table(spark):
+    docs = queries.table(spark, FOLDER, "documents")
+    odd = spark.createDataFrame([(None, None, None, None, None), (5, "", "en", None, 0), (5, "a b", None, "s", 3), (5, "a b", None, "s", 3)], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
+        out = stage(spark, odd, FOLDER)
+        assert out.count() == {"near_duplicates": 2}.get(name, 4), name

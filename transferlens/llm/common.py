@@ -14,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes not to be a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column, parts: int) -> Column:
     """True for the share of ids kept from learning; a null id belongs to the learning part."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == 2, F.lit(False))

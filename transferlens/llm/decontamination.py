@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.llm.common import whole
+from transferlens.llm.common import unused, whole
 from transferlens.session import stored
 
 #: Places that count, of each mask; both span ten tokens.
@@ -115,11 +115,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The rows of ``docs`` without such a passage."""
-    bad = contaminated(docs, benchmark, doc_id=doc_id, text=text, **names).select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")
-    )
+    """The rows of ``docs`` without such a passage; columns as they came, whatever their names."""
+    bad_id, bad_hash = unused(docs, "_bad_id"), unused(docs, "_bad_hash")
+    bad = contaminated(docs, benchmark, doc_id=doc_id, text=text, **names).select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash))
     bad = stored(bad, "decontamination-found")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_FOUND else bad
-    same = F.col(doc_id).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_bad_hash"))
+    same = F.col(doc_id).eqNullSafe(F.col(bad_id)) & (F.xxhash64(whole(F.col(text))) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

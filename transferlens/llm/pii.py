@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transferlens.llm.common import whole
+from transferlens.llm.common import unused, whole
 from transferlens.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -310,13 +310,14 @@ def per_document(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 BROADCAST = 100_000
 
 
-def _with_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with ``_spans``, null for those without. Texts are shuffled only if too many have spans to be broadcast."""
-    found = per_document(docs, doc_id=doc_id, text=text).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "spans": "_spans"})
+def _with_spans(docs: DataFrame, doc_id: str, text: str, spans: str) -> DataFrame:
+    """``docs`` with the column ``spans``, null for those without. Texts are shuffled only if too many have spans to be broadcast."""
+    own, digest = unused(docs, "_id"), unused(docs, "_hash")
+    found = per_document(docs, doc_id=doc_id, text=text).select(F.col("doc_id").alias(own), F.col("text_hash").alias(digest), F.col("spans").alias(spans))
     found = stored(found, "pii-found")
     found = F.broadcast(found) if found.count() <= BROADCAST else found
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_hash"))
-    return docs.join(found, same, "left").drop("_id", "_hash")
+    same = F.col(doc_id).eqNullSafe(F.col(own)) & (F.xxhash64(whole(F.col(text))) == F.col(digest))
+    return docs.join(found, same, "left").drop(own, digest)
 
 
 def _is(kind: str):
@@ -344,9 +345,10 @@ def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 def redacted(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named after the first.
 
-    ``n_chars`` is set to the new length where the text has changed.
+    ``n_chars`` is set to the new length where the text has changed. Other columns stay, whatever their names.
     """
-    rows = _with_spans(docs, doc_id, text)
+    spans = unused(docs, "_spans")
+    rows = _with_spans(docs, doc_id, text, spans)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, span: Column) -> Column:
@@ -356,8 +358,8 @@ def redacted(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_c
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.when(fresh, more).otherwise(state["parts"]).alias("parts"))
 
     rest = lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(F.col(text), (s["at"] + 1).cast("int"), F.length(text)))
-    changed = F.col("_spans").isNotNull()
-    new = F.when(changed, F.aggregate("_spans", start, step, rest)).otherwise(F.col(text))
+    changed = F.col(spans).isNotNull()
+    new = F.when(changed, F.aggregate(spans, start, step, rest)).otherwise(F.col(text))
     out = rows.withColumn(text, new)
     if n_chars and n_chars in docs.columns:
         out = out.withColumn(n_chars, F.when(changed, F.length(text).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars)))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.llm.common import ragged, words_of
+from transferlens.llm.common import ragged, unused, whole, words_of
 from transferlens.session import stored
 
 BLOCK = 23
@@ -191,38 +191,31 @@ def _mark(edges: DataFrame) -> tuple:
 def near_duplicates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2, hot: int = HOT
 ) -> DataFrame:
-    """One row (doc_id, print, component_id) per row of ``docs``; component_id is the smallest id reachable over links."""
-    ids = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = stored(with_fingerprint(ids, "print", "text", shingle).select("doc_id", "print"), "simhash-prints")
+    """One row (doc_id, text_hash, print, root, component_id) per row of ``docs``.
+
+    ``component_id`` is the smallest id reachable over links; ``root``, a fingerprint, tells components apart also where none has an id.
+    """
+    ids = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), F.col(text).alias("text"))
+    prints = stored(with_fingerprint(ids, "print", "text", shingle).select("doc_id", "text_hash", "print"), "simhash-prints")
     groups = prints.groupBy("print").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(groups.select("print"), max_distance, hot))
     rooted = groups.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return prints.join(rooted.join(lowest, "root").select("print", "component_id"), "print", "left")
+    return prints.join(rooted.join(lowest, "root").select("print", "root", "component_id"), "print", "left")
 
 
-def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that carry the smallest id of their component, once each; columns as they came.
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """One row of ``docs`` for each component, columns as they came, whatever their names.
 
-    Of an id-less component one row stays.
+    It is the row with the smallest id, of rows with equal ids that with the smallest hash of its text; rows without an id come last.
+    Of rows equal in id and text one stays.
     """
-    found = near_duplicates(docs, **settings)
-    doc_id = settings.get("doc_id", "doc_id")
-    first = found.groupBy("component_id").agg(F.min_by("print", F.struct("print")).alias("_print")).filter(F.col("component_id").isNotNull())
-    kept = docs.join(first.select(F.col("component_id").alias("_kept")).distinct(), F.col(doc_id) == F.col("_kept"), "left_semi")
-    bare = docs.filter(F.col(doc_id).isNull()).limit(0) if not _has_null(docs, doc_id) else _idless(docs, found, settings)
-    return kept.dropDuplicates([doc_id]).unionByName(bare)
-
-
-def _has_null(docs: DataFrame, doc_id: str) -> bool:
-    return bool(docs.filter(F.col(doc_id).isNull()).head(1))
-
-
-def _idless(docs: DataFrame, found: DataFrame, settings: dict) -> DataFrame:
-    """One row of each fingerprint that only id-less components have."""
-    text, shingle = settings.get("text", "text"), settings.get("shingle", 3)
-    lone = found.filter(F.col("component_id").isNull()).select(F.col("print").alias("_print")).distinct()
-    rows = with_fingerprint(docs.filter(F.col(settings.get("doc_id", "doc_id")).isNull()), "_print", text, shingle)
-    return rows.join(lone, "_print", "left_semi").dropDuplicates(["_print"]).drop("_print")
+    found = near_duplicates(docs, doc_id=doc_id, text=text, **settings)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    key = unused(docs, "_row")
+    first = found.groupBy("root").agg(F.min(place).alias("first")).select(F.struct("first.doc_id", "first.text_hash").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.struct(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(whole(F.col(f"`{text}`"))).alias("text_hash")))
+    # both steps are by the key, so texts are shuffled once
+    return keyed.join(first, key, "left_semi").dropDuplicates([key]).drop(key)
