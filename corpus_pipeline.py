@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens.llm import decontamination, packing, pii, queries, simhash, toxicity
-from transferlens.llm.common import table
+from transferlens.llm.common import table, unused
 from transferlens.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,12 +17,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold of their language."""
     model = queries.toxicity_model(spark, sf_dir)
-    scored = toxicity.with_score(docs, model, "_score")
-    return scored.filter(F.col("_score") < toxicity.threshold_of(model, F.col("lang"))).drop("_score")
+    score = unused(docs, "_score")
+    scored = toxicity.with_score(docs, model, score)
+    return scored.filter(F.col(score) < toxicity.threshold_of(model, F.col("lang"))).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component."""
+    """The document with the smallest id of each SimHash component, of equal ids that with the smallest text hash."""
     return simhash.one_of_each(docs, shingle=3, max_distance=2)
 
 
