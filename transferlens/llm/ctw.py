@@ -24,12 +24,13 @@ Repeated rows are scored and counted each. Rows without an id belong to the lear
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,18 @@ DEPTH = 6
 SUFFIX = 3
 WORD_SHARE = 2e-7
 END = b"\n"
-#: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
+#: Bytes that are counted or scored at once, and rows that a task gathers before it merges them; it emits what stays over half of that.
 _CHUNK = 1 << 21
-_FLUSH = 1 << 20
-_WORDS = 1 << 17
+_FLUSH = 3 << 20
+_WORDS = 1 << 18
 #: Bytes of text in a block, and distinct grams in a part of the tree.
-_BLOCK = 1 << 25
+_BLOCK = 1 << 24
 _PART = 1 << 18
 #: Spreads the suffixes over the parts.
 _SPREAD = 0x9E3779B1
+#: An odd factor mixes grams one to one; its inverse gives them back.
+_MIX = 0x9E3779B97F4A7C15
+_UNMIX = pow(_MIX, -1, 1 << 64)
 #: Hash of the end token; words hash to something else.
 END_HASH = 0
 
@@ -71,15 +75,21 @@ def serialized(text: str | None, depth: int) -> bytes:
     return END * depth + b" ".join([*words_of(text), END])
 
 
+def _mask(depth: int) -> int:
+    return (1 << 8 * depth) - 1
+
+
 def _grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The grams of all texts, and where each text's begin."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    n = len(data) - depth
-    out = np.zeros(n, dtype=np.int64)
-    for k in range(depth + 1):
-        out <<= 8
-        out |= data[k : n + k]
+    n, width, out = len(data) - depth, 1, data.astype(np.int64)
+    while 2 * width <= depth + 1:  # windows of twice the width from two neighbours
+        out = out[: len(out) - width] << 8 * width | out[width:]
+        width *= 2
+    rest = depth + 1 - width
+    if rest:
+        out = out[:n] << 8 * rest | out[rest : n + rest] & _mask(rest)
     starts = np.concatenate(([0], np.cumsum(lengths)))
     own = np.ones(n, dtype=bool)  # not the windows that reach from one text into the next
     for k in range(depth):
@@ -100,10 +110,6 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
-def _mask(depth: int) -> int:
-    return (1 << 8 * depth) - 1
-
-
 def count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return _summed(_grams(texts, depth)[0]) if texts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
@@ -257,30 +263,40 @@ def _by_bits(levels: list[Level], deepest: int, grams: np.ndarray) -> np.ndarray
 
 def text_bits(levels: list[Level], texts: list[bytes], depth: int) -> np.ndarray:
     """log2 probability of each serialized text, of at most 2 ** 24 bytes in all."""
-    return _sums(texts, depth, lambda grams: gram_bits(levels, grams))
+    grams, starts = _grams(texts, depth)
+    keys, lengths, place = _folded(grams)
+    return _sums(gram_bits(levels, _unmixed(keys)), lengths, place, starts)
 
 
-def _sums(texts: list[bytes], depth: int, bits_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum over each text's grams; ``bits_of`` gets distinct grams, ascending."""
-    grams, starts = _grams(texts, depth)
-    # equal grams side by side: sorted by 40 bits of a hash, with the place in the low 24 bits; in place, as these arrays are a
-    # worker's largest
-    mixed = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed >>= np.uint64(24)
-    mixed <<= np.uint64(24)
-    mixed |= np.arange(len(grams), dtype=np.uint64)
-    mixed.sort()
-    mixed &= np.uint64((1 << 24) - 1)
-    place = mixed.view(np.int64)
-    ordered = grams[place]
-    del grams, mixed
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    distinct = ordered[first]
-    del ordered
-    own = np.sort(distinct)
-    bits = bits_of(own)[np.searchsorted(own, distinct)]
+def _mixed(grams: np.ndarray) -> np.ndarray:
+    return grams.view(np.uint64) * np.uint64(_MIX)
+
+
+def _unmixed(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint64(_UNMIX)).view(np.int64)
+
+
+def _folded(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal grams side by side: their mixed keys, nearly ascending (one may come twice), how many each stands for, and the places
+    these come from. The keys' high bits are sorted with the place in the low ones, which costs one sort of whole numbers."""
+    keys = _mixed(grams)
+    low = np.uint64(max(1, (len(grams) - 1).bit_length()))
+    tagged = keys >> low
+    tagged <<= low
+    tagged |= np.arange(len(grams), dtype=np.uint64)
+    tagged.sort()
+    tagged &= (np.uint64(1) << low) - np.uint64(1)
+    place = tagged.astype(np.int32 if len(grams) < 1 << 31 else np.int64)
+    del tagged
+    keys = keys[place]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.diff(np.append(first, len(keys))).astype(np.int32), place
+
+
+def _sums(bits: np.ndarray, lengths: np.ndarray, place: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum over each text's grams, from the bits of the folded ones."""
     values = np.empty(len(place))
-    values[place] = np.repeat(bits, np.diff(np.append(first, len(place))))
+    values[place] = np.repeat(bits, lengths)
     return np.add.reduceat(values, starts)
 
 
@@ -310,6 +326,19 @@ def _signed(values) -> np.ndarray:
     return np.array(values, dtype=np.uint64).view(np.int64)
 
 
+def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all texts as by ``words_of``: the text and the code of each, and the hash behind each code."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    words = lists.flatten().cast(pa.binary()).dictionary_encode()
+    distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
+    rows = np.repeat(np.arange(len(texts)), sizes)
+    if b"" in distinct:  # before and behind spaces at the ends
+        full = codes != distinct.index(b"")
+        rows, codes = rows[full], codes[full]
+    return rows, codes, _signed([_hash(w) for w in distinct])
+
+
 #: In a table of counts: depth of the rows that count words.
 _WORD = -1
 
@@ -319,26 +348,24 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
     top = min(SUFFIX, depth)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[bytes, int] = {}
         ends, held, keys, counts = 0, 0, [], []
+        words: list[tuple[np.ndarray, np.ndarray]] = []
 
         def frame(d: int, gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(gram), 250_000):
                 part = gram[at : at + 250_000]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), d, np.int32)), pa.array(part), pa.array(n[at : at + 250_000])], ["d", "gram", "n"])
 
-        def emit_words() -> Iterator[pa.RecordBatch]:
-            yield from frame(_WORD, _signed([_hash(w) for w in words]), np.fromiter(words.values(), np.int64, len(words)))
-            words.clear()
-
         def emit_grams() -> Iterator[pa.RecordBatch]:
-            gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
-            keys.clear()
-            counts.clear()
-            for d, g, c in islice(all_depths(gram, n, depth), depth - top + 1):
+            for d, g, c in islice(all_depths(keys.pop(), counts.pop(), depth), depth - top + 1):
                 if d in (depth, top):
                     yield from frame(d, g, c)
 
+        def merge() -> int:
+            gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            keys[:], counts[:] = [gram], [n]
+            return len(gram)
+
         for part in parts:
             values = part.column(0)
             for _, batch in runs((serialized(v.as_py(), depth) for v in values), depth):
@@ -347,16 +374,22 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 counts.append(n)
                 held += len(gram)
                 if held > _FLUSH:
-                    yield from emit_grams()
-                    held = 0
-            for value in values:
-                ends += 1
-                for word in words_of(value.as_py()):
-                    words[word] = words.get(word, 0) + 1
-                if len(words) > _WORDS:
-                    yield from emit_words()
-        yield from emit_words()
+                    held = merge()
+                    if held > _FLUSH // 2:
+                        yield from emit_grams()
+                        held = 0
+            ends += len(values)
+            _, codes, hashes = _coded(values)
+            seen = np.bincount(codes, minlength=len(hashes))
+            words.append((hashes[seen > 0], seen[seen > 0]))
+            if sum(len(h) for h, _ in words) > _WORDS:
+                words = [_summed(*map(np.concatenate, zip(*words, strict=True)))]
+                if len(words[0][0]) > _WORDS // 2:
+                    yield from frame(_WORD, *words.pop())
+        for own in words:
+            yield from frame(_WORD, *own)
         if keys:
+            merge()
             yield from emit_grams()
         yield from frame(_WORD, np.array([END_HASH]), np.array([ends]))
 
@@ -436,23 +469,23 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
     blocks = max(1, math.ceil(size / _BLOCK))
     parts = max(model.parts, 4 * blocks)
 
-    def asked_for(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct grams of a block, ascending; the order that puts them part by part, and the parts in that order."""
+    def dealt_out(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of a block, ascending; the order that puts them part by part, and the parts in that order."""
+        key = _summed(np.concatenate(keys))[0]
+        part = _part_numbers(_unmixed(key), parts, top).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+        order = np.argsort(part, kind="stable")
+        return key, order, part[order].astype(np.int64)
+
+    def ask(rows: pa.Table) -> pa.Table:
         keys, held = [], 0
         for _, batch in runs((serialized(t.as_py(), depth) for t in rows["text"]), depth):
-            keys.append(count_grams(batch, depth)[0])
+            keys.append(_summed(_mixed(_grams(batch, depth)[0]))[0])
             held += len(keys[-1])
-            if held > 2 * _FLUSH:
+            if held > _FLUSH:
                 keys, held = [_summed(np.concatenate(keys))[0]], 0
-        gram = _summed(np.concatenate(keys))[0]
-        part = _part_numbers(gram, parts, top)
-        order = np.argsort(part, kind="stable")
-        return gram, order, part[order]
-
-    def ask(rows: pa.Table) -> pa.Table:
-        gram, order, part = asked_for(rows)
+        key, order, part = dealt_out(keys)
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        grams = [g.tobytes() for g in np.split(gram[order], first[1:])]
+        grams = [g.tobytes() for g in np.split(_unmixed(key)[order], first[1:])]
         block = np.full(len(first), rows["block"][0].as_py(), np.int64)
         return pa.table({"part": part[first], "block": block, "grams": pa.array(grams, pa.binary())})
 
@@ -478,42 +511,51 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
                 tree.clear()
             rows = batch.slice(first)
             grams = [np.frombuffer(g.as_buffer(), dtype=np.int64) for g in rows.column("grams")]
-            distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
-            bits = gram_bits(levels, distinct).astype(np.float32)[place]
+            keys, lengths, place = _folded(np.concatenate(grams))
+            distinct = _unmixed(keys)
+            order = np.argsort(distinct)
+            found = np.empty(len(distinct), dtype=np.float32)
+            found[order] = gram_bits(levels, distinct[order])
+            bits = np.empty(len(place), dtype=np.float32)
+            bits[place] = np.repeat(found, lengths)
             bits = [x.tobytes() for x in np.split(bits, np.cumsum([len(g) for g in grams])[:-1])]
             yield pa.RecordBatch.from_arrays([rows.column("part"), rows.column("block"), pa.array(bits, pa.binary())], ["part", "block", "bits"])
 
     def score(part: pa.Table, answers: pa.Table) -> pa.Table:
-        own, hashes = shared.value, {}
-        log_counts = np.log10(own.counts + 1.0)
-        gram, order, _ = asked_for(part)
-        value = np.empty(len(gram), dtype=np.float32)
-        answers = answers.sort_by("part")
-        value[order] = np.concatenate([np.frombuffer(b.as_buffer(), dtype=np.float32) for b in answers["bits"]])
-        bits, sizes = np.zeros(len(part)), np.zeros(len(part), dtype=np.int64)
+        own, count = shared.value, len(part)
+        folded, bits, sizes = [], np.zeros(count), np.zeros(count, dtype=np.int64)
         for rows, batch in runs((serialized(t.as_py(), depth) for t in part["text"]), depth):
-            np.add.at(bits, rows, _sums(batch, depth, lambda grams: value[np.searchsorted(gram, grams)]))
+            grams, starts = _grams(batch, depth)
+            folded.append((rows, starts, *_folded(grams)))
             np.add.at(sizes, rows, [len(t) - depth for t in batch])
-        out = []
-        for text_of in part["text"]:
-            words = words_of(text_of.as_py())
-            if len(hashes) > _WORDS:
-                hashes.clear()
-            found = np.empty(len(words) + 1, dtype=np.uint64)
-            found[:-1] = [hashes.get(w) or hashes.setdefault(w, _hash(w)) for w in words]
-            found[-1] = END_HASH
-            keys = found.view(np.int64)
-            if len(own.words):
-                at, hit = _find(own.words, keys)
-                known, total = int(hit.sum()), float(log_counts[at[hit]].sum())
-            else:
-                hit, known, total = np.zeros(len(keys), bool), 0, 0.0
-            rare, n = np.unique(keys[~hit], return_counts=True)
-            out.append((len(keys), known, total, rare, n))
-        tokens, known, total, rare, n = zip(*out, strict=True)
-        row = (part["block"][0].as_py() << 36) + np.arange(len(part))
-        lists = [pa.array(x, pa.list_(pa.int64())) for x in (rare, n)]
-        columns = [pa.array(row), part["doc_id"], pa.array(sizes), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(total, pa.float64()), pa.array(bits), *lists]
+        key, order, _ = dealt_out([f[2] for f in folded])
+        value = np.empty(len(key), dtype=np.float32)
+        answers = answers.sort_by("part")
+        value[order] = np.concatenate([np.frombuffer(b.as_buffer(), dtype=np.float32) for b in answers["bits"]])
+        while folded:
+            rows, starts, keys, lengths, place = folded.pop()
+            np.add.at(bits, rows, _sums(value[np.searchsorted(key, keys)], lengths, place, starts))
+        rows, codes, hashes = _coded(part["text"].combine_chunks())
+        hit, weight, end = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes)), (False, 0.0)
+        if len(own.words):
+            logs = np.log10(own.counts + 1.0)
+            at, hit = _find(own.words, hashes)
+            weight = np.where(hit, logs[at], 0.0)
+            at, found = _find(own.words, np.array([END_HASH]))
+            end = bool(found[0]), float(logs[at[0]]) * bool(found[0])
+        tokens = np.bincount(rows, minlength=count) + 1
+        known = np.bincount(rows, weights=hit[codes], minlength=count).astype(np.int64) + end[0]
+        total = np.bincount(rows, weights=weight[codes], minlength=count) + end[1]
+        # the other words of each text, with their counts
+        rest = np.flatnonzero(~hit[codes])
+        row, word = rows[rest], hashes[codes[rest]]
+        by_text = np.lexsort((word, row))
+        row, word = row[by_text], word[by_text]
+        first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (word[1:] != word[:-1])))) if len(row) else np.zeros(0, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=count)))).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (word[first], np.diff(np.append(first, len(row))))]
+        place = (part["block"][0].as_py() << 36) + np.arange(count)
+        columns = [pa.array(place), part["doc_id"], *map(pa.array, (sizes, tokens, known, total, bits)), *lists]
         return pa.table(columns, names=[c.split()[0] for c in _SCORED.split(", ")])
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
