@@ -43,12 +43,12 @@ DEPTH = 6
 SUFFIX = 3
 WORD_SHARE = 2e-7
 END = b"\n"
-#: Bytes that are counted or scored at once, and rows that a task gathers before it merges them; it emits what stays over half of that.
-_CHUNK = 1 << 21
-_FLUSH = 3 << 20
-_WORDS = 1 << 18
+#: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
+_CHUNK = 1 << 20
+_FLUSH = 1 << 20
+_WORDS = 1 << 17
 #: Bytes of text in a block, and distinct grams in a part of the tree.
-_BLOCK = 1 << 24
+_BLOCK = 12 << 20
 _PART = 1 << 18
 #: Spreads the suffixes over the parts.
 _SPREAD = 0x9E3779B1
@@ -326,17 +326,30 @@ def _signed(values) -> np.ndarray:
     return np.array(values, dtype=np.uint64).view(np.int64)
 
 
-def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of all texts as by ``words_of``: the text and the code of each, and the hash behind each code."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    words = lists.flatten().cast(pa.binary()).dictionary_encode()
-    distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
-    rows = np.repeat(np.arange(len(texts)), sizes)
-    if b"" in distinct:  # before and behind spaces at the ends
-        full = codes != distinct.index(b"")
-        rows, codes = rows[full], codes[full]
-    return rows, codes, _signed([_hash(w) for w in distinct])
+def _coded(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The words of all texts as by ``words_of``, some ``_CHUNK`` bytes of texts at once: the text and the code of each, and the
+    hash behind each code."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        behind = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 4 * _CHUNK, side="right")))
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(at, behind - at)))
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        words = lists.flatten().cast(pa.binary()).dictionary_encode()
+        distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
+        rows = np.repeat(np.arange(at, behind), sizes)
+        if b"" in distinct:  # before and behind spaces at the ends
+            full = codes != distinct.index(b"")
+            rows, codes = rows[full], codes[full]
+        yield rows, codes, _signed([_hash(w) for w in distinct])
+        at = behind
+    pa.default_memory_pool().release_unused()
+
+
+def _distinct(keys: list[np.ndarray]) -> np.ndarray:
+    key = np.concatenate(keys)
+    key.sort()
+    return key[np.concatenate(([True], key[1:] != key[:-1]))]
 
 
 #: In a table of counts: depth of the rows that count words.
@@ -357,15 +370,13 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), d, np.int32)), pa.array(part), pa.array(n[at : at + 250_000])], ["d", "gram", "n"])
 
         def emit_grams() -> Iterator[pa.RecordBatch]:
-            for d, g, c in islice(all_depths(keys.pop(), counts.pop(), depth), depth - top + 1):
+            gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            keys.clear()
+            counts.clear()
+            for d, g, c in islice(all_depths(gram, n, depth), depth - top + 1):
                 if d in (depth, top):
                     yield from frame(d, g, c)
 
-        def merge() -> int:
-            gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
-            keys[:], counts[:] = [gram], [n]
-            return len(gram)
-
         for part in parts:
             values = part.column(0)
             for _, batch in runs((serialized(v.as_py(), depth) for v in values), depth):
@@ -374,22 +385,19 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 counts.append(n)
                 held += len(gram)
                 if held > _FLUSH:
-                    held = merge()
-                    if held > _FLUSH // 2:
-                        yield from emit_grams()
-                        held = 0
+                    yield from emit_grams()
+                    held = 0
             ends += len(values)
-            _, codes, hashes = _coded(values)
-            seen = np.bincount(codes, minlength=len(hashes))
-            words.append((hashes[seen > 0], seen[seen > 0]))
-            if sum(len(h) for h, _ in words) > _WORDS:
-                words = [_summed(*map(np.concatenate, zip(*words, strict=True)))]
-                if len(words[0][0]) > _WORDS // 2:
-                    yield from frame(_WORD, *words.pop())
+            for _, codes, hashes in _coded(values):
+                seen = np.bincount(codes, minlength=len(hashes))
+                words.append((hashes[seen > 0], seen[seen > 0]))
+                if sum(len(h) for h, _ in words) > _WORDS:
+                    words = [_summed(*map(np.concatenate, zip(*words, strict=True)))]
+                    if len(words[0][0]) > _WORDS // 2:
+                        yield from frame(_WORD, *words.pop())
         for own in words:
             yield from frame(_WORD, *own)
         if keys:
-            merge()
             yield from emit_grams()
         yield from frame(_WORD, np.array([END_HASH]), np.array([ends]))
 
@@ -469,25 +477,25 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
     blocks = max(1, math.ceil(size / _BLOCK))
     parts = max(model.parts, 4 * blocks)
 
-    def dealt_out(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys of a block, ascending; the order that puts them part by part, and the parts in that order."""
-        key = _summed(np.concatenate(keys))[0]
-        part = _part_numbers(_unmixed(key), parts, top).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    def dealt_out(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order that puts a block's distinct grams, ascending, part by part, and the parts in that order."""
+        part = _part_numbers(gram, parts, top).astype(np.uint16 if parts <= 1 << 16 else np.int64)
         order = np.argsort(part, kind="stable")
-        return key, order, part[order].astype(np.int64)
+        return order, part[order].astype(np.int64)
 
     def ask(rows: pa.Table) -> pa.Table:
-        keys, held = [], 0
+        grams, held = [], 0
         for _, batch in runs((serialized(t.as_py(), depth) for t in rows["text"]), depth):
-            keys.append(_summed(_mixed(_grams(batch, depth)[0]))[0])
-            held += len(keys[-1])
-            if held > _FLUSH:
-                keys, held = [_summed(np.concatenate(keys))[0]], 0
-        key, order, part = dealt_out(keys)
+            grams.append(count_grams(batch, depth)[0])
+            held += len(grams[-1])
+            if held > 2 * _FLUSH:
+                grams, held = [_distinct(grams)], 0
+        gram = _distinct(grams)
+        order, part = dealt_out(gram)
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        grams = [g.tobytes() for g in np.split(_unmixed(key)[order], first[1:])]
+        asked = [g.tobytes() for g in np.split(gram[order], first[1:])]
         block = np.full(len(first), rows["block"][0].as_py(), np.int64)
-        return pa.table({"part": part[first], "block": block, "grams": pa.array(grams, pa.binary())})
+        return pa.table({"part": part[first], "block": block, "grams": pa.array(asked, pa.binary())})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, tree, levels = shared.value, [], None
@@ -523,37 +531,44 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
 
     def score(part: pa.Table, answers: pa.Table) -> pa.Table:
         own, count = shared.value, len(part)
+        logs = np.log10(own.counts + 1.0)
+        end = _find(own.words, np.array([END_HASH])) if len(own.words) else (0, False)
+        tokens = np.ones(count, dtype=np.int64)
+        known, total = np.full(count, int(np.sum(end[1]))), np.full(count, float(np.sum(logs[end[0]])) if np.sum(end[1]) else 0.0)
+        rest = []  # the other words, by text and hash
+        for rows, codes, hashes in _coded(part["text"].combine_chunks()):
+            hit, weight = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes))
+            if len(own.words):
+                at, hit = _find(own.words, hashes)
+                weight = np.where(hit, logs[at], 0.0)
+            tokens += np.bincount(rows, minlength=count)
+            known += np.bincount(rows, weights=hit[codes], minlength=count).astype(np.int64)
+            total += np.bincount(rows, weights=weight[codes], minlength=count)
+            missed = np.flatnonzero(~hit[codes])
+            rest.append((rows[missed], hashes[codes[missed]]))
+        row, word = (np.concatenate(x) for x in zip(*rest, strict=True))
+        by_text = np.lexsort((word, row))
+        row, word = row[by_text], word[by_text]
+        first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (word[1:] != word[:-1])))) if len(row) else np.zeros(0, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=count)))).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (word[first], np.diff(np.append(first, len(row))))]
         folded, bits, sizes = [], np.zeros(count), np.zeros(count, dtype=np.int64)
         for rows, batch in runs((serialized(t.as_py(), depth) for t in part["text"]), depth):
             grams, starts = _grams(batch, depth)
             folded.append((rows, starts, *_folded(grams)))
             np.add.at(sizes, rows, [len(t) - depth for t in batch])
-        key, order, _ = dealt_out([f[2] for f in folded])
+            del grams, batch
+        key = _distinct([f[2] for f in folded])
+        gram = _unmixed(key)
+        ascending = np.argsort(gram)
+        order = ascending[dealt_out(gram[ascending])[0]]
         value = np.empty(len(key), dtype=np.float32)
         answers = answers.sort_by("part")
         value[order] = np.concatenate([np.frombuffer(b.as_buffer(), dtype=np.float32) for b in answers["bits"]])
+        del gram, ascending, order
         while folded:
             rows, starts, keys, lengths, place = folded.pop()
             np.add.at(bits, rows, _sums(value[np.searchsorted(key, keys)], lengths, place, starts))
-        rows, codes, hashes = _coded(part["text"].combine_chunks())
-        hit, weight, end = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes)), (False, 0.0)
-        if len(own.words):
-            logs = np.log10(own.counts + 1.0)
-            at, hit = _find(own.words, hashes)
-            weight = np.where(hit, logs[at], 0.0)
-            at, found = _find(own.words, np.array([END_HASH]))
-            end = bool(found[0]), float(logs[at[0]]) * bool(found[0])
-        tokens = np.bincount(rows, minlength=count) + 1
-        known = np.bincount(rows, weights=hit[codes], minlength=count).astype(np.int64) + end[0]
-        total = np.bincount(rows, weights=weight[codes], minlength=count) + end[1]
-        # the other words of each text, with their counts
-        rest = np.flatnonzero(~hit[codes])
-        row, word = rows[rest], hashes[codes[rest]]
-        by_text = np.lexsort((word, row))
-        row, word = row[by_text], word[by_text]
-        first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (word[1:] != word[:-1])))) if len(row) else np.zeros(0, dtype=np.int64)
-        ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=count)))).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(ends, x) for x in (word[first], np.diff(np.append(first, len(row))))]
         place = (part["block"][0].as_py() << 36) + np.arange(count)
         columns = [pa.array(place), part["doc_id"], *map(pa.array, (sizes, tokens, known, total, bits)), *lists]
         return pa.table(columns, names=[c.split()[0] for c in _SCORED.split(", ")])
