@@ -88,3 +88,24 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert sorted(str(r["text"]) for r in D.clean(docs, bench).collect()) == ["None", "clean"]
     assert D.clean(docs.limit(0), bench).count() == 0
     assert D.clean(docs, bench.limit(0)).count() == 5
+
+
+def test_benchmark_hashes_alone_keep_the_hits(spark, monkeypatch):
+    docs, items = cases()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items + items[:10], "item_id long, text string")
+    want = brute(docs, items)
+    monkeypatch.setattr(D, "BROADCAST", -1)
+    for limit in (D.BROADCAST_HASHES, 0):  # hashes broadcast, and all placements shuffled
+        monkeypatch.setattr(D, "BROADCAST_HASHES", limit)
+        found = D.overlaps(frame, bench)
+        assert {(r["doc_id"], r["item_id"]): (r["n_windows"], r["first_token"], r["matched_tokens"]) for r in found.collect()} == want
+        assert ("LeftSemi" in found._jdf.queryExecution().toString()) == bool(limit)
+
+
+def test_clean_seeks_equal_items_once(spark):
+    passage = " ".join(f"w{k}" for k in range(15))
+    docs = spark.createDataFrame([(k, f"d{k} {passage}") for k in range(40)] + [(99, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, passage) for k in range(40)], "item_id long, text string")
+    assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [99]
+    assert {len(r["item_ids"]) for r in D.contaminated(docs, bench).collect()} == {40}

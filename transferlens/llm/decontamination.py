@@ -11,8 +11,10 @@ substitutions are bunched. An item of ``SPAN`` tokens has one placement only; th
 such items alone, finds it when its first or last token was substituted.
 
 One pass over the documents does it all: the tokens' hashes are laid side by side by ``arrays_zip``, so each row that meets the
-benchmark carries its surroundings and is verified where it is. No text is shuffled. The benchmark's hashes are broadcast only up
-to ``BROADCAST`` of them, counted first; beyond that both sides are shuffled.
+benchmark carries its surroundings and is verified where it is. No text is shuffled. What is broadcast is counted first: up to
+``BROADCAST`` placements of the benchmark go out with their surroundings and nothing of the documents is shuffled; up to
+``BROADCAST_HASHES`` distinct hashes go out alone, and only the placements that they keep are shuffled to the benchmark's; beyond that
+all placements are.
 
 Defined cases: null and empty texts and texts of fewer tokens than a window have no overlap and are kept; so do benchmark items
 of fewer tokens than a mask, and items shorter than a window are windows themselves. Tokens are lower-cased runs without ASCII
@@ -35,8 +37,10 @@ SPAN = 10
 INNER = tuple(range(1, SPAN - 1))
 WINDOW = 12
 LEAST = 10
-#: Benchmark hashes up to which they are broadcast (about 160 bytes each), and found documents (about 40 bytes each).
+#: Benchmark placements up to which they are broadcast with their surroundings (about 160 bytes each), distinct hashes alone (about
+#: 50 bytes each; 4 million are those of about 2 million benchmark tokens), and found documents (about 40 bytes each).
 BROADCAST = 250_000
+BROADCAST_HASHES = 4_000_000
 BROADCAST_FOUND = 1_000_000
 #: Places around a hit that its windows reach.
 LANES = range(SPAN - WINDOW, WINDOW)
@@ -79,6 +83,10 @@ def overlaps(
     )
     inner = bool(seeds.filter(F.col("mask") == len(MASKS)).head(1))
     runs = _seeds(texts, ["doc_id", "text_hash"], "p", "n", (*MASKS, INNER) if inner else MASKS)
+    if not small:
+        hashes = seeds.select("hash").distinct()
+        if hashes.count() <= BROADCAST_HASHES:
+            runs = runs.join(F.broadcast(hashes), "hash", "left_semi")
     hits = runs.join(F.broadcast(seeds) if small else seeds, ["mask", "hash"])
     windows = F.filter(F.array(*[_window(back) for back in range(WINDOW - SPAN + 1)]), lambda w: w["equal"] >= w["least"])
     good = hits.select("doc_id", "text_hash", "item_id", F.inline(windows)).select("doc_id", "text_hash", "item_id", "at", "equal").distinct()
@@ -115,7 +123,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The rows of ``docs`` without such a passage; columns as they came, whatever their names."""
+    """The rows of ``docs`` without such a passage; columns as they came, whatever their names. Equal items are sought once."""
+    benchmark = benchmark.dropDuplicates([names.get("item_text", "text")])
     bad_id, bad_hash = unused(docs, "_bad_id"), unused(docs, "_bad_hash")
     bad = contaminated(docs, benchmark, doc_id=doc_id, text=text, **names).select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash))
     bad = stored(bad, "decontamination-found")
