@@ -71,7 +71,11 @@ def dominant(df: DataFrame, keys: Sequence[str], value: Sequence[str], unwanted:
     Ties go to the value that sorts first, so the result does not depend on row order.
     """
     votes = df.groupBy(*keys, *value).agg(F.count(F.lit(1)).alias("__n"))
-    # min_by over (unwanted, -count, value) is the vote order written as one comparable struct
-    order = F.struct(unwanted.alias("u"), (-F.col("__n")).alias("n"), *value)
-    best = votes.groupBy(*keys).agg(F.min_by(F.struct(*value), order).alias("__best"))
+    best = votes.groupBy(*keys).agg(elected(value, "__n", unwanted).alias("__best"))
     return best.select(*keys, "__best.*")
+
+
+def elected(value: Sequence[str], votes: str, unwanted: Column) -> Column:
+    """The ``value`` with most ``votes`` as an aggregate over rows that count votes already, one per value."""
+    # min_by over (unwanted, -count, value) is the vote order written as one comparable struct
+    return F.min_by(F.struct(*value), F.struct(unwanted.alias("u"), (-F.col(votes)).alias("n"), *value))

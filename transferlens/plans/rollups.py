@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from transferlens import schemas
 from transferlens.functions import classify
-from transferlens.operators.labels import dominant
+from transferlens.operators.labels import elected
 from transferlens.operators.ranking import with_rank
 from transferlens.operators.stats import signed_flow
 
@@ -44,16 +44,31 @@ def _sides(whales: DataFrame) -> DataFrame:
 
 
 def wallet_days(whales: DataFrame) -> DataFrame:
-    """Sent, received and counts per address and day: one pass and one shuffle, no outer join."""
-    sides = _sides(whales)
-    sender = F.col("as_sender") == 1
-    return sides.groupBy("address", "dt").agg(
+    """Sent, received, counts and the dominant entity per address and day.
+
+    Both sides of a transfer are laid out once. They fold into one row per address, day and entity before the shuffle; those few
+    rows are at the same time the votes for the entity and the parts of the day's totals.
+    """
+    sender, value = F.col("as_sender") == 1, ["entity_name", "entity_category"]
+    parts = _sides(whales).groupBy("address", "dt", *value).agg(
+        F.sum("sent").alias("sent"),
+        F.sum("received").alias("received"),
+        F.sum(F.when(sender, F.col("counted")).otherwise(0)).alias("as_sender"),
+        F.sum(F.when(sender, 0).otherwise(F.col("counted"))).alias("as_receiver"),
+        F.bool_or("flag").alias("flag"),
+        F.count(F.lit(1)).alias("votes"),
+    )
+    days = parts.groupBy("address", "dt").agg(
         F.sum("sent").alias("total_sent_eth"),
         F.sum("received").alias("total_recv_eth"),
-        F.sum(F.when(sender, F.col("counted")).otherwise(0)).alias("tx_count_as_sender"),
-        F.sum(F.when(sender, 0).otherwise(F.col("counted"))).alias("tx_count_as_receiver"),
+        F.sum("as_sender").alias("tx_count_as_sender"),
+        F.sum("as_receiver").alias("tx_count_as_receiver"),
         F.bool_or("flag").alias("flag_high_freq"),
+        elected(value, "votes", F.col("entity_name") == classify.UNKNOWN).alias("__entity"),
     )
+    named = F.col("address").isNotNull() & F.col("dt").isNotNull()
+    entity = {c: F.when(named, F.col(f"__entity.{c}")) for c in value}
+    return days.withColumns(entity).drop("__entity")
 
 
 def top_whales_daily(
@@ -80,15 +95,11 @@ def top_whales_daily(
     days = with_rank(days, ["dt"], "net_flow_eth", "rank_dumper", "rank_accumulator", cut)
     days = with_rank(days, ["dt"], "total_activity_eth", None, "rank_activity", cut)
 
-    named = _sides(whales).where(F.col("address").isNotNull())
-    entities = dominant(
-        named, ["address", "dt"], ["entity_name", "entity_category"], F.col("entity_name") == classify.UNKNOWN
-    )
     labels = {
         "whale_tier": classify.tier("total_activity_eth", tiers),
         "position_label": classify.position_label("net_flow_eth"),
     }
-    return _columns(days.join(entities, ["address", "dt"], "left").withColumns(labels), schemas.TOP_WHALES_DAILY)
+    return _columns(days.withColumns(labels), schemas.TOP_WHALES_DAILY)
 
 
 def market_flow_hourly(whales: DataFrame) -> DataFrame:
