@@ -109,3 +109,39 @@ def test_clean_seeks_equal_items_once(spark):
     bench = spark.createDataFrame([(k, passage) for k in range(40)], "item_id long, text string")
     assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [99]
     assert {len(r["item_ids"]) for r in D.contaminated(docs, bench).collect()} == {40}
+
+
+def runs_of(item, doc):
+    return [k for k in range(len(doc) - len(item) + 1) if doc[k : k + len(item)] == item]
+
+
+def test_short_items_are_found_whole(spark, monkeypatch):
+    docs, items = cases()
+    rng = random.Random(5)
+    items = items + [(200 + n, " ".join(f"s{n}x{k}" for k in range(n))) for n in range(3, 10)]
+    for n in range(3, 10):
+        run = [f"s{n}x{k}" for k in range(n)]
+        docs += [(1000 + n, " ".join(["a", *run, "b", *run])), (2000 + n, " ".join(run)), (3000 + n, " ".join([*run[:-1], "other", "b"]))]
+        docs.append((4000 + n, " ".join(["q"] * rng.randint(0, 30) + run)))
+    want = brute(docs, items)
+    for item, text in items:
+        if 5 <= len(words(text)) < 10:
+            want |= {(d, item): (len(at), at[0], len(words(text))) for d, body in docs if (at := runs_of(words(text), words(body)))}
+    assert {d for d, _ in want} >= {1005, 2005, 4009} and not {d for d, _ in want} & {1004, 2004, 3007}
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for limit in (D.BROADCAST, -1):
+        monkeypatch.setattr(D, "BROADCAST", limit)
+        rows = D.overlaps(frame, bench, least_item=5).collect()
+        assert {(r["doc_id"], r["item_id"]): (r["n_windows"], r["first_token"], r["matched_tokens"]) for r in rows} == want
+    bad = {d for d, _ in want}
+    assert sorted(r["doc_id"] for r in D.clean(frame, bench, least_item=5).collect()) == sorted(d for d, _ in docs if d not in bad)
+    only = bench.filter("item_id > 200")
+    assert {r["doc_id"] for r in D.contaminated(frame, only, least_item=5).collect()} == {d for d, i in want if i > 200}
+
+
+def test_items_of_equal_tokens_are_each_reported(spark):
+    passage = " ".join(f"w{k}" for k in range(15))
+    bench = spark.createDataFrame([(1, passage), (2, passage.upper() + "!"), (None, passage), (2, passage)], "item_id long, text string")
+    docs = spark.createDataFrame([(7, passage), (8, "nothing of it")], "doc_id long, text string")
+    rows = D.overlaps(docs, bench).collect()
+    assert sorted((r["doc_id"], str(r["item_id"]), r["n_windows"]) for r in rows) == [(7, "1", 4), (7, "2", 4), (7, "None", 4)]

@@ -65,7 +65,8 @@ g AS (SELECT doc_id, item_id, count(DISTINCT (p, equal)) AS n, min(p) AS p, max(
 SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids, CAST(sum(n) AS BIGINT) AS n_windows,
        CAST(min(p) AS BIGINT) AS first_token, CAST(max(equal) AS BIGINT) AS matched_tokens FROM g GROUP BY 1""")
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontamination.contaminated(documents, benchmark, least_item=decontamination.SHORT_ITEM)
     return found.select("doc_id", F.array_join("item_ids", ",").alias("item_ids"), "n_windows", "first_token", "matched_tokens")
 
 
