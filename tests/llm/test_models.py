@@ -152,6 +152,15 @@ def test_probabilities_of_the_next_byte_sum_to_one():
         assert np.exp2(ctw.gram_bits(levels, grams)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_rare_bytes_after_very_frequent_ones_have_finite_scores():
+    grams, counts = np.array([ord("["), ord("a"), ord("c")]), np.array([1, 10**9, 10**9])
+    levels = ctw.weigh([(grams, counts)])
+    got = ctw.gram_bits(levels, np.array([ord("["), ord("@"), ord("a"), ord("c"), ord("b")]))
+    assert np.isfinite(got).all()
+    assert got[0] == pytest.approx(math.log2(1.5 / (2e9 + 2)) + 5 * math.log2(0.75), abs=1e-3)  # its third bit tells it from letters
+    assert np.exp2(ctw.gram_bits(levels, np.arange(256))).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_long_texts_are_scored_in_runs():
     text = ctw.serialized("some words that go on " * 50, 3)
     grams, counts = ctw.count_grams([text], 3)

@@ -67,7 +67,7 @@ class Level:
     bits: np.ndarray
     contexts: np.ndarray
     nodes: np.ndarray
-    ones: np.ndarray  # probability that the next bit is 1
+    ones: np.ndarray  # probability that the next bit is 1 if at most 1/2, else minus that of a 0: single precision would round a rare bit away
 
 
 def serialized(text: str | None, depth: int) -> bytes:
@@ -202,7 +202,8 @@ def _descend(
         elif share is None:
             share, base = np.ones(len(key)), np.zeros(len(key))
         enters = share, base
-        result = (base + share * own).astype(np.float32)
+        result = base + share * own
+        result = np.where(result > 0.5, result - 1, result).astype(np.float32)
         if d + 1 < len(children):
             ratio = np.exp(np.clip(blocks[d] - children[d], -700, 700))  # of the node itself against what extends it
             blocks[d] = children[d] = None
@@ -212,11 +213,18 @@ def _descend(
         for k in range(8):
             node = (grams >> 8) << 8 | 1 << k | (grams & 255) >> (8 - k)
             p = result[np.searchsorted(key, node)]
-            bits += np.log2(np.where(grams >> (7 - k) & 1, p, 1 - p))
+            bits += np.log2(_probability(p, grams >> (7 - k) & 1))
         levels.append(Level(grams, bits, np.unique(grams >> 8), key, result))
     return levels, enters
 
 
+def _probability(ones: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Of this bit, from a ``Level``'s ``ones``; never 0."""
+    least = np.float32(2.0**-120)
+    own = np.maximum(np.abs(ones), least)
+    return np.where((ones > 0) == (bit == 1), own, 1 - own)
+
+
 def weigh(tables: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
     """The tree from the grams of each depth 0.. (sorted, with counts)."""
     return _descend(tables, *_climb(tables)[:4])[0]
@@ -257,7 +265,7 @@ def _by_bits(levels: list[Level], deepest: int, grams: np.ndarray) -> np.ndarray
             at, hit = _find(levels[d].nodes, (own >> 8 & _mask(d)) << 8 | 1 << k | (own & 255) >> (8 - k))
             p[left[hit]] = levels[d].ones[at[hit]]
             left = left[~hit]
-        out += np.log2(np.where(grams >> (7 - k) & 1, p, 1 - p))
+        out += np.log2(_probability(p, grams >> (7 - k) & 1))
     return out
 
 
