@@ -45,6 +45,19 @@ def test_held_out_accuracy_and_edge_rows(spark):
     assert [r["doc_id"] for r in toxicity.with_score(docs.limit(0), model).collect()] == []
 
 
+def test_all_labelled_rows_are_learned_from(spark):
+    rows = [(k, f"own{k % 90} common words {'vile' if k % 2 else 'mild'} here", "en", k % 2) for k in range(1800)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, y) for k, _, _, y in rows], "doc_id long, toxic int")
+    settings = toxicity.Settings(buckets=1 << 14, per_class=60, steps=60)
+    model = toxicity.train(docs, labels, settings)
+    for k in range(90):  # each word is in 20 rows, but in few or none of any 60 of a class
+        at = toxicity.token_ids(f"own{k}", settings.buckets)[0, 0]
+        assert not np.array_equal(model.embedding[at], model.embedding[1]), k
+    scores = toxicity.with_score(docs, model).collect()
+    assert all((r["score"] >= 0.3) == bool(r["doc_id"] % 2) for r in scores)
+
+
 def test_long_texts_are_scored_whole():
     rng = np.random.default_rng(0)
     texts = [rng.integers(2, 200, (k, 2)).astype(np.int32) for k in (0, 1, 5, 400, 3000)]

@@ -2,11 +2,11 @@
 
 Words and their first ``PREFIX`` bytes are hashed to buckets with learned embeddings, of which a word has the sum: a word form
 never seen still shares its stem. Filters of several widths slide over the whole text, each filter
-keeps its maximum, and a logistic layer turns the maxima into a logit. Training is plain numpy (Adam, gradients through
-the maxima only) on a bounded sample of labelled rows: at most ``per_class`` rows of either class, those with the smallest
-hash of their id. One part in ``CALIBRATION`` of the sample is kept from the fit: on it the logit is calibrated to a probability
-(with the classes weighted back to their true frequencies in all labelled rows), and a threshold is chosen for each
-language. Language, source, id and labels are no inputs of the score; the language picks the threshold only.
+keeps its maximum, and a logistic layer turns the maxima into a logit. All labelled rows are learned from. They are dealt by a
+hash of their id into parts of about 2 * ``per_class`` rows; in each of ``ROUNDS`` rounds every part trains the common model on its
+own rows in plain numpy (Adam, gradients through the maxima only, each row in turn) and the changes are averaged. One row in
+``CALIBRATION`` is kept from the fit: on all of these the logit is calibrated to a probability, and a threshold is chosen
+for each language. Language, source, id and labels are no inputs of the score; the language picks the threshold only.
 
 The filters are linear up to the maximum, so scoring needs no multiplication: embedding times filter is tabulated once
 per worker for each bucket, and a text costs a few table look-ups per word. Long texts are cut into overlapping runs
@@ -20,6 +20,7 @@ calibration rows, and null, use the threshold of all languages. Repeated rows ge
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,14 +28,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transferlens.session import stored
+
 #: Leading bytes of a word that have a bucket of their own.
 PREFIX = 4
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
-#: One part in so many of the sample calibrates.
+#: One labelled row in so many calibrates.
 CALIBRATION = 4
+#: Rounds of training on the parts, and cells of a logit of 1 in which calibration rows are counted.
+ROUNDS = 4
+GRID = 64
 #: A language's own threshold needs as many calibration rows of either class.
 LEAST_ROWS = 20
 _RUN = 1 << 16
@@ -48,7 +55,7 @@ class Settings:
     size: int = 16
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 12
-    per_class: int = 1500
+    per_class: int = 1500  # half the rows of a part
     steps: int = 700
     batch: int = 32
     rate: float = 0.005
@@ -140,8 +147,12 @@ def logits(model: Model, tables: list[list[np.ndarray]], texts: list[np.ndarray]
 def scores(model: Model, tables: list[list[np.ndarray]], texts: list[np.ndarray]) -> np.ndarray:
     if model.constant is not None:
         return np.full(len(texts), model.constant)
+    return _scaled(model, logits(model, tables, texts).astype(np.float64))
+
+
+def _scaled(model: Model, logit: np.ndarray) -> np.ndarray:
     a, b = model.scale
-    return 1 / (1 + np.exp(-np.clip(a * logits(model, tables, texts).astype(np.float64) + b, -40, 40)))
+    return 1 / (1 + np.exp(-np.clip(a * logit + b, -40, 40)))
 
 
 class _Adam:
@@ -156,29 +167,42 @@ class _Adam:
         value[rows] -= self.rate * (self.m[rows] / (1 - 0.9**self.t)) / (np.sqrt(self.v[rows] / (1 - 0.99**self.t)) + 1e-8)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Model:
-    """Trains on token ids; classes are drawn equally often."""
+def start(settings: Settings) -> Model:
+    """The model before training."""
     rng = np.random.default_rng(settings.seed)
-    in_docs = np.zeros(settings.buckets, dtype=np.int64)
-    for ids in texts:
-        in_docs[np.unique(ids)] += 1
-    rare = in_docs < settings.least_docs
-    rare[:2] = False
-    texts = [np.where(rare[ids], 1, ids).astype(np.int32) for ids in texts]
     size, n_filters, widths = settings.size, settings.filters, settings.widths
     embedding = rng.normal(0, 0.1, (settings.buckets, size)).astype(np.float32)
     embedding[0] = 0
     filters = [rng.normal(0, 0.5 / np.sqrt(w), (w, size, n_filters)).astype(np.float32) for w in widths]
     hidden = len(widths) * n_filters
-    bias = np.full(hidden, -0.1, np.float32)
     weights = rng.normal(0.2, 0.1, hidden).astype(np.float32)
-    offset = np.zeros(1, np.float32)
+    return Model(settings, embedding, filters, np.full(hidden, -0.1, np.float32), weights, 0.0)
+
+
+def _shown_in_turn(rng: np.random.Generator, rows: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """``n`` rows at a time without end; all come before one comes again."""
+    left = np.zeros(0, dtype=np.int64)
+    while True:
+        while len(left) < n:
+            left = np.concatenate([left, rng.permutation(rows)])
+        yield left[:n]
+        left = left[n:]
+
+
+def fit(model: Model, texts: list[np.ndarray], labels: np.ndarray, steps: int, seed: int) -> Model:
+    """``model`` trained further on token ids; classes are shown equally often, every text at least once."""
+    settings = model.settings
+    rng = np.random.default_rng([settings.seed, seed])
+    size, n_filters, widths = settings.size, settings.filters, settings.widths
+    embedding, filters = model.embedding.copy(), [f.copy() for f in model.filters]
+    bias, weights, offset = model.bias.copy(), model.weights.copy(), np.array([model.offset], np.float32)
     adams = [_Adam(embedding.shape, settings.rate), *(_Adam(f.shape, settings.rate) for f in filters)]
     rest = [(v, _Adam(v.shape, settings.rate)) for v in (bias, weights, offset)]
-    groups = [np.flatnonzero(labels == c) for c in (0, 1)]
+    groups = [g for g in (np.flatnonzero(labels == c) for c in (0, 1)) if len(g)]
+    shown = [_shown_in_turn(rng, g, settings.batch // len(groups)) for g in groups]
     widest = max(widths)
-    for _ in range(settings.steps):
-        rows = np.concatenate([rng.choice(g, settings.batch // 2) for g in groups])
+    for _ in range(max(steps, math.ceil(max(map(len, groups)) / (settings.batch // len(groups))))):  # no text is left out
+        rows = np.concatenate([next(s) for s in shown])
         parts = []
         for r in rows:
             ids = texts[r]
@@ -220,7 +244,6 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, settings: Settings) -> Mode
         adams[0].step(embedding, total, own)
         for (value, adam), grad in zip(rest, (dh.sum(axis=0), h.T @ g + settings.decay * weights, np.array([g.sum()])), strict=True):
             adam.step(value, grad.astype(np.float32))
-    embedding[rare] = embedding[1]
     return Model(settings, embedding, filters, bias, weights, float(offset[0]))
 
 
@@ -257,53 +280,165 @@ def best_threshold(score: np.ndarray, labels: np.ndarray, weight: np.ndarray) ->
     return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0.0)) / 2)
 
 
+def _dense(model: Model) -> np.ndarray:
+    """All parameters but the embedding."""
+    return np.concatenate([*(f.ravel() for f in model.filters), model.bias, model.weights, [model.offset]]).astype(np.float32)
+
+
+def _with_parameters(model: Model, embedding: np.ndarray, dense: np.ndarray) -> Model:
+    ends = np.cumsum([f.size for f in model.filters] + [model.bias.size, model.weights.size])
+    *filters, bias, weights, offset = np.split(dense.astype(np.float32), ends)
+    filters = [f.reshape(own.shape) for f, own in zip(filters, model.filters, strict=True)]
+    return Model(model.settings, embedding, filters, bias, weights, float(offset[0]))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    """Number, token ids and labels of each part."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            ids = np.frombuffer(row["ids"], dtype=np.int32).reshape(-1, 2)
+            ends = np.cumsum(np.frombuffer(row["sizes"], dtype=np.int64))
+            yield row["part"], np.split(ids, ends[:-1]), np.frombuffer(row["labels"], dtype=np.int32)
+
+
+def _rare(parts: DataFrame, settings: Settings) -> np.ndarray:
+    """Buckets seen in fewer than ``least_docs`` of all documents of the fit."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(settings.buckets, dtype=np.int64)
+        for _, texts, _ in _rows(batches):
+            for ids in texts:
+                seen[np.unique(ids)] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["bucket", "n"])
+
+    found = parts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    rare = np.ones(settings.buckets, dtype=bool)
+    rare[found["bucket"].to_numpy()[found["n"].to_numpy() >= settings.least_docs]] = False
+    rare[:2] = False
+    return rare
+
+
+def _round(parts: DataFrame, n_parts: int, model: Model, rare: np.ndarray, number: int, steps: int) -> Model:
+    """Each part trains on its own from ``model``; the changes are averaged, those of an embedding over the parts that saw it."""
+    shared = parts.sparkSession.sparkContext.broadcast((model, rare))
+    slices = min(64, n_parts)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, unknown = shared.value
+        for part, texts, labels in _rows(batches):
+            texts = [np.where(unknown[ids], 1, ids).astype(np.int32) for ids in texts]
+            after = fit(own, texts, labels, steps, number * n_parts + part)
+            change = after.embedding - own.embedding
+            keys = np.flatnonzero(change.any(axis=1))
+            out = [(0, b"", (_dense(after) - _dense(own)).tobytes())]
+            out += [(1 + k, keys[keys % slices == k].tobytes(), change[keys[keys % slices == k]].tobytes()) for k in range(slices)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["slice", "keys", "change"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        name = rows["slice"][0].as_py()
+        if name == 0:
+            changes = [np.frombuffer(c, dtype=np.float32).astype(np.float64) for c in rows["change"].to_pylist()]
+            mean, keys = np.mean(changes, axis=0).astype(np.float32), b""
+        else:
+            total, seen = np.zeros((own_buckets, size)), np.zeros(own_buckets, dtype=np.int64)
+            for at, change in zip(rows["keys"], rows["change"], strict=True):
+                at = np.frombuffer(at.as_buffer(), dtype=np.int64) // slices
+                total[at] += np.frombuffer(change.as_buffer(), dtype=np.float32).reshape(-1, size)
+                seen[at] += 1
+            at = np.flatnonzero(seen)
+            mean, keys = (total[at] / seen[at, None]).astype(np.float32), (at * slices + name - 1).tobytes()
+        return pa.table({"slice": [name], "keys": pa.array([keys], pa.binary()), "change": pa.array([mean.tobytes()], pa.binary())})
+
+    size, own_buckets = model.settings.size, model.settings.buckets // slices + 1
+    kinds = "slice long, keys binary, change binary"
+    embedding, dense = model.embedding.copy(), _dense(model)
+    for row in parts.mapInArrow(learn, kinds).groupBy("slice").applyInArrow(add, kinds).toArrow().to_pylist():
+        change = np.frombuffer(row["change"], dtype=np.float32)
+        if row["slice"] == 0:
+            dense = dense + change
+        else:
+            embedding[np.frombuffer(row["keys"], dtype=np.int64)] += change.reshape(-1, size)
+    shared.unpersist()
+    return _with_parameters(model, embedding, dense)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *, doc_id="doc_id", text="text", lang="lang", label="toxic"
 ) -> Model:
-    """Model of the rows of ``docs`` that ``labels`` marks by id.
+    """Model of all rows of ``docs`` that ``labels`` marks by id.
 
-    All labelled ids count for the class frequencies; a bounded sample of them is learned from. The sample is drawn from ids
-    alone, so texts of other rows are never moved. An id counts once: of its labels the largest, of its texts the smallest.
+    An id counts once: of its labels the largest, of its texts the smallest.
     """
-    marks = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
-    known = marks.join(docs.select(F.col(doc_id).alias("doc_id")), "doc_id", "left_semi")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    spark = docs.sparkSession
+    marks = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = rows.join(marks, F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"), F.min_by("lang", "text").alias("lang"))
+    rows = stored(rows.withColumn("probe", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0), "toxicity-labelled")
+    sums = {(r["label"], r["probe"]): r["n"] for r in rows.groupBy("label", "probe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {c: sum(n for (own, _), n in sums.items() if own == c) for c in {own for own, _ in sums}}
     if len(counts) < 2:
         return Model(settings, *(np.zeros(0),) * 4, 0.0, constant=float(next(iter(counts), 0)))
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    drawn = [known.filter(F.col("label") == c).orderBy(*order).limit(settings.per_class) for c in (0, 1)]
-    ids = docs.sparkSession.createDataFrame([tuple(r) for d in drawn for r in d.select("doc_id", "label").collect()], "_id long, label int")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-    sample = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"), F.min_by("lang", "text").alias("lang"))
-
-    @F.pandas_udf("array<int>")
-    def ids_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([token_ids(t, settings.buckets).ravel() for t in texts])
-
-    sample = sample.select("doc_id", "lang", "label", ids_of("text").alias("ids")).toArrow().to_pandas()
-    sample = sample.sort_values("doc_id", kind="stable").reset_index(drop=True)
-    texts = [np.asarray(i, dtype=np.int32).reshape(-1, 2) for i in sample.pop("ids")]
-    labels = sample["label"].to_numpy()
-    weight = np.array([counts[c] / max(1, (labels == c).sum()) for c in (0, 1)])[labels]
-    weight = weight / weight.mean()
-    kept = np.zeros(len(labels), dtype=bool)
+    apart = len(sums) == 4  # with few rows a class may be on one side only: then all are learned from and calibrate
+    learn, probe = (rows.filter(~F.col("probe")), rows.filter("probe")) if apart else (rows, rows)
+    size = {c: sums[c, False] if apart else counts[c] for c in (0, 1)}
+    n_parts = math.ceil(sum(size.values()) / (2 * settings.per_class))
+    # a rare class is shown in several parts, so that none is without it
+    times = F.lit(0)
     for c in (0, 1):
-        kept[np.flatnonzero(labels == c)[::CALIBRATION]] = True
-    learn = ~kept if all((~kept & (labels == c)).any() for c in (0, 1)) else np.ones(len(labels), dtype=bool)
-    model = fit([t for t, k in zip(texts, learn, strict=True) if k], labels[learn], settings)
-    tables = model.tables()
-    probe = [t for t, k in zip(texts, kept, strict=True) if k]
-    logit = logits(model, tables, probe).astype(np.float64)
-    model.scale = _platt(logit, labels[kept], weight[kept])
-    score, own, w = scores(model, tables, probe), labels[kept], weight[kept]
-    model.threshold = best_threshold(score, own, w)
-    for name, at in sample[kept].reset_index(drop=True).groupby("lang").indices.items():
-        if min((own[at] == c).sum() for c in (0, 1)) >= LEAST_ROWS:
-            model.thresholds[str(name)] = best_threshold(score[at], own[at], w[at])
+        times = F.when(F.col("label") == c, F.lit(min(n_parts, math.ceil(LEAST_ROWS * n_parts / size[c])))).otherwise(times)
+    dealt = learn.select("doc_id", "label", "text", F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+    dealt = dealt.withColumn("part", F.pmod(F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id"), F.lit(n_parts)) + F.col("copy") - 1, F.lit(n_parts)))
+
+    def packed(own: pa.Table) -> pa.Table:
+        own = own.sort_by("doc_id")
+        ids = [token_ids(t.as_py(), settings.buckets) for t in own["text"]]
+        blob = {"ids": np.concatenate(ids), "sizes": np.array([len(i) for i in ids], np.int64), "labels": own["label"].to_numpy().astype(np.int32)}
+        return pa.table({"part": [own["part"][0].as_py()], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in blob.items()}})
+
+    kinds = "part long, ids binary, sizes binary, labels binary"
+    parts = stored(dealt.repartition(n_parts, "part").groupBy("part").applyInArrow(packed, kinds), "toxicity-parts")  # a file each, read by every round
+    rare, model = _rare(parts, settings), start(settings)
+    for number in range(ROUNDS):
+        model = _round(parts, n_parts, model, rare, number, settings.steps * (number + 1) // ROUNDS - settings.steps * number // ROUNDS)
+    model.embedding[rare] = model.embedding[1]
+    return _calibrate(model, probe, counts)
+
+
+def _calibrate(model: Model, probe: DataFrame, counts: dict[int, int]) -> Model:
+    """Scale and thresholds from all calibration rows, counted by language, label and logit (to 1 / ``GRID``)."""
+    cell = F.round(F.least(F.greatest(_logit("text", model, probe), F.lit(-60.0)), F.lit(60.0)) * GRID).cast("int").alias("cell")
+    found = probe.select("lang", "label", cell).groupBy("lang", "label", "cell").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
+    found = found.sort_values(["cell", "label", "lang"], kind="stable").reset_index(drop=True)
+    labels, n = found["label"].to_numpy(), found["n"].to_numpy()
+    logit = found["cell"].to_numpy() / GRID
+    weight = n * np.array([counts[c] / n[labels == c].sum() for c in (0, 1)])[labels]
+    weight = weight / (weight.sum() / n.sum())
+    model.scale = _platt(logit, labels, weight)
+    score = _scaled(model, logit)
+    model.threshold = best_threshold(score, labels, weight)
+    for name, at in found.groupby("lang").indices.items():
+        if min(n[at][labels[at] == c].sum() for c in (0, 1)) >= LEAST_ROWS:
+            model.thresholds[str(name)] = best_threshold(score[at], labels[at], weight[at])
     return model
 
 
+def _logit(text: str, model: Model, df: DataFrame) -> Column:
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def logit(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = shared.value
+        tables = own.tables()
+        for part in texts:
+            slices = [part.iloc[at : at + _ROWS] for at in range(0, len(part), _ROWS)]
+            found = [logits(own, tables, [token_ids(t, own.settings.buckets) for t in rows]) for rows in slices]
+            yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
+
+    return logit(F.col(text))
+
+
 def with_score(df: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
     """``df`` with the probability that the whole text is toxic."""
     shared = df.sparkSession.sparkContext.broadcast(model)
