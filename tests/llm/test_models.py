@@ -289,6 +289,18 @@ def test_ratio_separates_and_is_calibrated(spark):
     assert urls.judged(pages.limit(0), urls.rules_of("allow example.net/en/")).count() == 0
 
 
+def test_all_labelled_urls_are_learned_from(spark):
+    host = F.concat(F.lit("h"), F.translate(F.hex("id"), "0123456789ABCDEF", "ghijklmnopqrstuv"), F.lit(".example"))
+    page = F.concat(F.lit("http://"), host, F.when(F.col("id") < 30_000, ".org/").otherwise(".net/"))
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), page.alias("url"))
+    model = urls.train(pages.unionByName(pages), urls.rules_of("block net/, allow org/"))
+    for own in (model.accepted, model.rejected):  # four of five distinct ones, the others calibrate
+        assert own.totals["^"] == own.counts["^"]["h"] and 23_500 < own.totals["^"] < 24_500
+    few = spark.createDataFrame([(k, u) for k, u in enumerate(["http://ab.org/1", "http://ac.org/", "http://x.net/", "http://y.net/"])], "page_id long, url string")
+    few = urls.train(few, urls.rules_of("block net/, allow org/"))
+    assert few.accepted.totals["^"] and few.rejected.totals["^"]
+
+
 def test_registered_name_and_query_are_judged(spark):
     rng = random.Random(8)
     good = ["http://www.%s%s.org/" % (rng.choice(["news", "wiki", "docs"]), rng.choice("abcdefgh") + rng.choice("abcdefgh")) for _ in range(150)]
