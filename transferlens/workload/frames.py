@@ -188,7 +188,10 @@ def order_blocks(orders: DataFrame) -> DataFrame:
 
 
 def line_transfers(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """Supplier sends a part to the customer; raw amount = quantity shifted by the decimals."""
+    """Supplier sends a part to the customer; raw amount = quantity shifted by the decimals.
+
+    ``order_timestamp`` is the time of the order: a bound on it reaches the scan of the orders.
+    """
     rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
     )
@@ -200,6 +203,7 @@ def line_transfers(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
         F.concat(F.col("l_quantity").cast("bigint").cast("string"), zeros).alias("value"),
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_hash"),
         F.col("l_orderkey").cast("string").alias("order_hash"),
+        timeparts.to_unix("o_orderdate").alias("order_timestamp"),
         F.floor(timeparts.to_unix("l_shipdate") / timeparts.DAY).alias("block_number"),
     )
 

@@ -157,8 +157,7 @@ def backfill_entities(spark, d):
     missing = [f for f in schemas.TRANSACTIONS if f.name not in named]
     wide = wide.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
     wide = wide.withColumns({c: F.lit(None).cast("string") for c in sinks.RECEIPT_COLUMNS if c not in wide.columns})
-    stamps = wide.select(F.col("hash").alias("order_hash"), "block_timestamp")
-    moved = frames.line_transfers(lines, orders, part).join(stamps, "order_hash")
+    moved = frames.line_transfers(lines, orders, part).withColumnRenamed("order_timestamp", "block_timestamp")
     deployed = wide.where(F.coalesce("to_address", F.lit("")) == "")
     tables = {
         "blocks": frames.order_blocks(orders),
