@@ -30,3 +30,18 @@ def test_backfilled_transfers_join_the_orders_once(spark, monkeypatch):
     for name in ("logs", "token_transfers"):
         plan = _plan(sinks.project_days(seen[name], "block_timestamp", "1995-01-01", "1995-03-31"))
         assert plan.count("Join Inner") == 2  # lines with orders and with parts
+
+
+def test_few_two_way_pairs_are_stored_and_give_the_same(spark):
+    rows = [("t", "a", "b", "x1", 10.0), ("t", "b", "a", "x2", 11.0), ("t", "a", "c", "x3", 10.0), ("u", "b", "a", "x4", 10.0), ("t", None, "a", "x5", 10.0)]
+    flow = spark.createDataFrame(rows, "token_address string, from_address string, to_address string, transaction_hash string, amount double")
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    pairs, matched = reciprocal.reciprocal_transfers(flow, keep=keep)
+    plain = reciprocal.reciprocal_transfers(flow)
+    assert sorted(pairs.collect()) == sorted(plain[0].collect()) and sorted(matched.collect()) == sorted(plain[1].collect())
+    assert [tuple(r) for r in kept["two-way-pairs"].collect()] == [("t", "a", "b")]

@@ -56,11 +56,12 @@ def _partner_counts(amounts: DataFrame, extra: Sequence[str], low: float, high:
     return done.where((F.col("kind") == _READ) & (F.col("partners") > 0)).drop("at", "kind", "delta")
 
 
-def _two_way(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def _two_way(rows: DataFrame, extra: Sequence[str] = (), keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Rows whose address pair moves the token both ways (``extra`` narrows the pair).
 
     Most pairs never do, so this keeps the three-rows-per-amount sweep small. The kept pairs are
     unique: the hot side of the semi join is the row side, which adaptive skew handling splits.
+    ``keep`` stores the pairs: once their size is known, few of them are broadcast and no row is shuffled.
     """
     low, high = F.least("sender", "receiver"), F.greatest("sender", "receiver")
     rows = rows.withColumns({"lo": low, "hi": high})
@@ -68,7 +69,10 @@ def _two_way(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     both = rows.groupBy(*keys).agg(
         F.bool_or(F.col("sender") == F.col("lo")).alias("up"), F.bool_or(F.col("sender") == F.col("hi")).alias("down")
     )
-    return rows.join(both.where(F.col("up") & F.col("down")).select(*keys), keys, "left_semi").drop("lo", "hi")
+    pairs = both.where(F.col("up") & F.col("down")).select(*keys)
+    if keep is not None:
+        pairs = keep(pairs, "two-way-pairs")
+    return rows.join(pairs, keys, "left_semi").drop("lo", "hi")
 
 
 def reciprocal_transfers(
@@ -97,7 +101,7 @@ def reciprocal_transfers(
         F.col(tx).alias("tx"),
         F.col(amount).cast("double").alias("amount"),
     ).where(F.col("sender").isNotNull() & F.col("receiver").isNotNull())
-    rows = _two_way(rows)
+    rows = _two_way(rows, keep=keep)
     if keep is not None:
         rows = keep(rows, "two-way-transfers")
 
