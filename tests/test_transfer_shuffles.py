@@ -45,3 +45,9 @@ def test_few_two_way_pairs_are_stored_and_give_the_same(spark):
     plain = reciprocal.reciprocal_transfers(flow)
     assert sorted(pairs.collect()) == sorted(plain[0].collect()) and sorted(matched.collect()) == sorted(plain[1].collect())
     assert [tuple(r) for r in kept["two-way-pairs"].collect()] == [("t", "a", "b")]
+
+
+def test_calendar_columns_are_made_behind_the_label_joins(spark):
+    lines = _plan(batch.line_flow(spark, FOLDER)).splitlines()
+    made = next(k for k, line in enumerate(lines) if " AS hour#" in line)
+    assert made < next(k for k, line in enumerate(lines) if "Join LeftOuter" in line)

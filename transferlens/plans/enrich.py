@@ -51,14 +51,10 @@ def token_flow(
         done = receipts.where(F.col("status") == 1).select("transaction_hash", "status")
         flow = flow.join(done, "transaction_hash")
         extra = ["status"]
-    flow = flow.withColumns(
-        {
-            "hour": timeparts.unix_hour("block_timestamp"),
-            "dt": timeparts.unix_date("block_timestamp"),
-            "amount": money.token_amount("value", "decimals"),
-        }
-    )
-    return with_labels(flow, labels).select(*schemas.TOKEN_FLOW.fieldNames(), *extra)
+    flow = with_labels(flow.withColumn("amount", money.token_amount("value", "decimals")), labels)
+    # behind the joins with labels, which move what stands before them
+    flow = flow.withColumns({"hour": timeparts.unix_hour("block_timestamp"), "dt": timeparts.unix_date("block_timestamp")})
+    return flow.select(*schemas.TOKEN_FLOW.fieldNames(), *extra)
 
 
 # Fixed value: topic that marks a token transfer log.
