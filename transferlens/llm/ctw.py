@@ -46,6 +46,8 @@ END = b"\n"
 #: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
 _CHUNK = 1 << 20
 _FLUSH = 1 << 20
+#: Grams that a counting task gathers: what it adds up itself is not shuffled.
+_COUNTED = 5 << 19
 _WORDS = 1 << 17
 #: Bytes of text in a block, and distinct grams in a part of the tree.
 _BLOCK = 12 << 20
@@ -392,7 +394,7 @@ def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataF
                 keys.append(gram)
                 counts.append(n)
                 held += len(gram)
-                if held > _FLUSH:
+                if held > _COUNTED:
                     yield from emit_grams()
                     held = 0
             ends += len(values)
