@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import pickle
 import random
 import zlib
 
@@ -88,6 +89,24 @@ def test_threshold_lies_in_the_gap():
     assert toxicity.best_threshold(score, labels, np.ones(4)) == pytest.approx(0.4)
 
 
+def test_workers_get_learned_embeddings_only_and_scores_stay(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    model = toxicity.start(toxicity.Settings())
+    texts = [" ".join(f"word{n}" for n in rng.integers(0, 400, 30)) for _ in range(50)] + ["", None]
+    ids = [toxicity.token_ids(t, model.settings.buckets) for t in texts]
+    rare = np.ones(model.settings.buckets, dtype=bool)
+    rare[:2] = False
+    rare[np.concatenate(ids[::2])] = False
+    model.embedding[rare] = model.embedding[1]
+    want = toxicity.scores(model, model.tables(), ids)
+    sent, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(len(pickle.dumps(value))) or broadcast(value))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in toxicity.with_score(df, model).collect()}
+    assert [found[k] for k in range(len(texts))] == pytest.approx([float(w) for w in want], rel=1e-6)
+    assert 0 < max(sent) < 1e6  # all buckets take 8.4 MB, and 38 MB when tabulated
+
+
 # ---- context-tree weighting --------------------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 import itertools
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -128,3 +129,12 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.one_of_each(docs).count() == 0
+
+
+def test_offsets_are_made_without_all_blocks():
+    tracemalloc.start()
+    blocks, starts, upto = simhash._offsets.__wrapped__(2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(blocks) == sum(map(len, (list(itertools.combinations(range(simhash.BLOCK), n)) for n in range(simhash.RADIUS + 3))))
+    assert peak < 8e6  # 2**23 blocks of four bytes are 34 MB

@@ -21,9 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,10 +58,10 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def with_fingerprint(df: DataFrame, name: str = "fingerprint", text: str = "text", shingle: int = 3) -> DataFrame:
-    @F.pandas_udf("long")
-    def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            yield pd.Series([fingerprint(t, shingle) for t in part], dtype="int64")
+    @F.arrow_udf("long")
+    def fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:  # one text at a time becomes a Python object
+            yield pa.array((fingerprint(t.as_py(), shingle) for t in part), pa.int64())
 
     return df.withColumn(name, fingerprints(F.col(text)))
 
@@ -81,9 +83,9 @@ def _offsets(extra: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Returns the differences, where each syndrome's begin, and how many there are up to each extra radius.
     """
-    blocks = np.arange(1 << BLOCK, dtype=np.int32)
+    bits = [[sum(at) for at in combinations([1 << k for k in range(BLOCK)], n)] for n in range(RADIUS + extra + 1)]
+    blocks = np.sort(np.concatenate([np.array(b, dtype=np.int32) for b in bits]))  # not all 2**BLOCK are laid out to find them
     weight = np.bitwise_count(blocks)
-    blocks, weight = blocks[weight <= RADIUS + extra], weight[weight <= RADIUS + extra]
     syndrome, over = _remainder(blocks), np.maximum(weight.astype(np.int64) - RADIUS, 0)
     order = np.lexsort((blocks, over, syndrome))
     syndrome, over = syndrome[order], over[order]

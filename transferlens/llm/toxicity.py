@@ -23,11 +23,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +44,7 @@ GRID = 64
 #: A language's own threshold needs as many calibration rows of either class.
 LEAST_ROWS = 20
 _RUN = 1 << 16
-_CACHE = 1 << 16
+_CACHE = 1 << 15
 _ROWS = 500
 
 
@@ -82,11 +81,12 @@ class Model:
         return [[np.ascontiguousarray(self.embedding @ f) for f in filters] for filters in self.filters]
 
 
-_seen: dict[bytes, tuple[int, int]] = {}
+_seen: dict[bytes, int] = {}
 
 
-def _hashes(word: bytes) -> tuple[int, int]:
-    return zlib.crc32(word), zlib.crc32(b"^" + word[:PREFIX])
+def _hashes(word: bytes) -> int:
+    """Of the word in the low 32 bits, of its beginning in the high ones: one number takes less memory than a pair."""
+    return zlib.crc32(b"^" + word[:PREFIX]) << 32 | zlib.crc32(word)
 
 
 def token_ids(text: str | None, buckets: int) -> np.ndarray:
@@ -99,7 +99,8 @@ def token_ids(text: str | None, buckets: int) -> np.ndarray:
         _seen.clear()
     get = _seen.get
     out = [get(w) or _seen.setdefault(w, _hashes(w)) for w in words]
-    return (np.array(out, dtype=np.int64).reshape(-1, 2) % (buckets - 2) + 2).astype(np.int32)
+    both = np.array(out, dtype="<u8").view("<u4").reshape(-1, 2)
+    return (both % np.uint32(buckets - 2) + np.uint32(2)).astype(np.int32)
 
 
 def _padded(ids: np.ndarray, widest: int) -> list[np.ndarray]:
@@ -108,6 +109,21 @@ def _padded(ids: np.ndarray, widest: int) -> list[np.ndarray]:
     return [ids[at : at + _RUN] for at in range(0, max(1, len(ids) - widest), _RUN - widest)]
 
 
+def _narrowed(model: Model, used: np.ndarray) -> tuple[Model, np.ndarray]:
+    """``model`` with the embeddings of the buckets ``used`` only, padding and the rare among them, and each bucket's row there."""
+    used = used.copy()
+    used[:2] = True
+    rows = np.where(used, np.cumsum(used) - 1, 1).astype(np.int32)
+    return replace(model, embedding=model.embedding[used]), rows
+
+
+def _for_scoring(model: Model) -> tuple[Model, np.ndarray]:
+    """Buckets with the embedding of the rare ones share one row, so that a worker's tables hold what was learned and no more."""
+    if model.constant is not None:
+        return model, np.zeros(0, dtype=np.int32)
+    return _narrowed(model, (model.embedding != model.embedding[1]).any(axis=1))
+
+
 def maxima(model: Model, tables: list[list[np.ndarray]], texts: list[np.ndarray]) -> np.ndarray:
     """For each text the maximum of every filter."""
     widths, n_filters = model.settings.widths, model.settings.filters
@@ -295,10 +311,11 @@ def _with_parameters(model: Model, embedding: np.ndarray, dense: np.ndarray) ->
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
     """Number, token ids and labels of each part."""
     for batch in batches:
-        for row in batch.to_pylist():
-            ids = np.frombuffer(row["ids"], dtype=np.int32).reshape(-1, 2)
-            ends = np.cumsum(np.frombuffer(row["sizes"], dtype=np.int64))
-            yield row["part"], np.split(ids, ends[:-1]), np.frombuffer(row["labels"], dtype=np.int32)
+        for k in range(batch.num_rows):
+            ids, sizes, labels = (zlib.decompress(batch[name][k].as_buffer()) for name in ("ids", "sizes", "labels"))
+            ends = np.cumsum(np.frombuffer(sizes, dtype=np.int64))
+            ids = np.frombuffer(ids, dtype=np.int32).reshape(-1, 2)
+            yield batch["part"][k].as_py(), np.split(ids, ends[:-1]), np.frombuffer(labels, dtype=np.int32)
 
 
 def _rare(parts: DataFrame, settings: Settings) -> np.ndarray:
@@ -327,12 +344,18 @@ def _round(parts: DataFrame, n_parts: int, model: Model, rare: np.ndarray, numbe
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, unknown = shared.value
         for part, texts, labels in _rows(batches):
-            texts = [np.where(unknown[ids], 1, ids).astype(np.int32) for ids in texts]
-            after = fit(own, texts, labels, steps, number * n_parts + part)
-            change = after.embedding - own.embedding
-            keys = np.flatnonzero(change.any(axis=1))
+            used = np.zeros(len(unknown), dtype=bool)
+            for ids in texts:
+                used[ids] = True
+            # a text of rare and unseen buckets trains row 1, padding is row 0; rows of no text can't change
+            before, rows = _narrowed(own, used & ~unknown)
+            after = fit(before, [rows[ids] for ids in texts], labels, steps, number * n_parts + part)
+            change = after.embedding - before.embedding
+            used[:2] = True
+            keys, moved = np.flatnonzero(used & ~unknown), change.any(axis=1)
+            keys, change = keys[moved], change[moved]
             out = [(0, b"", (_dense(after) - _dense(own)).tobytes())]
-            out += [(1 + k, keys[keys % slices == k].tobytes(), change[keys[keys % slices == k]].tobytes()) for k in range(slices)]
+            out += [(1 + k, keys[keys % slices == k].tobytes(), change[keys % slices == k].tobytes()) for k in range(slices)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["slice", "keys", "change"])
 
     def add(rows: pa.Table) -> pa.Table:
@@ -391,11 +414,11 @@ def train(
     dealt = learn.select("doc_id", "label", "text", F.explode(F.sequence(F.lit(1), times)).alias("copy"))
     dealt = dealt.withColumn("part", F.pmod(F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id"), F.lit(n_parts)) + F.col("copy") - 1, F.lit(n_parts)))
 
-    def packed(own: pa.Table) -> pa.Table:
+    def packed(own: pa.Table) -> pa.Table:  # compressed, since a part is a single value all the way to the file and back
         own = own.sort_by("doc_id")
         ids = [token_ids(t.as_py(), settings.buckets) for t in own["text"]]
         blob = {"ids": np.concatenate(ids), "sizes": np.array([len(i) for i in ids], np.int64), "labels": own["label"].to_numpy().astype(np.int32)}
-        return pa.table({"part": [own["part"][0].as_py()], **{k: pa.array([v.tobytes()], pa.binary()) for k, v in blob.items()}})
+        return pa.table({"part": [own["part"][0].as_py()], **{k: pa.array([zlib.compress(v, 1)], pa.binary()) for k, v in blob.items()}})
 
     kinds = "part long, ids binary, sizes binary, labels binary"
     parts = stored(dealt.repartition(n_parts, "part").groupBy("part").applyInArrow(packed, kinds), "toxicity-parts")  # a file each, read by every round
@@ -425,34 +448,31 @@ def _calibrate(model: Model, probe: DataFrame, counts: dict[int, int]) -> Model:
 
 
 def _logit(text: str, model: Model, df: DataFrame) -> Column:
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def logit(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = shared.value
-        tables = own.tables()
-        for part in texts:
-            slices = [part.iloc[at : at + _ROWS] for at in range(0, len(part), _ROWS)]
-            found = [logits(own, tables, [token_ids(t, own.settings.buckets) for t in rows]) for rows in slices]
-            yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
-
-    return logit(F.col(text))
+    return _of_texts(F.col(text), model, df, lambda *found: logits(*found).astype(np.float64))
 
 
 def with_score(df: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
     """``df`` with the probability that the whole text is toxic."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    return df.withColumn(name, _of_texts(F.col(text), model, df, scores))
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = shared.value
-        tables = own.tables() if own.constant is None else []
-        for part in texts:  # a few rows at a time, so that the ids of a whole batch are never held together
-            slices = [part.iloc[at : at + _ROWS] for at in range(0, len(part), _ROWS)]
-            found = [scores(own, tables, [token_ids(t, own.settings.buckets) for t in rows]) for rows in slices]
-            yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
 
-    return df.withColumn(name, score(F.col(text)))
+def _of_texts(text: Column, model: Model, df: DataFrame, value: Callable[..., np.ndarray]) -> Column:
+    """``value`` of the model, its tables and token ids, for a few rows at a time: neither texts nor ids of a whole batch are held."""
+    shared = df.sparkSession.sparkContext.broadcast(_for_scoring(model))
+
+    @F.arrow_udf("double")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own, rows = shared.value
+        tables = own.tables() if own.constant is None else []
+        for batch in batches:
+            out = np.zeros(len(batch))
+            for at in range(0, len(batch), _ROWS):
+                texts = batch.slice(at, _ROWS).to_pylist()
+                ids = [token_ids(t, own.settings.buckets) for t in texts]
+                out[at : at + _ROWS] = value(own, tables, ids if own.constant is not None else [rows[i] for i in ids])
+            yield pa.array(out)
+
+    return found(text)
 
 
 def threshold_of(model: Model, lang: Column) -> Column:
