@@ -9,7 +9,7 @@ own rows in plain numpy (Adam, gradients through the maxima only, each row in tu
 for each language. Language, source, id and labels are no inputs of the score; the language picks the threshold only.
 
 The filters are linear up to the maximum, so scoring needs no multiplication: embedding times filter is tabulated once
-per worker for each bucket, and a text costs a few table look-ups per word. Long texts are cut into overlapping runs
+per worker for each bucket with an embedding of its own, and a text costs a few table look-ups per word. Long texts are cut into overlapping runs
 whose maxima are combined, so memory is bounded by the run, not by the text, and nothing is cut off. Buckets seen in
 fewer than ``least_docs`` documents of the fit share one embedding, which then also stands for words never seen.
 
