@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,75 @@ def test_no_training_rows(spark):
     assert scored.count() == 0
 
 
+def _rows_shuffled(df):
+    """Rows that the exchanges of a frame that has run have written."""
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStage"):
+            plans.append(plan.plan())
+        elif name == "Exchange":
+            total += plan.metrics().get("shuffleRecordsWritten").get().value()
+        plans += [plan.children().apply(k) for k in range(plan.children().size())]
+    return total
+
+
+def test_counts_are_shuffled_many_in_a_row(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(rng.randint(0, 200))) for _ in range(300)]
+    texts += [None, "", "the the the " * 2000, "caf\u00e9 " + "x" * 200]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found, moved = {}, {}
+
+    def kept(df, name):
+        found[name] = df.collect()
+        moved[name] = _rows_shuffled(df)
+        return spark.createDataFrame(found[name], df.schema)
+
+    monkeypatch.setattr(ctw, "stored", kept)
+    ctw.language_model_scores(docs.localCheckpoint(), F.lit(True))[0].count()
+    want = collections.Counter()
+    for data in (ctw.serialized(t, ctw.DEPTH) for t in texts):
+        want.update(int.from_bytes(data[k : k + ctw.DEPTH + 1], "big") for k in range(len(data) - ctw.DEPTH))
+    assert {r["gram"]: r["n"] for r in found["ctw-counts"] if r["d"] == ctw.DEPTH} == want
+    words = collections.Counter(w for t in texts for w in (t or "").encode().split())
+    counts = {r["gram"]: r["n"] for r in found["ctw-counts"] if r["d"] == -1}
+    assert counts.pop(ctw.END_HASH) == len(texts)
+    assert sorted(counts.values()) == sorted(words.values())
+    assert len(want) > 50_000 and 0 < moved["ctw-counts"] <= 4 * (2 * 4 + 1)
+
+
+@pytest.mark.parametrize("depth", [0, 6])
+def test_words_of_serialized_texts(depth):
+    rng = random.Random(9)
+    texts = [*LM_TEXTS, None, " \t ", "\x0bA\x0c  b\r\n", "a\x00b a\x00 a", "w" * 64 + " " + "w" * 65 + " " + "w" * 63, "\U0001f600 " * 3]
+    texts += [" ".join("".join(rng.choices("ab", k=rng.randint(1, 20))) for _ in range(50)) for _ in range(20)]
+    rows, codes, hashes = ctw._coded([ctw.serialized(t, depth) for t in texts])
+    got = collections.Counter(zip(rows.tolist(), hashes[codes].tolist(), strict=True))
+    want = [(k, w) for k, t in enumerate(texts) for w in (t or "").encode().lower().split()]
+    one = {w: int(ctw._coded([ctw.serialized(w.decode(), 3)])[2][0]) for _, w in want}
+    assert len(set(one.values())) == len(one) and ctw.END_HASH not in one.values()  # neither neighbours nor places count
+    assert got == collections.Counter((k, one[w]) for k, w in want)
+    assert all(len(x) == 0 for x in ctw._coded([ctw.serialized("", depth)]))
+
+
+def test_tables_of_counts_are_merged_and_packed():
+    rng = np.random.default_rng(4)
+    total, table = collections.Counter(), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for size in (0, 1, 1000, 10, 3000, 0):
+        keys = rng.integers(-2000, 2000, size) << 50
+        table = ctw._merged(*table, *ctw._summed(keys, np.full(size, 1 << 33)))
+        total.update(keys.tolist())
+    assert (np.diff(table[0]) > 0).all()
+    assert dict(zip(*map(np.ndarray.tolist, table), strict=True)) == {k: n << 33 for k, n in total.items()}
+    for values in (*table, np.arange(5), np.zeros(3, np.int64), np.array([-1, 2**62, 255])):
+        assert (ctw._from_planes(pa.scalar(ctw._planes(values)), len(values)) == values).all()
+    assert len(ctw._planes(np.arange(5))) == 5
+
+
 # ---- URLs --------------------------------------------------------------------------------------
 
 

@@ -7,18 +7,18 @@ the weighted probability of a context is half its own block probability plus hal
 it. Scoring uses the conditional probabilities that follow from the trained weights along the path of contexts; it starts at the
 deepest context in which the decision was seen. The code length of a byte is -log2 of its probability.
 
-Counts: each task counts the grams of ``depth`` + 1 bytes of its training texts with numpy; they are shuffled and added up over
-the whole corpus. No context is dropped, however rare. The tree is dealt out by the last ``SUFFIX`` bytes of the contexts: all
-that extend such a suffix are in one part. A first pass weighs each part from its leaves up to its suffixes; the driver weighs what
-is above (contexts of up to ``SUFFIX`` bytes, so their number is bounded by the alphabet and not by the corpus); a second pass
-carries these weights down each part and scores the distinct grams that the texts ask for. Texts are dealt into blocks of about
-``_BLOCK`` bytes; a block asks once for each of its grams and gets its own answers back.
+Counts: each task counts the grams of ``depth`` + 1 bytes of its training texts with numpy; they are dealt out by their hash, many
+in a row, and added up over the whole corpus. No context is dropped, however rare. The tree is dealt out by the last ``SUFFIX``
+bytes of the contexts: all that extend such a suffix are in one part. A first pass weighs each part from its leaves up to its
+suffixes; the driver weighs what is above (contexts of up to ``SUFFIX`` bytes, so their number is bounded by the alphabet and not by
+the corpus); a second pass carries these weights down each part and scores the distinct grams that the texts ask for. Texts are
+dealt into blocks of about ``_BLOCK`` bytes; a block asks once for each of its grams and gets its own answers back.
 
 The base score needs the exact count of every training word. Words with at least ``word_share`` of all tokens (at most 1 /
 word_share of them) are broadcast; a text's other words leave the task as hashes and are joined with the counts of all words.
 
 Defined cases: null and empty texts are the end alone. An empty training set gives a tree without counts (1/2 for each bit).
-Repeated rows are scored and counted each. Rows without an id belong to the learning part. Words are told apart by their XXH64.
+Repeated rows are scored and counted each. Rows without an id belong to the learning part. Words are told apart by a hash of 64 bits.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +42,14 @@ DEPTH = 6
 SUFFIX = 3
 WORD_SHARE = 2e-7
 END = b"\n"
-#: Bytes that are counted or scored at once, and rows that a task gathers before it emits them.
+#: Bytes that are scored at once, and rows that a task gathers before it adds them up.
 _CHUNK = 1 << 20
 _FLUSH = 1 << 20
-#: Grams that a counting task gathers: what it adds up itself is not shuffled.
+#: Distinct grams and words that a counting task gathers: what it adds up itself is not shuffled.
 _COUNTED = 5 << 19
-_WORDS = 1 << 17
+_WORDS = 1 << 19
+#: Bytes of text to each task that adds up counts, at most.
+_DEALT = 16 << 20
 #: Bytes of text in a block, and distinct grams in a part of the tree.
 _BLOCK = 12 << 20
 _PART = 1 << 18
@@ -112,6 +113,32 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
+def _merged(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two tables as by ``_summed`` as one. Uses up ``counts``."""
+    if not len(keys) or not len(more):
+        return (keys, counts) if len(keys) else (more, times)
+    at = np.searchsorted(keys, more)
+    hit = keys[np.minimum(at, len(keys) - 1)] == more
+    counts[at[hit]] += times[hit]
+    if hit.all():
+        return keys, counts
+    at, new = at[~hit], ~hit
+    return np.insert(keys, at, more[new]), np.insert(counts, at, times[new])
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all values, then the next ones, up to the highest that is used: sorted values compress well so."""
+    width = max(1, -(-int(values.view(np.uint64).max()).bit_length() // 8))
+    return values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(planes: pa.Scalar, count: int) -> np.ndarray:
+    own = np.frombuffer(planes.as_buffer(), dtype=np.uint8).reshape(-1, count)
+    out = np.zeros((count, 8), dtype=np.uint8)
+    out[:, : len(own)] = own.T
+    return out.view(np.int64)[:, 0]
+
+
 def count_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return _summed(_grams(texts, depth)[0]) if texts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
@@ -289,17 +316,20 @@ def _unmixed(keys: np.ndarray) -> np.ndarray:
 def _folded(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal grams side by side: their mixed keys, nearly ascending (one may come twice), how many each stands for, and the places
     these come from. The keys' high bits are sorted with the place in the low ones, which costs one sort of whole numbers."""
-    keys = _mixed(grams)
-    low = np.uint64(max(1, (len(grams) - 1).bit_length()))
+    return _side_by_side(_mixed(grams))
+
+
+def _side_by_side(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = np.uint64(max(1, (len(keys) - 1).bit_length()))
     tagged = keys >> low
     tagged <<= low
-    tagged |= np.arange(len(grams), dtype=np.uint64)
+    tagged |= np.arange(len(keys), dtype=np.uint64)
     tagged.sort()
     tagged &= (np.uint64(1) << low) - np.uint64(1)
-    place = tagged.astype(np.int32 if len(grams) < 1 << 31 else np.int64)
+    place = tagged.astype(np.int32 if len(keys) < 1 << 31 else np.int64)
     del tagged
     keys = keys[place]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, dtype=np.int64)
     return keys[first], np.diff(np.append(first, len(keys))).astype(np.int32), place
 
 
@@ -328,32 +358,60 @@ def runs(texts: Iterable[bytes], depth: int, size: int = _CHUNK) -> Iterator[tup
         yield rows, batch
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) or 1
+#: Longest word, in bytes, that is hashed beside others.
+_SHORT = 64
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
-def _signed(values) -> np.ndarray:
-    return np.array(values, dtype=np.uint64).view(np.int64)
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of 64 bits, never ``END_HASH``, of each word; 8 bytes more stand behind the last. Eight bytes at once are mixed one to
+    one into what went before, so short words of one length never share a hash."""
+    eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    out = lengths.astype(np.uint64) * np.uint64(_MIX)
+    left = np.flatnonzero(lengths <= _SHORT)
+    for at in range(0, _SHORT, 8):
+        left = left[lengths[left] > at]
+        if not len(left):
+            break
+        x = out[left] ^ eight[starts[left] + at] & _LOWEST[np.minimum(lengths[left] - at, 8)]
+        for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+            x ^= x >> np.uint64(30)
+            x *= np.uint64(factor)
+        out[left] = x ^ x >> np.uint64(31)
+    for k in np.flatnonzero(lengths > _SHORT):
+        out[k] = xxhash.xxh64_intdigest(data[starts[k] : starts[k] + lengths[k]].tobytes())
+    out[out == END_HASH] = 1
+    return out
 
 
-def _coded(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The words of all texts as by ``words_of``, some ``_CHUNK`` bytes of texts at once: the text and the code of each, and the
-    hash behind each code."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    at = 0
-    while at < len(texts):
-        behind = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 4 * _CHUNK, side="right")))
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(at, behind - at)))
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        words = lists.flatten().cast(pa.binary()).dictionary_encode()
-        distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
-        rows = np.repeat(np.arange(at, behind), sizes)
-        if b"" in distinct:  # before and behind spaces at the ends
-            full = codes != distinct.index(b"")
-            rows, codes = rows[full], codes[full]
-        yield rows, codes, _signed([_hash(w) for w in distinct])
-        at = behind
-    pa.default_memory_pool().release_unused()
+def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of serialized texts: the text and the code of each, and the hash behind each code (one may come twice)."""
+    data = np.frombuffer(b"".join([*texts, bytes(8)]), dtype=np.uint8)
+    breaks = np.flatnonzero((data == 32) | (data == END[0]))  # no word holds either, and a space closes each
+    closed = np.flatnonzero(data[breaks] == 32)
+    starts = breaks[closed - 1] + 1 if len(closed) else closed
+    ends = breaks[closed]
+    if len(closed) and not closed[0]:
+        starts[0] = 0
+    rows = np.searchsorted(np.cumsum([len(t) for t in texts]), ends, side="right")
+    hashes, sizes, place = _side_by_side(_hashes(data, starts, ends - starts))
+    codes = np.empty(len(place), dtype=np.int64)
+    codes[place] = np.repeat(np.arange(len(hashes)), sizes)
+    return rows, codes, hashes.view(np.int64)
+
+
+def _some(texts: Iterable, depth: int, size: int = 4 * _CHUNK) -> Iterator[tuple[int, list[bytes]]]:
+    """Serialized texts, about ``size`` bytes at once, and the place of the first."""
+    batch: list[bytes] = []
+    at = total = 0
+    for text in texts:
+        batch.append(serialized(text.as_py(), depth))
+        total += len(batch[-1])
+        if total > size:
+            yield at, batch
+            at, batch, total = at + len(batch), [], 0
+    if batch:
+        yield at, batch
 
 
 def _distinct(keys: list[np.ndarray]) -> np.ndarray:
@@ -366,53 +424,84 @@ def _distinct(keys: list[np.ndarray]) -> np.ndarray:
 _WORD = -1
 
 
-def counted(docs: DataFrame, *, text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """(d, gram, n): grams of the full depth and of the suffixes, words (d = -1, by hash) and ends, added up over all rows."""
-    top = min(SUFFIX, depth)
+#: Counts on their way: the task that adds them up, their depth, how many they are, and ``_planes`` of grams and counts.
+_PARTIAL = pa.schema([("part", pa.int32()), ("d", pa.int32()), ("k", pa.int32()), ("gram", pa.binary()), ("n", pa.binary())])
+
+
+def text_bytes(docs: DataFrame, *, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
 
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, held, keys, counts = 0, 0, [], []
-        words: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def frame(d: int, gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(gram), 250_000):
-                part = gram[at : at + 250_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), d, np.int32)), pa.array(part), pa.array(n[at : at + 250_000])], ["d", "gram", "n"])
-
-        def emit_grams() -> Iterator[pa.RecordBatch]:
-            gram, n = _summed(np.concatenate(keys), np.concatenate(counts))
-            keys.clear()
-            counts.clear()
-            for d, g, c in islice(all_depths(gram, n, depth), depth - top + 1):
-                if d in (depth, top):
-                    yield from frame(d, g, c)
 
+def counted(docs: DataFrame, size: int, *, text: str = "text", depth: int = DEPTH) -> DataFrame:
+    """(d, gram, n): grams of the full depth, words (d = -1, by hash) and ends, added up over all rows. ``size``: bytes of all texts."""
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / _DEALT))
+
+    def frame(d: int, gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Ascending keys and their counts, a row for each task that is to add them up."""
+        if not len(gram):
+            return
+        part = (_mixed(gram) >> np.uint64(32)) % np.uint64(tasks)
+        order = np.argsort(part.astype(np.uint16) if tasks <= 1 << 16 else part, kind="stable")
+        part, gram, n = part[order].astype(np.int32), gram[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        last = np.append(first[1:], len(part))
+        rows: list[tuple] = []
+        held = 0
+        for a, z in zip(first.tolist(), last.tolist(), strict=True):
+            rows.append((part[a], d, z - a, _planes(gram[a:z]), _planes(n[a:z])))
+            held += z - a
+            if held > 250_000 or z == len(part):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PARTIAL, strict=True)], schema=_PARTIAL)
+                rows, held = [], 0
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, dtype=np.int64)
+        ends, grams, words = 0, (none, none), (none, none)
         for part in parts:
-            values = part.column(0)
-            for _, batch in runs((serialized(v.as_py(), depth) for v in values), depth):
-                gram, n = count_grams(batch, depth)
-                keys.append(gram)
-                counts.append(n)
-                held += len(gram)
-                if held > _COUNTED:
-                    yield from emit_grams()
-                    held = 0
-            ends += len(values)
-            for _, codes, hashes in _coded(values):
-                seen = np.bincount(codes, minlength=len(hashes))
-                words.append((hashes[seen > 0], seen[seen > 0]))
-                if sum(len(h) for h, _ in words) > _WORDS:
-                    words = [_summed(*map(np.concatenate, zip(*words, strict=True)))]
-                    if len(words[0][0]) > _WORDS // 2:
-                        yield from frame(_WORD, *words.pop())
-        for own in words:
-            yield from frame(_WORD, *own)
-        if keys:
-            yield from emit_grams()
+            ends += part.num_rows
+            for _, texts in _some(part.column(0), depth):
+                for _, batch in runs(texts, depth, 4 * _CHUNK):
+                    grams = _merged(*grams, *count_grams(batch, depth))
+                    if len(grams[0]) > _COUNTED:
+                        yield from frame(depth, *grams)
+                        grams = none, none
+                _, codes, hashes = _coded(texts)
+                words = _merged(*words, *_summed(hashes, np.bincount(codes, minlength=len(hashes))))
+                if len(words[0]) > _WORDS:
+                    yield from frame(_WORD, *words)
+                    words = none, none
+        yield from frame(depth, *grams)
+        yield from frame(_WORD, *words)
         yield from frame(_WORD, np.array([END_HASH]), np.array([ends]))
 
-    partial = docs.select(text).mapInArrow(count, "d int, gram long, n long")
-    return partial.groupBy("d", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, dtype=np.int64)
+        sums = {depth: (none, none), _WORD: (none, none)}
+        held: dict[int, list] = {depth: [], _WORD: []}
+        waiting = dict.fromkeys(held, 0)
+
+        def fold(d: int) -> None:
+            if held[d]:
+                sums[d] = _merged(*sums[d], *_summed(*(np.concatenate(x) for x in zip(*held[d], strict=True))))
+                held[d], waiting[d] = [], 0
+
+        for batch in batches:
+            for d, k, gram, n in zip(*(batch.column(c) for c in ("d", "k", "gram", "n")), strict=True):
+                d, k = d.as_py(), k.as_py()
+                held[d].append((_from_planes(gram, k), _from_planes(n, k)))
+                waiting[d] += k
+                if waiting[d] > max(_FLUSH // 4, len(sums[d][0]) // 2):
+                    fold(d)
+        for d in held:
+            fold(d)
+            key, n = sums.pop(d)
+            key, n = key[n > 0], n[n > 0]
+            for at in range(0, len(key), 250_000):
+                some, times = key[at : at + 250_000], n[at : at + 250_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), d, np.int32)), pa.array(some), pa.array(times)], ["d", "gram", "n"])
+
+    partial = docs.select(text).mapInArrow(count, "part int, d int, k int, gram binary, n binary")
+    return partial.repartition(tasks, "part").mapInArrow(add, "d int, gram long, n long")
 
 
 @dataclass
@@ -458,13 +547,15 @@ def train(table: DataFrame, *, depth: int = DEPTH, word_share: float = WORD_SHAR
         tables = _part([b for b in batches if b.num_rows], depth, top)
         if tables:
             nodes, _, _, _, weighted = _climb(tables, top)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[0][0]), pa.array(weighted)], ["node", "weighted"])
+            for key, n, value in ((nodes[0][0], np.zeros(len(weighted), np.int64), weighted), (*tables[0], np.zeros(len(tables[0][0])))):
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), pa.array(value)], ["key", "n", "weighted"])
 
     deepest = table.filter(F.col("d") == depth).select("gram", "n")
-    roots = deepest.repartition(parts, _part_column(parts, top)).mapInArrow(climb, "node long, weighted double").toArrow()
+    climbed = stored(deepest.repartition(parts, _part_column(parts, top)).mapInArrow(climb, "key long, n long, weighted double"), "ctw-roots")
+    roots = climbed.filter(F.col("n") == 0).select(F.col("key").alias("node"), "weighted").toArrow()
     order = np.argsort(roots["node"].to_numpy(), kind="stable")
-    found = table.filter(F.col("d") == top).select("gram", "n").toArrow()
-    tables = [(g, c) for _, g, c in all_depths(*_summed(found["gram"].to_numpy(), found["n"].to_numpy()), top)][::-1]
+    found = climbed.filter(F.col("n") > 0).select("key", "n").toArrow()  # grams of the suffixes
+    tables = [(g, c) for _, g, c in all_depths(*_summed(found["key"].to_numpy(), found["n"].to_numpy()), top)][::-1]
     nodes, blocks, above, children, _ = _climb(tables, 0, roots["weighted"].to_numpy()[order])
     levels, (share, base) = _descend(tables, nodes, blocks, above, children)
     least = max(1, math.ceil(word_share * tokens))
@@ -478,12 +569,11 @@ def train(table: DataFrame, *, depth: int = DEPTH, word_share: float = WORD_SHAR
 _SCORED = "row long, doc_id long, n_bytes long, n_tokens long, n_known long, known_score double, bits double, rare array<long>, rare_n array<long>"
 
 
-def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, size: int, model: Model, table: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, n_known, base_score, score, bits_per_byte) of every row; the scores are log10 probabilities."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     log_all = math.log10(model.tokens + model.distinct + 1)
     depth, top = model.depth, min(SUFFIX, model.depth)
-    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     blocks = max(1, math.ceil(size / _BLOCK))
     parts = max(model.parts, 4 * blocks)
 
@@ -546,11 +636,20 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
         tokens = np.ones(count, dtype=np.int64)
         known, total = np.full(count, int(np.sum(end[1]))), np.full(count, float(np.sum(logs[end[0]])) if np.sum(end[1]) else 0.0)
         rest = []  # the other words, by text and hash
-        for rows, codes, hashes in _coded(part["text"].combine_chunks()):
+        folded, bits, sizes = [], np.zeros(count), np.zeros(count, dtype=np.int64)
+        for at, texts in _some(part["text"], depth):
+            for rows, batch in runs(texts, depth):
+                grams, starts = _grams(batch, depth)
+                rows = np.array(rows) + at
+                folded.append((rows, starts, *_folded(grams)))
+                np.add.at(sizes, rows, [len(t) - depth for t in batch])
+                del grams, batch
+            rows, codes, hashes = _coded(texts)
+            rows += at
             hit, weight = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes))
             if len(own.words):
-                at, hit = _find(own.words, hashes)
-                weight = np.where(hit, logs[at], 0.0)
+                known_at, hit = _find(own.words, hashes)
+                weight = np.where(hit, logs[known_at], 0.0)
             tokens += np.bincount(rows, minlength=count)
             known += np.bincount(rows, weights=hit[codes], minlength=count).astype(np.int64)
             total += np.bincount(rows, weights=weight[codes], minlength=count)
@@ -562,12 +661,6 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
         first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (word[1:] != word[:-1])))) if len(row) else np.zeros(0, dtype=np.int64)
         ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=count)))).astype(np.int32)
         lists = [pa.ListArray.from_arrays(ends, x) for x in (word[first], np.diff(np.append(first, len(row))))]
-        folded, bits, sizes = [], np.zeros(count), np.zeros(count, dtype=np.int64)
-        for rows, batch in runs((serialized(t.as_py(), depth) for t in part["text"]), depth):
-            grams, starts = _grams(batch, depth)
-            folded.append((rows, starts, *_folded(grams)))
-            np.add.at(sizes, rows, [len(t) - depth for t in batch])
-            del grams, batch
         key = _distinct([f[2] for f in folded])
         gram = _unmixed(key)
         ascending = np.argsort(gram)
@@ -610,6 +703,7 @@ def scored(docs: DataFrame, model: Model, table: DataFrame, *, doc_id: str = "do
 
 def language_model_scores(docs: DataFrame, learn, *, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, **shares) -> tuple[DataFrame, Model]:
     """Scores of all rows by a model of the rows for which ``learn`` holds."""
-    table = stored(counted(docs.filter(learn), text=text, depth=depth), "ctw-counts")
+    size = text_bytes(docs, text=text)
+    table = stored(counted(docs.filter(learn), size, text=text, depth=depth), "ctw-counts")
     model = train(table, depth=depth, **shares)
-    return scored(docs, model, table, doc_id=doc_id, text=text), model
+    return scored(docs, size, model, table, doc_id=doc_id, text=text), model
