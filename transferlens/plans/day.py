@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens import schemas
 from transferlens.operators.lookup import SMALL_ROWS, counted_broadcast
 from transferlens.plans import enrich, quality, rollups, whales
+from transferlens.plans.quality import seen as _seen
+from transferlens.plans.quality import settled as _settled
 from transferlens.session import stored
 from transferlens.sources.dimensions import read_labels, read_tokens
 from transferlens.sources.files import day_of, read_days, read_json
@@ -30,23 +30,6 @@ class DayConfig:
     small_blocks: int = SMALL_ROWS
 
 
-def _seen(observation: Observation) -> dict:
-    """The observed counts; none where the optimizer found the plan empty and dropped the count with it."""
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return {}
-
-
-def _settled(seen: dict, written: dict, recount: Callable[[], dict]) -> dict:
-    """Source counts that were observed while a table was written from them.
-
-    Tasks take these counts as they run, and a task that is repeated after a lost executor counts its rows once more. So counts
-    that do not agree with what was written are taken anew, from the source; a real loss of rows is seen all the same.
-    """
-    return seen if all(seen.get(name) == count for name, count in written.items()) else recount()
-
-
 def run_day(spark: SparkSession, day: str, config: DayConfig) -> DataFrame:
     """Builds one day. Each silver table is written, then read back by the steps that need it,
     so no step recomputes another and a lost executor only repeats its own step. Raw tables are read once: how many rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transferlens import schemas
@@ -39,13 +39,17 @@ def token_flow(
     blocks: DataFrame,
     labels: DataFrame,
     receipts: DataFrame | None = None,
+    observed: Observation | None = None,
 ) -> DataFrame:
     """Transfers of tracked tokens, with time, amount and labels.
 
-    With ``receipts`` only transfers of successful transactions stay, and ``status`` is kept.
+    With ``receipts`` only transfers of successful transactions stay, and ``status`` is kept. ``observed`` takes the counts of
+    ``quality.flow_sources`` while transfers pass.
     """
     times = blocks.select(F.col("number").alias("block_number"), F.col("timestamp").alias("block_timestamp"))
-    flow = transfers.drop("block_timestamp").join(tokens, "token_address").join(times, "block_number", "left")
+    flow = transfers.drop("block_timestamp")
+    flow = flow.join(tokens, "token_address") if observed is None else _counted(flow, tokens, observed)
+    flow = flow.join(times, "block_number", "left")
     extra = []
     if receipts is not None:
         done = receipts.where(F.col("status") == 1).select("transaction_hash", "status")
@@ -57,6 +61,17 @@ def token_flow(
     return flow.select(*schemas.TOKEN_FLOW.fieldNames(), *extra)
 
 
+def _counted(transfers: DataFrame, tokens: DataFrame, observed: Observation) -> DataFrame:
+    """The inner join with tokens, while all transfers and those of known tokens are counted.
+
+    The one join of the flow does both, and its sides are plain frames, so that a hot token is split. Counts are of rows behind
+    the join: a token that is listed twice counts its transfers twice (see ``quality.source_counts``).
+    """
+    rows = transfers.join(tokens.withColumn("__tracked", F.lit(True)), "token_address", "left")
+    rows = rows.observe(observed, F.count("__tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows"))
+    return rows.where(F.col("__tracked")).drop("__tracked")
+
+
 # Fixed value: topic that marks a token transfer log.
 TRANSFER_TOPIC = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 

@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +125,23 @@ def _with_counts(measures: DataFrame, source: Source, count: Callable[[DataFrame
     return measures.withColumns({name: F.lit(n).cast("long") for name, n in source.items()})
 
 
+def seen(observation: Observation) -> dict:
+    """The observed counts; none where the optimizer found the plan empty and dropped the count with it."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
+def settled(seen: dict, written: dict, recount: Callable[[], dict]) -> dict:
+    """Source counts that were observed while a table was written from them.
+
+    Tasks take these counts as they run, and a task that is repeated after a lost executor counts its rows once more. So counts
+    that do not agree with what was written are taken anew, from the source; a real loss of rows is seen all the same.
+    """
+    return seen if all(seen.get(name) == count for name, count in written.items()) else recount()
+
+
 def check_enriched(enriched: DataFrame, source: Source, rules: Sequence[Rule] = ENRICHED_RULES) -> DataFrame:
     """The rows kept are the report's own count, so ``enriched`` is evaluated once. ``source`` is the transactions or their ``source_rows``."""
     measures = _with_counts(enriched_report(enriched), source, lambda df: _rows(df, "source_rows"))
@@ -143,6 +161,10 @@ FLOW_RULES = (
 )
 
 
+#: What the gate reads of a flow: a copy that is made for it alone needs no other columns.
+FLOW_READ = ("transaction_hash", "token_address", "from_address", "from_category", "to_address", "to_category", "amount")
+
+
 def flow_report(flow: DataFrame) -> DataFrame:
     dex = (F.col("from_category") == "DEX") | (F.col("to_category") == "DEX")
     return flow.agg(
@@ -212,6 +234,16 @@ def flow_sources(transfers: DataFrame, tokens: DataFrame) -> DataFrame:
     return tracked_transfers(transfers, tokens).agg(F.count("tracked").alias("tracked_rows"), F.count(F.lit(1)).alias("all_rows"))
 
 
+def source_counts(observed: Observation, written: int, transfers: DataFrame, tokens: DataFrame) -> dict:
+    """The counts of ``flow_sources``, as ``enrich.token_flow`` observed them while ``written`` rows of flow were stored.
+
+    They are taken anew from the transfers if they disagree with what was written, or if a token is listed more than once.
+    """
+    listed = tokens.groupBy("token_address").agg(F.count(F.lit(1)).alias("n"))
+    counts = {} if listed.where(F.col("n") > 1).head(1) else seen(observed)
+    return settled(counts, {"tracked_rows": written}, lambda: flow_sources(transfers, tokens).first().asDict())
+
+
 def check_flow(
     flow: DataFrame,
     transfers: Source,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens.functions import display, money
@@ -31,16 +31,17 @@ def event_flow(spark: SparkSession, d: str) -> DataFrame:
     return frames.event_flow(table(spark, d, "events"), frames.labels(table(spark, d, "customer")))
 
 
-def line_flow(spark: SparkSession, d: str, receipts: bool = False) -> DataFrame:
+def line_flow(spark: SparkSession, d: str, receipts: bool = False, observed: Observation | None = None) -> DataFrame:
     lineitem, orders, part = (table(spark, d, n) for n in ("lineitem", "orders", "part"))
-    transfers = frames.line_transfers(lineitem, orders, part)
+    transfers = frames.line_transfers(lineitem, orders, part, hashed=False)
     done = None
     if receipts:
         transfers = transfers.withColumn("transaction_hash", F.col("order_hash"))
         done = frames.lineitem_receipts(lineitem)
-    return enrich.token_flow(
-        transfers, frames.tokens(part), frames.order_blocks(orders), frames.labels(table(spark, d, "customer")), done
+    flow = enrich.token_flow(
+        transfers, frames.tokens(part), frames.order_blocks(orders), frames.labels(table(spark, d, "customer")), done, observed
     )
+    return flow if receipts else flow.withColumn("transaction_hash", frames.line_hash())
 
 
 def enriched_frame(spark: SparkSession, d: str) -> DataFrame:

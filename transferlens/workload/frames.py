@@ -187,10 +187,11 @@ def order_blocks(orders: DataFrame) -> DataFrame:
     )
 
 
-def line_transfers(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+def line_transfers(lineitem: DataFrame, orders: DataFrame, part: DataFrame, hashed: bool = True) -> DataFrame:
     """Supplier sends a part to the customer; raw amount = quantity shifted by the decimals.
 
-    ``order_timestamp`` is the time of the order: a bound on it reaches the scan of the orders.
+    ``order_timestamp`` is the time of the order: a bound on it reaches the scan of the orders. Without ``hashed`` the hash is
+    the line's key only, so that joins move no long texts; ``line_hash`` makes the text of it behind them.
     """
     rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
@@ -201,13 +202,22 @@ def line_transfers(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> D
         F.col("l_suppkey").cast("string").alias("from_address"),
         F.col("o_custkey").cast("string").alias("to_address"),
         F.concat(F.col("l_quantity").cast("bigint").cast("string"), zeros).alias("value"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_hash"),
+        (
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+            if hashed
+            else F.struct("l_orderkey", "l_linenumber")
+        ).alias("transaction_hash"),
         F.col("l_orderkey").cast("string").alias("order_hash"),
         timeparts.to_unix("o_orderdate").alias("order_timestamp"),
         F.floor(timeparts.to_unix("l_shipdate") / timeparts.DAY).alias("block_number"),
     )
 
 
+def line_hash() -> Column:
+    """The hash of ``line_transfers`` from a line's key, its token and its sender."""
+    return F.concat_ws("-", "transaction_hash.l_orderkey", "transaction_hash.l_linenumber", "token_address", "from_address")
+
+
 def swap_flow(events: DataFrame, labels: DataFrame) -> DataFrame:
     """Transfers of one asset among the hundred receivers, both directions occurring: the
     input of the reciprocal-transfer queries. Two events of one second share a transaction."""
